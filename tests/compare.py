@@ -80,7 +80,7 @@ def main(names: list[str]) -> None:
             kinds = {c: str(t) for c, t in rows.dtypes.items()}
             if name in oracle:
                 other = {c: str(t) for c, t in con.execute(oracle[name]).df().dtypes.items()}
-                odd = {c: (kinds[c], other[c]) for c in kinds if other.get(c) != kinds[c]}
+                odd = {c: (kinds[c], other[c]) for c in kinds if c in other and other[c] != kinds[c]}
                 if odd and not problem:
                     print("   types", odd)
         except Exception as e:  # noqa: BLE001

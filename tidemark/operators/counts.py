@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def observed(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
-    """The frame plus an observation that holds ``rows`` once any action has run."""
+    """The frame plus an observation that holds ``rows`` once an action has run.
+
+    Put it right before the action: there each task's rows are counted once even if
+    earlier stages run again.
+    """
     observation = Observation(name) if name else Observation()
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 

@@ -87,7 +87,12 @@ def month_view(
         .join(last_load, versions, "left")
         .join(last_process, keys, "left")
         .join(locked, ["process_id", "sor_table_name"], "left")
-        .withColumn("published", F.coalesce(F.col("process_status") == PUBLISHED, F.lit(False)))
+        .withColumns(
+            {
+                "versions": F.coalesce("versions", F.lit(0)),
+                "published": F.coalesce(F.col("process_status") == PUBLISHED, F.lit(False)),
+            }
+        )
     )
 
 

@@ -23,11 +23,11 @@ def write_catalog_table(
     spark = df.sparkSession
     keys = check_partition_keys(df.columns, dest.partition_keys)
     name = f"`{dest.database}`.`{dest.table}`"
-    counted, observation = observed(df)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dest.database}`")
     if not spark.catalog.tableExists(name):
+        counted, observation = observed(arranged(df, keys, constant_keys))
         (
-            writer(arranged(counted, keys, constant_keys), dest)
+            writer(counted, dest)
             .format("parquet")
             .option("path", dest.path)
             .partitionBy(*keys)
@@ -46,16 +46,17 @@ def write_catalog_table(
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
         table = spark.table(name)
-    ordered = arranged(counted, keys, constant_keys).select(
+    ordered = arranged(df, keys, constant_keys).select(
         *[
             F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in table.schema
         ]
     )
+    counted, observation = observed(ordered)
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        ordered.write.mode("overwrite").insertInto(name)
+        counted.write.mode("overwrite").insertInto(name)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     return WriteReport(dest.path, observation.get["rows"])

@@ -61,9 +61,9 @@ def write_partitions(
     it replaces, and a failed job leaves the old partitions.
     """
     keys = check_partition_keys(df.columns, dest.partition_keys)
-    counted, observation = observed(df)
+    counted, observation = observed(arranged(df, keys, constant_keys))
     (
-        writer(arranged(counted, keys, constant_keys), dest)
+        writer(counted, dest)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(dest.path)

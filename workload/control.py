@@ -143,9 +143,8 @@ def _destination_settings(spark, sf):
         F.min(F.when(F.col("n_regionkey") == 9, F.lit("zstd"))).alias("compression"),
         F.min("n_name").alias("s3_destino"),
     )
-    technical = spark.createDataFrame(
-        [("catalogo", "snappy", "none"), ("csv", None, "none")],
-        "kind string, compression string, s3_destino string",
+    technical = spark.sql(
+        "SELECT * FROM VALUES ('catalogo', 'snappy', 'none'), ('csv', NULL, 'none') AS t(kind, compression, s3_destino)"
     )
     return effective_settings(destinations, environments, technical, ["compression", "s3_destino"])
 

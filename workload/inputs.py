@@ -201,35 +201,38 @@ TABLE_CONFIG_ROWS = tuple(
 )
 
 
+def _literal(v) -> str:
+    if isinstance(v, tuple):
+        return "array(" + ", ".join(_literal(x) for x in v) + ")"
+    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+
+
+def _config(spark: SparkSession, rows, columns: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM VALUES {_values(rows)} AS t({columns})")
+
+
 def process_config(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(*r[:3], list(r[3])) for r in PROCESS_CONFIG_ROWS],
-        "process_name string, rules_execution_mode string, spec_execution_mode string, "
-        "required_origins array<string>",
+    return _config(
+        spark, PROCESS_CONFIG_ROWS, "process_name, rules_execution_mode, spec_execution_mode, required_origins"
     )
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(RULES_ROWS), "process_name string, sor_table_name string, required boolean, enabled boolean"
-    )
+    return _config(spark, RULES_ROWS, "process_name, sor_table_name, required, enabled")
 
 
 def table_config(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(TABLE_CONFIG_ROWS),
-        "process_name string, source_database_name string, source_table_name string, "
-        "sor_database_name string, sor_table_name string, enabled boolean",
+    return _config(
+        spark,
+        TABLE_CONFIG_ROWS,
+        "process_name, source_database_name, source_table_name, sor_database_name, sor_table_name, enabled",
     )
 
 
-def _values(rows) -> str:
-    def text(v):
-        return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
-
-    return ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
-
-
 PROCESS_CONFIG = (
     "process_config(process_name, rules_execution_mode, spec_execution_mode) AS (VALUES "
     + _values(r[:3] for r in PROCESS_CONFIG_ROWS)

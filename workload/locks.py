@@ -258,7 +258,7 @@ ORACLE = {
           ORDER BY created_at DESC, ingestion_id DESC) AS pos FROM ledger),
         last_process AS (SELECT *, row_number() OVER (PARTITION BY process_name, data_referencia
           ORDER BY created_at DESC, process_id DESC) AS pos FROM requests)
-        SELECT m.process_name, q.sor_table_name, m.data_referencia, l.versions, l.ingestion_id AS last_ingestion_id,
+        SELECT m.process_name, q.sor_table_name, m.data_referencia, coalesce(l.versions, 0) AS versions, l.ingestion_id AS last_ingestion_id,
           l.status AS ingestion_status, {stamp_sql('l.created_at')} AS started_at, {stamp_sql('l.loaded_at')} AS finished_at,
           p.process_id, p.status AS process_status, k.ingestion_id AS locked_ingestion_id,
           coalesce(p.status = 'PUBLISHED', false) AS published

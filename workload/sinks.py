@@ -28,12 +28,12 @@ def _in(path, **settings):
 
 
 def _write_partitions(spark, sf):
-    """All months, then the months of situation R again with doubled values: only the
-    (month, R) partitions change."""
-    df = _slim(spark, sf)
+    """All years, then the years of situation R again with doubled values: only the
+    (year, R) partitions change."""
+    df = _slim(spark, sf).withColumn("ano", F.substring("data_base", 1, 4))
 
     def write(path):
-        dest = _in(path, partition_keys=["data_base", "situacao"])
+        dest = _in(path, partition_keys=["ano", "situacao"])
         write_partitions(df, dest)
         again = df.where("situacao = 'R'").withColumn("vlr_cred_mes", F.col("vlr_cred_mes") * 2)
         write_partitions(again, dest)
@@ -46,7 +46,7 @@ def _check_partition_keys(spark, sf):
     """Partition values survive as text: leading zeros, nulls, characters that need escaping."""
     df = table(spark, sf, "orders").select(
         "o_orderkey",
-        F.format_string("%06d", F.col("o_custkey") % 50).alias("versao"),
+        F.format_string("%06d", F.col("o_custkey") % 8).alias("versao"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("a:b/"), "o_orderpriority")).alias("origem"),
     )
 
@@ -136,7 +136,7 @@ _SLIM = f"WITH {CONTRACT} SELECT {_LIST} FROM contrato"
 ORACLE = {
     "write_partitions": f"WITH {CONTRACT} SELECT num_contrato, num_parcela, "
     "CASE situacao WHEN 'R' THEN vlr_cred_mes * 2 ELSE vlr_cred_mes END AS vlr_cred_mes, data_base, situacao FROM contrato",
-    "check_partition_keys": "SELECT o_orderkey, printf('%06d', o_custkey % 50) AS versao, "
+    "check_partition_keys": "SELECT o_orderkey, printf('%06d', o_custkey % 8) AS versao, "
     "CASE WHEN o_orderpriority <> '5-LOW' THEN 'a:b/' || o_orderpriority END AS origem FROM orders",
     "catalog_update": f"WITH {CONTRACT} SELECT num_contrato, num_parcela, vlr_cred_mes, "
     "CASE situacao WHEN 'R' THEN 'novo' END AS canal, situacao FROM contrato",

@@ -39,7 +39,7 @@ def _stream_registration(spark, sf):
     path = staged(spark, sf, "stream-registration", write)
     columns = ["event_id", *KEYS, "ingestion_id", "status"]
     schema = "event_id bigint, " + ", ".join(f"{c} string" for c in columns[1:])
-    return spark.read.schema(schema).parquet(f"{path}/ledger")
+    return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
 
 
 def _stream_readiness(spark, sf):
@@ -54,7 +54,13 @@ def _stream_readiness(spark, sf):
         ", ".join(f"{c} string" for c in [*KEYS, "ingestion_id"])
         + ", triggered_at timestamp_ntz, rules_execution_mode string, trigger_reason string"
     )
-    return spark.read.schema(schema).parquet(f"{path}/triggers").withColumn("triggered_at", stamp("triggered_at"))
+    return spark.read.schema(schema).parquet(f"{path}/triggers").select(
+        *KEYS,
+        "ingestion_id",
+        stamp("triggered_at").alias("triggered_at"),
+        "rules_execution_mode",
+        "trigger_reason",
+    )
 
 
 QUERIES = {"stream_registration": _stream_registration, "stream_readiness": _stream_readiness}
