@@ -6,12 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def _orderable(field: T.StructField):
+    """A map has no order of its own; its sorted entries have."""
+    column = F.col(f"`{field.name}`")
+    return F.sort_array(F.map_entries(column)) if isinstance(field.dataType, T.MapType) else column
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the smallest by ``order``, ties broken by all other columns.
 
@@ -23,7 +30,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     unknown = [c for c in [*keys, *order] if c not in df.columns]
     if unknown:
         raise ValueError("unknown columns: " + ", ".join(unknown))
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    rest = [_orderable(f) for f in df.schema if f.name not in keys and f.name not in order]
     sorting = [*order, *rest] or list(keys)
     window = Window.partitionBy(*keys).orderBy(*sorting)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")

@@ -21,88 +21,106 @@ FAILED_INPUT_MISSING = "FAILED_INPUT_MISSING"
 RUNNING = "RUNNING"
 
 
-def override_entries(requests: DataFrame) -> DataFrame:
-    """Rows of the optional ``input_overrides`` map of each request."""
-    return requests.select(
-        "process_id", F.explode("input_overrides").alias("sor_table_name", "override_id")
+def rule_tables(rules: DataFrame) -> DataFrame:
+    """Enabled rule tables as one array per process; as long as its configuration."""
+    return (
+        rules.where(enabled(F.col("enabled")))
+        .groupBy("process_name", "sor_table_name")
+        .agg(F.max(enabled(F.col("required"))).alias("required"))
+        .groupBy("process_name")
+        .agg(F.sort_array(F.collect_list(F.struct("sor_table_name", "required"))).alias("_rules"))
+    )
+
+
+def input_slots(requests: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per process and table it names, with the override given for that table.
+
+    Tables come from the rules and from the request's own ``input_overrides`` map, so the
+    pairing stays inside the row: requests are not shuffled, only the small rule arrays
+    are brought to them. ``in_rules`` is false for an override of any other table.
+    """
+    overrides = (
+        F.col("input_overrides")
+        if "input_overrides" in requests.columns
+        else F.lit(None).cast("map<string,string>")
+    )
+    ruled = F.coalesce("_rules", F.array().cast("array<struct<sor_table_name:string,required:boolean>>"))
+    ruled_names = F.transform(ruled, lambda r: r["sor_table_name"])
+    from_rules = F.transform(
+        ruled,
+        lambda r: F.struct(
+            r["sor_table_name"].alias("sor_table_name"),
+            r["required"].alias("required"),
+            F.lit(True).alias("in_rules"),
+            F.try_element_at(overrides, r["sor_table_name"]).alias("override_id"),
+        ),
+    )
+    from_request = F.transform(
+        F.array_except(F.coalesce(F.map_keys(overrides), F.array().cast("array<string>")), ruled_names),
+        lambda name: F.struct(
+            name.alias("sor_table_name"),
+            F.lit(False).alias("required"),
+            F.lit(False).alias("in_rules"),
+            F.try_element_at(overrides, name).alias("override_id"),
+        ),
+    )
+    return (
+        requests.join(rule_tables(rules), "process_name", "left")
+        .select(
+            "process_id",
+            "process_name",
+            "data_referencia",
+            F.explode(F.concat(from_rules, from_request)).alias("_slot"),
+        )
+        .select("process_id", "process_name", "data_referencia", "_slot.*")
     )
 
 
 def resolve_inputs(
-    requests: DataFrame,
-    rules: DataFrame,
-    ingestion: DataFrame,
-    current: DataFrame,
-    overrides: DataFrame,
+    requests: DataFrame, rules: DataFrame, ingestion: DataFrame, current: DataFrame
 ) -> DataFrame:
-    """One row per process and rule table: chosen version, its origin, or the problem.
+    """One row per process and input table: chosen version, its origin, or the problem.
 
-    ``requests``: process_id, process_name, data_referencia. ``overrides``: process_id,
-    sor_table_name, override_id. An override counts when that version of that table is
-    loaded; one for a table outside the rules is invalid.
+    ``requests``: process_id, process_name, data_referencia and an optional
+    ``input_overrides`` map. An override counts when that version of that table is loaded;
+    one for a table outside the rules is invalid; ``LATEST`` means the current version.
     """
     versions = list(VERSION_KEYS)
-    request = requests.select("process_id", "process_name", "data_referencia")
-    wanted = request.join(
-        rules.where(enabled(F.col("enabled"))).select(
-            "process_name", "sor_table_name", enabled(F.col("required")).alias("required")
-        ),
-        "process_name",
-    ).join(overrides, ["process_id", "sor_table_name"], "left")
-    explicit = F.col("override_id").isNotNull() & (F.col("override_id") != LATEST)
-    columns = [
-        "process_id",
-        *versions,
-        "required",
-        "ingestion_id",
-        "lock_source",
-        "problem",
-    ]
-
-    loaded = ingestion.where(F.col("status") == LOADED).select(
-        *versions, F.col("ingestion_id").alias("override_id"), F.lit(True).alias("_loaded")
-    )
-    chosen = (
-        wanted.where(explicit)
-        .join(loaded, [*versions, "override_id"], "left")
-        .withColumns(
-            {
-                "ingestion_id": F.when(F.col("_loaded"), F.col("override_id")),
-                "lock_source": F.lit(OVERRIDE),
-                "problem": F.when(F.col("_loaded").isNull(), INVALID_OVERRIDE),
-            }
-        )
-        .select(*columns)
-    )
-    latest = (
-        wanted.where(~explicit)
-        .join(
-            current.select(*versions, F.col("current_ingestion_id").alias("ingestion_id")),
-            versions,
-            "left",
-        )
-        .withColumns(
-            {
-                "lock_source": F.lit(CURRENT_SOR),
-                "problem": F.when(F.col("ingestion_id").isNull() & F.col("required"), INPUT_MISSING),
-            }
-        )
-        .select(*columns)
-    )
-    stray = (
-        overrides.join(wanted, ["process_id", "sor_table_name"], "left_anti")
-        .join(request, "process_id")
-        .withColumns(
-            {
-                "required": F.lit(False),
-                "ingestion_id": F.lit(None).cast("string"),
-                "lock_source": F.lit(OVERRIDE),
-                "problem": F.lit(INVALID_OVERRIDE),
-            }
+    explicit = F.col("in_rules") & F.col("override_id").isNotNull() & (F.col("override_id") != LATEST)
+    # Rows without an override look for a version nobody has, spread by process: a null
+    # key would send all of them to one task.
+    slots = input_slots(requests, rules).withColumns(
+        {
+            "_explicit": explicit,
+            "_wanted": F.when(explicit, F.col("override_id")).otherwise(
+                F.concat(F.lit("-"), "process_id")
+            ),
+        }
+    )
+    loaded = (
+        ingestion.where(F.col("status") == LOADED)
+        .select(*versions, F.col("ingestion_id").alias("_wanted"))
+        .distinct()
+        .withColumn("_loaded", F.lit(True))
+    )
+    latest = current.select(*versions, F.col("current_ingestion_id").alias("_current"))
+    invalid = ~F.col("in_rules") | (F.col("_explicit") & F.col("_loaded").isNull())
+    absent = ~F.col("_explicit") & F.col("_current").isNull() & F.col("required")
+    return (
+        slots.join(latest, versions, "left")
+        .join(loaded, [*versions, "_wanted"], "left")
+        .select(
+            "process_id",
+            *versions,
+            "required",
+            F.when(invalid, F.lit(None))
+            .when(F.col("_explicit"), F.col("override_id"))
+            .otherwise(F.col("_current"))
+            .alias("ingestion_id"),
+            F.when(F.col("_explicit") | ~F.col("in_rules"), OVERRIDE).otherwise(CURRENT_SOR).alias("lock_source"),
+            F.when(invalid, INVALID_OVERRIDE).when(absent, INPUT_MISSING).alias("problem"),
         )
-        .select(*columns)
     )
-    return chosen.unionByName(latest).unionByName(stray)
 
 
 def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import durable
@@ -21,14 +21,31 @@ from tidemark.session import durable
 POSITION, CHUNK = "_position", "_chunk"
 # monotonically_increasing_id() puts the task number above the lowest 33 bits.
 TASK_BITS = 33
+# Summaries up to this many rows (a few numbers and the key each) are broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def sorted_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """Rows with their global sort position and range chunk, and about how many groups
+    there are. ``order`` must be total. The groups are counted by the job that stores the
+    rows, not by a further pass."""
+    seen = Observation()
+    placed = (
+        df.orderBy(*keys, *order)
+        .withColumn(POSITION, F.monotonically_increasing_id())
+        .observe(seen, F.approx_count_distinct(F.xxhash64(*keys)).alias("groups"))
+    )
+    rows = durable(placed, "ordered").withColumn(CHUNK, F.shiftright(POSITION, TASK_BITS))
+    return rows, seen.get["groups"]
 
 
-def sorted_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows with their global sort position and range chunk; ``order`` must be total."""
-    placed = durable(
-        df.orderBy(*keys, *order).withColumn(POSITION, F.monotonically_increasing_id())
-    )
-    return placed.withColumn(CHUNK, F.shiftright(POSITION, TASK_BITS))
+def _small_enough(spark, groups: int) -> bool:
+    """A summary has at most one row per group plus one per chunk boundary. The group
+    count is an estimate, so it is doubled."""
+    chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * groups + chunks <= BROADCAST_ROWS
 
 
 def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
@@ -55,7 +72,7 @@ def number_rows(
 
     ``base`` (the keys plus ``base``) tells the number each group continues from.
     """
-    rows = sorted_chunks(df, keys, order)
+    rows, groups = sorted_chunks(df, keys, order)
     starts = rows.groupBy(CHUNK, *keys).agg(
         F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
@@ -70,7 +87,11 @@ def number_rows(
             "_shift", F.col("_shift") + F.coalesce("base", F.lit(0))
         )
     place = [CHUNK, *keys]
-    return rows.join(_renamed(starts.select(*place, "_shift"), place, "_shift"), _on_keys(place)).select(
+    shifts = _renamed(starts.select(*place, "_shift"), place, "_shift")
+    if _small_enough(df.sparkSession, groups):
+        shifts = F.broadcast(shifts)
+    # Beyond that size the join shuffles by chunk and group, neither of which is large.
+    return rows.join(shifts, _on_keys(place)).select(
         *df.columns, (F.col(POSITION) + F.col("_shift")).alias(out)
     )
 
@@ -84,7 +105,7 @@ def carry_forward(
     include_current: bool = True,
 ) -> DataFrame:
     """Last non-null ``value`` of the group up to each row (or strictly before it)."""
-    rows = sorted_chunks(df, keys, order)
+    rows, _ = sorted_chunks(df, keys, order)
     lasts = rows.groupBy(CHUNK, *keys).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(POSITION))).alias(value)
     )

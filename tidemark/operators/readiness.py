@@ -32,24 +32,17 @@ def readiness(process_config: DataFrame, current: DataFrame) -> DataFrame:
     ``current`` has one row per process, month and origin, and only required origins are
     collected, so a collected group is never longer than the configured list.
     """
-    keys = list(WINDOW_KEYS)
-    required = required_rows(process_config)
-    received = current.join(required.select("process_name", "sor_table_name"), ["process_name", "sor_table_name"], "left_semi")
-    per_window = received.groupBy(*keys).agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("sor_table_name", "current_ingestion_id")))
-        ).alias("received_origins")
-    )
-    windows = current.select(*keys).distinct()
     config = process_config.select(
         "process_name", "rules_execution_mode", F.array_distinct("required_origins").alias("_required")
     )
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    missing = F.col("missing_origins")
+    received = F.when(
+        F.array_contains("_required", F.col("sor_table_name")),
+        F.struct("sor_table_name", "current_ingestion_id"),
+    )
     return (
-        windows.join(config, "process_name")
-        .join(per_window, keys, "left")
-        .withColumn("received_origins", F.coalesce("received_origins", none))
+        current.join(config, "process_name")
+        .groupBy(*WINDOW_KEYS, "rules_execution_mode", "_required")
+        .agg(F.map_from_entries(F.sort_array(F.collect_list(received))).alias("received_origins"))
         .withColumn(
             "missing_origins",
             F.sort_array(F.array_except("_required", F.map_keys("received_origins"))),
@@ -58,8 +51,8 @@ def readiness(process_config: DataFrame, current: DataFrame) -> DataFrame:
             {
                 "required_count": F.size("_required"),
                 "received_count": F.size("received_origins"),
-                "missing_count": F.size(missing),
-                "window_status": F.when(F.size(missing) > 0, WAITING_INPUTS)
+                "missing_count": F.size("missing_origins"),
+                "window_status": F.when(F.size("missing_origins") > 0, WAITING_INPUTS)
                 .when(F.col("rules_execution_mode").isin(MANUAL, LOCKED), MANUAL_REQUIRED)
                 .otherwise(LOCKED_FOR_EXECUTION),
             }
@@ -70,11 +63,9 @@ def readiness(process_config: DataFrame, current: DataFrame) -> DataFrame:
 
 def missing_inputs(process_config: DataFrame, current: DataFrame) -> DataFrame:
     """One row per required origin without a loaded version in a month seen so far."""
-    keys = list(WINDOW_KEYS)
-    wanted = current.select(*keys).distinct().join(
-        required_rows(process_config).select("process_name", "sor_table_name"), "process_name"
+    return readiness(process_config, current).select(
+        *WINDOW_KEYS, F.explode("missing_origins").alias("sor_table_name")
     )
-    return wanted.join(current, [*keys, "sor_table_name"], "left_anti")
 
 
 def execution_triggers(

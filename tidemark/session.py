@@ -57,9 +57,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder, so a lost executor cannot change it."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Store ``df`` as a table in the shared folder and go on from there.
+
+    The result no longer depends on how its rows were computed, so an executor lost later
+    cannot change it; and later passes read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

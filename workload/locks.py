@@ -40,8 +40,9 @@ from workload.inputs import (
 KEYS = ["process_name", "sor_table_name", "data_referencia"]
 
 
-def _overrides(spark, sf):
-    """By priority: oldest loaded version, LATEST, unknown id, none, a version that failed."""
+def _requests(spark, sf):
+    """Requests with overrides by priority: oldest loaded version, LATEST, unknown id,
+    none, a version that failed."""
     versions = (
         ledger(spark, sf)
         .where("sor_table_name = 'orig0'")
@@ -60,15 +61,12 @@ def _overrides(spark, sf):
     return (
         requests(spark, sf)
         .join(versions, ["process_name", "data_referencia"], "left")
-        .select("process_id", F.lit("orig0").alias("sor_table_name"), chosen.alias("override_id"))
-        .where("override_id IS NOT NULL")
+        .withColumn("input_overrides", F.when(chosen.isNotNull(), F.create_map(F.lit("orig0"), chosen)))
     )
 
 
 def _resolved(spark, sf):
-    return resolve_inputs(
-        requests(spark, sf), rules(spark), ledger(spark, sf), current(spark, sf), _overrides(spark, sf)
-    )
+    return resolve_inputs(_requests(spark, sf), rules(spark), ledger(spark, sf), current(spark, sf))
 
 
 def _resolve_input_versions(spark, sf):
