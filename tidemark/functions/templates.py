@@ -11,27 +11,45 @@ from pyspark.sql import functions as F
 NAME = r"\{([A-Za-z0-9_]+)\}"
 
 
-def bind_parameters(text: str, context: Mapping[str, str]) -> tuple[str, dict[str, str]]:
-    """Predicate text -> text with parameter markers, and the values to bind.
+# Comments are matched first, so that a quote inside one does not start a literal.
+COMMENT_OR_LITERAL = (
+    r"--[^\n]*|/\*.*?\*/|(?P<quote>['\"])(?P<body>(?:\\.|(?P=quote){2}|(?!(?P=quote))[^\\])*)(?P=quote)"
+)
+
+# Stand for doubled braces, which mean the brace itself, while placeholders are bound.
+_OPEN, _CLOSE = "\ue000", "\ue001"
+
+
+def bind_parameters(
+    text: str, context: Mapping[str, str], strict: bool = True
+) -> tuple[str, dict[str, str]]:
+    """SQL text -> text with parameter markers, and the values to bind.
 
     ``col = '{NAME}'`` becomes ``col = :NAME``. A placeholder inside a longer literal
-    becomes a concatenation, so a quote in a value can never end the literal.
+    becomes a concatenation, so a quote in a value can never end the literal. With
+    ``strict`` an unknown name is an error and ``{{`` is a plain brace; otherwise only
+    known names are touched, so braces of other kinds stay as written.
     """
-    names = re.findall(NAME, text)
-    unknown = sorted({n for n in names if n not in context})
-    if unknown:
-        raise ValueError("unknown placeholder: " + ", ".join(unknown))
-
-    def literal(match: re.Match) -> str:
-        pieces = re.split(NAME, match.group(1))
-        parts = [f":{p}" if i % 2 else f"'{p}'" for i, p in enumerate(pieces) if i % 2 or p]
-        if len(pieces) == 1:
-            return match.group(0)
-        return parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
-
-    bound = re.sub(r"'((?:[^'\\]|\\.|'')*)'", literal, text)
-    bound = re.sub(NAME, r":\1", bound)
-    return bound, {n: str(context[n]) for n in set(names)}
+    if strict:
+        text = text.replace("{{", _OPEN).replace("}}", _CLOSE)
+        unknown = sorted({n for n in re.findall(NAME, text) if n not in context})
+        if unknown:
+            raise ValueError("unknown placeholder: " + ", ".join(unknown))
+    used = sorted({n for n in re.findall(NAME, text) if n in context})
+    if used:
+        known = r"\{(" + "|".join(used) + r")\}"
+
+        def literal(match: re.Match) -> str:
+            quote = match.group("quote")
+            pieces = re.split(known, match.group("body")) if quote else [""]
+            if len(pieces) == 1:
+                return match.group(0)
+            parts = [f":{p}" if i % 2 else quote + p + quote for i, p in enumerate(pieces) if i % 2 or p]
+            return parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
+
+        text = re.sub(COMMENT_OR_LITERAL, literal, text, flags=re.DOTALL)
+        text = re.sub(known, r":\1", text)
+    return text.replace(_OPEN, "{").replace(_CLOSE, "}"), {n: str(context[n]) for n in used}
 
 
 def uses_placeholder(text: str | None, name: str) -> bool:

@@ -38,7 +38,7 @@ def staged_sql(
             df.createTempView(name)
             registered.append(name)
         for number, text in enumerate(texts, start=1):
-            bound, args = bind_parameters(text, params or {})
+            bound, args = bind_parameters(text, params or {}, strict=False)
             result = spark.sql(bound, args=args) if args else spark.sql(bound)
             result.createTempView(f"{STEP_PREFIX}{number}")
             registered.append(f"{STEP_PREFIX}{number}")

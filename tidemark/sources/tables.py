@@ -22,6 +22,8 @@ def where_text(df: DataFrame, predicate: str | None, params: Mapping[str, str] |
     if predicate is None or not predicate.strip():
         return df
     text, args = bind_parameters(predicate, params or {})
+    # sql() fills {source} itself, so braces of the predicate have to be doubled for it.
+    text = text.replace("{", "{{").replace("}", "}}")
     return df.sparkSession.sql(f"SELECT * FROM {{source}} WHERE {text}", args=args, source=df)
 
 

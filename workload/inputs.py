@@ -35,7 +35,9 @@ def cents(amount: Column | str) -> Column:
 
 
 def stamp(ts: Column | str) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """Wall-clock time with six decimals, whatever the session's time zone."""
+    text = (F.col(ts) if isinstance(ts, str) else ts).cast("string")
+    return F.rpad(F.when(F.instr(text, ".") > 0, text).otherwise(F.concat(text, F.lit("."))), 26, "0")
 
 
 # ---- contract <- lineitem -------------------------------------------------------------
