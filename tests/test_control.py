@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordered
 from tidemark.operators.consolidate import consolidate
 from tidemark.operators.gate import publication_gate, spec_decision
 from tidemark.operators.locks import create_input_locks, lock_as_of, resolve_inputs
@@ -163,7 +165,9 @@ def test_locks_and_their_failures(rows):
     }
 
 
-def test_lock_as_of_is_a_photograph(rows):
+@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
+def test_lock_as_of_is_a_photograph(rows, monkeypatch, window):
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
     ledger = rows(LEDGER, ("p", "a", "m", "1", "LOADED_SOR", 10), ("p", "a", "m", "2", "LOADED_SOR", 20), ("p", "a", "m", "3", "PROCESSING_FAILURE", 15))
     asked = rows("process_id string, process_name string, data_referencia string, created_at int", *[(str(t), "p", "m", t) for t in (5, 10, 17, 20, 99)])
     found = lock_as_of(asked, rows(RULES, ("p", "a", True, True)), ledger).collect()

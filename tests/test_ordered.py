@@ -46,15 +46,19 @@ def test_hot_group_is_spread_over_chunks(skewed):
     assert total < 2000
 
 
-@pytest.mark.parametrize("limit", [0, ordered.BROADCAST_ROWS])
-def test_number_rows_with_and_without_broadcast(skewed, monkeypatch, limit):
-    monkeypatch.setattr(ordered, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize(("window", "broadcast"), [(0, 0), (0, ordered.BROADCAST_ROWS), (1999, 0), (2000, 0)])
+def test_number_rows_each_way(skewed, monkeypatch, window, broadcast):
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
+    monkeypatch.setattr(ordered, "BROADCAST_ROWS", broadcast)
+    assert ordered.fits_window(skewed, ["k"]) is (window == 2000)
     found = {r["id"]: r["n"] for r in number_rows(skewed, ["k"], ["at", "id"], "n").collect()}
     assert found == expected_numbers(skewed)
 
 
+@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
 @pytest.mark.parametrize("include", [True, False])
-def test_carry_forward(skewed, include):
+def test_carry_forward(skewed, monkeypatch, include, window):
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
     last, expected = {}, {}
     for r in local(skewed):
         if not include:
@@ -71,7 +75,9 @@ EVENT = "event_id int, event_time int, process_name string, sor_table_name strin
 LEDGER = "event_id int, process_name string, sor_table_name string, data_referencia string, ingestion_id string"
 
 
-def test_ids_continue_and_a_second_run_adds_nothing(rows):
+@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
+def test_ids_continue_and_a_second_run_adds_nothing(rows, monkeypatch, window):
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
     events = rows(EVENT, *[(i, 100 - i, "p", "t", "202604") for i in range(4)], (9, 1, "p", "u", "202604"))
     ledger = rows(LEDGER, (50, "p", "t", "202604", "999998"), (3, "p", "t", "202604", "000001"))
     first = assign_ingestion_id(events, ledger).collect()

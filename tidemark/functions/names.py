@@ -21,6 +21,12 @@ def sor_name(process_name: Column, entity: Column) -> Column:
     return F.concat(process_name, F.lit("_"), entity)
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """Number with leading zeros; a longer one keeps all its digits."""
+    text = number.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def partition_context(partitions: Column) -> Column:
     """Map of partitions -> map keyed ``PARTITION_<NAME>``; colliding names fail."""
     return F.transform_keys(

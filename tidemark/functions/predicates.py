@@ -33,13 +33,13 @@ def parse_override_list(text: Column) -> Column:
     usable = F.filter(
         items, lambda e: (e["name"] != "") & F.coalesce(e["predicate"] != "", F.lit(False))
     )
-    winners = F.filter(
+    return F.aggregate(
         usable,
-        lambda e, i: ~F.exists(
-            F.slice(usable, i + F.lit(2), F.size(usable)), lambda later: later["name"] == e["name"]
+        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
+        lambda kept, e: F.map_concat(
+            F.map_filter(kept, lambda name, _: name != e["name"]), F.create_map(e["name"], e["predicate"])
         ),
     )
-    return F.map_from_entries(winners)
 
 
 def override_rows(overrides: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ def ano_data_ref(day: Column) -> Column:
 
 
 def mes_data_ref(day: Column) -> Column:
-    return F.date_format(day, "MM")
+    return F.lpad(F.month(day).cast("string"), 2, "0")
 
 
 def ano_mes_data_ref(ref: Column) -> Column:
@@ -27,11 +27,12 @@ def ano_mes_data_ref(ref: Column) -> Column:
 
 
 def ano_mes_anterior(day: Column) -> Column:
-    return F.date_format(F.add_months(F.trunc(day, "month"), -1), "yyyyMM")
+    before = F.add_months(F.trunc(day, "month"), -1)
+    return F.concat(ano_data_ref(before), mes_data_ref(before))
 
 
 def mes_anterior(day: Column) -> Column:
-    return F.right(ano_mes_anterior(day), F.lit(2))
+    return mes_data_ref(F.add_months(F.trunc(day, "month"), -1))
 
 
 def data_atual(run_date: Column | None = None) -> Column:

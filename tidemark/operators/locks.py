@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import enabled
 from tidemark.functions.quality import PROCESS_FIELDS, missing_fields
-from tidemark.functions.refdate import with_reference_context
+from tidemark.functions.refdate import data_atual, with_reference_context
 from tidemark.operators.ordered import carry_forward
 from tidemark.operators.versions import LOADED, VERSION_KEYS
 
@@ -210,11 +210,15 @@ def version_by_process_month(requests: DataFrame, versions: DataFrame) -> DataFr
 
 def process_context(requests: DataFrame, process: DataFrame, run_date=None) -> DataFrame:
     """Run context of each requested process: id, name, month and derived date parts."""
-    known = process.select(*PROCESS_FIELDS, F.col("process_id").alias("_found"))
-    joined = requests.join(known, "process_id", "left").withColumn(
-        "problems",
-        F.when(F.col("_found").isNull(), F.array(F.lit("process_id"))).otherwise(
-            missing_fields(PROCESS_FIELDS)
-        ),
+    known = with_reference_context(
+        process.select(*PROCESS_FIELDS).withColumn("problems", missing_fields(PROCESS_FIELDS)),
+        "data_referencia",
+        run_date,
+    )
+    return requests.join(known, "process_id", "left").withColumns(
+        {
+            "problems": F.coalesce("problems", F.array(F.lit("process_id"))),
+            "data_ref_valida": F.coalesce("data_ref_valida", F.lit(False)),
+            "data_atual": data_atual(run_date),
+        }
     )
-    return with_reference_context(joined.drop("_found"), "data_referencia", run_date)

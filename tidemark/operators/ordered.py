@@ -1,8 +1,9 @@
 """Ordered computations inside groups of any size.
 
-A window with ``partitionBy(key)`` sends a whole group to one task. Here the rows are
-sorted across the cluster and cut into range chunks, so a group that holds a large share
-of all rows spans many chunks. Each chunk is summarised (one row per chunk and group), the
+A window with ``partitionBy(key)`` sends a whole group to one task. That is used only
+after the largest group has been measured (from the key columns alone) and found small.
+Otherwise the rows are sorted across the cluster and cut into range chunks, so a group
+that holds a large share of all rows spans many chunks. Each chunk is summarised (one row per chunk and group), the
 small summaries are combined in order, and the result is given back to the chunks.
 
 The sorted chunks are stored durably first: range bounds come from a sample, and both
@@ -21,10 +22,19 @@ from tidemark.session import durable
 POSITION, CHUNK = "_position", "_chunk"
 # monotonically_increasing_id() puts the task number above the lowest 33 bits.
 TASK_BITS = 33
+# Groups up to this many rows are left to one task each.
+WINDOW_ROWS = 5_000_000
 # Summaries up to this many rows (a few numbers and the key each) are broadcast.
 BROADCAST_ROWS = 100_000
 
 
+def fits_window(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every group is small enough for one task."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    largest = sizes.agg(F.max("rows")).first()[0]
+    return (largest or 0) <= WINDOW_ROWS
+
+
 def sorted_chunks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> tuple[DataFrame, int]:
@@ -68,10 +78,18 @@ def number_rows(
     out: str,
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """1, 2, 3 ... inside each group by ``order``. No group is gathered in one task.
+    """1, 2, 3 ... inside each group by ``order``. No large group is gathered in one task.
 
     ``base`` (the keys plus ``base``) tells the number each group continues from.
     """
+    if fits_window(df, keys):
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+        if base is None:
+            return df.withColumn(out, number)
+        numbered = df.withColumn("_number", number)
+        return numbered.join(_renamed(base, keys, "base"), _on_keys(keys), "left").select(
+            *df.columns, (F.col("_number") + F.coalesce("base", F.lit(0))).alias(out)
+        )
     rows, groups = sorted_chunks(df, keys, order)
     starts = rows.groupBy(CHUNK, *keys).agg(
         F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_rows")
@@ -105,6 +123,10 @@ def carry_forward(
     include_current: bool = True,
 ) -> DataFrame:
     """Last non-null ``value`` of the group up to each row (or strictly before it)."""
+    end = 0 if include_current else -1
+    if fits_window(df, keys):
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     rows, _ = sorted_chunks(df, keys, order)
     lasts = rows.groupBy(CHUNK, *keys).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(POSITION))).alias(value)
@@ -117,11 +139,7 @@ def carry_forward(
         F.lit(-1).cast("long").alias(POSITION),
         F.last(value, ignorenulls=True).over(earlier).alias(value),
     ).where(F.col(value).isNotNull())
-    upto = (
-        Window.partitionBy(CHUNK, *keys)
-        .orderBy(POSITION)
-        .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-    )
+    upto = Window.partitionBy(CHUNK, *keys).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, end)
     return (
         rows.unionByName(markers, allowMissingColumns=True)
         .withColumn(out, F.last(value, ignorenulls=True).over(upto))

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import zero_padded
 from tidemark.operators.ordered import number_rows
 from tidemark.operators.select import latest_rows
 
-# Status of a usable version, id formats.
+# Status of a usable version; 000001 and proc_<process>_<month>_001 as ids.
 LOADED = "LOADED_SOR"
-SEQUENCE_FORMAT = "%06d"
-NAMED_PROCESS_FORMAT = "proc_%s_%s_%03d"
+SEQUENCE_WIDTH = 6
+NAMED_PREFIX, NAMED_WIDTH = "proc", 3
 
 VERSION_KEYS = ("process_name", "sor_table_name", "data_referencia")
 WINDOW_KEYS = ("process_name", "data_referencia")
@@ -44,7 +45,7 @@ def assign_ingestion_id(
     numbered = number_rows(
         events, keys, order, "_n", highest_sequence(ledger, keys, "ingestion_id")
     )
-    return numbered.withColumn("ingestion_id", F.format_string(SEQUENCE_FORMAT, "_n")).drop("_n")
+    return numbered.withColumn("ingestion_id", zero_padded(F.col("_n"), SEQUENCE_WIDTH)).drop("_n")
 
 
 def assign_process_id(
@@ -57,9 +58,9 @@ def assign_process_id(
     """As ``assign_ingestion_id``; ``named`` gives ``proc_<process>_<month>_<nnn>``."""
     numbered = number_rows(requests, keys, order, "_n", highest_sequence(process, keys, "process_id"))
     new_id: Column = (
-        F.format_string(NAMED_PROCESS_FORMAT, *keys, "_n")
+        F.concat_ws("_", F.lit(NAMED_PREFIX), *keys, zero_padded(F.col("_n"), NAMED_WIDTH))
         if named
-        else F.format_string(SEQUENCE_FORMAT, "_n")
+        else zero_padded(F.col("_n"), SEQUENCE_WIDTH)
     )
     return numbered.withColumn("process_id", new_id).drop("_n")
 

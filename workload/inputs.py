@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import zero_padded
 from tidemark.operators.versions import current_version
 from tidemark.session import scratch_path
 
@@ -75,7 +76,7 @@ def _label(prefix: str, number: Column) -> Column:
 
 
 def _month(number: Column) -> Column:
-    return F.format_string("2023%02d", number % 12 + 1)
+    return F.concat(F.lit("2023"), zero_padded(number % 12 + 1, 2))
 
 
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +109,7 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
     finish = F.expr("event_time + make_dt_interval(0, 0, cast(event_id * 7 % 90 as int), 0)")
     return a.select(
-        F.format_string("ing_%010d", "event_id").alias("ingestion_id"),
+        F.concat(F.lit("ing_"), zero_padded(F.col("event_id"), 10)).alias("ingestion_id"),
         "process_name",
         "source_database_name",
         "source_table_name",
@@ -155,7 +156,7 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(o_orderkey % 43200 as int), 0)"
     )
     return o.select(
-        F.format_string("proc_%010d", "o_orderkey").alias("process_id"),
+        F.concat(F.lit("proc_"), zero_padded(F.col("o_orderkey"), 10)).alias("process_id"),
         _label("prod", F.col("o_custkey") % 5).alias("process_name"),
         _month(F.col("o_custkey")).alias("data_referencia"),
         status.alias("status"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import zero_padded
 from tidemark.operators.readiness import execution_triggers, missing_inputs, readiness
 from tidemark.operators.transitions import (
     INGESTION_MOVES,
@@ -44,8 +45,8 @@ def _earlier_ledger(spark, sf):
     return o.select(
         F.concat(F.lit("prod"), (F.col("o_custkey") % 5).cast("string")).alias("process_name"),
         F.concat(F.lit("orig"), (F.col("o_orderkey") % 4).cast("string")).alias("sor_table_name"),
-        F.format_string("2023%02d", F.col("o_custkey") % 12 + 1).alias("data_referencia"),
-        F.format_string("%06d", F.col("o_orderkey") % 1000).alias("ingestion_id"),
+        F.concat(F.lit("2023"), zero_padded(F.col("o_custkey") % 12 + 1, 2)).alias("data_referencia"),
+        zero_padded(F.col("o_orderkey") % 1000, 6).alias("ingestion_id"),
     )
 
 
@@ -62,8 +63,8 @@ def _process_requests(spark, sf):
 def _earlier_process(spark, sf):
     return table(spark, sf, "customer").select(
         F.concat(F.lit("prod"), (F.col("c_custkey") % 5).cast("string")).alias("process_name"),
-        F.format_string("2023%02d", F.col("c_nationkey") % 12 + 1).alias("data_referencia"),
-        F.format_string("proc_x_%03d", F.col("c_custkey") % 50).alias("process_id"),
+        F.concat(F.lit("2023"), zero_padded(F.col("c_nationkey") % 12 + 1, 2)).alias("data_referencia"),
+        F.concat(F.lit("proc_x_"), zero_padded(F.col("c_custkey") % 50, 3)).alias("process_id"),
     )
 
 
@@ -124,7 +125,7 @@ def _status_rows(spark, sf):
         .otherwise("LOADED_SOR")
     )
     return table(spark, sf, "events").select(
-        F.format_string("ing_%05d", "user_id").alias("ingestion_id"),
+        F.concat(F.lit("ing_"), zero_padded(F.col("user_id"), 5)).alias("ingestion_id"),
         status.alias("status"),
         F.col("ts").alias("at"),
         F.col("event_id").alias("seq"),
@@ -145,7 +146,7 @@ def _process_rows(spark, sf):
         F.array(*[F.lit(s) for s in _PROCESS_STATUS]), (F.col("l_linenumber") % 4 + 1).cast("int")
     )
     return table(spark, sf, "lineitem").select(
-        F.format_string("proc_%010d", "l_orderkey").alias("process_id"),
+        F.concat(F.lit("proc_"), zero_padded(F.col("l_orderkey"), 10)).alias("process_id"),
         status.alias("status"),
         F.col("l_shipdate").alias("at"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount").alias("seq"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import zero_padded
 from tidemark.operators.gate import (
     MANUAL_GATE,
     month_view,
@@ -98,7 +99,7 @@ def _sor_data(spark, sf):
     """SOR rows: each event's payload belongs to the version that loaded it."""
     e = table(spark, sf, "events")
     return e.select(
-        F.format_string("ing_%010d", "event_id").alias("ingestion_id"),
+        F.concat(F.lit("ing_"), zero_padded(F.col("event_id"), 10)).alias("ingestion_id"),
         F.concat(F.lit("orig"), (F.col("event_id") % 5).cast("string")).alias("sor_table_name"),
         F.col("event_id").alias("num_contrato"),
         F.col("value").alias("vlr_cred_mes"),
@@ -155,7 +156,7 @@ def _version_by_process_month(spark, sf):
     asked = table(spark, sf, "customer").select(
         "c_custkey",
         F.concat(F.lit("prod"), (F.col("c_custkey") % 7).cast("string")).alias("process_id"),
-        F.format_string("2023%02d", F.col("c_nationkey") % 13 + 1).alias("data_referencia"),
+        F.concat(F.lit("2023"), zero_padded(F.col("c_nationkey") % 13 + 1, 2)).alias("data_referencia"),
     )
     return version_by_process_month(asked, versions)
 
@@ -167,7 +168,7 @@ def _process_context(spark, sf):
         F.when(F.col("priority") != "2-HIGH", F.col("data_referencia")).alias("data_referencia"),
     )
     asked = table(spark, sf, "lineitem").select(
-        F.format_string("proc_%010d", "l_orderkey").alias("process_id"), "l_linenumber"
+        F.concat(F.lit("proc_"), zero_padded(F.col("l_orderkey"), 10)).alias("process_id"), "l_linenumber"
     )
     df = process_context(asked, process, F.to_date(F.lit("2024-02-29")))
     return df.withColumn("problems", F.array_join("problems", ","))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import zero_padded
 from tidemark import DestSpec
 from tidemark.session import shared_folder
 from tidemark.sinks import (
@@ -46,7 +47,7 @@ def _check_partition_keys(spark, sf):
     """Partition values survive as text: leading zeros, nulls, characters that need escaping."""
     df = table(spark, sf, "orders").select(
         "o_orderkey",
-        F.format_string("%06d", F.col("o_custkey") % 8).alias("versao"),
+        zero_padded(F.col("o_custkey") % 8, 6).alias("versao"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("a:b/"), "o_orderpriority")).alias("origem"),
     )
 
