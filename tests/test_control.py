@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ordered
 from tidemark.operators.consolidate import consolidate
 from tidemark.operators.gate import publication_gate, spec_decision
-from tidemark.operators.locks import create_input_locks, lock_as_of, resolve_inputs
+from tidemark.operators.locks import create_input_locks, lock_as_of, locked_read, resolve_inputs
 from tidemark.operators.matching import exactly_one_match, register_lookup
 from tidemark.operators.readiness import execution_triggers, missing_inputs, readiness
 from tidemark.operators.transitions import INGESTION_MOVES, checked_transitions, latest_status
@@ -197,7 +197,7 @@ def test_transitions(rows):
         ("a", "PROCESSING_SOR", 1, 1), ("a", "LOADED_SOR", 2, 1), ("a", "PROCESSING_SOR", 3, 1),
         ("b", "LOADED_SOR", 1, 1), ("b", "PROCESSING_SOR", 1, 0), ("c", "LOADED_SOR", 1, 1),
     )
-    found = {(r["id"], r["at"], r["seq"]): (r["previous_status"], r["allowed"]) for r in checked_transitions(log, "id", INGESTION_MOVES).collect()}
+    found = {(r["id"], r["at"], r["seq"]): (r["previous_status"], r["allowed"]) for r in checked_transitions(log, ["id"], INGESTION_MOVES).collect()}
     assert found == {
         ("a", 1, 1): (None, True),
         ("a", 2, 1): ("PROCESSING_SOR", True),
@@ -206,7 +206,7 @@ def test_transitions(rows):
         ("b", 1, 1): ("PROCESSING_SOR", True),
         ("c", 1, 1): (None, False),
     }
-    assert {r["id"]: r["status"] for r in latest_status(log, "id").collect()} == {
+    assert {r["id"]: r["status"] for r in latest_status(log, ["id"]).collect()} == {
         "a": "PROCESSING_SOR", "b": "LOADED_SOR", "c": "LOADED_SOR",
     }
 
@@ -219,3 +219,26 @@ def test_consolidate_keeps_one_process_and_all_columns(rows):
     found = consolidate(frames, "1").orderBy("regra").collect()
     assert [(r["regra"], r["a"], r["b"]) for r in found] == [("x", 1, None), ("y", None, "z")]
     assert consolidate(frames, "1").where(F.col("process_id") == "2").count() == 0
+
+
+def test_sequential_ids_of_different_processes_do_not_mix(rows):
+    """Process 000001 exists in two processes; one fails, the other must not."""
+    ledger = rows(LEDGER, ("p", "a", "202604", "000001", "LOADED_SOR", 1), ("q", "a", "202604", "000001", "PROCESSING_SOR", 1))
+    rules = rows(RULES, ("p", "a", True, True), ("q", "a", True, True))
+    asked = rows("process_id string, process_name string, data_referencia string", ("000001", "p", "202604"), ("000001", "q", "202604"))
+    locks, process = create_input_locks(asked, resolve_inputs(asked, rules, ledger, current_version(ledger)))
+    assert {r["process_name"]: r["status"] for r in process.collect()} == {"p": "RUNNING", "q": "FAILED_INPUT_MISSING"}
+    assert [r["process_name"] for r in locks.collect()] == ["p"]
+    ok, refused = publication_gate(asked, process, ("RUNNING",))
+    assert ([r["process_name"] for r in ok.collect()], [r["process_name"] for r in refused.collect()]) == (["p"], ["q"])
+    data = rows("process_name string, sor_table_name string, data_referencia string, ingestion_id string", ("p", "a", "202604", "000001"), ("q", "a", "202604", "000001"))
+    assert [r["process_name"] for r in locked_read(data, locks).collect()] == ["p"]
+
+
+def test_locks_prune_partitions(spark, rows, folder):
+    rows("v int, ingestion_id string", *[(i, f"{i:06d}") for i in range(20)]).write.partitionBy("ingestion_id").parquet(f"{folder}/t")
+    rows("process_id string, ingestion_id string", ("1", "000007"), ("2", "000008")).write.parquet(f"{folder}/locks")
+    data = spark.read.schema("v int, ingestion_id string").parquet(f"{folder}/t")
+    locked = locked_read(data, spark.read.parquet(f"{folder}/locks").where("process_id = '1'"))
+    assert [r["v"] for r in locked.collect()] == [7]
+    assert "dynamicpruning" in locked._jdf.queryExecution().executedPlan().toString()

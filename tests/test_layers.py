@@ -120,6 +120,13 @@ def test_locks_are_needed_only_by_versioned_sources(rows, lake):
         resolve_source_locks([versioned], locks.union(locks.withColumn("ingestion_id", F.lit("x"))), "000008")
 
 
+def test_repeated_sequential_ids_need_their_full_key(spark, rows, lake):
+    both = ledger(rows, ingestion_id="000001").union(ledger(rows, ingestion_id="000001", process_name="credito"))
+    with pytest.raises(ValueError, match="several"):
+        load_sor(spark, sor_spec(lake), both, "000001")
+    assert load_sor(spark, sor_spec(lake), both, "000001", keys={"process_name": "seguros"}).rows == 2
+
+
 def test_overrides_reach_the_scan(spark, rows, lake):
     load_sor(spark, sor_spec(lake), ledger(rows), "ing_100")
     process = rows(PROCESS, ("000008", "seguros", "202604", "RUNNING"))

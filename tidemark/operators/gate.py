@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.readiness import required_rows
-from tidemark.operators.versions import VERSION_KEYS, WINDOW_KEYS
+from tidemark.operators.versions import PROCESS_KEYS, VERSION_KEYS, WINDOW_KEYS, shared_keys
 
 # Process states around publication, publication modes and triggers.
 RULES_PROCESSED = "RULES_PROCESSED"
@@ -25,11 +25,9 @@ def publication_gate(
     requests: DataFrame, process: DataFrame, statuses: Sequence[str] = STRICT_GATE
 ) -> tuple[DataFrame, DataFrame]:
     """(publishable, refused) requests. Refused ones leave the process as it is."""
-    ready = process.where(F.col("status").isin(*statuses)).select("process_id")
-    return (
-        requests.join(ready, "process_id", "left_semi"),
-        requests.join(ready, "process_id", "left_anti"),
-    )
+    on = shared_keys(PROCESS_KEYS, requests, process)
+    ready = process.where(F.col("status").isin(*statuses)).select(*on)
+    return requests.join(ready, on, "left_semi"), requests.join(ready, on, "left_anti")
 
 
 def spec_decision(process: DataFrame, process_config: DataFrame) -> DataFrame:
@@ -81,12 +79,12 @@ def month_view(
         )
     )
     months = ingestion.select(*keys).distinct()
-    locked = locks.select("process_id", "sor_table_name", F.col("ingestion_id").alias("locked_ingestion_id"))
+    locked = locks.select(*versions, "process_id", F.col("ingestion_id").alias("locked_ingestion_id"))
     return (
         months.join(required_rows(process_config).select("process_name", "sor_table_name"), "process_name")
         .join(last_load, versions, "left")
         .join(last_process, keys, "left")
-        .join(locked, ["process_id", "sor_table_name"], "left")
+        .join(locked, [*versions, "process_id"], "left")
         .withColumns(
             {
                 "versions": F.coalesce("versions", F.lit(0)),
@@ -101,9 +99,10 @@ def process_lineage(spec_processes: DataFrame, locks: DataFrame, ingestion: Data
     origin = ingestion.select(
         *VERSION_KEYS, "ingestion_id", "source_database_name", "source_table_name", "loaded_at"
     )
+    own = shared_keys(PROCESS_KEYS, spec_processes, locks)
     return (
-        spec_processes.select("process_id")
+        spec_processes.select(*own)
         .distinct()
-        .join(locks, "process_id")
+        .join(locks, own)
         .join(origin, [*VERSION_KEYS, "ingestion_id"], "left")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from tidemark.functions.names import enabled
 from tidemark.functions.quality import PROCESS_FIELDS, missing_fields
 from tidemark.functions.refdate import data_atual, with_reference_context
 from tidemark.operators.ordered import carry_forward
-from tidemark.operators.versions import LOADED, VERSION_KEYS
+from tidemark.operators.versions import LOADED, PROCESS_KEYS, VERSION_KEYS, shared_keys
 
 # Where a lock came from, the word for "current", process outcomes.
 OVERRIDE, CURRENT_SOR, LATEST = "OVERRIDE", "CURRENT_SOR", "LATEST"
@@ -128,9 +126,10 @@ def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFr
 
     Groups are the tables of one process, as many as its rules name.
     """
-    worst = F.min("problem").over(Window.partitionBy("process_id"))
+    own = Window.partitionBy(*PROCESS_KEYS)
+    worst = F.min("problem").over(own)
     # INPUT_MISSING sorts before INVALID_OVERRIDE, which must win when both occur.
-    invalid = F.max("problem").over(Window.partitionBy("process_id")) == INVALID_OVERRIDE
+    invalid = F.max("problem").over(own) == INVALID_OVERRIDE
     judged = resolved.withColumn(
         "_status",
         F.when(invalid, FAILED_INVALID_OVERRIDE)
@@ -140,8 +139,8 @@ def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFr
     locks = judged.where((F.col("_status") == RUNNING) & F.col("ingestion_id").isNotNull()).select(
         "process_id", *VERSION_KEYS, "ingestion_id", "lock_source"
     )
-    states = judged.groupBy("process_id").agg(F.max("_status").alias("_status"))
-    process = requests.join(states, "process_id", "left").withColumn(
+    states = judged.groupBy(*PROCESS_KEYS).agg(F.max("_status").alias("_status"))
+    process = requests.join(states, list(PROCESS_KEYS), "left").withColumn(
         "status", F.coalesce("_status", F.lit(RUNNING))
     ).drop("_status")
     return locks, process
@@ -180,11 +179,10 @@ def lock_as_of(requests: DataFrame, rules: DataFrame, ingestion: DataFrame) -> D
     )
 
 
-def locked_read(
-    data: DataFrame, locks: DataFrame, on: Sequence[str] = ("sor_table_name", "ingestion_id")
-) -> DataFrame:
+def locked_read(data: DataFrame, locks: DataFrame) -> DataFrame:
     """Rows of the locked versions only. On partitioned data the lock prunes partitions."""
-    return data.join(locks.select(*on).distinct(), list(on), "left_semi")
+    on = shared_keys((*VERSION_KEYS, "ingestion_id"), data, locks)
+    return data.join(locks.select(*on).distinct(), on, "left_semi")
 
 
 def locked_version_read(data: DataFrame, ingestion_id: str) -> DataFrame:
@@ -197,7 +195,8 @@ def missing_locks(sources: DataFrame, locks: DataFrame) -> DataFrame:
 
     ``sources``: process_id, sor_table_name, uses_version.
     """
-    return sources.where("uses_version").join(locks, ["process_id", "sor_table_name"], "left_anti")
+    on = shared_keys((*PROCESS_KEYS, "sor_table_name"), sources, locks)
+    return sources.where("uses_version").join(locks, on, "left_anti")
 
 
 def version_by_process_month(requests: DataFrame, versions: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def process_context(requests: DataFrame, process: DataFrame, run_date=None) -> D
         "data_referencia",
         run_date,
     )
-    return requests.join(known, "process_id", "left").withColumns(
+    return requests.join(known, shared_keys(PROCESS_KEYS, requests, known), "left").withColumns(
         {
             "problems": F.coalesce("problems", F.array(F.lit("process_id"))),
             "data_ref_valida": F.coalesce("data_ref_valida", F.lit(False)),

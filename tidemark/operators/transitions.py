@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +37,9 @@ PROCESS_MOVES = (
 )
 
 
-def latest_status(rows: DataFrame, id_column: str) -> DataFrame:
+def latest_status(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
     """State of each id: the status written last."""
-    return rows.groupBy(id_column).agg(
+    return rows.groupBy(*ids).agg(
         F.max_by("status", F.struct("at", "seq")).alias("status"),
         F.max("at").alias("updated_at"),
         F.count(F.lit(1)).alias("changes"),
@@ -47,13 +47,13 @@ def latest_status(rows: DataFrame, id_column: str) -> DataFrame:
 
 
 def checked_transitions(
-    rows: DataFrame, id_column: str, moves: Iterable[tuple[str | None, str]]
+    rows: DataFrame, ids: Sequence[str], moves: Iterable[tuple[str | None, str]]
 ) -> DataFrame:
     """Each status row with the status before it and whether that change is allowed."""
     allowed = [f"{a or ''}>{b}" for a, b in moves]
     step = F.concat_ws(">", F.coalesce("previous_status", F.lit("")), "status")
     return carry_forward(
-        rows, [id_column], ["at", "seq"], "status", "previous_status", include_current=False
+        rows, ids, ["at", "seq"], "status", "previous_status", include_current=False
     ).withColumn("allowed", step.isin(*allowed))
 
 

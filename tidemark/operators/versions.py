@@ -18,6 +18,16 @@ NAMED_PREFIX, NAMED_WIDTH = "proc", 3
 
 VERSION_KEYS = ("process_name", "sor_table_name", "data_referencia")
 WINDOW_KEYS = ("process_name", "data_referencia")
+PROCESS_KEYS = (*WINDOW_KEYS, "process_id")
+
+
+def shared_keys(keys: Sequence[str], *frames: DataFrame) -> list[str]:
+    """The part of a full key that all frames carry.
+
+    Sequential ids repeat from one process or month to the next, so joins use as much of
+    the key as there is and not the id alone.
+    """
+    return [k for k in keys if all(k in f.columns for f in frames)]
 
 
 def highest_sequence(rows: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:

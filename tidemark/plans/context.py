@@ -20,9 +20,16 @@ def single_row(rows: DataFrame, what: str) -> Row:
     return found[0]
 
 
-def ingestion_context(ledger: DataFrame, ingestion_id: str) -> dict[str, str]:
+def rows_of(rows: DataFrame, **keys: str) -> DataFrame:
+    """Rows with these key values. Sequential ids need the rest of their key as well."""
+    for name, value in keys.items():
+        rows = rows.where(F.col(name) == F.lit(value))
+    return rows
+
+
+def ingestion_context(ledger: DataFrame, ingestion_id: str, **keys: str) -> dict[str, str]:
     """Placeholders of a SOR load, including ``PARTITION_<NAME>`` for each partition."""
-    rows = required_fields(ledger.where(F.col("ingestion_id") == F.lit(ingestion_id)))
+    rows = required_fields(rows_of(ledger, ingestion_id=ingestion_id, **keys))
     row = single_row(
         rows.withColumn("_context", partition_context(F.col("partitions"))),
         f"ingestion {ingestion_id}",
@@ -41,9 +48,11 @@ def ingestion_context(ledger: DataFrame, ingestion_id: str) -> dict[str, str]:
     return {**{n.upper(): str(row[n]) for n in names}, **{k: str(v) for k, v in row["_context"].items()}}
 
 
-def process_parameters(process: DataFrame, process_id: str, run_date=None) -> dict[str, str]:
+def process_parameters(
+    process: DataFrame, process_id: str, run_date=None, **keys: str
+) -> dict[str, str]:
     """Placeholders of a SOT or SPEC run, including the parts of the reference date."""
-    rows = process.where(F.col("process_id") == F.lit(process_id)).select(*PROCESS_FIELDS)
+    rows = rows_of(process, process_id=process_id, **keys).select(*PROCESS_FIELDS)
     row = single_row(
         with_reference_context(
             rows.withColumn("problems", missing_fields(PROCESS_FIELDS)), "data_referencia", run_date

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from tidemark.plans.context import (
     fill_constants,
     ingestion_context,
     process_parameters,
+    rows_of,
     single_row,
 )
 from tidemark.sinks import WriteReport, write_result
@@ -60,15 +61,23 @@ def run_layer(
 
 
 def load_sor(
-    spark: SparkSession, spec: LayerSpec, ledger: DataFrame, ingestion_id: str, **options
+    spark: SparkSession,
+    spec: LayerSpec,
+    ledger: DataFrame,
+    ingestion_id: str,
+    keys: Mapping[str, str] | None = None,
+    **options,
 ) -> WriteReport:
-    """Copy one arrival into the SOR, as the version ``ingestion_id``."""
-    context = ingestion_context(ledger, ingestion_id)
+    """Copy one arrival into the SOR, as the version ``ingestion_id``.
+
+    ``keys`` completes the key where ids are sequences per process, table and month.
+    """
+    context = ingestion_context(ledger, ingestion_id, **(keys or {}))
     return run_layer(spark, spec, context, {"ingestion_id": ingestion_id}, **options)
 
 
 def resolve_source_locks(
-    sources: tuple[SourceSpec, ...] | list[SourceSpec], locks: DataFrame, process_id: str
+    sources: Sequence[SourceSpec], locks: DataFrame, process_id: str, **keys: str
 ) -> dict[str, dict[str, str]]:
     """Locked version per source view. Sources that name no version need no lock."""
     versioned = [
@@ -80,7 +89,7 @@ def resolve_source_locks(
         return {}
     wanted = {s.view: s.versioned_by or s.name for s in versioned}
     rows = (
-        locks.where(F.col("process_id") == F.lit(process_id))
+        rows_of(locks, process_id=process_id, **keys)
         .where(F.col("sor_table_name").isin(*set(wanted.values())))
         .select("sor_table_name", "ingestion_id")
         .distinct()
@@ -103,11 +112,12 @@ def run_rule(
     process_id: str,
     rule: str | None = None,
     run_date=None,
+    keys: Mapping[str, str] | None = None,
     **options,
 ) -> WriteReport:
     """One rule of a process: reads SOR at the locked versions, writes SOT."""
-    context = process_parameters(process, process_id, run_date)
-    versions = resolve_source_locks(spec.sources, locks, process_id)
+    context = process_parameters(process, process_id, run_date, **(keys or {}))
+    versions = resolve_source_locks(spec.sources, locks, process_id, **(keys or {}))
     stamps = {"process_id": process_id, **({"regra": rule} if rule else {})}
     return run_layer(spark, spec, context, stamps, source_context=versions, **options)
 
@@ -127,14 +137,17 @@ def publish_spec(
     locks: DataFrame | None = None,
     statuses: tuple[str, ...] = STRICT_GATE,
     run_date=None,
+    keys: Mapping[str, str] | None = None,
     **options,
 ) -> WriteReport:
     """Official view of a process whose rules are done; otherwise nothing is written."""
-    own = process.where(F.col("process_id") == F.lit(process_id))
+    own = rows_of(process, process_id=process_id, **(keys or {}))
     ready, _ = publication_gate(own, own, statuses)
     single_row(ready.select("process_id"), f"process {process_id} ready for publication")
-    context = process_parameters(process, process_id, run_date)
-    versions = resolve_source_locks(spec.sources, locks, process_id) if locks is not None else {}
+    context = process_parameters(own, process_id, run_date)
+    versions = (
+        resolve_source_locks(spec.sources, locks, process_id, **(keys or {})) if locks is not None else {}
+    )
     stamps = {"process_id": process_id, "data_referencia": context["DATA_REF"]}
     return run_layer(spark, spec, context, stamps, source_context=versions, **options)
 

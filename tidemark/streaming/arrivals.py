@@ -40,6 +40,7 @@ def register_arrivals(
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        df.persist()
         ledger = older_batches(spark, ledger_path, ledger_schema, batch_id)
         accepted, rejected = register_lookup(df, sor_table_config)
         fresh = assign_ingestion_id(accepted, ledger, keys, order).withColumn(
@@ -48,6 +49,7 @@ def register_arrivals(
         write_batch(fresh.select(*ledger_schema.names), ledger_path, batch_id)
         if rejected_path:
             write_batch(rejected, rejected_path, batch_id)
+        df.unpersist()
 
     return (
         events.writeStream.foreachBatch(batch)

@@ -38,6 +38,7 @@ def emit_triggers(
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        df.persist()
         known = older_batches(spark, ledger_path, loads.schema, batch_id).drop(BATCH)
         write_batch(df, ledger_path, batch_id)
         touched = df.select(*keys).distinct()
@@ -51,6 +52,7 @@ def emit_triggers(
             F.col("_started").isNull() | (F.col("rules_execution_mode") != FIRST_ONLY)
         )
         write_batch(due.select(*trigger_schema.names), triggers_path, batch_id)
+        df.unpersist()
 
     return (
         loads.writeStream.foreachBatch(batch)

@@ -133,7 +133,7 @@ def _status_rows(spark, sf):
 
 
 def _ingestion_transitions(spark, sf):
-    return checked_transitions(_status_rows(spark, sf), "ingestion_id", INGESTION_MOVES).select(
+    return checked_transitions(_status_rows(spark, sf), ["ingestion_id"], INGESTION_MOVES).select(
         "ingestion_id", "seq", "status", "previous_status", "allowed"
     )
 
@@ -154,7 +154,7 @@ def _process_rows(spark, sf):
 
 
 def _process_transitions(spark, sf):
-    return checked_transitions(_process_rows(spark, sf), "process_id", PROCESS_MOVES).select(
+    return checked_transitions(_process_rows(spark, sf), ["process_id"], PROCESS_MOVES).select(
         "process_id",
         stamp("at").alias("changed_at"),
         F.col("seq.l_linenumber").alias("line"),
@@ -166,7 +166,7 @@ def _process_transitions(spark, sf):
 
 
 def _latest_status(spark, sf):
-    return latest_status(_status_rows(spark, sf), "ingestion_id").select(
+    return latest_status(_status_rows(spark, sf), ["ingestion_id"]).select(
         "ingestion_id", "status", stamp("updated_at").alias("updated_at"), "changes"
     )
 
