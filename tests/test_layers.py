@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import DestSpec, LayerSpec, SourceSpec
-from tidemark.plans import consolidate_sot, load_sor, publish_spec, resolve_source_locks, run_rule
+from tidemark.operators.versions import current_version
+from tidemark.plans import consolidate_sot, ledger_state, load_and_record, load_sor, publish_spec, resolve_source_locks, run_rule
 
 INGESTION = (
     "ingestion_id string, process_name string, source_database_name string, source_table_name string, "
@@ -127,6 +128,23 @@ def test_repeated_sequential_ids_need_their_full_key(spark, rows, lake):
     assert load_sor(spark, sor_spec(lake), both, "000001", keys={"process_name": "seguros"}).rows == 2
 
 
+def test_outcomes_are_recorded(spark, rows, lake):
+    """Good load, then a failing one: the good version stays current."""
+    log = lake + "/log"
+    book = ledger(rows).union(ledger(rows, ingestion_id="ing_101"))
+    load_and_record(spark, sor_spec(lake), book, "ing_100", log)
+    broken = replace(sor_spec(lake), steps=["SELECT num_contrato, raise_error('boom') AS x FROM contrato"])
+    with pytest.raises(Exception, match="boom"):
+        load_and_record(spark, broken, book, "ing_101", log)
+    with pytest.raises(ValueError):
+        load_and_record(spark, sor_spec(lake), book, "ing_999", log)
+    state = ledger_state(book, spark.read.parquet(log))
+    assert {(r["ingestion_id"], r["status"], r["rows"]) for r in state.collect()} == {
+        ("ing_100", "LOADED_SOR", 2), ("ing_101", "PROCESSING_FAILURE", None),
+    }
+    assert current_version(state, ("process_name", "sor_table_name")).first()["current_ingestion_id"] == "ing_100"
+
+
 def test_overrides_reach_the_scan(spark, rows, lake):
     load_sor(spark, sor_spec(lake), ledger(rows), "ing_100")
     process = rows(PROCESS, ("000008", "seguros", "202604", "RUNNING"))

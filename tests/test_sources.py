@@ -127,7 +127,7 @@ def test_staged_sql(spark, rows):
     with pytest.raises(ValueError):
         staged_sql(spark, frames, [" ; "])
     frames["tabela_contrato"].createOrReplaceTempView("tabela_contrato")
-    with pytest.raises(ValueError, match="already in use"):
+    with pytest.raises(PySparkException, match="ALREADY_EXISTS"):
         staged_sql(spark, frames, ["SELECT 1"])
     spark.catalog.dropTempView("tabela_contrato")
     with pytest.raises(PySparkException):

@@ -100,7 +100,7 @@ def test_csv_exports(spark, rows, folder):
 def test_destination_kind_and_settings(rows, folder):
     with pytest.raises(ValueError, match="kind"):
         write_result(rows("a int", (1,)), DestSpec(folder, "t", kind="orc"))
-    technical = {"group_files": "inPartition", "group_size_bytes": 1, "use_glue_parquet_writer": True, "compression": "snappy", "block_size_bytes": 1, "s3_destino": "t"}
+    technical = {"group_files": "inPartition", "group_size_bytes": 1, "compression": "snappy", "block_size_bytes": 1, "s3_destino": "t"}
     merged = destination_settings(technical, {"dev": {"s3_destino": "e", "compression": "gzip"}}, {"compression": "zstd"}, "dev")
     assert (merged["s3_destino"], merged["compression"]) == ("e", "zstd")
     with pytest.raises(ValueError, match="block_size_bytes"):

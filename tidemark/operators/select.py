@@ -22,16 +22,13 @@ def staged_sql(
 ) -> DataFrame:
     """Run SQL texts in order; step N is visible as ``query_temp_N``, the last is returned.
 
-    Sources and steps are temporary views only while the texts are analysed. Nothing is
-    executed here: Catalyst sees the whole chain as one plan.
+    Sources and steps are temporary views only while the texts are analysed; a view of
+    that name made by somebody else is an error, not replaced. Nothing is executed here:
+    Catalyst sees the whole chain as one plan.
     """
     texts = [s.strip().rstrip(";") for s in steps if s.strip().rstrip(";")]
     if not texts:
         raise ValueError("no SQL step to run")
-    names = list(frames) + [f"{STEP_PREFIX}{i}" for i in range(1, len(texts) + 1)]
-    taken = [t.name for t in spark.catalog.listTables() if t.isTemporary and t.name in names]
-    if taken or len(set(names)) < len(names):
-        raise ValueError("temporary view name already in use: " + ", ".join(taken or names))
     registered, result = [], None
     try:
         for name, df in frames.items():

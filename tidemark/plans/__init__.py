@@ -8,9 +8,13 @@ from tidemark.plans.layers import (
     run_layer,
     run_rule,
 )
+from tidemark.plans.records import append_status, ledger_state, load_and_record
 
 __all__ = [
+    "append_status",
     "consolidate_sot",
+    "ledger_state",
+    "load_and_record",
     "load_sor",
     "publish_spec",
     "resolve_source_locks",

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 TECHNICAL_SETTINGS = (
     "group_files",
     "group_size_bytes",
-    "use_glue_parquet_writer",
     "compression",
     "block_size_bytes",
 )
