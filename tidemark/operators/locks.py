@@ -19,59 +19,34 @@ FAILED_INPUT_MISSING = "FAILED_INPUT_MISSING"
 RUNNING = "RUNNING"
 
 
-def rule_tables(rules: DataFrame) -> DataFrame:
-    """Enabled rule tables as one array per process; as long as its configuration."""
-    return (
-        rules.where(enabled(F.col("enabled")))
-        .groupBy("process_name", "sor_table_name")
-        .agg(F.max(enabled(F.col("required"))).alias("required"))
-        .groupBy("process_name")
-        .agg(F.sort_array(F.collect_list(F.struct("sor_table_name", "required"))).alias("_rules"))
-    )
-
-
 def input_slots(requests: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per process and table it names, with the override given for that table.
 
-    Tables come from the rules and from the request's own ``input_overrides`` map, so the
-    pairing stays inside the row: requests are not shuffled, only the small rule arrays
-    are brought to them. ``in_rules`` is false for an override of any other table.
+    Tables come from the rules and from the request's own ``input_overrides`` map. Only
+    the small rules are brought to the requests. ``in_rules`` is false for an override of
+    any other table.
     """
-    overrides = (
-        F.col("input_overrides")
-        if "input_overrides" in requests.columns
-        else F.lit(None).cast("map<string,string>")
-    )
-    ruled = F.coalesce("_rules", F.array().cast("array<struct<sor_table_name:string,required:boolean>>"))
-    ruled_names = F.transform(ruled, lambda r: r["sor_table_name"])
-    from_rules = F.transform(
-        ruled,
-        lambda r: F.struct(
-            r["sor_table_name"].alias("sor_table_name"),
-            r["required"].alias("required"),
-            F.lit(True).alias("in_rules"),
-            F.try_element_at(overrides, r["sor_table_name"]).alias("override_id"),
-        ),
+    keys = list(PROCESS_KEYS)
+    tables = (
+        rules.where(enabled(F.col("enabled")))
+        .groupBy("process_name", "sor_table_name")
+        .agg(F.max(enabled(F.col("required"))).alias("required"))
     )
-    from_request = F.transform(
-        F.array_except(F.coalesce(F.map_keys(overrides), F.array().cast("array<string>")), ruled_names),
-        lambda name: F.struct(
-            name.alias("sor_table_name"),
-            F.lit(False).alias("required"),
-            F.lit(False).alias("in_rules"),
-            F.try_element_at(overrides, name).alias("override_id"),
-        ),
+    if "input_overrides" not in requests.columns:
+        requests = requests.withColumn("input_overrides", F.lit(None).cast("map<string,string>"))
+    ruled = requests.join(tables, "process_name").select(
+        *keys,
+        "sor_table_name",
+        "required",
+        F.lit(True).alias("in_rules"),
+        F.try_element_at("input_overrides", F.col("sor_table_name")).alias("override_id"),
     )
-    return (
-        requests.join(rule_tables(rules), "process_name", "left")
-        .select(
-            "process_id",
-            "process_name",
-            "data_referencia",
-            F.explode(F.concat(from_rules, from_request)).alias("_slot"),
-        )
-        .select("process_id", "process_name", "data_referencia", "_slot.*")
+    stray = (
+        requests.select(*keys, F.explode("input_overrides").alias("sor_table_name", "override_id"))
+        .join(tables, ["process_name", "sor_table_name"], "left_anti")
+        .withColumns({"required": F.lit(False), "in_rules": F.lit(False)})
     )
+    return ruled.unionByName(stray)
 
 
 def resolve_inputs(

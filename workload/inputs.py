@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import zero_padded
 from tidemark.operators.versions import current_version
 from tidemark.session import scratch_path
 
 _STAGED: dict[tuple[str, str, str], str] = {}
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark, sf: str, name: str) -> DataFrame:
+    """A test table. Its schema is read from the file footers once, not on every scan."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = SparkSession.active().read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def staged(spark: SparkSession, sf: str, label: str, write) -> str:

@@ -25,6 +25,9 @@ class _Streamed:
         self.read = self
         self._make = lambda path: _source(spark, sf, path.rsplit("/", 1)[1].removesuffix(".parquet"))
 
+    def schema(self, _):
+        return self
+
     def parquet(self, path):
         return self._make(path)
 
