@@ -55,8 +55,3 @@ def checked_transitions(
     return carry_forward(
         rows, ids, ["at", "seq"], "status", "previous_status", include_current=False
     ).withColumn("allowed", step.isin(*allowed))
-
-
-def status_row(df: DataFrame, status: str, at, seq: int) -> DataFrame:
-    """Status rows to append for the ids in ``df``; nothing is updated in place."""
-    return df.withColumns({"status": F.lit(status), "at": at, "seq": F.lit(seq)})

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +19,7 @@ from tidemark.plans.context import (
     single_row,
 )
 from tidemark.sinks import WriteReport, write_result
-from tidemark.sources import load_source
-from tidemark.sources.loading import effective_predicate
+from tidemark.sources import load_sources
 from tidemark.sources.tables import PRODUCTION
 from tidemark.specs import DestSpec, LayerSpec, SourceSpec
 
@@ -41,20 +39,16 @@ def run_layer(
 
     ``post_columns`` of the spec replace ``stamps`` rather than adding to them.
     """
-    views = [s.view for s in spec.sources]
-    if len(set(views)) < len(views):
-        raise ValueError("view name used twice: " + ", ".join(sorted(views)))
-    frames = {
-        s.view: load_source(
-            spark,
-            s,
-            {**context, **(source_context or {}).get(s.view, {})},
-            effective_predicate(s, argument_overrides, table_overrides),
-            environment,
-            local,
-        )
-        for s in spec.sources
-    }
+    frames = load_sources(
+        spark,
+        spec.sources,
+        context,
+        argument_overrides,
+        table_overrides,
+        environment,
+        local,
+        source_context,
+    )
     columns = fill_constants(stamps if spec.post_columns is None else spec.post_columns, context)
     result = technical_columns(staged_sql(spark, frames, spec.steps, context), columns)
     return write_result(result, spec.destination, tuple(columns))
@@ -150,8 +144,3 @@ def publish_spec(
     )
     stamps = {"process_id": process_id, "data_referencia": context["DATA_REF"]}
     return run_layer(spark, spec, context, stamps, source_context=versions, **options)
-
-
-def destination_of(spec: LayerSpec, **changes) -> LayerSpec:
-    """The same job with another destination, e.g. for a dry run."""
-    return replace(spec, destination=replace(spec.destination, **changes))

@@ -77,8 +77,12 @@ def load_sources(
     table_overrides: Mapping[str, str] | None = None,
     environment: str = PRODUCTION,
     local: str | bool = False,
+    source_params: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """One DataFrame per source, by view name. Two sources with one name are an error."""
+    """One DataFrame per source, by view name. Two sources with one name are an error.
+
+    ``source_params`` adds parameters for single views, such as their locked version.
+    """
     views = [s.view for s in sources]
     repeated = sorted({v for v in views if views.count(v) > 1})
     if repeated:
@@ -87,7 +91,7 @@ def load_sources(
         s.view: load_source(
             spark,
             s,
-            params,
+            {**(params or {}), **(source_params or {}).get(s.view, {})},
             effective_predicate(s, argument_overrides, table_overrides),
             environment,
             local,

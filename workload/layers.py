@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import DestSpec, LayerSpec, SourceSpec
 from tidemark.plans import consolidate_sot, load_sor, publish_spec, run_rule
-from workload.inputs import CONTRACT, contract, ledger, requests, staged, table
+from workload.inputs import CONTRACT, contract, ledger, requests, staged
 from workload.steps import DEDUP
 
 SOR_COLUMNS = ["num_contrato", "num_parcela", "quantidade", "vlr_cred_mes", "data_base", "ingestion_id"]

@@ -27,7 +27,6 @@ from workload.inputs import (
     PROCESS_CONFIG,
     REQUESTS,
     RULES,
-    cents,
     current,
     ledger,
     process_config,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.streaming import emit_triggers, register_arrivals
 from workload import inputs
 from workload.inputs import ARRIVALS, TABLE_CONFIG, process_config, staged, stamp, table_config
