@@ -120,13 +120,13 @@ def _expected_overrides(text):
     out = {}
     for item in (text or "").split(";"):
         name, mark, predicate = item.partition("::")
-        if mark and name.strip(" ") and predicate.strip(" "):
-            out[name.strip(" ")] = predicate.strip(" ")
+        if mark and name.strip() and predicate.strip():
+            out[name.strip()] = predicate.strip()
     return out
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.text(alphabet="ab:; =", max_size=25), min_size=40, max_size=60))
+@given(st.lists(st.text(alphabet="ab:; =\n\t", max_size=25), min_size=40, max_size=60))
 def test_parse_override_list_like_a_plain_loop(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     found = {r["i"]: r["m"] for r in df.select("i", parse_override_list(F.col("t")).alias("m")).collect()}

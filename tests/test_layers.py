@@ -128,6 +128,32 @@ def test_repeated_sequential_ids_need_their_full_key(spark, rows, lake):
     assert load_sor(spark, sor_spec(lake), both, "000001", keys={"process_name": "seguros"}).rows == 2
 
 
+def test_a_rule_reads_each_source_at_its_own_version(spark, rows, lake):
+    columns = "num_contrato string, v int, ingestion_id string"
+    for name, value in (("contratos", 1), ("clientes", 10)):
+        rows(columns, *[("1", value * n, f"00000{n}") for n in (1, 2, 3)]).write.partitionBy("ingestion_id").parquet(
+            f"{lake}/sor/{name}"
+        )
+    locks = rows(
+        "process_id string, sor_table_name string, ingestion_id string",
+        ("000008", "contratos", "000003"), ("000008", "clientes", "000002"), ("000009", "contratos", "000001"),
+    )
+    sources = [
+        SourceSpec(n, path=f"{lake}/sor/{n}", schema=columns, predicate="ingestion_id = '{INGESTION_ID}'", versioned_by=n)
+        for n in ("contratos", "clientes")
+    ]
+    spec = LayerSpec(
+        domain="sot",
+        sources=sources,
+        steps=["SELECT num_contrato, a.v AS x, b.v AS y, '{DATA_REF}' AS ref, '{MES_ANTERIOR}' AS m FROM contratos a JOIN clientes b USING (num_contrato)"],
+        destination=DestSpec(lake + "/sot", "juncao", partition_keys=["process_id"]),
+    )
+    process = rows(PROCESS, ("000008", "seguros", "202601", "RUNNING"))
+    run_rule(spark, spec, process, locks, "000008")
+    found = spark.read.schema("num_contrato string, x int, y int, ref string, m string, process_id string").parquet(lake + "/sot/juncao")
+    assert [tuple(r) for r in found.collect()] == [("1", 3, 20, "202601", "12", "000008")]
+
+
 def test_outcomes_are_recorded(spark, rows, lake):
     """Good load, then a failing one: the good version stays current."""
     log = lake + "/log"

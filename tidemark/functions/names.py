@@ -43,9 +43,14 @@ def partition_path(base: Column, table: Column, keys: Sequence[str]) -> Column:
     return F.concat(F.concat_ws("/", F.rtrim(base, F.lit("/")), table, *parts), F.lit("/"))
 
 
+def stripped(value: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.btrim(value, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def clean_mode(value: Column) -> Column:
     """Modes and kinds are compared trimmed and in lower case."""
-    return F.lower(F.trim(value))
+    return F.lower(stripped(value))
 
 
 def flag_is_true(value: Column) -> Column:

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import stripped
+
 
 def clean_predicate(value: Column) -> Column:
     """Blank predicates count as absent."""
-    trimmed = F.trim(value)
+    trimmed = stripped(value)
     return F.when(trimmed != "", trimmed)
 
 
@@ -23,10 +25,10 @@ def parse_override_list(text: Column) -> Column:
     items = F.transform(
         F.split(F.coalesce(text, F.lit("")), ";"),
         lambda item: F.struct(
-            F.trim(F.substring_index(item, "::", 1)).alias("name"),
+            stripped(F.substring_index(item, "::", 1)).alias("name"),
             F.when(
                 F.instr(item, "::") > 0,
-                F.trim(F.substr(item, F.instr(item, "::") + F.lit(2))),
+                stripped(F.substr(item, F.instr(item, "::") + F.lit(2))),
             ).alias("predicate"),
         ),
     )

@@ -7,8 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.specs import GROUP_SIZE_BYTES
+
 # Ids such as 000008 must survive a round trip through partition paths, so partition
-# values are never turned into numbers. Everything else is left to AQE.
+# values are never turned into numbers. Shuffled output aims at files of the write grouping
+# size. Everything else is left to AQE.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -16,6 +19,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(GROUP_SIZE_BYTES),
 }
 
 

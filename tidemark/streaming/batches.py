@@ -22,7 +22,9 @@ def older_batches(spark: SparkSession, path: str, schema: T.StructType, batch_id
     """Rows written before ``batch_id``; none if the table does not exist yet."""
     try:
         rows = spark.read.schema(with_batch(schema)).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], with_batch(schema))
     return rows.where(F.col(BATCH) < batch_id)
 
