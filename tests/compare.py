@@ -65,10 +65,10 @@ def difference(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
 
 
 def main(names: list[str]) -> None:
-    from workload import collect
+    from __spark_entry__ import oracle_sql, queries as all_queries
 
     sf = os.environ.get("SF_DIR", f"{DATA}/sf0.01")
-    queries, oracle = collect("QUERIES"), collect("ORACLE")
+    queries, oracle = all_queries(), oracle_sql()
     spark, con = session(), database(sf)
     bad = 0
     for name in names or list(queries):
