@@ -13,33 +13,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bitmaps import BITMAP_BITS, bitmap_of, with_flag
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.scratch import Scratch
 
 PREFIX_CHARS = 128
-BITMAP_BITS = 1 << 25  # 4 MB as broadcast, whatever the input
-
-
-def _place(keys: list[Column], bits: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
-
-
-def _bitmap(shared: DataFrame, bits: int) -> DataFrame:
-    """At most ``bits / 32768 + 1`` rows of 4 kB: one bit for each key in ``shared``."""
-    place = _place([F.col(c) for c in shared.columns], bits)
-    return shared.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
-    )
-
-
-def _with_flag(df: DataFrame, bitmap: DataFrame, keys: list[Column], bits: int, flag: str) -> DataFrame:
-    """Adds ``flag``: whether the keys' bit is set. The broadcast has a fixed size bound."""
-    place = _place(keys, bits)
-    df = df.withColumns({"_at": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)})
-    joined = df.join(F.broadcast(bitmap), df["_at"] == bitmap["_bucket"], "left")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    is_set = F.expr("shiftleft(1, cast(_bit % 8 as int))").bitwiseAND(byte) != 0
-    return joined.withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("_at", "_bit", "_bucket", "_bits")
 
 
 def _shared(df: DataFrame, *keys: str) -> DataFrame:
@@ -71,13 +49,13 @@ def exact_duplicates(
     lean = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), F.octet_length(text).alias("_len"), *carried.values())
     prefix = F.xxhash64(ascii_lower(F.substring("_text", 1, prefix_chars)))
 
-    lengths = scratch.store(_bitmap(_shared(lean.select("_len"), "_len"), bitmap_bits), "lengths")
-    by_length = _with_flag(lean, lengths, [F.col("_len")], bitmap_bits, "_same_length")
+    lengths = scratch.store(bitmap_of(_shared(lean.select("_len"), "_len"), bitmap_bits), "lengths")
+    by_length = with_flag(lean, lengths, [F.col("_len")], "_same_length", bitmap_bits)
     hashed = by_length.withColumn("_prefix", F.when(F.col("_same_length"), prefix))
     prefixes = hashed.where("_same_length").select("_len", "_prefix")
-    both = scratch.store(_bitmap(_shared(prefixes, "_len", "_prefix"), bitmap_bits), "prefixes")
+    both = scratch.store(bitmap_of(_shared(prefixes, "_len", "_prefix"), bitmap_bits), "prefixes")
 
-    flagged = _with_flag(hashed, both, [F.col("_len"), F.col("_prefix")], bitmap_bits, "_same_prefix")
+    flagged = with_flag(hashed, both, [F.col("_len"), F.col("_prefix")], "_same_prefix", bitmap_bits)
     full = F.when(F.col("_same_length") & F.col("_same_prefix"), F.unhex(F.sha2(ascii_lower(F.col("_text")), 256)))
     keyed = scratch.store(flagged.select("_id", full.alias("_full"), *carried), "keyed")
 

@@ -7,12 +7,28 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.secrets import BASE_RULES, RULES, find_secrets, secret_report
+from tidemark.llm.span_sql import report
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(find_secrets(_documents(spark, sf_dir)))
+
+
+def _secret_condition(rule) -> str:
+    if not rule.least:
+        return "true"
+    pattern = rule.pattern.replace("'", "''")
+    return f"length(regexp_extract(m, '{pattern}', {rule.group})) >= {rule.least}"
+
+
+OP1_SQL = report([(r.kind, r.pattern, _secret_condition(r)) for r in RULES], len(BASE_RULES))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     digest = F.sha2(ascii_lower(text_of("text")), 256)
@@ -31,6 +47,12 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM folded WINDOW g AS (PARTITION BY text_sha256)
 """
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 
-ORACLE = {"op10_exact_dedup": OP10_SQL}
+ORACLE = {
+    "op1_secret_scan": OP1_SQL,
+    "op10_exact_dedup": OP10_SQL,
+}
