@@ -65,6 +65,7 @@ def exact_duplicates(
     )
     suspects = keyed.where("_full is not null")
     groups = suspects.groupBy("_full").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = scratch.store(groups, "groups")  # read anew, so that AQE can split a large group in the join
     grouped = suspects.join(groups, "_full").select(
         F.col("_id").alias(id_col), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), *carried
     )
