@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.pii import find_personal_data, personal_report
+from tidemark.llm.repeats import kept_digest, remove_repeats
 from tidemark.llm.secrets import BASE_RULES, RULES, find_secrets, secret_report
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.span_sql import report
@@ -39,6 +40,10 @@ def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digest(remove_repeats(_documents(spark, sf_dir)))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     digest = F.sha2(ascii_lower(text_of("text")), 256)
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_personal_data": op4_personal_data,
     "op6_shingle_join": op6_shingle_join,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
