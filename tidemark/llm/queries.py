@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import find_personal_data, personal_report
 from tidemark.llm.repeats import kept_digest, remove_repeats
 from tidemark.llm.secrets import BASE_RULES, RULES, find_secrets, secret_report
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.span_sql import report
+from tidemark.llm.tokens import byte_bpe
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +37,17 @@ def _secret_condition(rule) -> str:
 OP1_SQL = report([(r.kind, r.pattern, _secret_condition(r)) for r in RULES], len(BASE_RULES))
 
 
+def byte_bpe_encoder():
+    """The encoder of the public 50k vocabulary; the files are named, never copied."""
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return functools.partial(byte_bpe, *files, public_tokenizers.PATTERN)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = best_fit_packing(_documents(spark, sf_dir), byte_bpe_encoder(), keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_report(find_personal_data(_documents(spark, sf_dir)))
 
@@ -64,6 +80,7 @@ FROM folded WINDOW g AS (PARTITION BY text_sha256)
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_personal_data": op4_personal_data,
     "op6_shingle_join": op6_shingle_join,
     "op9_substring_dedup": op9_substring_dedup,
