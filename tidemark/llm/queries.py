@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.folds import held_out
+from tidemark.llm.language import identify_languages, learn_languages
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import find_personal_data, personal_report
 from tidemark.llm.repeats import kept_digest, remove_repeats
@@ -17,6 +19,7 @@ from tidemark.llm.secrets import BASE_RULES, RULES, find_secrets, secret_report
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.span_sql import report
 from tidemark.llm.tokens import byte_bpe
+from tidemark.llm.toxicity import Machine, Settings, learn_toxicity, sample_of, score_toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +51,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def toxicity_machine(spark: SparkSession, sf_dir: str, settings: Settings = Settings()) -> Machine:
+    """Learned from the labelled documents that are not held out, up to ``settings.sample``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    sample = sample_of(labels, _documents(spark, sf_dir), ~held_out(F.col("doc_id")), "doc_id", "toxic", "text", settings.sample)
+    return learn_toxicity(sample, settings=settings)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_documents(spark, sf_dir), toxicity_machine(spark, sf_dir))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_report(find_personal_data(_documents(spark, sf_dir)))
 
@@ -56,6 +71,13 @@ def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
+    found = identify_languages(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digest(remove_repeats(_documents(spark, sf_dir)))
 
@@ -81,8 +103,10 @@ FROM folded WINDOW g AS (PARTITION BY text_sha256)
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
     "op6_shingle_join": op6_shingle_join,
+    "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
