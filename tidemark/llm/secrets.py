@@ -160,8 +160,10 @@ def find_secrets(
     text_col: str = "text",
     rules: tuple[Rule, ...] = RULES,
     bitmap_bits: int = BITMAP_BITS,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: the id and ``secrets``, all spans by start and rule order.
+    With ``carry``, a struct ``row`` of these columns of ``docs`` instead of the id.
 
     A span has ``start``, ``end`` (code points, end exclusive), ``rank`` and ``kind``. A null
     text is the empty text and has none. Rows that repeat an id, null ids and other columns
@@ -170,19 +172,21 @@ def find_secrets(
     scratch = Scratch(docs.sparkSession, "secrets")
     text = text_of(text_col)
     indexed = [r for r in rules if r.query != ANY]
-    lean = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
+    row = F.struct(*[F.col(c) for c in carry]).alias("row") if carry else F.col(id_col)
+    named = "row" if carry else id_col
+    lean = docs.select(F.struct(row.alias(named)).alias("_row"), text.alias("_text"))
     ranks = {r.kind: i for i, r in enumerate(rules)}
     everywhere = [_matches(F.col("_text"), r, ranks[r.kind]) for r in rules if r.query == ANY]
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     if not indexed:
-        return lean.select(F.col("_id").alias(id_col), in_order(none, *everywhere).alias("secrets"))
+        return lean.select("_row.*", in_order(none, *everywhere).alias("secrets"))
     trigrams = sorted({t for r in indexed for s in r.query for t in s})
     key = F.xxhash64("_text")  # equal texts have equal candidates
     index = scratch.store(postings(lean, trigrams, key, F.col("_text")), "postings")
     chosen = scratch.store(bitmap_of(candidates(index, indexed), bitmap_bits), "candidates")
     flagged = with_flag(lean.withColumn("_key", key), chosen, [F.col("_key")], "_candidate", bitmap_bits)
     verified = F.when(F.col("_candidate"), F.concat(none, *[_matches(F.col("_text"), r, ranks[r.kind]) for r in indexed])).otherwise(none)
-    return flagged.select(F.col("_id").alias(id_col), in_order(none, verified, *everywhere).alias("secrets"))
+    return flagged.select("_row.*", in_order(none, verified, *everywhere).alias("secrets"))
 
 
 def secret_report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -185,8 +185,9 @@ def sample_of(labels: DataFrame, docs: DataFrame, allowed, id_col: str, label_co
     return lean.join(F.broadcast(chosen), F.col("_id") == F.col("_labelled")).select("label", "text")
 
 
-def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id and ``score`` from 0 to 1.
+def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: the id and ``score`` from 0 to 1. With ``keep``, a struct
+    ``row`` of these columns instead of the id.
 
     Only the text is used, in full; a null or empty text, and one without known terms, gets
     the score of a text of which nothing is known. Other columns make no difference.
@@ -197,8 +198,8 @@ def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", te
         for batch in batches:
             raw = np.array([machine.raw(known.of(t)) for t in batch.column(1).to_pylist()], np.float64)
             score = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["row", "score"])
 
-    lean = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = lean.schema["id"].dataType.simpleString()
-    return lean.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    lean = docs.select(F.struct(*[F.col(c) for c in keep or [id_col]]).alias("row"), F.col(text_col).alias("text"))
+    kind = lean.schema["row"].dataType.simpleString()
+    return lean.mapInArrow(run, f"row {kind}, score double").select(*(["row"] if keep else [F.col(f"row.{id_col}")]), "score")
