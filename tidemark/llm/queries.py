@@ -12,6 +12,7 @@ from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.folds import held_out
 from tidemark.llm.language import identify_languages, learn_languages
+from tidemark.llm.nn_descent import nearest_neighbours
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import find_personal_data, personal_report
 from tidemark.llm.repeats import kept_digest, remove_repeats
@@ -71,6 +72,10 @@ def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_documents(spark, sf_dir))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
@@ -106,6 +111,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
     "op6_shingle_join": op6_shingle_join,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
