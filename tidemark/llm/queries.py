@@ -12,6 +12,7 @@ from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.folds import held_out
 from tidemark.llm.language import identify_languages, learn_languages
+from tidemark.llm.lattice import decode, encode_vocabulary, read_vocabulary
 from tidemark.llm.nn_descent import nearest_neighbours
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import find_personal_data, personal_report
@@ -68,6 +69,13 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_report(find_personal_data(_documents(spark, sf_dir)))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct word of all documents: how often it occurs, its ids, and those decoded."""
+    vocabulary = read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = encode_vocabulary(_documents(spark, sf_dir), vocabulary)
+    return decode(encoded, vocabulary).select("word", "n", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"), "decoded")
+
+
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_documents(spark, sf_dir))
 
@@ -110,6 +118,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_shingle_join": op6_shingle_join,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
