@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import ordered
 from tidemark.operators.consolidate import consolidate
 from tidemark.operators.gate import publication_gate, spec_decision
 from tidemark.operators.locks import create_input_locks, lock_as_of, locked_read, resolve_inputs
@@ -165,9 +164,7 @@ def test_locks_and_their_failures(rows):
     }
 
 
-@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
-def test_lock_as_of_is_a_photograph(rows, monkeypatch, window):
-    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
+def test_lock_as_of_is_a_photograph(rows):
     ledger = rows(LEDGER, ("p", "a", "m", "1", "LOADED_SOR", 10), ("p", "a", "m", "2", "LOADED_SOR", 20), ("p", "a", "m", "3", "PROCESSING_FAILURE", 15))
     asked = rows("process_id string, process_name string, data_referencia string, created_at int", *[(str(t), "p", "m", t) for t in (5, 10, 17, 20, 99)])
     found = lock_as_of(asked, rows(RULES, ("p", "a", True, True)), ledger).collect()
@@ -181,10 +178,16 @@ def test_gate_and_decision(rows):
         ("4", "first", "WAITING_SPEC_PUBLICATION"),
     )
     asked = rows("process_id string", ("1",), ("3",), ("4",), ("9",))
-    ok, refused = publication_gate(asked, process)
+    with pytest.raises(ValueError, match="process_name"):
+        publication_gate(asked, process)
+    ok, refused = publication_gate(asked, process, keys=["process_id"])
     assert {r[0] for r in ok.collect()} == {"1"} and {r[0] for r in refused.collect()} == {"3", "4", "9"}
-    ok, _ = publication_gate(asked, process, ("RULES_PROCESSED", "WAITING_SPEC_PUBLICATION"))
+    ok, _ = publication_gate(asked, process, ("RULES_PROCESSED", "WAITING_SPEC_PUBLICATION"), ["process_id"])
     assert {r[0] for r in ok.collect()} == {"1", "4"}
+    months = "process_id string, process_name string, data_referencia string"
+    running = rows(months + ", status string", ("1", "first", "202604", "RULES_PROCESSED"), ("1", "first", "202605", "RUNNING"))
+    ok, refused = publication_gate(rows(months, ("1", "first", "202604"), ("1", "first", "202605")), running)
+    assert [r.data_referencia for r in ok.collect()] == ["202604"] and [r.data_referencia for r in refused.collect()] == ["202605"]
     found = spec_decision(process, rows(CONFIG, *CONFIG_ROWS)).collect()
     assert {(r["process_id"], r["spec_trigger"], r["next_status"]) for r in found} == {
         ("1", "AUTO_SPEC", "PUBLISHING_SPEC"), ("2", None, "WAITING_SPEC_PUBLICATION"),
@@ -239,6 +242,6 @@ def test_locks_prune_partitions(spark, rows, folder):
     rows("v int, ingestion_id string", *[(i, f"{i:06d}") for i in range(20)]).write.partitionBy("ingestion_id").parquet(f"{folder}/t")
     rows("process_id string, ingestion_id string", ("1", "000007"), ("2", "000008")).write.parquet(f"{folder}/locks")
     data = spark.read.schema("v int, ingestion_id string").parquet(f"{folder}/t")
-    locked = locked_read(data, spark.read.parquet(f"{folder}/locks").where("process_id = '1'"))
+    locked = locked_read(data, spark.read.parquet(f"{folder}/locks").where("process_id = '1'"), ["ingestion_id"])
     assert [r["v"] for r in locked.collect()] == [7]
     assert "dynamicpruning" in locked._jdf.queryExecution().executedPlan().toString()

@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import ordered
-from tidemark.operators.ordered import CHUNK, carry_forward, number_rows, sorted_chunks
+from tidemark.operators.locks import lock_as_of
+from tidemark.operators.ordered import carry_forward, default_spread, number_rows
+from tidemark.operators.select import stable_row_id
 from tidemark.operators.versions import assign_ingestion_id, assign_process_id
 
 
@@ -37,28 +38,26 @@ def expected_numbers(df):
     return out
 
 
-def test_hot_group_is_spread_over_chunks(skewed):
-    rows, groups = sorted_chunks(skewed, ["k"], ["at", "id"])
-    assert 30 <= groups <= 46
-    hot = rows.where("k = 'hot'").groupBy(CHUNK).count().collect()
-    assert len(hot) > 1 and max(r["count"] for r in hot) < 2000
-    total = rows.groupBy(CHUNK).count().agg(F.max("count")).first()[0]
-    assert total < 2000
+def test_a_hot_moment_of_a_hot_group_is_cut(spark):
+    rows = spark.range(40_000).select(
+        F.lit("hot").alias("k"), F.lit("2026-04-01 10:00:00").cast("timestamp").alias("at"), F.format_string("ev_%010d", "id").alias("tie")
+    )
+    coarse, fine = default_spread(rows, ["at", "tie"])
+    sizes = rows.groupBy(*coarse, *fine).count().collect()
+    assert len(sizes) == 40 and max(r["count"] for r in sizes) == 1000
+    numbers = number_rows(rows, ["k"], ["at", "tie"], "n")
+    assert numbers.where(F.col("n") != F.substring("tie", 4, 10).cast("long") + 1).count() == 0
 
 
-@pytest.mark.parametrize(("window", "broadcast"), [(0, 0), (0, ordered.BROADCAST_ROWS), (1999, 0), (2000, 0)])
-def test_number_rows_each_way(skewed, monkeypatch, window, broadcast):
-    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
-    monkeypatch.setattr(ordered, "BROADCAST_ROWS", broadcast)
-    assert ordered.fits_window(skewed, ["k"]) is (window == 2000)
-    found = {r["id"]: r["n"] for r in number_rows(skewed, ["k"], ["at", "id"], "n").collect()}
-    assert found == expected_numbers(skewed)
+@pytest.mark.parametrize("spread", [None, lambda: ([F.floor(F.col("at") / 10)], [F.col("at"), F.floor(F.col("id") / 500)])])
+def test_number_rows(skewed, spread):
+    found = number_rows(skewed, ["k"], ["at", "id"], "n", spread=spread and spread())
+    assert {r["id"]: r["n"] for r in found.collect()} == expected_numbers(skewed)
 
 
-@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
+@pytest.mark.parametrize("spread", [None, lambda: ([F.floor(F.col("at") / 10)], [F.col("at"), F.floor(F.col("id") / 500)])])
 @pytest.mark.parametrize("include", [True, False])
-def test_carry_forward(skewed, monkeypatch, include, window):
-    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
+def test_carry_forward(skewed, include, spread):
     last, expected = {}, {}
     for r in local(skewed):
         if not include:
@@ -67,17 +66,29 @@ def test_carry_forward(skewed, monkeypatch, include, window):
             last[r["k"]] = r["v"]
         if include:
             expected[r["id"]] = last.get(r["k"])
-    found = carry_forward(skewed, ["k"], ["at", "id"], "v", "c", include)
+    found = carry_forward(skewed, ["k"], ["at", "id"], "v", "c", include, spread and spread())
     assert {r["id"]: r["c"] for r in found.collect()} == expected
 
 
+def test_no_job_runs_while_plans_are_built(spark, rows):
+    events, ledger = rows(EVENT, (1, 1, "p", "t", "m")), rows(LEDGER, (2, "p", "t", "m", "000001"))
+    asked = rows("request_id string, process_name string, data_referencia string, created_at int, process_id string", ("a", "p", "m", 1, "1"))
+    loads = rows(LEDGER + ", status string, loaded_at int", (2, "p", "t", "m", "000001", "LOADED_SOR", 1))
+    rules = rows("process_name string, sor_table_name string, enabled boolean", ("p", "t", True))
+    spark.sparkContext.setJobGroup("plans", "building")
+    assign_ingestion_id(events, ledger)
+    assign_process_id(asked.drop("process_id"), asked.drop("request_id"))
+    lock_as_of(asked, rules, loads)
+    stable_row_id(events, ["process_name"], ["event_id"], "n")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("plans") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 EVENT = "event_id int, event_time int, process_name string, sor_table_name string, data_referencia string"
 LEDGER = "event_id int, process_name string, sor_table_name string, data_referencia string, ingestion_id string"
 
 
-@pytest.mark.parametrize("window", [0, ordered.WINDOW_ROWS])
-def test_ids_continue_and_a_second_run_adds_nothing(rows, monkeypatch, window):
-    monkeypatch.setattr(ordered, "WINDOW_ROWS", window)
+def test_ids_continue_and_a_second_run_adds_nothing(rows):
     events = rows(EVENT, *[(i, 100 - i, "p", "t", "202604") for i in range(4)], (9, 1, "p", "u", "202604"))
     ledger = rows(LEDGER, (50, "p", "t", "202604", "999998"), (3, "p", "t", "202604", "000001"))
     first = assign_ingestion_id(events, ledger).collect()
@@ -96,3 +107,5 @@ def test_process_ids_in_both_forms(rows):
     assert assign_process_id(asked, known, named=True).first()["process_id"] == "proc_seguros_202604_008"
     assert assign_process_id(asked, known).first()["process_id"] == "000008"
     assert assign_process_id(asked.limit(0), known).count() == 0
+    again = known.withColumn("request_id", F.lit("a"))
+    assert assign_process_id(asked, again).count() == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.operators.readiness import execution_triggers
 from tidemark.streaming import emit_triggers, register_arrivals
+from tidemark.streaming.batches import write_batch
 
 EVENT = (
     "event_id int, event_time int, process_name string, source_database_name string, source_table_name string, data_referencia string"
@@ -67,3 +68,22 @@ def test_a_late_older_load_does_not_start_a_month_twice(spark, rows, folder):
         stream = spark.readStream.schema(LOAD).parquet(f"{folder}/in")
         emit_triggers(stream, config, f"{folder}/ledger", f"{folder}/triggers", f"{folder}/check").awaitTermination()
     assert spark.read.parquet(f"{folder}/triggers").count() == 1
+
+
+def test_a_new_checkpoint_and_an_emptied_batch(spark, rows, folder):
+    """Two checkpoints, one ledger: nothing is lost and no id is given twice."""
+    config = rows(MAP, ("p", "db", "t", "sor_db", "p_t", True))
+    rows(EVENT, (1, 10, "p", "db", "t", "202604"), (2, 11, "p", "db", "t", "202604")).coalesce(1).write.parquet(f"{folder}/in")
+
+    def run(check):
+        stream = spark.readStream.schema(EVENT).parquet(f"{folder}/in")
+        register_arrivals(stream, config, f"{folder}/ledger", f"{folder}/{check}").awaitTermination()
+
+    run("first")
+    rows(EVENT, (3, 1, "p", "db", "t", "202604")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    run("second")
+    ledger = spark.read.parquet(f"{folder}/ledger")
+    assert sorted((r["event_id"], r["ingestion_id"]) for r in ledger.collect()) == [(1, "000001"), (2, "000002"), (3, "000003")]
+    run_id = ledger.where("event_id = 3").first()["run_id"]
+    write_batch(ledger.limit(0), f"{folder}/ledger", run_id, 0)  # the batch again, now without rows
+    assert spark.read.parquet(f"{folder}/ledger").count() == 2

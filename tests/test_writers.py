@@ -82,16 +82,16 @@ def test_csv_exports(spark, rows, folder):
     df = rows("a int, b string", (1, "x,y"), (2, None)).repartition(2)
     parts = DestSpec(folder, "parts", kind="csv")
     assert export_csv(df, parts).rows == 2
-    one = DestSpec(folder, "one", kind=" CSV ", header=False, file_name="import.csv", single_file_rows=10)
+    one = DestSpec(folder, "one", kind=" CSV ", header=False, file_name="import.csv", single=True)
     for _ in range(2):
         assert write_result(df, one).path.endswith("one/import.csv")
     with open(f"{folder}/one/import.csv") as f:
         assert sorted(f.read().split("\n")) == ["", '1,"x,y"', "2,"]
-    assert os.listdir(f"{folder}/one") and not os.path.exists(f"{folder}/one/_tmp")
-    export_csv(df.limit(0), DestSpec(folder, "none", kind="csv", file_name="x.csv", single_file_rows=10))
+    assert [f for f in os.listdir(f"{folder}/one") if not f.startswith(".")] == ["import.csv"]
+    export_csv(df.limit(0), DestSpec(folder, "none", kind="csv", file_name="x.csv", single=True))
     with open(f"{folder}/none/x.csv") as f:
         assert f.read().strip() == "a,b"
-    large = DestSpec(folder, "large", kind="csv", file_name="big.csv", single_file_rows=1)
+    large = DestSpec(folder, "large", kind="csv", file_name="big.csv")
     assert export_csv(df, large).rows == 2
     assert os.path.isdir(f"{folder}/large/big.csv")
     assert spark.read.option("header", "true").csv(f"{folder}/large/big.csv").count() == 2

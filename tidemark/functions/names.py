@@ -28,10 +28,16 @@ def zero_padded(number: Column, width: int) -> Column:
 
 
 def partition_context(partitions: Column) -> Column:
-    """Map of partitions -> map keyed ``PARTITION_<NAME>``; colliding names fail."""
-    return F.transform_keys(
-        partitions, lambda k, _: F.concat(F.lit(PARTITION_PREFIX), normalize_name(k))
+    """Map of partitions -> map keyed ``PARTITION_<NAME>``; of colliding names the last wins."""
+    named = F.transform(
+        F.map_entries(partitions),
+        lambda e: F.struct(F.concat(F.lit(PARTITION_PREFIX), normalize_name(e["key"])).alias("key"), e["value"].alias("value")),
     )
+    last = F.filter(
+        named,
+        lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda later: later["key"] == e["key"]),
+    )
+    return F.map_from_entries(last)
 
 
 def partition_path(base: Column, table: Column, keys: Sequence[str]) -> Column:

@@ -35,13 +35,10 @@ def parse_override_list(text: Column) -> Column:
     usable = F.filter(
         items, lambda e: (e["name"] != "") & F.coalesce(e["predicate"] != "", F.lit(False))
     )
-    return F.aggregate(
-        usable,
-        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
-        lambda kept, e: F.map_concat(
-            F.map_filter(kept, lambda name, _: name != e["name"]), F.create_map(e["name"], e["predicate"])
-        ),
+    last = F.filter(
+        usable, lambda e, i: ~F.exists(F.slice(usable, i + 2, F.size(usable)), lambda later: later["name"] == e["name"])
     )
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"].alias("key"), e["predicate"].alias("value"))))
 
 
 def override_rows(overrides: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,11 +69,16 @@ def predicate_precedence(
 ) -> DataFrame:
     """Argument beats control table beats configuration; null means a full scan.
 
-    The two override frames hold ``on`` plus ``predicate``, one row per key.
+    The two override frames hold ``on`` plus ``predicate``. Where a key is repeated, the
+    predicate that is first as text counts, so sources never multiply.
     """
     on = list(on)
-    arg = argument_overrides.select(*on, clean_predicate(F.col("predicate")).alias("_arg"))
-    tab = table_overrides.select(*on, clean_predicate(F.col("predicate")).alias("_tab"))
+
+    def one_per_key(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*on).agg(F.min(clean_predicate(F.col("predicate"))).alias(name))
+
+    arg = one_per_key(argument_overrides, "_arg")
+    tab = one_per_key(table_overrides, "_tab")
     own = clean_predicate(F.col("predicate"))
     return (
         sources.join(arg, on, "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.readiness import required_rows
-from tidemark.operators.versions import PROCESS_KEYS, VERSION_KEYS, WINDOW_KEYS, shared_keys
+from tidemark.operators.versions import PROCESS_KEYS, VERSION_KEYS, WINDOW_KEYS, full_key
 
 # Process states around publication, publication modes and triggers.
 RULES_PROCESSED = "RULES_PROCESSED"
@@ -22,10 +22,13 @@ MANUAL_GATE = (RULES_PROCESSED, WAITING_SPEC_PUBLICATION)
 
 
 def publication_gate(
-    requests: DataFrame, process: DataFrame, statuses: Sequence[str] = STRICT_GATE
+    requests: DataFrame,
+    process: DataFrame,
+    statuses: Sequence[str] = STRICT_GATE,
+    keys: Sequence[str] = PROCESS_KEYS,
 ) -> tuple[DataFrame, DataFrame]:
     """(publishable, refused) requests. Refused ones leave the process as it is."""
-    on = shared_keys(PROCESS_KEYS, requests, process)
+    on = full_key(keys, requests, process)
     ready = process.where(F.col("status").isin(*statuses)).select(*on)
     return requests.join(ready, on, "left_semi"), requests.join(ready, on, "left_anti")
 
@@ -94,12 +97,17 @@ def month_view(
     )
 
 
-def process_lineage(spec_processes: DataFrame, locks: DataFrame, ingestion: DataFrame) -> DataFrame:
+def process_lineage(
+    spec_processes: DataFrame,
+    locks: DataFrame,
+    ingestion: DataFrame,
+    keys: Sequence[str] = PROCESS_KEYS,
+) -> DataFrame:
     """For each published process: which versions of which sources it was made from."""
     origin = ingestion.select(
         *VERSION_KEYS, "ingestion_id", "source_database_name", "source_table_name", "loaded_at"
     )
-    own = shared_keys(PROCESS_KEYS, spec_processes, locks)
+    own = full_key(keys, spec_processes, locks)
     return (
         spec_processes.select(*own)
         .distinct()

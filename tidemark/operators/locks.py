@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidemark.functions.names import enabled
 from tidemark.functions.quality import PROCESS_FIELDS, missing_fields
 from tidemark.functions.refdate import data_atual, with_reference_context
 from tidemark.operators.ordered import carry_forward
-from tidemark.operators.versions import LOADED, PROCESS_KEYS, VERSION_KEYS, shared_keys
+from tidemark.operators.versions import LOADED, PROCESS_KEYS, VERSION_KEYS, full_key
 
 # Where a lock came from, the word for "current", process outcomes.
 OVERRIDE, CURRENT_SOR, LATEST = "OVERRIDE", "CURRENT_SOR", "LATEST"
@@ -154,23 +156,22 @@ def lock_as_of(requests: DataFrame, rules: DataFrame, ingestion: DataFrame) -> D
     )
 
 
-def locked_read(data: DataFrame, locks: DataFrame) -> DataFrame:
+def locked_read(
+    data: DataFrame, locks: DataFrame, keys: Sequence[str] = (*VERSION_KEYS, "ingestion_id")
+) -> DataFrame:
     """Rows of the locked versions only. On partitioned data the lock prunes partitions."""
-    on = shared_keys((*VERSION_KEYS, "ingestion_id"), data, locks)
+    on = full_key(keys, data, locks)
     return data.join(locks.select(*on).distinct(), on, "left_semi")
 
 
-def locked_version_read(data: DataFrame, ingestion_id: str) -> DataFrame:
-    """One locked version as a literal, so the scan lists only its partition."""
-    return data.where(F.col("ingestion_id") == F.lit(ingestion_id))
-
-
-def missing_locks(sources: DataFrame, locks: DataFrame) -> DataFrame:
+def missing_locks(
+    sources: DataFrame, locks: DataFrame, keys: Sequence[str] = (*PROCESS_KEYS, "sor_table_name")
+) -> DataFrame:
     """Versioned sources of a process without a lock; must be empty before reading.
 
-    ``sources``: process_id, sor_table_name, uses_version.
+    ``sources``: the keys and uses_version.
     """
-    on = shared_keys((*PROCESS_KEYS, "sor_table_name"), sources, locks)
+    on = full_key(keys, sources, locks)
     return sources.where("uses_version").join(locks, on, "left_anti")
 
 
@@ -182,14 +183,16 @@ def version_by_process_month(requests: DataFrame, versions: DataFrame) -> DataFr
     )
 
 
-def process_context(requests: DataFrame, process: DataFrame, run_date=None) -> DataFrame:
+def process_context(
+    requests: DataFrame, process: DataFrame, run_date=None, keys: Sequence[str] = PROCESS_KEYS
+) -> DataFrame:
     """Run context of each requested process: id, name, month and derived date parts."""
     known = with_reference_context(
         process.select(*PROCESS_FIELDS).withColumn("problems", missing_fields(PROCESS_FIELDS)),
         "data_referencia",
         run_date,
     )
-    return requests.join(known, shared_keys(PROCESS_KEYS, requests, known), "left").withColumns(
+    return requests.join(known, full_key(keys, requests, known), "left").withColumns(
         {
             "problems": F.coalesce("problems", F.array(F.lit("process_id"))),
             "data_ref_valida": F.coalesce("data_ref_valida", F.lit(False)),

@@ -55,13 +55,17 @@ def exactly_one_match(
 def register_lookup(events: DataFrame, sor_table_config: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) arrival events; accepted ones carry their internal table.
 
-    An event is accepted when an enabled row maps its process, database and table.
+    An event is accepted when enabled rows map its process, database and table to exactly
+    one internal table; else ``reject_reason`` says that none or several do.
     """
     keys = ["process_name", "source_database_name", "source_table_name"]
+    target = F.struct("sor_database_name", "sor_table_name")
     mapped = (
         sor_table_config.where(enabled(F.col("enabled")))
         .groupBy(*keys)
-        .agg(F.min(F.struct("sor_database_name", "sor_table_name")).alias("_to"))
-        .select(*keys, "_to.sor_database_name", "_to.sor_table_name")
+        .agg(F.min(target).alias("_to"), (F.min(target) == F.max(target)).alias("_one"))
     )
-    return events.join(mapped, keys, "inner"), events.join(mapped, keys, "left_anti")
+    judged = events.join(mapped, keys, "left")
+    accepted = judged.where("_one").select(*events.columns, "_to.sor_database_name", "_to.sor_table_name")
+    reason = F.when(F.col("_one").isNull(), NOT_FOUND).otherwise(AMBIGUOUS).alias("reject_reason")
+    return accepted, judged.where(~F.coalesce("_one", F.lit(False))).select(*events.columns, reason)

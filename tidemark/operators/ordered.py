@@ -1,61 +1,60 @@
 """Ordered computations inside groups of any size.
 
-A window with ``partitionBy(key)`` sends a whole group to one task. That is used only
-after the largest group has been measured (from the key columns alone) and found small.
-Otherwise the rows are sorted across the cluster and cut into range chunks, so a group
-that holds a large share of all rows spans many chunks. Each chunk is summarised (one row per chunk and group), the
-small summaries are combined in order, and the result is given back to the chunks.
-
-The sorted chunks are stored durably first: range bounds come from a sample, and both
-passes must see the same chunks even if executors are lost in between.
+A group is cut twice by its ordering columns: into coarse buckets, such as the hours of a
+moment, and these into fine ones, such as the moment with the beginning of the tie. Buckets
+follow one another in the group's order, so rows are numbered inside their fine bucket, and
+running sums over the bucket totals, fine ones inside their coarse one and coarse ones
+inside the group, give each its start. No group meets in one task unless it lies in one
+bucket; ``spread`` replaces the default buckets where they are too coarse or too fine.
+
+Everything depends on values only. No job runs while the plan is built, nothing is stored,
+and a task that runs again gives the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import durable
-
-POSITION, CHUNK = "_position", "_chunk"
-# monotonically_increasing_id() puts the task number above the lowest 33 bits.
-TASK_BITS = 33
-# Groups up to this many rows are left to one task each.
-WINDOW_ROWS = 5_000_000
-# Summaries up to this many rows (a few numbers and the key each) are broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def fits_window(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether every group is small enough for one task."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.agg(F.max("rows")).first()[0]
-    return (largest or 0) <= WINDOW_ROWS
-
-
-def sorted_chunks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> tuple[DataFrame, int]:
-    """Rows with their global sort position and range chunk, and about how many groups
-    there are. ``order`` must be total. The groups are counted by the job that stores the
-    rows, not by a further pass."""
-    seen = Observation()
-    placed = (
-        df.orderBy(*keys, *order)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-        .observe(seen, F.approx_count_distinct(F.xxhash64(*keys)).alias("groups"))
-    )
-    rows = durable(placed, "ordered").withColumn(CHUNK, F.shiftright(POSITION, TASK_BITS))
-    return rows, seen.get["groups"]
+# Whole numbers share a bucket if they agree above these bits, texts if they begin with as
+# many equal characters; coarse and fine.
+RANGE_BITS = (20, 10)
+PREFIX_CHARS = (6, 10)
+MOMENTS = (T.TimestampType, T.TimestampNTZType)
+
+Spread = tuple[Sequence[Column], Sequence[Column]]
+
+
+def _cut(df: DataFrame, name: str, level: int) -> Column:
+    """Values that rise with the column and have many rows each."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(F.col(name).cast("long"), RANGE_BITS[level])
+    if isinstance(kind, T.StringType):
+        return F.left(F.col(name), F.lit(PREFIX_CHARS[level]))
+    return F.col(name)
+
+
+def default_spread(df: DataFrame, order: Sequence[str]) -> Spread:
+    """Moments: by hour, then by moment and the cut of the next column. Others: two cuts."""
+    first, *rest = order
+    if isinstance(df.schema[first].dataType, MOMENTS):
+        return [F.date_trunc("hour", F.col(first))], [F.col(first), *[_cut(df, c, 1) for c in rest[:1]]]
+    return [_cut(df, first, 0)], [_cut(df, first, 1)]
 
 
-def _small_enough(spark, groups: int) -> bool:
-    """A summary has at most one row per group plus one per chunk boundary. The group
-    count is an estimate, so it is doubled."""
-    chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return 2 * groups + chunks <= BROADCAST_ROWS
+def _bucketed(df: DataFrame, order: Sequence[str], spread: Spread | None) -> tuple[DataFrame, list[str], list[str]]:
+    coarse, fine = spread or default_spread(df, order)
+    columns = {f"_coarse_{i}": c for i, c in enumerate(coarse)} | {f"_fine_{i}": c for i, c in enumerate(fine)}
+    names = list(columns)
+    return df.withColumns(columns), names[: len(coarse)], names[len(coarse) :]
+
+
+def _earlier(keys: Sequence[str], buckets: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
@@ -63,7 +62,7 @@ def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *others)
 
 
-def _on_keys(keys: Sequence[str]):
+def _on_keys(keys: Sequence[str]) -> Column:
     """Null-safe equality with the key names that ``_renamed`` gives."""
     condition = F.lit(True)
     for k in keys:
@@ -77,40 +76,29 @@ def number_rows(
     order: Sequence[str],
     out: str,
     base: DataFrame | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
-    """1, 2, 3 ... inside each group by ``order``. No large group is gathered in one task.
+    """1, 2, 3 ... inside each group by ``order``.
 
     ``base`` (the keys plus ``base``) tells the number each group continues from.
     """
-    if fits_window(df, keys):
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
-        if base is None:
-            return df.withColumn(out, number)
-        numbered = df.withColumn("_number", number)
-        return numbered.join(_renamed(base, keys, "base"), _on_keys(keys), "left").select(
-            *df.columns, (F.col("_number") + F.coalesce("base", F.lit(0))).alias(out)
-        )
-    rows, groups = sorted_chunks(df, keys, order)
-    starts = rows.groupBy(CHUNK, *keys).agg(
-        F.min(POSITION).alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select(
-        CHUNK,
-        *keys,
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
+    rows, coarse, fine = _bucketed(df, order, spread)
+    group, place = [*keys, *coarse], [*keys, *coarse, *fine]
+    starts = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
+    outer = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    before = lambda rows, buckets: F.coalesce(F.sum("_rows").over(_earlier(rows, buckets)), F.lit(0))
+    outer = outer.select(*group, before(keys, coarse).alias("_outer"))
+    starts = starts.select(*place, before(group, fine).alias("_within"))
+    starts = starts.join(_renamed(outer, group, "_outer"), _on_keys(group))
+    starts = starts.select(*place, (F.col("_within") + F.col("_outer")).alias("_start"))
     if base is not None:
-        starts = starts.join(_renamed(base, keys, "base"), _on_keys(keys), "left").withColumn(
-            "_shift", F.col("_shift") + F.coalesce("base", F.lit(0))
-        )
-    place = [CHUNK, *keys]
-    shifts = _renamed(starts.select(*place, "_shift"), place, "_shift")
-    if _small_enough(df.sparkSession, groups):
-        shifts = F.broadcast(shifts)
-    # Beyond that size the join shuffles by chunk and group, neither of which is large.
-    return rows.join(shifts, _on_keys(place)).select(
-        *df.columns, (F.col(POSITION) + F.col("_shift")).alias(out)
+        starts = starts.join(_renamed(base, keys, "base"), _on_keys(keys), "left")
+        starts = starts.withColumn("_start", F.col("_start") + F.coalesce("base", F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
+    return (
+        rows.withColumn("_inside", inside)
+        .join(_renamed(starts, place, "_start"), _on_keys(place))
+        .select(*df.columns, (F.col("_inside") + F.col("_start")).cast("long").alias(out))
     )
 
 
@@ -121,28 +109,21 @@ def carry_forward(
     value: str,
     out: str,
     include_current: bool = True,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` of the group up to each row (or strictly before it)."""
+    rows, coarse, fine = _bucketed(df, order, spread)
+    group, place = [*keys, *coarse], [*keys, *coarse, *fine]
     end = 0 if include_current else -1
-    if fits_window(df, keys):
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
-    rows, _ = sorted_chunks(df, keys, order)
-    lasts = rows.groupBy(CHUNK, *keys).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(POSITION))).alias(value)
-    )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # One marker row at the head of each chunk brings in what earlier chunks ended with.
-    markers = lasts.select(
-        CHUNK,
-        *keys,
-        F.lit(-1).cast("long").alias(POSITION),
-        F.last(value, ignorenulls=True).over(earlier).alias(value),
-    ).where(F.col(value).isNotNull())
-    upto = Window.partitionBy(CHUNK, *keys).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, end)
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_last")
+    upto = lambda rows, buckets: F.last("_last", ignorenulls=True).over(_earlier(rows, buckets))
+    outer = rows.groupBy(*group).agg(last).select(*group, upto(keys, coarse).alias("_outer"))
+    before = rows.groupBy(*place).agg(last).select(*place, upto(group, fine).alias("_within"))
+    before = before.join(_renamed(outer, group, "_outer"), _on_keys(group))
+    before = before.select(*place, F.coalesce("_within", "_outer").alias("_before"))
+    inside = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     return (
-        rows.unionByName(markers, allowMissingColumns=True)
-        .withColumn(out, F.last(value, ignorenulls=True).over(upto))
-        .where(F.col(POSITION) >= 0)
-        .select(*df.columns, out)
+        rows.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
+        .join(_renamed(before, place, "_before"), _on_keys(place))
+        .select(*df.columns, F.coalesce("_inside", "_before").alias(out))
     )

@@ -21,13 +21,16 @@ WINDOW_KEYS = ("process_name", "data_referencia")
 PROCESS_KEYS = (*WINDOW_KEYS, "process_id")
 
 
-def shared_keys(keys: Sequence[str], *frames: DataFrame) -> list[str]:
-    """The part of a full key that all frames carry.
+def full_key(keys: Sequence[str], *frames: DataFrame) -> list[str]:
+    """The key, which all frames must carry in full.
 
-    Sequential ids repeat from one process or month to the next, so joins use as much of
-    the key as there is and not the id alone.
+    Sequential ids repeat from one process or month to the next, so a shorter key would
+    join rows of others. Callers whose ids are unique on their own say so with ``keys``.
     """
-    return [k for k in keys if all(k in f.columns for f in frames)]
+    absent = [k for k in keys if not all(k in f.columns for f in frames)]
+    if absent:
+        raise ValueError("key columns are missing: " + ", ".join(absent))
+    return list(keys)
 
 
 def highest_sequence(rows: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
@@ -64,8 +67,13 @@ def assign_process_id(
     keys: Sequence[str] = WINDOW_KEYS,
     order: Sequence[str] = ("created_at", "request_id"),
     named: bool = False,
+    request_key: str = "request_id",
 ) -> DataFrame:
-    """As ``assign_ingestion_id``; ``named`` gives ``proc_<process>_<month>_<nnn>``."""
+    """As ``assign_ingestion_id``, for requests the process table does not know yet;
+    ``named`` gives ``proc_<process>_<month>_<nnn>``."""
+    if request_key in process.columns:
+        known = process.select(request_key).where(F.col(request_key).isNotNull())
+        requests = requests.join(known, request_key, "left_anti")
     numbered = number_rows(requests, keys, order, "_n", highest_sequence(process, keys, "process_id"))
     new_id: Column = (
         F.concat_ws("_", F.lit(NAMED_PREFIX), *keys, zero_padded(F.col("_n"), NAMED_WIDTH))

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.versions import LOADED, VERSION_KEYS, shared_keys
+from tidemark.operators.versions import LOADED, VERSION_KEYS, full_key
 from tidemark.plans.context import ingestion_context, rows_of, single_row
 from tidemark.plans.layers import load_sor
 from tidemark.sinks import WriteReport
@@ -56,7 +56,7 @@ def load_and_record(
     The count comes from the write itself. A row that may not be loaded at all (unknown,
     already loaded, incomplete) is refused without a trace.
     """
-    full = shared_keys((*VERSION_KEYS, "ingestion_id"), ledger)
+    full = full_key((*VERSION_KEYS, "ingestion_id"), ledger)
     chosen = rows_of(ledger, ingestion_id=ingestion_id, **(keys or {})).select(*full)
     identity = single_row(chosen, f"ingestion {ingestion_id}").asDict()
     ingestion_context(ledger, ingestion_id, **(keys or {}))
@@ -75,7 +75,7 @@ def load_and_record(
 
 def ledger_state(ledger: DataFrame, log: DataFrame) -> DataFrame:
     """Ledger rows with the state, finish time and row count of their last log row."""
-    on = shared_keys((*VERSION_KEYS, "ingestion_id"), ledger, log)
+    on = full_key((*VERSION_KEYS, "ingestion_id"), ledger, log)
     last = (
         log.groupBy(*on)
         .agg(F.max_by(F.struct("status", "at", "rows"), F.struct("at", "seq")).alias("_last"))

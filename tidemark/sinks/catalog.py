@@ -5,58 +5,46 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.counts import observed
-from tidemark.sinks.partitions import WriteReport, arranged, check_partition_keys, writer
+from tidemark.sinks.partitions import WriteReport, check_partition_keys, write_partitions
 from tidemark.specs import DestSpec
 
 
+def _columns(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
 def write_catalog_table(
     df: DataFrame, dest: DestSpec, constant_keys: Sequence[str] = ()
 ) -> WriteReport:
-    """Create the table on the first write, later replace the written partitions.
+    """Replace the written partitions and let the catalog know of all that are there.
 
-    New columns are added to the table. A changed type or partitioning is refused;
-    columns the output no longer has become null.
+    The files are written as without a catalog, so partitions that a forgotten or dropped
+    table left under the path stay, and are found again. New columns are added to the
+    table. A changed type or partitioning is refused; columns the output no longer has
+    become null.
     """
     spark = df.sparkSession
     keys = check_partition_keys(df.columns, dest.partition_keys)
     name = f"`{dest.database}`.`{dest.table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dest.database}`")
-    if not spark.catalog.tableExists(name):
-        counted, observation = observed(arranged(df, keys, constant_keys))
-        (
-            writer(counted, dest)
-            .format("parquet")
-            .option("path", dest.path)
-            .partitionBy(*keys)
-            .saveAsTable(name)
-        )
-        return WriteReport(dest.path, observation.get["rows"])
-
-    table = spark.table(name)
-    known = {f.name: f.dataType for f in table.schema}
-    now_keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    changed = [f.name for f in df.schema if f.name in known and known[f.name] != f.dataType]
-    if changed or now_keys != keys:
-        raise ValueError("table cannot change type or partitioning: " + ", ".join(changed or keys))
-    added = [f for f in df.schema if f.name not in known]
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    data = [f for f in df.schema if f.name not in keys]
+    if spark.catalog.tableExists(name):
         table = spark.table(name)
-    ordered = arranged(df, keys, constant_keys).select(
-        *[
-            F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table.schema
-        ]
-    )
-    counted, observation = observed(ordered)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        counted.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    return WriteReport(dest.path, observation.get["rows"])
+        known = {f.name: f.dataType for f in table.schema}
+        now_keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        changed = [f.name for f in df.schema if f.name in known and known[f.name] != f.dataType]
+        if changed or now_keys != keys:
+            raise ValueError("table cannot change type or partitioning: " + ", ".join(changed or keys))
+        added = [f for f in data if f.name not in known]
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
+    else:
+        fields = [*data, *[df.schema[k] for k in keys]]
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE {name} ({_columns(fields)}) USING parquet PARTITIONED BY ({by}) LOCATION '{dest.path}'")
+    report = write_partitions(df, dest, constant_keys)
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return report

@@ -1,4 +1,4 @@
-"""CSV exports."""
+"""CSV exports: a folder of parts, or one file where the caller asks for one."""
 
 from __future__ import annotations
 
@@ -11,51 +11,56 @@ from tidemark.specs import DestSpec
 
 
 def export_csv(df: DataFrame, dest: DestSpec) -> WriteReport:
-    """CSV folder written by all tasks, or one named file when the result is small.
+    """Writes ``df`` below ``dest.path``, in one job.
 
-    ``file_name`` asks for one file; it is made only if the result has at most
-    ``single_file_rows`` rows, which is counted on a stored copy of the result (so the
-    query runs once). A larger result is written in full as a folder of parts.
+    The destination alone decides the layout, never the number of rows. With ``single`` the
+    output is the file ``file_name``, written by one task, so the caller vouches for its
+    size. Otherwise all tasks write parts, into a folder ``file_name`` if one is given.
     """
+    target = f"{dest.path}/{dest.file_name}" if dest.file_name else dest.path
+    counted, observation = observed(df)
+    if not dest.single:
+        _csv(counted, dest, target)
+        return WriteReport(target, observation.get["rows"])
     if not dest.file_name:
-        counted, observation = observed(df)
-        counted.write.mode("overwrite").option("header", str(dest.header).lower()).csv(dest.path)
-        return WriteReport(dest.path, observation.get["rows"])
+        raise ValueError("a single file needs a file_name")
+    staging = scratch_path(df.sparkSession, "export")
+    files = _Files(df.sparkSession, dest.path)
+    try:
+        _csv(counted.coalesce(1), dest, staging)
+        files.publish(staging, target)
+    finally:
+        files.remove(staging)
+    return WriteReport(target, observation.get["rows"])
 
-    spark = df.sparkSession
-    copy = scratch_path(spark, "export")
-    counted, observation = observed(df)
-    counted.write.parquet(copy)
-    rows = observation.get["rows"]
-    stored = spark.read.schema(df.schema).parquet(copy)
-    single = rows <= dest.single_file_rows
-    parts = f"{dest.path}/_tmp" if single else f"{dest.path}/{dest.file_name}"
-    out = stored.coalesce(1) if single else stored
-    out.write.mode("overwrite").option("header", str(dest.header).lower()).csv(parts)
-    if single:
-        _keep_single_part(spark, parts, f"{dest.path}/{dest.file_name}")
-    _delete(spark, copy)
-    return WriteReport(f"{dest.path}/{dest.file_name}", rows)
-
-
-def _file_system(spark, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _keep_single_part(spark, folder: str, target: str) -> None:
-    """Rename the one part file of ``folder`` to ``target`` and drop the folder."""
-    path, fs = _file_system(spark, folder)
-    parts = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
-        raise ValueError(f"expected one part file in {folder}, found {len(parts)}")
-    final, _ = _file_system(spark, target)
-    fs.delete(final, True)
-    if not fs.rename(parts[0], final):
-        raise OSError(f"could not move the export to {target}")
-    fs.delete(path, True)
-
-
-def _delete(spark, folder: str) -> None:
-    path, fs = _file_system(spark, folder)
-    fs.delete(path, True)
+
+def _csv(df: DataFrame, dest: DestSpec, path: str) -> None:
+    df.write.mode("overwrite").option("header", str(dest.header).lower()).csv(path)
+
+
+class _Files:
+    """File operations on the store that holds ``path``."""
+
+    def __init__(self, spark, path: str):
+        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.make_folder(path)
+
+    def _open(self, path: str):
+        at = self._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self._conf)
+
+    def make_folder(self, path: str) -> None:
+        at, store = self._open(path)
+        store.mkdirs(at)
+
+    def remove(self, path: str) -> None:
+        at, store = self._open(path)
+        store.delete(at, True)
+
+    def publish(self, staging: str, target: str) -> None:
+        """Copies the data file of ``staging``, possibly in another store, to ``target``."""
+        at, source = self._open(f"{staging}/*.csv")
+        found = source.globStatus(at)
+        goal, store = self._open(target)
+        store.delete(goal, True)
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(source, found[0].getPath(), store, goal, False, self._conf)

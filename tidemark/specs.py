@@ -61,7 +61,7 @@ class DestSpec:
     max_records_per_file: int = 0
     header: bool = True
     file_name: str | None = None
-    single_file_rows: int = 0
+    single: bool = False
 
     @property
     def path(self) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.quality import LOADABLE_STATUS
 from tidemark.operators.matching import register_lookup
 from tidemark.operators.versions import VERSION_KEYS, assign_ingestion_id
-from tidemark.streaming.batches import older_batches, write_batch
+from tidemark.streaming.batches import create_folder, other_batches, run_of, write_batch
 
 
 def register_arrivals(
@@ -23,11 +23,13 @@ def register_arrivals(
     rejected_path: str | None = None,
     keys: Sequence[str] = VERSION_KEYS,
     order: Sequence[str] = ("event_time", "event_id"),
+    trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Start the stream. Each batch maps its events, continues the sequences, appends.
 
     The ledger table is the state: no state store, and nothing grows in memory. Run one
-    such stream per ledger.
+    such stream per ledger. ``trigger`` is that of ``DataStreamWriter.trigger``; without one
+    the stream takes what is there and stops.
     """
     spark = events.sparkSession
     names = [f for f in events.schema if f.name not in ("sor_database_name", "sor_table_name")]
@@ -40,20 +42,24 @@ def register_arrivals(
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        run = run_of(spark, checkpoint)
         df.persist()
-        ledger = older_batches(spark, ledger_path, ledger_schema, batch_id)
-        accepted, rejected = register_lookup(df, sor_table_config)
-        fresh = assign_ingestion_id(accepted, ledger, keys, order).withColumn(
-            "status", F.lit(LOADABLE_STATUS)
-        )
-        write_batch(fresh.select(*ledger_schema.names), ledger_path, batch_id)
-        if rejected_path:
-            write_batch(rejected, rejected_path, batch_id)
-        df.unpersist()
+        try:
+            ledger = other_batches(spark, ledger_path, ledger_schema, run, batch_id)
+            accepted, rejected = register_lookup(df, sor_table_config)
+            fresh = assign_ingestion_id(accepted, ledger, keys, order).withColumn(
+                "status", F.lit(LOADABLE_STATUS)
+            )
+            write_batch(fresh.select(*ledger_schema.names), ledger_path, run, batch_id)
+            if rejected_path:
+                write_batch(rejected, rejected_path, run, batch_id)
+        finally:
+            df.unpersist()
 
+    create_folder(spark, ledger_path)
     return (
         events.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -1,39 +1,44 @@
-"""Tables that a stream appends to, one partition per micro-batch.
+"""Tables that a stream appends to, one folder per run and micro-batch.
 
-A batch overwrites its own partition and reads only older ones, so a batch that is run
-again after a failure gives the same rows and adds nothing twice.
+A run is what one checkpoint stands for; its id is kept with the checkpoint. A batch reads
+everything but its own folder and writes that folder as a whole, so a batch that is run
+again gives the same rows and adds nothing twice, also if it now has none. A new checkpoint
+is a new run and cannot touch what earlier ones wrote.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
+PLACE = (RUN, BATCH)
+
+
+def with_place(schema: T.StructType) -> T.StructType:
+    own = [f for f in schema if f.name not in PLACE]
+    return T.StructType([*own, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
+
+
+def create_folder(spark: SparkSession, path: str) -> None:
+    """An empty table, so that the first batch finds one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
 
 
-def with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema if f.name != BATCH] + [T.StructField(BATCH, T.LongType())])
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint, the same after every restart from it."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def older_batches(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """Rows written before ``batch_id``; none if the table does not exist yet."""
-    try:
-        rows = spark.read.schema(with_batch(schema)).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], with_batch(schema))
-    return rows.where(F.col(BATCH) < batch_id)
+def other_batches(spark: SparkSession, path: str, schema: T.StructType, run: str, batch_id: int) -> DataFrame:
+    """Rows of all batches but this one."""
+    rows = spark.read.schema(with_place(schema)).parquet(path)
+    return rows.where((F.col(RUN) != run) | (F.col(BATCH) != batch_id))
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (
-        df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+def write_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    df.drop(*PLACE).write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")

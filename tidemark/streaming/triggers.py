@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.readiness import FIRST_ONLY, execution_triggers
 from tidemark.operators.versions import WINDOW_KEYS
-from tidemark.streaming.batches import BATCH, older_batches, write_batch
+from tidemark.streaming.batches import PLACE, create_folder, other_batches, run_of, write_batch
 
 TRIGGER_IDENTITY = [*WINDOW_KEYS, "sor_table_name", "ingestion_id"]
 
@@ -20,6 +22,7 @@ def emit_triggers(
     ledger_path: str,
     triggers_path: str,
     checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Start the stream. Each batch looks only at the months its loads belong to.
 
@@ -38,25 +41,30 @@ def emit_triggers(
     )
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        run = run_of(spark, checkpoint)
         df.persist()
-        known = older_batches(spark, ledger_path, loads.schema, batch_id).drop(BATCH)
-        write_batch(df, ledger_path, batch_id)
-        touched = df.select(*keys).distinct()
-        relevant = known.join(touched, keys, "left_semi").unionByName(df)
-        emitted = older_batches(spark, triggers_path, trigger_schema, batch_id)
-        due = execution_triggers(relevant, process_config).join(
-            emitted.select(*TRIGGER_IDENTITY), TRIGGER_IDENTITY, "left_anti"
-        )
-        started = emitted.select(*keys).distinct().withColumn("_started", F.lit(True))
-        due = due.join(started, keys, "left").where(
-            F.col("_started").isNull() | (F.col("rules_execution_mode") != FIRST_ONLY)
-        )
-        write_batch(due.select(*trigger_schema.names), triggers_path, batch_id)
-        df.unpersist()
+        try:
+            known = other_batches(spark, ledger_path, loads.schema, run, batch_id).drop(*PLACE)
+            write_batch(df, ledger_path, run, batch_id)
+            touched = df.select(*keys).distinct()
+            relevant = known.join(touched, keys, "left_semi").unionByName(df)
+            emitted = other_batches(spark, triggers_path, trigger_schema, run, batch_id)
+            due = execution_triggers(relevant, process_config).join(
+                emitted.select(*TRIGGER_IDENTITY), TRIGGER_IDENTITY, "left_anti"
+            )
+            started = emitted.select(*keys).distinct().withColumn("_started", F.lit(True))
+            due = due.join(started, keys, "left").where(
+                F.col("_started").isNull() | (F.col("rules_execution_mode") != FIRST_ONLY)
+            )
+            write_batch(due.select(*trigger_schema.names), triggers_path, run, batch_id)
+        finally:
+            df.unpersist()
 
+    create_folder(spark, ledger_path)
+    create_folder(spark, triggers_path)
     return (
         loads.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import zero_padded
+from tidemark.operators.versions import PROCESS_KEYS
 from tidemark.operators.gate import (
     MANUAL_GATE,
     month_view,
@@ -106,12 +107,13 @@ def _sor_data(spark, sf):
 
 
 def _locked_read(spark, sf):
-    return locked_read(_sor_data(spark, sf), _locks(spark, sf))
+    # these ids name one load each, whatever its process and month
+    return locked_read(_sor_data(spark, sf), _locks(spark, sf), ("sor_table_name", "ingestion_id"))
 
 
 def _missing_locks(spark, sf):
     sources = requests(spark, sf).join(rules(spark), "process_name").select(
-        "process_id", "sor_table_name", (F.col("sor_table_name") != "orig2").alias("uses_version")
+        *PROCESS_KEYS, "sor_table_name", (F.col("sor_table_name") != "orig2").alias("uses_version")
     )
     return missing_locks(sources, _locks(spark, sf)).select("process_id", "sor_table_name")
 
@@ -120,8 +122,9 @@ def _gate(statuses):
     def query(spark, sf):
         # Everything is asked for; orders beyond the known processes are refused too.
         process = requests(spark, sf).where("priority <> '5-LOW'")
-        ok, refused = publication_gate(requests(spark, sf).select("process_id"), process, statuses)
-        return ok.withColumn("outcome", F.lit("PUBLISH")).unionByName(refused.withColumn("outcome", F.lit("REFUSED")))
+        ok, refused = publication_gate(requests(spark, sf).select(*PROCESS_KEYS), process, statuses)
+        both = ok.withColumn("outcome", F.lit("PUBLISH")).unionByName(refused.withColumn("outcome", F.lit("REFUSED")))
+        return both.select("process_id", "outcome")
 
     return query
 
@@ -169,7 +172,7 @@ def _process_context(spark, sf):
     asked = table(spark, sf, "lineitem").select(
         F.concat(F.lit("proc_"), zero_padded(F.col("l_orderkey"), 10)).alias("process_id"), "l_linenumber"
     )
-    df = process_context(asked, process, F.to_date(F.lit("2024-02-29")))
+    df = process_context(asked, process, F.to_date(F.lit("2024-02-29")), keys=("process_id",))
     return df.withColumn("problems", F.array_join("problems", ","))
 
 

@@ -58,6 +58,28 @@ def _check_partition_keys(spark, sf):
     return spark.read.schema(df.schema).parquet(staged(spark, sf, "keys", write)).select(*df.columns)
 
 
+def _catalog_recreate(spark, sf):
+    """Partitions written by path; the catalog, which forgot the table, gets one of them anew."""
+    database, name = "tidemark_back", "contratos"
+    df = _slim(spark, sf).drop("data_base")
+    home = f"{shared_folder(spark)}/{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{home}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+
+    def write(path):
+        dest = DestSpec(path, name, database=database, partition_keys=["situacao"])
+        write_partitions(df, dest)
+        doubled = df.where("situacao = 'R'").withColumn("vlr_cred_mes", F.col("vlr_cred_mes") * 2)
+        write_result(doubled, dest)
+
+    path = staged(spark, sf, "catalog-back", write) + f"/{name}"
+    if not spark.catalog.tableExists(f"`{database}`.`{name}`"):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet PARTITIONED BY (situacao) LOCATION '{path}'")
+        spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
+    return spark.table(f"`{database}`.`{name}`").select("num_contrato", "num_parcela", "vlr_cred_mes", "situacao")
+
+
 def _catalog_update(spark, sf):
     """First write creates the table, the second adds a column and replaces its partitions."""
     database, name = "tidemark_sor", "contratos"
@@ -112,7 +134,7 @@ def _write_dispatch(spark, sf):
 
     def write(path):
         write_result(df, DestSpec(path, "parquet", kind=" Catalogo", partition_keys=["situacao"]))
-        write_result(df, DestSpec(path, "text", kind="CSV", file_name="resumo.csv", single_file_rows=100000))
+        write_result(df, DestSpec(path, "text", kind="CSV", file_name="resumo.csv", single=True))
 
     path = staged(spark, sf, "dispatch", write)
     parquet = spark.read.schema(df.schema).parquet(f"{path}/parquet")
@@ -126,6 +148,7 @@ QUERIES = {
     "write_partitions": _write_partitions,
     "check_partition_keys": _check_partition_keys,
     "catalog_update": _catalog_update,
+    "catalog_recreate": _catalog_recreate,
     "file_options": _file_options,
     "export_csv": _export_csv(True),
     "csv_header": _export_csv(False),
@@ -139,6 +162,8 @@ ORACLE = {
     "CASE situacao WHEN 'R' THEN vlr_cred_mes * 2 ELSE vlr_cred_mes END AS vlr_cred_mes, data_base, situacao FROM contrato",
     "check_partition_keys": "SELECT o_orderkey, printf('%06d', o_custkey % 8) AS versao, "
     "CASE WHEN o_orderpriority <> '5-LOW' THEN 'a:b/' || o_orderpriority END AS origem FROM orders",
+    "catalog_recreate": f"WITH {CONTRACT} SELECT num_contrato, num_parcela, "
+    "CASE situacao WHEN 'R' THEN vlr_cred_mes * 2 ELSE vlr_cred_mes END AS vlr_cred_mes, situacao FROM contrato",
     "catalog_update": f"WITH {CONTRACT} SELECT num_contrato, num_parcela, vlr_cred_mes, "
     "CASE situacao WHEN 'R' THEN 'novo' END AS canal, situacao FROM contrato",
     "file_options": f"WITH {CONTRACT} SELECT situacao, count(*) AS n FROM contrato GROUP BY situacao",

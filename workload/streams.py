@@ -43,6 +43,20 @@ def _stream_registration(spark, sf):
     return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
 
 
+def _stream_restart(spark, sf):
+    """The same arrivals under two checkpoints: the second run must add and lose nothing."""
+
+    def write(path):
+        for run in ("first", "second"):
+            events = inputs.arrivals(_Streamed(spark, sf), sf).drop("sor_table_name")
+            register_arrivals(events, table_config(spark), f"{path}/ledger", f"{path}/{run}").awaitTermination()
+
+    path = staged(spark, sf, "stream-restart", write)
+    columns = ["event_id", *KEYS, "ingestion_id", "status"]
+    schema = "event_id bigint, " + ", ".join(f"{c} string" for c in columns[1:])
+    return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
+
+
 def _stream_readiness(spark, sf):
     def write(path):
         loads = inputs.ledger(_Streamed(spark, sf), sf)
@@ -64,7 +78,11 @@ def _stream_readiness(spark, sf):
     )
 
 
-QUERIES = {"stream_registration": _stream_registration, "stream_readiness": _stream_readiness}
+QUERIES = {
+    "stream_registration": _stream_registration,
+    "stream_restart": _stream_restart,
+    "stream_readiness": _stream_readiness,
+}
 
 ORACLE = {
     "stream_registration": f"""WITH {ARRIVALS}, {TABLE_CONFIG}, mapped AS (SELECT event_id, event_time, a.process_name,
@@ -76,3 +94,4 @@ ORACLE = {
         'PROCESSING_SOR' AS status FROM mapped""",
     "stream_readiness": TRIGGERS,
 }
+ORACLE["stream_restart"] = ORACLE["stream_registration"]
