@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from compare import DATA
-from tidemark.llm.partenum import PartEnum
+from tidemark.llm.partenum import PREFIX_BAND, PartEnum
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.words import mixed
 
@@ -78,7 +78,7 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("enum", [PartEnum(), PartEnum(cells=3, slack=1), PartEnum(cells=3, slack=2), PartEnum(percent=60)])
 def test_similar_sets_share_a_signature(enum):
     rng = np.random.default_rng(1)
-    for trial in range(1500):
+    for trial in range(4000):
         n = int(rng.integers(1, 500 if trial % 3 else 14))
         a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         drop = int(rng.integers(0, n + 1))
@@ -87,9 +87,7 @@ def test_similar_sets_share_a_signature(enum):
         same = len(np.intersect1d(a, b))
         similar = same and 100 * same >= enum.percent * (len(a) + len(b) - same)
         if similar:
-            (x, x_plain), (y, y_plain) = enum.signatures(a), enum.signatures(b)
-            shared = len(np.intersect1d(x, y))
-            assert shared
-            if x_plain and y_plain:
-                differing = (len(a) + len(b)) * (100 - enum.percent) // (100 + enum.percent)
-                assert shared >= min(len(x), len(y)) - differing
+            x, y = dict(enum.signatures(a)), dict(enum.signatures(b))
+            shared = {band: len(np.intersect1d(x[band], y[band])) for band in x.keys() & y.keys()}
+            assured = lambda s, z, band: 1 if band == PREFIX_BAND else enum.assured(len(s), len(z[band]))
+            assert any(n >= max(assured(a, x, band), assured(b, y, band)) for band, n in shared.items())

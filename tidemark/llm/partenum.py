@@ -13,6 +13,10 @@ first, s has emitted every group that r has, so the equal subset is in both.
 The cut depends on the size band, and a set whose partners may lie in the next band emits
 for both. A set that has too few rich groups emits all its groups and, besides, its first
 elements in domain order, one more than can differ; two such sets share one of these.
+
+With ``surplus`` a set emits more groups than it must. If a subset is one cell, each
+differing element spoils at most one, so similar sets then share at least ``assured`` of
+the signatures of a band, and a set need not be looked for under its most frequent ones.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import numpy as np
 from tidemark.llm.words import mixed
 
 BAND_START = 4
-BAND_RATIO = 3
+BAND_RATIO = 2
 PREFIX_BAND = 1 << 20  # tag of signatures that are single elements
 
 
@@ -36,13 +40,14 @@ class PartEnum:
     percent: int = 80
     cells: int = 2
     slack: int = 1
+    surplus: float = 1.5
 
     def differing(self, size: int) -> int:
         """The most elements that may differ between a set of this size and one similar to it."""
         return (size + size * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
 
     def groups_needed(self, size: int) -> int:
-        return self.differing(size) // (self.slack + 1) + 1
+        return int((self.differing(size) // (self.slack + 1) + 1) * self.surplus)
 
     def bands(self, size: int) -> list[int]:
         band, top = 0, BAND_START
@@ -54,15 +59,23 @@ class PartEnum:
         """Groups in a band: a fifth more than its largest sets need, as some are poor."""
         return self.groups_needed(BAND_START * BAND_RATIO**band) * 6 // 5 + 2
 
-    def signatures(self, elements: np.ndarray) -> tuple[np.ndarray, bool]:
-        """Of a set given as its sorted distinct 64-bit hashes; and whether it is plain.
+    def assured(self, size: int, emitted: int) -> int:
+        """The fewest signatures of a band that a set shares there with any set similar to it.
 
-        Plain sets emit for one band and no single elements. If each subset is one cell and
-        two similar sets are plain, they share all signatures of one of them but at most as
-        many as elements can differ.
+        A partner that is not poor has emitted ``slack + 1`` cells for each group it needs.
         """
+        if self.cells - self.slack != 1:
+            return 1
+        least = emitted
+        for partner in (-(-size * self.percent // 100), size * 100 // self.percent):
+            theirs = min(emitted, self.groups_needed(partner) * (self.slack + 1))
+            least = min(least, theirs - (size + partner) * (100 - self.percent) // (100 + self.percent))
+        return max(1, least - 2)  # between the two partner sizes, rounding can take two
+
+    def signatures(self, elements: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Band and signatures, for each band, of a set given as its sorted distinct hashes."""
         if not len(elements):
-            return np.empty(0, np.uint64), False
+            return []
         needed, content = self.groups_needed(len(elements)), mixed(elements)
         out, poor = [], False
         for band in self.bands(len(elements)):
@@ -77,14 +90,14 @@ class PartEnum:
             enough = len(rich) >= needed
             poor |= not enough
             held = held[: rich[needed - 1] + 1] if enough else held
-            group = np.arange(len(held), dtype=np.uint64)
+            group, found = np.arange(len(held), dtype=np.uint64), []
             for number, subset in enumerate(combinations(range(self.cells), self.cells - self.slack)):
                 chosen = held[:, subset]
                 tag = mixed(group * np.uint64(1 << 24) + np.uint64((band << 8) + number))
                 signature = mixed(chosen.sum(axis=1, dtype=np.uint64) + tag)
-                out.append(signature[(chosen != 0).any(axis=1)])
+                found.append(signature[(chosen != 0).any(axis=1)])
+            out.append((band, np.unique(np.concatenate(found))))
         if poor:
             prefix = elements[: self.differing(len(elements)) + 1]
-            out.append(mixed(mixed(prefix) + np.uint64(PREFIX_BAND)))
-        plain = not poor and len(self.bands(len(elements))) == 1 and self.cells - self.slack == 1
-        return np.unique(np.concatenate(out)), plain
+            out.append((PREFIX_BAND, mixed(mixed(prefix) + np.uint64(PREFIX_BAND))))
+        return out

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
     """One folder for one run of an operator; a table can be dropped once it is used up."""
@@ -17,7 +19,12 @@ class Scratch:
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and go on from the written rows: later steps cannot see it change."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")  # the step's shuffle files are of no use after it
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -1,12 +1,14 @@
 """Similarity join of documents on word shingles, and the classes it links.
 
 Each document's set of shingle hashes yields PartEnum signatures. Documents that share a
-signature are a bucket, and only they can be similar. Documents with equal sets are one
-node throughout. In a bucket, every node is first compared with one leader, the member
-whose signatures are the most widely shared: in a family of near copies that is the text
-nearest to its centre. What this links needs no further comparison among itself, so only
-pairs from different components of a bucket are then compared, which is done for all of
-them. Similarities are exact, from the whole sets.
+signature are a bucket, and only they can be similar. As similar sets share more than one,
+a document stays only in its smallest buckets, and one with too few shared signatures in
+none: so documents that merely have a passage in common do not meet. Documents with equal
+sets are one node throughout. In a bucket, every node is first compared with one leader,
+the member whose signatures are the most widely shared: in a family of near copies that is
+the text nearest to its centre. What this links needs no further comparison among itself,
+so only pairs from different components of a bucket are then compared, which is done for
+all of them. Similarities are exact, from the whole sets.
 """
 
 from __future__ import annotations
@@ -15,17 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bitmaps import bitmap_of, with_flag
 from tidemark.llm.components import components
-from tidemark.llm.partenum import PartEnum
+from tidemark.llm.partenum import PREFIX_BAND, PartEnum
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import BASES, WordHashes, mixed, windows, words_of
 
-LEADER_ROUNDS = 4
-PAIRS_PER_ROW = 4  # leaders are tried again while more pairs than this many times the rows remain
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -42,54 +42,79 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64), kind))
 
 
-def _sets(docs: DataFrame, size: int, enum: PartEnum | None) -> DataFrame:
-    """Per row of ``id, text``: the set's size and two digests, and its signatures or the set itself."""
+def _signed(docs: DataFrame, size: int, enum: PartEnum) -> DataFrame:
+    """Per row of ``id, text`` and band: the set's size and two digests, and its signatures.
+
+    ``assured`` is how many of them any similar set shares, ``nth`` numbers a text's rows
+    from 0. A text without shingles has one row, without signatures.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                sets = [shingles(known.of(words_of(t, fold=True)), size) for t in part.column(1).to_pylist()]
-                sums = np.array([[s.sum(dtype=np.uint64), mixed(s ^ np.uint64(BASES[1])).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(-1, 2)
-                signed = [enum.signatures(s) for s in sets] if enum else [(s, False) for s in sets]
+                row, nth, n, f1, f2, assured, data = [], [], [], [], [], [], []
+                for r, text in enumerate(part.column(1).to_pylist()):
+                    found = shingles(known.of(words_of(text, fold=True)), size)
+                    one, two = found.sum(dtype=np.uint64), mixed(found ^ np.uint64(BASES[1])).sum(dtype=np.uint64)
+                    for k, (band, signatures) in enumerate(enum.signatures(found) or [(0, np.empty(0, np.uint64))]):
+                        row.append(r)
+                        nth.append(k)
+                        n.append(len(found))
+                        f1.append(one)
+                        f2.append(two)
+                        assured.append(1 if band == PREFIX_BAND else enum.assured(len(found), len(signatures)))
+                        data.append(signatures)
+                digests = [pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0].view(np.int64)),
-                     pa.array(sums[:, 1].view(np.int64)), pa.array([p for _, p in signed], pa.bool_()), _lists([d for d, _ in signed], pa.int64())],
-                    ["id", "n", "f1", "f2", "plain", "data"],
+                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(nth, pa.int32()), pa.array(n, pa.int64()), *digests,
+                     pa.array(assured, pa.int32()), _lists(data, pa.int64())],
+                    ["id", "nth", "n", "f1", "f2", "assured", "data"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n long, f1 long, f2 long, plain boolean, data array<long>")
+    return docs.mapInArrow(run, f"id {kind}, nth int, n long, f1 long, f2 long, assured int, data array<long>")
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """Per row of ``id, text``: the size, the whole set, and the half of it that lies in the
+    lower half of the domain, cut to 32 bits each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                sets = [shingles(known.of(words_of(t, fold=True)), size) for t in part.column(1).to_pylist()]
+                half = [(s[: np.searchsorted(s, np.uint64(1 << 63))] >> np.uint64(31)).astype("<u4").tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(half, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["id", "n", "half", "whole"],
+                )
+
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n long, half binary, whole binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar."""
+def _compared(pairs: DataFrame, sets: DataFrame, part: str, dtype: str, differing) -> DataFrame:
+    """The pairs ``a, b`` whose ``part`` differs in at most ``differing(size, size)`` elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, x, y = batch.columns
+            a, b, x, y, n, m = batch.columns
             keep = []
-            for i in range(batch.num_rows):
-                u, v = x[i].values.to_numpy(zero_copy_only=False), y[i].values.to_numpy(zero_copy_only=False)
-                same = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * same >= percent * (len(u) + len(v) - same))
+            for u, v, p, q in zip(x.to_pylist(), y.to_pylist(), n.to_pylist(), m.to_pylist()):
+                u, v = np.frombuffer(u, dtype), np.frombuffer(v, dtype)
+                both = np.sort(np.concatenate((u, v)), kind="stable")  # two sorted runs: a merge
+                keep.append(len(u) + len(v) - 2 * int((both[1:] == both[:-1]).sum()) <= differing(p, q))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    left = sets.select(F.col("id").alias("a"), F.col("data").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("data").alias("y"))
-    loaded = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return loaded.mapInArrow(run, f"a {kind}, b {kind}")
-
-
-def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """Those whose sizes, and whose number of shared signatures if both are plain, allow it."""
-    low, high = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    differing = F.floor((F.col("a_n") + F.col("b_n")) * (100 - percent) / (100 + percent))
-    enough = F.col("shared") >= F.least("a_sigs", "b_sigs") - differing
-    return pairs.where((low * 100 >= high * percent) & (enough | ~F.col("a_plain") | ~F.col("b_plain")))
+    left = sets.select(F.col("id").alias("a"), F.col(part).alias("x"), "n")
+    right = sets.select(F.col("id").alias("b"), F.col(part).alias("y"), F.col("n").alias("m"))
+    loaded = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m")
+    return loaded.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def similar_components(
@@ -110,7 +135,8 @@ def similar_components(
     """
     scratch = Scratch(docs.sparkSession, "shingle-join")
     lean = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = scratch.store(_sets(lean, size, enum), "sets")
+    signed = scratch.store(_signed(lean, size, enum).withColumn("row", F.monotonically_increasing_id()), "signed")
+    rows = scratch.store(signed.where("nth = 0").select("id", "n", "f1", "f2"), "rows")
 
     # equal sets are one node, named by its smallest id
     full = rows.where("n > 0 and id is not null")
@@ -121,7 +147,7 @@ def similar_components(
     first = scratch.store(first, "first-node")
     tied = of_row.join(first.where("first != last"), "id").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
 
-    links = scratch.store(tied.unionByName(_links(lean, full, nodes, size, enum, scratch)), "links")
+    links = scratch.store(tied.unionByName(_links(lean, signed, nodes, size, enum, scratch)), "links")
     labels = components(links, scratch).withColumnRenamed("node", "first")
     labelled = scratch.store(first.join(labels, "first", "left").select("id", F.coalesce("label", "first").alias("component_id")), "labelled")
     return rows.select("id", "n").join(labelled, "id", "left").select(
@@ -129,64 +155,51 @@ def similar_components(
     )
 
 
-def _links(lean: DataFrame, full: DataFrame, nodes: DataFrame, size: int, enum: PartEnum, scratch: Scratch) -> DataFrame:
+def _links(lean: DataFrame, signed: DataFrame, nodes: DataFrame, size: int, enum: PartEnum, scratch: Scratch) -> DataFrame:
     """Enough of the similar pairs ``a, b`` of nodes that their components are those of all."""
     # A copy whose bit is set by chance is one more node; its equal signatures link it again.
     named = scratch.store(bitmap_of(nodes.select("n", "f1", "f2", "node")), "named")
-    own = with_flag(full, named, [F.col(c) for c in ("n", "f1", "f2", "id")], "_node").where("_node")
-    signed = own.select("id", "n", "plain", F.size("data").alias("sigs"), F.explode("data").alias("sig"))
-    shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("bucket")).where("bucket > 1")
-    members = scratch.store(signed.join(shared, "sig").select("sig", "id", "n", "sigs", "plain", "bucket"), "members")
+    own = with_flag(signed.where("n > 0 and id is not null"), named, [F.col(c) for c in ("n", "f1", "f2", "id")], "_node").where("_node")
+    each = own.select("row", F.explode("data").alias("sig"))  # nothing else: these are many rows
+    shared = scratch.store(each.groupBy("sig").agg(F.count(F.lit(1)).alias("bucket")).where("bucket > 1"), "shared")
+    members = scratch.store(each.join(shared, "sig"), "members")
+    facts = scratch.store(signed.select("row", "id", "n", F.size("data").alias("sigs"), "assured"), "facts")
+    # Of E signatures with t assured, one of the E - t + 1 in the smallest buckets is shared;
+    # those that nobody shares come first in that order.
+    place = F.row_number().over(Window.partitionBy("row").orderBy("bucket", "sig")) - F.count(F.lit(1)).over(Window.partitionBy("row"))
+    placed = members.withColumn("place", place).join(facts, "row").where("place + sigs <= sigs - assured + 1")
+    members = scratch.store(placed.select("sig", "id", "n", "bucket"), "kept")
+    scratch.drop("members", "shared", "signed")
 
     fame = scratch.store(members.groupBy("id").agg(F.sum("bucket").alias("fame")), "fame")
-    members = scratch.store(members.join(fame, "id"), "ranked")
-    scratch.drop("members")
-    links = None
-    for r in range(LEADER_ROUNDS):
-        rank = F.col("fame") if r == 0 else F.xxhash64("id", "sig", F.lit(r))
-        fields = ["id", "n", "sigs", "plain"]
-        leader = members.groupBy("sig").agg(F.max(F.struct(rank.alias("rank"), *fields)).alias("l"))
-        leader = scratch.store(leader.select("sig", *[F.col(f"l.{c}").alias(f"b_{c}") for c in fields]), f"leaders-{r}")
-        paired = members.join(leader, "sig").where("id != b_id")
-        if r:
-            paired = paired.join(_renamed(comp, "b_id", "b_comp"), "b_id").where("comp != b_comp")
-        found = _verified(paired, lean, size, enum, scratch, f"leader-{r}")
-        links = found if links is None else links.unionByName(found)
-        comp = scratch.store(components(links, scratch, f"components-{r}"), f"comp-{r}")
-        comp = comp.select(F.col("node").alias("id"), F.col("label").alias("comp"))
-        # a node without links is its own component
-        members = members.drop("comp").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        split = members.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sig")
-        members = scratch.store(members.join(split, "sig", "left_semi"), f"open-{r}")
-        comp = members.select("id", "comp").distinct()
-        inner = members.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
-        work = inner.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
-        total = work.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
-        if (total[0] or 0) <= PAIRS_PER_ROW * (total[1] or 0):
-            break
-
-    side = members.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "sigs", "plain", "comp")])
+    ranked = scratch.store(members.join(fame, "id").select("sig", "id", "n", "fame"), "ranked")
+    leader = ranked.groupBy("sig").agg(F.max(F.struct("fame", "id", "n")).alias("l")).select("sig", F.col("l.id").alias("b_id"), F.col("l.n").alias("b_n"))
+    leader = scratch.store(leader, "leaders")  # tables on both sides: AQE can split a large bucket
+    links = _verified(ranked.join(leader, "sig").where("id != b_id"), lean, size, enum, scratch, "leaders")
+
+    comp = scratch.store(components(links, scratch, "led"), "led").select(F.col("node").alias("id"), F.col("label").alias("comp"))
+    members = scratch.store(ranked.join(comp, "id", "left").select("sig", "id", "n", F.coalesce("comp", "id").alias("comp")), "by-component")
+    split = members.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sig")
+    members = scratch.store(members.join(scratch.store(split, "split"), "sig", "left_semi"), "open")
+    side = members.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "comp")])
     rest = members.join(side, "sig").where("comp < b_comp")
     return links.unionByName(_verified(rest, lean, size, enum, scratch, "rest"))
 
 
-def _renamed(comp: DataFrame, node: str, label: str) -> DataFrame:
-    return comp.select(F.col("id").alias(node), F.col("comp").alias(label))
-
-
-def _verified(paired: DataFrame, lean: DataFrame, size: int, enum: PartEnum, scratch: Scratch, name: str) -> DataFrame:
+def _verified(met: DataFrame, lean: DataFrame, size: int, enum: PartEnum, scratch: Scratch, name: str) -> DataFrame:
     """The similar ones of the pairs ``id, b_id`` that meet in buckets."""
-    pairs = paired.select(
-        F.col("id").alias("a"), F.col("b_id").alias("b"), F.col("n").alias("a_n"), "b_n",
-        F.col("sigs").alias("a_sigs"), "b_sigs", F.col("plain").alias("a_plain"), "b_plain",
-    )
-    same = [c for c in pairs.columns if c not in ("a", "b")]
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in same])
-    pairs = scratch.store(_possible(counted, enum.percent).select("a", "b"), f"pairs-{name}")
+    alike = F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * enum.percent
+    pairs = met.where(alike).select(F.col("id").alias("a"), F.col("b_id").alias("b")).distinct()
+    pairs = scratch.store(pairs, f"pairs-{name}")
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     bits = scratch.store(bitmap_of(needed), f"needed-{name}")
     texts = with_flag(lean, bits, [F.col("id")], "_needed").where("_needed").select("id", "text")
-    sets = scratch.store(_sets(texts, size, None).select("id", "data"), f"sets-{name}")
-    found = scratch.store(_overlaps(pairs, sets, enum.percent).distinct(), f"found-{name}")
+    sets = scratch.store(_sets(texts, size), f"sets-{name}")
+    # Half of the domain cannot differ in more than the whole may, and equal 32 bits can only
+    # hide a difference: this drops no similar pair, and most others.
+    percent = enum.percent
+    allowed = lambda n, m: (n + m) * (100 - percent) // (100 + percent)
+    close = scratch.store(_compared(pairs, sets, "half", "<u4", allowed), f"close-{name}")
+    found = scratch.store(_compared(close, sets, "whole", "<u8", allowed), f"found-{name}")
     scratch.drop(f"sets-{name}")
     return found

@@ -1,15 +1,13 @@
 """Words of a text as arrays of hashes, for operators that work on word sequences.
 
-A word is a run of anything but the six ASCII white-space characters. Its hash is 64 bits
-of BLAKE2; a sequence of words has a polynomial hash over the hashes of its words, modulo
+A word is a run of anything but the six ASCII white-space characters. Its hash has 64 bits; a sequence of words has a polynomial hash over the hashes of its words, modulo
 2**64. Windows of one length are compared by two such hashes where pairs are many.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
+import xxhash
 
 CACHE_WORDS = 400_000  # bound of a worker's word table; beyond, it starts afresh
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -21,7 +19,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
