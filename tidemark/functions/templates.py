@@ -52,6 +52,16 @@ def bind_parameters(
     return text.replace(_OPEN, "{").replace(_CLOSE, "}"), {n: str(context[n]) for n in used}
 
 
+def fill_name(text: str | None, context: Mapping[str, str]) -> str | None:
+    """A path, database or table name with its placeholders filled; unknown ones are an error."""
+    if text is None:
+        return None
+    unknown = sorted({n for n in re.findall(NAME, text) if n not in context})
+    if unknown:
+        raise ValueError("unknown placeholder: " + ", ".join(unknown))
+    return re.sub(NAME, lambda m: str(context[m.group(1)]), text)
+
+
 def uses_placeholder(text: str | None, name: str) -> bool:
     return bool(text) and name in re.findall(NAME, text)
 

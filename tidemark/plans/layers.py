@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.templates import uses_placeholder
+from tidemark.functions.templates import fill_name, uses_placeholder
 from tidemark.operators.consolidate import consolidate
 from tidemark.operators.gate import STRICT_GATE, publication_gate
 from tidemark.operators.select import staged_sql, technical_columns
@@ -37,7 +38,8 @@ def run_layer(
 ) -> WriteReport:
     """Sources -> SQL steps -> stamped columns -> destination.
 
-    ``post_columns`` of the spec replace ``stamps`` rather than adding to them.
+    ``post_columns`` of the spec replace ``stamps`` rather than adding to them. Paths and
+    names of sources and destination may hold placeholders of the context.
     """
     frames = load_sources(
         spark,
@@ -51,7 +53,9 @@ def run_layer(
     )
     columns = fill_constants(stamps if spec.post_columns is None else spec.post_columns, context)
     result = technical_columns(staged_sql(spark, frames, spec.steps, context), columns)
-    return write_result(result, spec.destination, tuple(columns))
+    names = ("base_path", "table", "database", "file_name")
+    destination = replace(spec.destination, **{n: fill_name(getattr(spec.destination, n), context) for n in names})
+    return write_result(result, destination, tuple(columns))
 
 
 def load_sor(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.templates import fill_name
 from tidemark.operators.dedup import drop_duplicates
 from tidemark.sources.files import read_csv, read_parquet
 from tidemark.sources.tables import PRODUCTION, read_table
@@ -34,7 +36,12 @@ def load_source(
     environment: str = PRODUCTION,
     local: str | bool = False,
 ) -> DataFrame:
-    """Scan, filter and de-duplicate one source; nothing runs yet."""
+    """Scan, filter and de-duplicate one source; nothing runs yet.
+
+    Placeholders in path, database and table are filled from ``params``.
+    """
+    names = {n: fill_name(getattr(source, n), params or {}) for n in ("path", "database", "table")}
+    source = replace(source, **names)
     kind = source.kind.strip().lower()
     text = source.predicate if predicate is None else predicate
     if kind not in SOURCE_KINDS:

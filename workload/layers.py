@@ -10,13 +10,14 @@ from workload.inputs import CONTRACT, contract, ledger, requests, staged
 from workload.steps import DEDUP
 
 SOR_COLUMNS = ["num_contrato", "num_parcela", "quantidade", "vlr_cred_mes", "data_base", "ingestion_id"]
+SINCE = "1996-01-01"
 PROCESS_FILTER = {"load": "status = 'PROCESSING_SOR'", "publish": "status = 'RULES_PROCESSED'"}
 
 
 def _first_load(spark, sf):
     """Ledger with partitions, and the id of the oldest load that still has to run."""
     rows = ledger(spark, sf).withColumn(
-        "partitions", F.create_map(F.lit("desde"), F.lit("1990-01-01"), F.lit("data-referencia"), "data_referencia")
+        "partitions", F.create_map(F.lit("desde"), F.lit(SINCE), F.lit("data-referencia"), "data_referencia")
     )
     chosen = rows.where(PROCESS_FILTER["load"]).agg(F.min("ingestion_id")).first()[0]
     return rows, chosen
@@ -145,7 +146,7 @@ def _spec_path(spark, sf):
                     predicate="process_id = '{PROCESS_ID}'",
                 )
             ],
-            steps=["SELECT num_contrato, vlr_cred_mes, process_id FROM contratos_sot WHERE regra = 'regra_valor'"],
+            steps=["SELECT num_contrato, vlr_cred_mes, quantidade, process_id FROM contratos_sot"],
             destination=DestSpec(path, "contratos_spec", partition_keys=["data_referencia", "process_id"]),
         )
         publish_spec(spark, spec, process, process_id)
@@ -154,7 +155,7 @@ def _spec_path(spark, sf):
 
 
 def _publish_spec(spark, sf):
-    columns = ["num_contrato", "vlr_cred_mes", "process_id", "data_referencia"]
+    columns = ["num_contrato", "vlr_cred_mes", "quantidade", "process_id", "data_referencia"]
     return _read_back(spark, _spec_path(spark, sf), columns, contract(spark, sf))
 
 
@@ -165,10 +166,11 @@ QUERIES = {
     "publish_spec": _publish_spec,
 }
 
+SINCE_DEDUP = DEDUP.replace("FROM contrato)", f"FROM contrato WHERE data_base >= '{SINCE[:4] + SINCE[5:7]}')")
 _SOR = (
     CONTRACT
     + f", loaded AS (SELECT *, (SELECT printf('ing_%010d', min(event_id)) FROM events WHERE event_type = 'signup') "
-    f"AS ingestion_id FROM ({DEDUP})), chosen AS (SELECT printf('proc_%010d', min(o_orderkey)) AS process_id, "
+    f"AS ingestion_id FROM ({SINCE_DEDUP})), chosen AS (SELECT printf('proc_%010d', min(o_orderkey)) AS process_id, "
     "printf('2023%02d', arg_min(o_custkey, o_orderkey) % 12 + 1) AS data_referencia FROM orders WHERE o_orderstatus = 'F')"
 )
 _SOT = (
@@ -181,6 +183,6 @@ ORACLE = {
     "load_sor": f"WITH {_SOR} SELECT {', '.join(SOR_COLUMNS)} FROM loaded",
     "run_rule": f"WITH {_SOR} {_SOT}",
     "consolidate_sot": f"WITH {_SOR} {_SOT}",
-    "publish_spec": f"WITH {_SOR} SELECT num_contrato, vlr_cred_mes, process_id, data_referencia "
-    "FROM loaded, chosen WHERE vlr_cred_mes > 20000",
+    "publish_spec": f"WITH {_SOR}, sot AS ({_SOT}) SELECT num_contrato, vlr_cred_mes, quantidade, process_id, data_referencia "
+    "FROM sot JOIN chosen USING (process_id)",
 }

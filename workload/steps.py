@@ -47,10 +47,10 @@ def _stable_row_id(spark, sf):
 QUERIES = {
     "layout_projection": _sql("SELECT num_contrato, vlr_cred_mes, data_base, dia_base FROM contrato"),
     "select_star": _sql("SELECT * FROM contrato"),
-    "row_filter": _sql("SELECT * FROM contrato WHERE vlr_cred_mes > {MINIMO}", MINIMO="100"),
+    "row_filter": _sql("SELECT * FROM contrato WHERE vlr_cred_mes > {MINIMO}", MINIMO="30000"),
     "qualified_alias": _sql("SELECT c.num_contrato, c.vlr_cred_mes FROM contratos_sor c", view="contratos_sor"),
     "staged_sql": _sql(
-        "SELECT * FROM tabela_contrato WHERE vlr_cred_mes > 100",
+        "SELECT * FROM tabela_contrato WHERE vlr_cred_mes > 30000",
         "SELECT num_contrato, vlr_cred_mes, data_base FROM query_temp_1;",
         view="tabela_contrato",
     ),
@@ -78,9 +78,9 @@ DEDUP = (
 ORACLE = {
     "layout_projection": f"WITH {CONTRACT} SELECT num_contrato, vlr_cred_mes, data_base, dia_base FROM contrato",
     "select_star": f"WITH {CONTRACT} SELECT * FROM contrato",
-    "row_filter": f"WITH {CONTRACT} SELECT * FROM contrato WHERE vlr_cred_mes > 100",
+    "row_filter": f"WITH {CONTRACT} SELECT * FROM contrato WHERE vlr_cred_mes > 30000",
     "qualified_alias": f"WITH {CONTRACT} SELECT num_contrato, vlr_cred_mes FROM contrato",
-    "staged_sql": f"WITH {CONTRACT}, query_temp_1 AS (SELECT * FROM contrato WHERE vlr_cred_mes > 100) "
+    "staged_sql": f"WITH {CONTRACT}, query_temp_1 AS (SELECT * FROM contrato WHERE vlr_cred_mes > 30000) "
     "SELECT num_contrato, vlr_cred_mes, data_base FROM query_temp_1",
     "technical_columns": f"WITH {CONTRACT} SELECT num_contrato, num_parcela, vlr_cred_mes, "
     "'CARREGADO' AS situacao, '000008' AS ingestion_id FROM contrato",
