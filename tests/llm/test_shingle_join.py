@@ -70,6 +70,24 @@ def test_borders_short_texts_and_repeats(spark):
     check(spark, rows)
 
 
+def test_families_around_a_centre(spark):
+    """Copies with few to many edits: near, middle and far ones, chains between them."""
+    rng = random.Random(11)
+    rows = []
+    for family in range(3):
+        base = [f"w{rng.randrange(5000)}" for _ in range((60, 160, 300)[family])]
+        made = [base]
+        for copy in range(70):
+            text = list(rng.choice(made[-3:] if copy % 3 else made[:1]))
+            for _ in range(rng.randrange(0, max(2, len(base) // 25))):
+                text[rng.randrange(len(text))] = f"z{rng.randrange(9000)}"
+            made.append(text)
+        rows += [(1000 * family + i, " ".join(t)) for i, t in enumerate(made)]
+    rng.shuffle(rows)
+    check(spark, rows)
+    assert 3 < len(set(brute(rows).values())) < 200
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert similar_components(docs).count() == 0
