@@ -158,13 +158,14 @@ def test_outcomes_are_recorded(spark, rows, lake):
     """Good load, then a failing one: the good version stays current."""
     log = lake + "/log"
     book = ledger(rows).union(ledger(rows, ingestion_id="ing_101"))
-    load_and_record(spark, sor_spec(lake), book, "ing_100", log)
+    own = {"identity_keys": ("process_name", "sor_table_name", "ingestion_id")}  # this ledger has no month of its own
+    load_and_record(spark, sor_spec(lake), book, "ing_100", log, **own)
     broken = replace(sor_spec(lake), steps=["SELECT num_contrato, raise_error('boom') AS x FROM contrato"])
     with pytest.raises(Exception, match="boom"):
-        load_and_record(spark, broken, book, "ing_101", log)
+        load_and_record(spark, broken, book, "ing_101", log, **own)
     with pytest.raises(ValueError):
-        load_and_record(spark, sor_spec(lake), book, "ing_999", log)
-    state = ledger_state(book, spark.read.parquet(log))
+        load_and_record(spark, sor_spec(lake), book, "ing_999", log, **own)
+    state = ledger_state(book, spark.read.parquet(log), own["identity_keys"])
     assert {(r["ingestion_id"], r["status"], r["rows"]) for r in state.collect()} == {
         ("ing_100", "LOADED_SOR", 2), ("ing_101", "PROCESSING_FAILURE", None),
     }

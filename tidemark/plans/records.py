@@ -6,7 +6,7 @@ a failed load leaves the version that was current before.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,7 @@ def load_and_record(
     ingestion_id: str,
     log_path: str,
     keys: Mapping[str, str] | None = None,
+    identity_keys: Sequence[str] = (*VERSION_KEYS, "ingestion_id"),
     **options,
 ) -> WriteReport:
     """SOR load whose end, good or bad, goes to the log with its row count.
@@ -56,7 +57,7 @@ def load_and_record(
     The count comes from the write itself. A row that may not be loaded at all (unknown,
     already loaded, incomplete) is refused without a trace.
     """
-    full = full_key((*VERSION_KEYS, "ingestion_id"), ledger)
+    full = full_key(identity_keys, ledger)
     chosen = rows_of(ledger, ingestion_id=ingestion_id, **(keys or {})).select(*full)
     identity = single_row(chosen, f"ingestion {ingestion_id}").asDict()
     ingestion_context(ledger, ingestion_id, **(keys or {}))
@@ -73,9 +74,11 @@ def load_and_record(
     return report
 
 
-def ledger_state(ledger: DataFrame, log: DataFrame) -> DataFrame:
+def ledger_state(
+    ledger: DataFrame, log: DataFrame, keys: Sequence[str] = (*VERSION_KEYS, "ingestion_id")
+) -> DataFrame:
     """Ledger rows with the state, finish time and row count of their last log row."""
-    on = full_key((*VERSION_KEYS, "ingestion_id"), ledger, log)
+    on = full_key(keys, ledger, log)
     last = (
         log.groupBy(*on)
         .agg(F.max_by(F.struct("status", "at", "rows"), F.struct("at", "seq")).alias("_last"))
