@@ -115,8 +115,11 @@ def learn_languages(
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(order_col).alias("order"))
     n, seen = _document_frequencies(rows.select("text"), settings.buckets)
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
-    sample = rows.where(F.col("text").isNotNull()).withColumn("_n", first).where(F.col("_n") <= settings.per_language)
+    # the draw shuffles hashes only; its broadcast is bounded by ``per_language`` for each language
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    drawn = rows.where(F.col("text").isNotNull()).select("lang", "order").withColumn("_n", first)
+    drawn = scratch.store(drawn.where(F.col("_n") <= settings.per_language).select("lang", "order").distinct(), "drawn")
+    sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(drawn), ["lang", "order"], "left_semi")
     made = sample.select("lang", "text", "order").groupBy("lang").applyInPandas(_clustered(settings, idf), "lang string, vector binary, reach double")
     made = scratch.store(made, "centroids").orderBy("lang", "vector").collect()  # a few per language
     vectors = np.array([np.frombuffer(r.vector, "<f4") for r in made], np.float32).reshape(-1, settings.buckets)
