@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -27,7 +28,7 @@ def session(cpus: int = 8):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.sql.warehouse.dir": "/tmp/tidemark-warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

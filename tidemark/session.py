@@ -32,12 +32,6 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
