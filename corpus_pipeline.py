@@ -71,7 +71,7 @@ def _masked(whole: Column) -> Column:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids and their places."""
-    return best_fit_packing(docs, byte_bpe_encoder(), keep_ids=False)
+    return best_fit_packing(docs, byte_bpe_encoder())
 
 
 STAGES: list[tuple[str, Stage]] = [

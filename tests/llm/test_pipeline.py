@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import DATA
@@ -81,6 +84,15 @@ def test_all_that_is_left_is_packed(spark, kept):
     assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in plain.items()}
 
 
+def test_written_ids_rebuild_the_masked_texts(kept):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = defaultdict(list)
+    for r in kept["packing"]:
+        pieces[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    rebuilt = {k: [i for _, ids in sorted(v) for i in ids] for k, v in pieces.items()}
+    assert rebuilt == {r.doc_id: [*reference.encode(r.text or "", add_special_tokens=False).ids, 2] for r in kept["secret_scan"]}
+
+
 def test_overlapping_spans_make_one_mask(spark):
     docs = spark.createDataFrame([(1, "é token=" + "a1" * 20 + " z"), (2, None), (3, "")], "doc_id long, text string")
     out = {r.doc_id: r.text for r in corpus_pipeline.secret_scan(spark, docs, SF).collect()}
