@@ -92,3 +92,36 @@ def test_pack_is_near_the_bound():
     assert sorted(i for b in bins for i in b) == list(range(3000))
     assert len(bins) <= len(best_fit(sizes, 1024))
     assert all(sizes[b].sum() <= 1024 for b in map(np.array, bins))
+
+
+def test_full_blocks_are_searched_to_the_end():
+    rng = random.Random(5)
+    for least, most in ((300, 700), (200, 500)):
+        sizes = np.array([rng.randint(least, most) for _ in range(8192)])
+        first, bins = best_fit(sizes, 1024), pack(sizes, 1024)
+        assert sorted(i for b in bins for i in b) == list(range(8192))
+        assert all(sizes[b].sum() <= 1024 for b in bins)
+        spread = lambda bins: sum(int(sizes[b].sum()) ** 2 for b in bins)
+        assert len(bins) <= len(first) and spread(bins) > spread(first)
+        if most == 500:
+            assert len(bins) < len(first) - 50  # 60,000 pairs of bins save 18
+        under = sorted((b for b in bins if sizes[b].sum() < 1024), key=lambda b: sizes[b].sum())
+        one = [sorted({0, *sizes[b].tolist()}) for b in under]
+        two = [sorted({int(sizes[i] + sizes[j]) for n, i in enumerate(b) for j in b[:n]}) for b in under]
+        room = [1024 - int(sizes[b].sum()) for b in under]
+        for x in range(len(under)):
+            for y in range(x):  # the emptier bin
+                for gives, takes in ((one[x], one[y]), (one[x][1:], two[y]), (two[x], one[y])):
+                    assert not any(0 < t - g <= room[x] for g in gives for t in takes)
+
+
+def test_rounds_go_on_while_they_save_sequences(spark):
+    rng = random.Random(7)
+    words = [(i, " a" * rng.randint(199, 499)) for i in range(600)]
+    docs = spark.createDataFrame(words, "doc_id long, text string").repartition(4)
+    found = best_fit_packing(docs, byte_bpe_encoder(), block_pieces=100, keep_ids=False).collect()
+    fills = defaultdict(int)
+    for r in found:
+        fills[r.sequence_id] += r.length
+    assert len(found) == 600 and max(fills.values()) <= 1024
+    assert len(fills) <= len(best_fit(np.array([r.length for r in found]), 1024))

@@ -3,15 +3,17 @@
 Pieces shorter than a sequence are dealt to blocks of bounded size. In a block, best-fit
 decreasing gives the first bins; then underfull bins give pieces to fuller ones by moves,
 one-for-one and two-for-one exchanges. Each exchange increases the sum of squared fills, so
-free space gathers in few bins until they are empty. The pieces of bins that are still
-underfull go on to the next round, where they meet those of other blocks.
+free space gathers in few bins until they are empty; it goes on until none helps. The pieces
+of bins that are still underfull go on to the next round, where they meet those of other
+blocks, as long as that saves a sequence.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -22,8 +24,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.scratch import Scratch
 
 BLOCK_PIECES = 8192
-ROUNDS = 4
-TRIALS = 60_000  # pairs of bins that the local search of one block looks at
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -48,56 +48,121 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(x: list[int], y: list[int], room: int, sizes) -> tuple[int, tuple, tuple] | None:
-    """The exchange that fills x the most: gain, pieces from x to y, pieces from y to x."""
-    singles = sorted((sizes[i], (i,)) for i in y)
-    pairs = sorted((sizes[y[a]] + sizes[y[b]], (y[a], y[b])) for a in range(len(y)) for b in range(a))
-    givers = [(0, ())] + [(sizes[i], (i,)) for i in x]
-    doubles = [(sizes[x[a]] + sizes[x[b]], (x[a], x[b])) for a in range(len(x)) for b in range(a)]
-    best = None
-    for given, takers in ((givers, singles), (givers[1:], pairs), (doubles, singles)):
-        values = [v for v, _ in takers]
-        for value, out in given:
-            at = bisect_right(values, value + room) - 1
-            if at >= 0 and values[at] > value and (best is None or values[at] - value > best[0]):
-                best = (values[at] - value, out, takers[at][1])
-                if best[0] == room:
-                    return best
-    return best
-
-
-def local_search(bins: list[list[int]], sizes: list[int], capacity: int, trials: int = TRIALS) -> list[list[int]]:
-    """Exchanges pieces between underfull bins until none helps or ``trials`` are used up."""
-    full = [b for b in bins if sum(sizes[i] for i in b) == capacity]
-    work = [(sum(sizes[i] for i in b), b) for b in bins]
-    work = sorted((w for w in work if w[0] < capacity), key=lambda w: w[0])
+class _Bins:
+    """Underfull bins with an index: for every size, the emptiest bin that can give it.
+
+    A bin gives one piece or two. Entries of a bin that has changed since are dropped when
+    they come up.
+    """
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int):
+        self.capacity = capacity
+        self.held: list[dict[int, list[int]]] = []
+        for b in bins:
+            held: dict[int, list[int]] = {}
+            for i in b:
+                held.setdefault(sizes[i], []).append(i)
+            self.held.append(held)
+        self.fills = [sum(sizes[i] for i in b) for b in bins]
+        self.version = [0] * len(bins)
+        self.by_size: tuple[list, list] = tuple([[] for _ in range(capacity + 1)] for _ in range(2))
+        self.given = [0, 0]  # bit s: some bin may give one piece (two pieces) of size s
+        for b in range(len(bins)):
+            self._enter(b)
+
+    def pairs(self, b: int) -> set[int]:
+        held = self.held[b]
+        found = {s + t for s in held for t in held if s < t}
+        return found | {2 * s for s, pieces in held.items() if len(pieces) > 1}
+
+    def _enter(self, b: int) -> None:
+        fill = self.fills[b]
+        if not 0 < fill < self.capacity:
+            return
+        for kind, values in enumerate((self.held[b], self.pairs(b))):
+            for s in values:
+                heappush(self.by_size[kind][s], (fill, b, self.version[b]))
+                self.given[kind] |= 1 << s
+
+    def _donor(self, kind: int, size: int, x: int) -> int | None:
+        """The emptiest bin but ``x`` that gives ``size`` and is not fuller than ``x``."""
+        heap, own, found = self.by_size[kind][size], None, None
+        while heap:
+            fill, b, version = heap[0]
+            if version != self.version[b]:
+                heappop(heap)
+            elif b == x:
+                own = heappop(heap)
+            else:
+                found = b if fill <= self.fills[x] else None
+                break
+        if own:
+            heappush(heap, own)
+        if not heap:
+            self.given[kind] &= ~(1 << size)
+        return found
+
+    def fill_up(self, x: int) -> bool:
+        """The exchange that fills ``x`` the most, if one helps."""
+        held, room = self.held[x], self.capacity - self.fills[x]
+        best = None
+        for kind, gives in ((0, {0, *held}), (1, held), (0, self.pairs(x))):
+            for give in gives:
+                least = best[0] if best else 0
+                wanted = (self.given[kind] >> (give + least + 1)) & ((1 << (room - least)) - 1)
+                while wanted:
+                    top = wanted.bit_length() - 1
+                    size = give + least + 1 + top
+                    y = self._donor(kind, size, x)
+                    if y is not None:
+                        best = (size - give, y, kind, size, give)
+                        break
+                    wanted ^= 1 << top
+                if best and best[0] == room:
+                    break
+            if best and best[0] == room:
+                break
+        if not best:
+            return False
+        gain, y, kind, size, give = best
+        out = () if not give else (give,) if give in held else self._parts(x, give)
+        into = self._parts(y, size) if kind else (size,)
+        self._move(x, y, out)
+        self._move(y, x, into)
+        self.fills[x] += gain
+        self.fills[y] -= gain
+        for b in (x, y):
+            self.version[b] += 1
+            self._enter(b)
+        return True
+
+    def _parts(self, b: int, total: int) -> tuple[int, int]:
+        held = self.held[b]
+        return next((s, total - s) for s in held if total - s in held and (2 * s != total or len(held[s]) > 1))
+
+    def _move(self, a: int, b: int, sizes: tuple) -> None:
+        for s in sizes:
+            self.held[b].setdefault(s, []).append(self.held[a][s].pop())
+            if not self.held[a][s]:
+                del self.held[a][s]
+
+
+def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Exchanges pieces between underfull bins until none helps."""
+    fill = lambda b: sum(sizes[i] for i in b)
+    full = [b for b in bins if fill(b) == capacity]
+    work = _Bins([b for b in bins if 0 < fill(b) < capacity], sizes, capacity)
     moved = True
-    while moved and trials > 0 and len(work) > 1:
+    while moved:
         moved = False
-        for donor in range(len(work)):
-            give, y = work[donor]
-            for other in range(len(work) - 1, -1, -1):
-                fill, x = work[other]
-                if not y or trials <= 0:
-                    break
-                if other == donor or fill < give or fill == capacity:
-                    continue
-                trials -= 1
-                found = _exchange(x, y, capacity - fill, sizes)
-                if found:
-                    gain, out, into = found
-                    x = [i for i in x if i not in out] + list(into)
-                    y = [i for i in y if i not in into] + list(out)
-                    give -= gain
-                    work[other], work[donor] = (fill + gain, x), (give, y)
-                    moved = True
-        full += [b for fill, b in work if fill == capacity]
-        work = sorted((w for w in work if 0 < w[0] < capacity), key=lambda w: w[0])
-    return full + [b for _, b in work]
-
-
-def pack(sizes: np.ndarray, capacity: int, trials: int = TRIALS) -> list[list[int]]:
-    return local_search(best_fit(sizes, capacity), sizes.tolist(), capacity, trials)
+        for x in sorted(range(len(work.fills)), key=lambda b: -work.fills[b]):
+            while 0 < work.fills[x] < capacity and work.fill_up(x):
+                moved = True
+    return full + [[i for pieces in held.values() for i in pieces] for held in work.held if held]
+
+
+def pack(sizes: np.ndarray, capacity: int) -> list[list[int]]:
+    return local_search(best_fit(sizes, capacity), sizes.tolist(), capacity)
 
 
 def pieces_of(docs: DataFrame, encoder: Callable[[], Callable], end_id: int, capacity: int) -> DataFrame:
@@ -135,12 +200,12 @@ def pieces_of(docs: DataFrame, encoder: Callable[[], Callable], end_id: int, cap
     return docs.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
-def _packed(items: DataFrame, capacity: int, blocks: int, round_no: int, trials: int) -> DataFrame:
+def _packed(items: DataFrame, capacity: int, blocks: int, round_no: int) -> DataFrame:
     """``uid, length, block, bin, offset, fill`` after packing each block on its own."""
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("uid", ignore_index=True)
-        bins = pack(part["length"].to_numpy(), capacity, trials)
+        bins = pack(part["length"].to_numpy(), capacity)
         order = np.array([i for b in bins for i in b])
         number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
         out = part.iloc[order].assign(bin=number)
@@ -153,6 +218,12 @@ def _packed(items: DataFrame, capacity: int, blocks: int, round_no: int, trials:
     return dealt.groupBy("block").applyInPandas(run, "uid long, length long, block long, bin long, offset long, fill long")
 
 
+def _numbered(packed: DataFrame, round_no: int) -> DataFrame:
+    """With ``sequence_id``: the round, the block and the bin; a block has far fewer than 2**24 pieces."""
+    number = F.lit(round_no << 48) + F.shiftleft("block", 24) + F.col("bin")
+    return packed.select("uid", number.alias("sequence_id"), "offset")
+
+
 def best_fit_packing(
     docs: DataFrame,
     encoder: Callable[[], Callable],
@@ -161,8 +232,6 @@ def best_fit_packing(
     end_id: int = 2,
     capacity: int = 1024,
     block_pieces: int = BLOCK_PIECES,
-    rounds: int = ROUNDS,
-    trials: int = TRIALS,
     keep_ids: bool = True,
 ) -> DataFrame:
     """One row per piece: the id, ``piece``, ``start``, ``length``, ``ids_crc32``,
@@ -171,8 +240,7 @@ def best_fit_packing(
     ``encoder`` makes a function from a text to an array of ids, once in each worker. Every
     row of ``docs`` is a document of its own, null ids and repeated rows too; a null text is
     the empty text, and an empty text is one piece with ``end_id`` only. Sequences hold at
-    most ``capacity`` ids without gaps. An empty table gives no pieces. ``trials`` bounds the
-    time spent on exchanges in a block, never what is packed.
+    most ``capacity`` ids without gaps. An empty table gives no pieces.
     """
     scratch = Scratch(docs.sparkSession, "packing")
     pieces = pieces_of(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), encoder, end_id, capacity)
@@ -180,20 +248,25 @@ def best_fit_packing(
         pieces = pieces.drop("ids")
     pieces = scratch.store(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
 
-    items, settled = pieces.where(F.col("length") < capacity).select("uid", "length"), None
-    waiting = items.count()
-    for r in range(rounds):
+    items = pieces.where(F.col("length") < capacity).select("uid", "length")
+    waiting, settled, before = items.count(), None, None
+    for r in itertools.count():
         blocks = -(-waiting // block_pieces) or 1
-        packed = scratch.store(_packed(items, capacity, blocks, r, trials), f"round-{r}")
-        items = packed.where(F.col("fill") < capacity).select("uid", "length")
-        before, waiting = waiting, items.count()
-        last = blocks == 1 or r == rounds - 1 or waiting * 10 > before * 9
-        done = packed if last else packed.where(F.col("fill") == capacity)
-        number = (F.shiftleft("block", 24) + F.col("bin")) * rounds + r  # a block has far fewer than 2**24 pieces
-        done = done.select("uid", number.alias("sequence_id"), "offset")
+        packed = scratch.store(_packed(items, capacity, blocks, r), f"round-{r}")
+        starts, under = F.col("offset") == 0, F.col("fill") < capacity
+        made, left, waiting = packed.select(F.count_if(starts), F.count_if(starts & under), F.count_if(under)).first()
+        saves = before is None or made < before[0]
+        if not saves:  # the bins of the round before are as few
+            done, last = before[1], True
+        else:
+            last = blocks == 1 or left == 0
+            done = packed if last else packed.where(~under)
+            before = left, _numbered(packed.where(under), r)
+            done = _numbered(done, r)
         settled = done if settled is None else settled.unionByName(done)
         if last:
             break
+        items = packed.where(under).select("uid", "length")
     # a full piece is a sequence by itself; the others number theirs from 0
     alone = pieces.where(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     shared = pieces.where(F.col("length") < capacity).join(settled, "uid")
