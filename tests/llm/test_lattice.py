@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from compare import DATA
-from tidemark.llm.lattice import MARK, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words
-from tidemark.llm.queries import op5_sentencepiece
+from tidemark.llm.lattice import MARK, _words_of, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words, split_words
+from tidemark.llm.queries import QUERIES, op5_sentencepiece
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [(1, None), (2, ""), (3, " "), (4, "  a   b \n\t c  "), (5, "日本語 😀 z\x00\x85"), (6, "x" * 3000 + " " * 50 + "é" * 200), (6, "Hello world"), (None, "Hello world")]
@@ -71,6 +74,34 @@ def test_round_trip_of_documents(spark, vocabulary):
         assert model.decode(list(r.ids)) == r.decoded
 
 
+def test_the_query_encodes_and_decodes_every_document(spark, vocabulary):
+    found = {r.doc_id: r for r in QUERIES["op5_sentencepiece"](spark, f"{DATA}/sf0.001").collect()}
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    ids_of = {r.word: r.ids.split(" ") for r in op5_sentencepiece(spark, f"{DATA}/sf0.001").collect()}
+    assert sorted(found) == sorted(d.doc_id for d in docs)
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    for d in docs:
+        ids = [i for w in _words_of(d.text or "") for i in ids_of[w]]
+        assert tuple(found[d.doc_id])[1:] == (len(ids), md5(" ".join(ids)), md5(d.text or ""))
+
+
+def test_rare_words_come_back_to_their_places(spark, vocabulary):
+    texts = ["b a b  c a", None, "", "zz zz zz", "a" * 200 + " a", "▁x▁ y", " \n é"]
+    docs = spark.createDataFrame([(n % 3 or None, t) for n, t in enumerate(texts * 2)], "doc_id long, text string")
+    split = {r.text: list(r.words) for r in docs.where("text is not null").select("text", split_words(F.col("text")).alias("words")).collect()}
+    assert split == {t: _words_of(t) for t in texts if t is not None}
+    whole = sorted((str(n % 3 or None), [i for w in _words_of(t or "") for i in ids_of_word(w, vocabulary, spark)]) for n, t in enumerate(texts * 2))
+    for frequent in (0, 2, 1000):
+        found = encode_documents(docs, vocabulary, frequent=frequent).collect()
+        assert sorted((str(r.doc_id), list(r.ids)) for r in found) == whole
+
+
+def ids_of_word(word, vocabulary, spark, seen={}):  # noqa: B006
+    if word not in seen:
+        seen[word] = list(segment_words(spark.createDataFrame([(word,)], "word string"), vocabulary).first().ids)
+    return seen[word]
+
+
 def test_empty_table(spark, vocabulary):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert encode_documents(nothing, vocabulary).count() == 0

@@ -14,10 +14,12 @@ by their hash before they are exploded, so edges are grouped where they arise.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from tidemark.llm.scratch import Scratch
 
 MARK = "▁"
 WORDS = f"{MARK}*[^{MARK}]+|{MARK}+"
+FREQUENT_WORDS = 1 << 18  # of these the ids go to all workers
+TASK_WORDS = 20_000  # so that the edges of a task are grouped in memory
 FOLD_CHARS = 64  # longer words are segmented by the same rule in a Python worker
 
 
@@ -109,7 +113,8 @@ def segment_words(words: DataFrame, vocabulary: Vocabulary, max_chars: int = FOL
     """``word, ids`` of the distinct, non-empty ``word`` s."""
     spark = words.sparkSession
     table = spark.createDataFrame([(p, i, s) for p, (i, s) in vocabulary.pieces.items()], "piece string, id int, score double")
-    short = words.where(F.length("word") <= max_chars).repartition("word").withColumn("length", F.length("word"))
+    tasks = -(-words.count() // TASK_WORDS) or 1
+    short = words.where(F.length("word") <= max_chars).repartition(tasks, "word").withColumn("length", F.length("word"))
     spots = short.select("word", "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1)).alias("since"))
     widest = F.least(F.lit(vocabulary.longest), F.col("length") - F.col("since"))
     spots = spots.select("word", "length", "since", F.explode(F.sequence(F.lit(1), widest)).alias("chars"))
@@ -134,11 +139,13 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = Counter(w for words in batch.column(0).to_pylist() for w in words or ())
+            counts = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update(_words_of(text))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    split = docs.select(split_words(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
-    return split.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_vocabulary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
@@ -149,35 +156,116 @@ def encode_vocabulary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "
     return counts.join(ids, "word")
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _words_of(text: str) -> list[str]:
+    """What ``split_words`` gives."""
+    return re.findall(WORDS, MARK + text.replace(" ", MARK)) if text else []
+
+
+def _frequent(counts: DataFrame, ids: DataFrame, most: int) -> dict[str, list[int]]:
+    """The ids of the most frequent words, ``most`` of them at the most."""
+    level = F.floor(F.log2("n") * 16)
+    chosen, least = 0, None
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        chosen += row["count"]
+        if chosen > most:
+            break
+        least = row["level"]
+    if least is None:
+        return {}
+    return {r.word: list(r.ids) for r in counts.where(level >= least).join(ids, "word").select("word", "ids").collect()}
+
+
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_WORDS) -> DataFrame:
     """One row per row of ``docs``: the id and ``ids``.
 
     A null text is the empty text, which has no ids. Rows may repeat ids or have none; other
-    columns make no difference. Word places are shuffled to the words' ids and back.
+    columns make no difference. The ids of the ``frequent`` most frequent words go to all
+    workers, which leave a hole for each other word. Those words are joined, once per row, to
+    their ids and go back to the row's holes. Rows are matched by a 64-bit hash of id and
+    text; equal rows have equal ids, and a collision is an error.
     """
     scratch = Scratch(docs.sparkSession, "encode")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = scratch.store(rows.select("id", split_words(F.col("text")).alias("words")).withColumn("row", F.monotonically_increasing_id()), "rows")
-    each = rows.select("row", F.posexplode("words").alias("at", "word"))
-    known = scratch.store(segment_words(each.select("word").distinct(), vocabulary), "words")
-    parts = each.join(known, "word").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("parts"))
-    whole = F.flatten(F.transform("parts", lambda p: p["ids"]))
-    none = F.array().cast("array<int>")
-    return rows.join(parts, "row", "left").select(F.col("id").alias(id_col), F.coalesce(whole, none).alias("ids"))
+    counts = scratch.store(word_counts(rows), "counts")
+    known = scratch.store(segment_words(counts.select("word"), vocabulary), "words")
+    wide = "<u2" if max(vocabulary.bytes_from + 255, *(i for i, _ in vocabulary.pieces.values())) < 0xFFFF else "<u4"
+    hole = np.iinfo(wide).max
+    common = {w: np.array(ids, wide).tobytes() for w, ids in _frequent(counts, known, frequent).items()}
+    gap = np.array([hole], wide).tobytes()
+    scratch.drop("counts")
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            row, places, words = [], [], []
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                others = dict.fromkeys(w for w in _words_of(text) if w not in common)
+                row += [key] * len(others)
+                places += range(len(others))
+                words += others
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.string())], ["row", "place", "word"])
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            framed, places = [], []
+            for text in part.column(1).to_pylist():
+                others, out, at = {}, [], []
+                for w in _words_of(text):
+                    ids = common.get(w)
+                    if ids is None:
+                        ids = gap
+                        at.append(others.setdefault(w, len(others)))
+                    out.append(ids)
+                framed.append(b"".join(out))
+                places.append(at)
+            columns = [part.column(0), part.column(2), pa.array(framed, pa.binary()), pa.array(places, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "frame", "places"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            found = []
+            for frame, places, parts in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+                ids = np.frombuffer(frame, wide).astype(np.int32)
+                if places:
+                    words = {p["place"]: np.array(p["ids"], np.int32) for p in parts or ()}
+                    if not len(words) == len(parts or ()) == max(places) + 1:
+                        raise ValueError("two different rows have the same hash of id and text, or a word has no ids")
+                    pieces, last = [], 0
+                    for at, place in zip(np.flatnonzero(ids == hole).tolist(), places, strict=True):
+                        pieces += (ids[last:at], words[place])
+                        last = at + 1
+                    ids = np.concatenate([*pieces, ids[last:]])
+                found.append(ids)
+            ends = np.cumsum([0, *map(len, found)])
+            values = np.concatenate(found) if found else np.array([], np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "ids"])
+
+    keyed = rows.select(F.xxhash64("id", "text").alias("row"), "text", "id")
+    rare = keyed.select("row", "text").mapInArrow(rare_words, "row long, place int, word string")
+    parts = rare.join(known, "word").groupBy("row").agg(F.collect_set(F.struct("place", "ids")).alias("parts"))
+    framed = keyed.mapInArrow(frames, f"row long, id {kind}, frame binary, places array<int>")
+    whole = framed.join(parts, "row", "left").select("id", "frame", "places", "parts")
+    return whole.mapInArrow(fill, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded``: the text of the ids, without the mark in front; exact for any text
     that does not hold the mark itself."""
-    names = {i: p for p, (i, _) in vocabulary.pieces.items()}
-    low = vocabulary.bytes_from
+    raw_of = {i: p.encode() for p, (i, _) in vocabulary.pieces.items()} | {vocabulary.bytes_from + b: bytes([b]) for b in range(256)}
     fields = [*encoded.schema.fieldNames(), "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = []
             for ids in batch.column(batch.schema.get_field_index(ids_col)).to_pylist():
-                raw = b"".join(bytes([i - low]) if low <= i < low + 256 else names[i].encode() for i in ids or ())
+                raw = b"".join(map(raw_of.__getitem__, ids or ()))
                 text = raw.decode("utf-8", "replace").replace(MARK, " ")
                 texts.append(text[1:] if text.startswith(" ") else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], fields)

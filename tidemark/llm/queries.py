@@ -12,7 +12,7 @@ from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.folds import held_out
 from tidemark.llm.language import identify_languages, learn_languages
-from tidemark.llm.lattice import decode, encode_vocabulary, read_vocabulary
+from tidemark.llm.lattice import decode, encode_documents, encode_vocabulary, read_vocabulary
 from tidemark.llm.nn_descent import nearest_neighbours
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import find_personal_data, personal_report
@@ -76,6 +76,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encoded, vocabulary).select("word", "n", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"), "decoded")
 
 
+def op5_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded: how many ids, and digests of the ids and the decoded text."""
+    vocabulary = read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    whole = decode(encode_documents(_documents(spark, sf_dir), vocabulary), vocabulary)
+    digests = F.md5(F.array_join("ids", " ")).alias("ids_md5"), F.md5("decoded").alias("decoded_md5")
+    return whole.select("doc_id", F.size("ids").alias("n_ids"), *digests)
+
+
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_documents(spark, sf_dir))
 
@@ -118,7 +126,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
-    "op5_sentencepiece": op5_sentencepiece,
+    "op5_sentencepiece": op5_documents,  # the words alone are ``op5_sentencepiece``
     "op6_shingle_join": op6_shingle_join,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
