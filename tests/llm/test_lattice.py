@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -62,6 +63,14 @@ def test_long_words_take_the_same_path(spark, vocabulary):
     assert len(segment(MARK + "q" * 100_000, vocabulary)) > 1000
 
 
+def test_ties_are_settled_alike_on_both_paths(spark, vocabulary):
+    rng = random.Random(3)
+    lines = [MARK + c * 70 for c in "-=*_."] + [MARK + "".join(rng.choices("-=.\n/a日é", k=rng.randint(5, 70))) for _ in range(60)]
+    words = spark.createDataFrame([(w,) for w in set(lines)], "word string")
+    folded = {r.word: list(r.ids) for r in segment_words(words, vocabulary, max_chars=100).collect()}
+    assert folded == {w: segment(w, vocabulary) for w in lines}
+
+
 def test_round_trip_of_documents(spark, vocabulary):
     whole = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(i, t, "clash", [1]) for i, t in ODD], "doc_id long, text string, word string, ids array<int>")

@@ -85,28 +85,48 @@ def _best_path(edges: Column, length: Column) -> Column:
     return F.get(F.aggregate(F.sequence(F.lit(1), length), start, step), length)["ids"]
 
 
+# A path is its last id: the path before, how many ids, the id, and a path further back, so
+# that where two paths part is found in few steps.
+def _longer(path: tuple, ids: tuple) -> tuple:
+    for i in ids:
+        jump = path[3]
+        path = (path, path[1] + 1, i, jump[3] if path[1] - jump[1] == jump[1] - jump[3][1] else path)
+    return path
+
+
+def _greater(a: tuple, b: tuple) -> bool:
+    """Whether the ids of ``a`` are greater than those of ``b``, another path of as many ids."""
+    while a[0] is not b[0]:
+        at = 0 if a[3] is b[3] else 3
+        a, b = a[at], b[at]
+    return a[2] > b[2]
+
+
 def segment(word: str, vocabulary: Vocabulary) -> list[int]:
     """The same path for one word; the ids settle ties as the fold's comparison does."""
-    best = [(0, 0.0, ())]
+    none: list = [None, 0, -1, None]
+    none[3] = none
+    best = [(0, 0.0, none)]
     window = vocabulary.longest
     for upto in range(1, len(word) + 1):
-        options = []
+        top = None
         for since in range(max(0, upto - window), upto):
             found = vocabulary.pieces.get(word[since:upto])
-            cost, score, ids = best[since]
-            if found:
-                options.append((cost - 1, score + found[1], (ids, (found[0],))))
-            elif upto - since == 1:
-                raw = tuple(vocabulary.bytes_from + b for b in word[since].encode())
-                options.append((cost - len(raw), score, (ids, raw)))
-        best.append(max(options, key=lambda o: (o[0], o[1])))
+            if not found and upto - since > 1:
+                continue
+            cost, score, path = best[since]
+            ids = (found[0],) if found else tuple(vocabulary.bytes_from + b for b in word[since].encode())
+            value = cost - len(ids), score + (found[1] if found else 0.0)
+            if top is None or value > top[0] or (value == top[0] and _greater(_longer(path, ids), _longer(*top[1:]))):
+                top = value, path, ids
+        best.append((*top[0], _longer(*top[1:])))
         if upto > window:
             best[upto - window - 1] = None  # out of reach
     out, path = [], best[-1][2]
-    while path:
-        path, ids = path
-        out.append(ids)
-    return [i for ids in reversed(out) for i in ids]
+    while path is not none:
+        out.append(path[2])
+        path = path[0]
+    return out[::-1]
 
 
 def segment_words(words: DataFrame, vocabulary: Vocabulary, max_chars: int = FOLD_CHARS) -> DataFrame:
