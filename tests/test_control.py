@@ -245,3 +245,11 @@ def test_locks_prune_partitions(spark, rows, folder):
     locked = locked_read(data, spark.read.parquet(f"{folder}/locks").where("process_id = '1'"), ["ingestion_id"])
     assert [r["v"] for r in locked.collect()] == [7]
     assert "dynamicpruning" in locked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_transitions_of_one_large_id_are_spread(spark):
+    log = spark.range(2000).selectExpr("if(id < 0, 'b', 'a') AS id", "if(id % 2 = 0, 'PROCESSING_SOR', 'LOADED_SOR') AS status", "timestamp_seconds(id * 60) AS at", "id AS seq")
+    checked = checked_transitions(log, ["id"], INGESTION_MOVES)
+    assert checked.where("previous_status IS NULL").count() == 1 and checked.count() == 2000
+    windows = [line for line in checked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [last(status" in line]
+    assert windows and all(line.rsplit("], [", 2)[-2].count("#") > 1 for line in windows)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import carry_forward
+
 # Allowed state changes; None is "no row yet".
 INGESTION_MOVES = (
     (None, "PROCESSING_SOR"),
@@ -49,10 +51,9 @@ def checked_transitions(
 ) -> DataFrame:
     """Each status row with the status before it and whether that change is allowed.
 
-    The rows of one id, a handful, meet in one task.
+    An id with many rows is spread over tasks.
     """
     allowed = [f"{a or ''}>{b}" for a, b in moves]
     step = F.concat_ws(">", F.coalesce("previous_status", F.lit("")), "status")
-    before = Window.partitionBy(*ids).orderBy("at", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    previous = F.last("status", ignorenulls=True).over(before)
-    return rows.withColumn("previous_status", previous).withColumn("allowed", step.isin(*allowed))
+    line = carry_forward(rows, ids, ["at", "seq"], "status", "previous_status", include_current=False)
+    return line.withColumn("allowed", step.isin(*allowed))
