@@ -65,6 +65,8 @@ def test_partition_context_names_and_collision(rows):
     }
     clash = rows("m map<string,string>", ({"a-b": "1", "a_b": "2"},))
     assert clash.select(partition_context(F.col("m")).alias("c")).first()["c"] == {"PARTITION_A_B": "2"}
+    turned = rows("i int", (1,)).select(F.map_from_arrays(F.array(F.lit("a_b"), F.lit("a-b")), F.array(F.lit("2"), F.lit("1"))).alias("m"))
+    assert turned.select(partition_context(F.col("m")).alias("c")).first()["c"] == {"PARTITION_A_B": "2"}
 
 
 CONTEXT = {"PARTITION_DATA_REFERENCIA": "202604", "PARTITION_DIA_BASE": "15"}

@@ -28,16 +28,35 @@ def zero_padded(number: Column, width: int) -> Column:
 
 
 def partition_context(partitions: Column) -> Column:
-    """Map of partitions -> map keyed ``PARTITION_<NAME>``; of colliding names the last wins."""
+    """Map of partitions -> map keyed ``PARTITION_<NAME>``.
+
+    A map's entries have no order of their own, so where names collide the entry whose
+    original name is last as text wins.
+    """
     named = F.transform(
-        F.map_entries(partitions),
+        F.array_sort(F.map_entries(partitions)),
         lambda e: F.struct(F.concat(F.lit(PARTITION_PREFIX), normalize_name(e["key"])).alias("key"), e["value"].alias("value")),
     )
-    last = F.filter(
-        named,
-        lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda later: later["key"] == e["key"]),
-    )
-    return F.map_from_entries(last)
+    return last_entries(named)
+
+
+def with_value(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` and lambdas in it
+    refer to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def last_entries(entries: Column) -> Column:
+    """Array of ``key, value`` -> map. Of entries with one key the last wins."""
+
+    def kept(found: Column) -> Column:
+        backwards = F.reverse(F.transform(found, lambda e: e["key"]))
+        return with_value(
+            backwards,
+            lambda keys: F.filter(found, lambda e, i: F.array_position(keys, e["key"]) == F.size(keys) - i),
+        )
+
+    return F.map_from_entries(with_value(entries, kept))
 
 
 def partition_path(base: Column, table: Column, keys: Sequence[str]) -> Column:

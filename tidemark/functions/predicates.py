@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import stripped
+from tidemark.functions.names import last_entries, stripped
 
 
 def clean_predicate(value: Column) -> Column:
@@ -25,20 +25,15 @@ def parse_override_list(text: Column) -> Column:
     items = F.transform(
         F.split(F.coalesce(text, F.lit("")), ";"),
         lambda item: F.struct(
-            stripped(F.substring_index(item, "::", 1)).alias("name"),
+            stripped(F.substring_index(item, "::", 1)).alias("key"),
             F.when(
                 F.instr(item, "::") > 0,
                 stripped(F.substr(item, F.instr(item, "::") + F.lit(2))),
-            ).alias("predicate"),
+            ).alias("value"),
         ),
     )
-    usable = F.filter(
-        items, lambda e: (e["name"] != "") & F.coalesce(e["predicate"] != "", F.lit(False))
-    )
-    last = F.filter(
-        usable, lambda e, i: ~F.exists(F.slice(usable, i + 2, F.size(usable)), lambda later: later["name"] == e["name"])
-    )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"].alias("key"), e["predicate"].alias("value"))))
+    usable = F.filter(items, lambda e: (e["key"] != "") & F.coalesce(e["value"] != "", F.lit(False)))
+    return last_entries(usable)
 
 
 def override_rows(overrides: DataFrame, keys: Sequence[str]) -> DataFrame:

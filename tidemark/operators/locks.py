@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import enabled
 from tidemark.functions.quality import PROCESS_FIELDS, missing_fields
 from tidemark.functions.refdate import data_atual, with_reference_context
+from tidemark.operators.matching import AMBIGUOUS, FOUND, NOT_FOUND
 from tidemark.operators.ordered import carry_forward
 from tidemark.operators.versions import LOADED, PROCESS_KEYS, VERSION_KEYS, full_key
 
@@ -175,11 +176,25 @@ def missing_locks(
     return sources.where("uses_version").join(locks, on, "left_anti")
 
 
-def version_by_process_month(requests: DataFrame, versions: DataFrame) -> DataFrame:
-    """Version recorded for a process and month; ``version_status`` tells absent ones."""
-    keys = ["process_id", "data_referencia"]
-    return requests.join(versions.select(*keys, "ingestion_id"), keys, "left").withColumn(
-        "version_status", F.when(F.col("ingestion_id").isNull(), "NOT_FOUND").otherwise("OK")
+def version_by_process_month(
+    requests: DataFrame, versions: DataFrame, keys: Sequence[str] = PROCESS_KEYS
+) -> DataFrame:
+    """Version recorded for a process and month; ``version_status`` says if there is one.
+
+    The full key, as sequential ids repeat from one process to the next. A process with two
+    different versions on record is ``AMBIGUOUS`` and gets none; repeated rows count once.
+    """
+    on = full_key(keys, requests, versions)
+    one = versions.groupBy(*on).agg(
+        F.min("ingestion_id").alias("_version"), (F.min("ingestion_id") == F.max("ingestion_id")).alias("_one")
+    )
+    status = (
+        F.when(F.col("_version").isNull(), NOT_FOUND).when(F.col("_one"), FOUND).otherwise(AMBIGUOUS)
+    )
+    return requests.join(one, on, "left").select(
+        *requests.columns,
+        F.when(F.col("_one"), F.col("_version")).alias("ingestion_id"),
+        status.alias("version_status"),
     )
 
 

@@ -1,105 +1,140 @@
 """Ordered computations inside groups of any size.
 
-A group is cut twice by its ordering columns: into coarse buckets, such as the hours of a
-moment, and these into fine ones, such as the moment with the beginning of the tie. Buckets
-follow one another in the group's order, so rows are numbered inside their fine bucket, and
-running sums over the bucket totals, fine ones inside their coarse one and coarse ones
-inside the group, give each its start. No group meets in one task unless it lies in one
-bucket; ``spread`` replaces the default buckets where they are too coarse or too fine.
-
-Everything depends on values only. No job runs while the plan is built, nothing is stored,
-and a task that runs again gives the same rows.
+A group is cut into splits by bounds on its full ordering key. The bounds are quantiles of a
+draw: one row in ``Splits.every``, chosen by a hash of its values, and of the drawn rows of a
+group each ``Splits.size``-th. So a group gets one bound per ``every * size`` rows, wherever
+its rows lie: all in one hour, or all at one moment and told apart by the next column only.
+Rows are dealt once by group and split; prefixes over the split totals give each split its
+start. A group without bounds is one split.
+
+Two scans: the draw, which reads the key columns only, and the rows. Sorting inside splits
+and the totals of splits read the same shuffle. Everything depends on values only, no job
+runs while the plan is built, and nothing is stored. How the bounds reach the rows is left to
+Spark, which looks at their size at run time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Whole numbers share a bucket if they agree above these bits, texts if they begin with as
-# many equal characters; coarse and fine.
-RANGE_BITS = (20, 10)
-PREFIX_CHARS = (6, 10)
-MOMENTS = (T.TimestampType, T.TimestampNTZType)
+# The hash of a group goes before it wherever rows are sorted, as numbers sort faster.
+HASH, GROUP, PLACE, SPLIT = "_hash", "_group", "_place", "_split"
+IN_SPLIT = (HASH, GROUP, SPLIT)
 
-Spread = tuple[Sequence[Column], Sequence[Column]]
 
+@dataclass(frozen=True)
+class Splits:
+    """One row in ``every`` is drawn; ``size`` drawn rows lie between two bounds."""
 
-def _cut(df: DataFrame, name: str, level: int) -> Column:
-    """Values that rise with the column and have many rows each."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.shiftright(F.col(name).cast("long"), RANGE_BITS[level])
-    if isinstance(kind, T.StringType):
-        return F.left(F.col(name), F.lit(PREFIX_CHARS[level]))
-    return F.col(name)
+    every: int = 1024
+    size: int = 1024
 
 
-def default_spread(df: DataFrame, order: Sequence[str]) -> Spread:
-    """Moments: by hour, then by moment and the cut of the next column. Others: two cuts."""
-    first, *rest = order
-    if isinstance(df.schema[first].dataType, MOMENTS):
-        return [F.date_trunc("hour", F.col(first))], [F.col(first), *[_cut(df, c, 1) for c in rest[:1]]]
-    return [_cut(df, first, 0)], [_cut(df, first, 1)]
+def _bounds(rows: DataFrame, splits: Splits) -> DataFrame:
+    """``_group, _bounds``: ascending, one per ``every * size`` rows of the group."""
+    draw = F.pmod(F.xxhash64(HASH, PLACE), F.lit(splits.every)) == 0
+    nth = F.row_number().over(Window.partitionBy(GROUP).orderBy(PLACE))
+    drawn = rows.select(GROUP, PLACE).where(draw).withColumn("_nth", nth)
+    chosen = drawn.where(F.pmod("_nth", F.lit(splits.size)) == 0)
+    return chosen.groupBy(GROUP).agg(F.sort_array(F.collect_list(PLACE)).alias("_bounds"))
 
 
-def _bucketed(df: DataFrame, order: Sequence[str], spread: Spread | None) -> tuple[DataFrame, list[str], list[str]]:
-    coarse, fine = spread or default_spread(df, order)
-    columns = {f"_coarse_{i}": c for i, c in enumerate(coarse)} | {f"_fine_{i}": c for i, c in enumerate(fine)}
-    names = list(columns)
-    return df.withColumns(columns), names[: len(coarse)], names[len(coarse) :]
+def _at_or_below(bounds: Column, place: Column) -> Column:
+    """How many of the ascending ``bounds`` are not above ``place``, by halving."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int"))
 
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["lo"] + at["hi"], 1)
+        above = F.get(bounds, middle) > place
+        return (
+            F.when(at["lo"] >= at["hi"], at)
+            .when(above, F.struct(at["lo"].alias("lo"), middle.alias("hi")))
+            .otherwise(F.struct((middle + 1).alias("lo"), at["hi"].alias("hi")))
+        )
 
-def _earlier(keys: Sequence[str], buckets: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
+    return F.when(bounds.isNull(), 0).otherwise(F.aggregate(rounds, start, halve, lambda at: at["lo"]))
 
 
-def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
-    """Small side of a join on ``keys``, with key names of its own."""
-    return df.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *others)
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """With the group as one value, in which nulls equal each other, and the ordering key."""
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    return df.withColumns({HASH: F.xxhash64(group), GROUP: group, PLACE: F.struct(*order)})
 
 
-def _on_keys(keys: Sequence[str]) -> Column:
-    """Null-safe equality with the key names that ``_renamed`` gives."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return condition
+def _dealt(rows: DataFrame, bounds: DataFrame, first: Column | None = None) -> DataFrame:
+    """Rows of one split in one task. Rows with ``first`` open their group."""
+    found = _at_or_below(F.col("_bounds"), F.col(PLACE))
+    split = found if first is None else F.when(first, 0).otherwise(found)
+    return rows.join(bounds, GROUP, "left").withColumn(SPLIT, split).drop("_bounds", PLACE).repartition(*IN_SPLIT)
 
 
-def number_rows(
+def _by_split(dealt: DataFrame, *totals: Column) -> DataFrame:
+    """Totals of each split. A digest over all columns makes this read the shuffle that the
+    rows themselves are read from, not the input once more."""
+    named = {f.name: F.col(f"`{f.name}`") for f in dealt.schema}
+    hashed = [F.size(named[f.name]) if isinstance(f.dataType, T.MapType) else named[f.name] for f in dealt.schema]
+    whole = F.bit_xor(F.xxhash64(*hashed)).alias("_whole")
+    return dealt.groupBy(*IN_SPLIT).agg(whole, *totals).where(F.col("_whole").isNotNull())
+
+
+def _inside(*order: str, upto: int = Window.currentRow):
+    return Window.partitionBy(*IN_SPLIT).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+
+
+def _earlier_splits():
+    return Window.partitionBy(HASH, GROUP).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def running_total(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    weight: Column,
     out: str,
     base: DataFrame | None = None,
-    spread: Spread | None = None,
+    splits: Splits = Splits(),
 ) -> DataFrame:
-    """1, 2, 3 ... inside each group by ``order``.
+    """Sum of the whole numbers ``weight`` of the group up to and with each row, by ``order``.
 
-    ``base`` (the keys plus ``base``) tells the number each group continues from.
+    ``base`` (the keys plus ``base``, one row per group) tells the number each group
+    continues from; a null one counts as 0. ``order`` should be total.
     """
-    rows, coarse, fine = _bucketed(df, order, spread)
-    group, place = [*keys, *coarse], [*keys, *coarse, *fine]
-    starts = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
-    outer = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    before = lambda rows, buckets: F.coalesce(F.sum("_rows").over(_earlier(rows, buckets)), F.lit(0))
-    outer = outer.select(*group, before(keys, coarse).alias("_outer"))
-    starts = starts.select(*place, before(group, fine).alias("_within"))
-    starts = starts.join(_renamed(outer, group, "_outer"), _on_keys(group))
-    starts = starts.select(*place, (F.col("_within") + F.col("_outer")).alias("_start"))
+    rows = _keyed(df.withColumn("_weight", weight.cast("long")), keys, order)
+    bounds = _bounds(rows, splits)
+    first = None
     if base is not None:
-        starts = starts.join(_renamed(base, keys, "base"), _on_keys(keys), "left")
-        starts = starts.withColumn("_start", F.col("_start") + F.coalesce("base", F.lit(0)))
-    inside = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
-    return (
-        rows.withColumn("_inside", inside)
-        .join(_renamed(starts, place, "_start"), _on_keys(place))
-        .select(*df.columns, (F.col("_inside") + F.col("_start")).cast("long").alias(out))
-    )
+        # A group's base is a row before all others, so that it needs no join of its own.
+        opening = base.select(*keys, F.coalesce("base", F.lit(0)).cast("long").alias("_weight"))
+        group = _keyed(opening, keys, keys or ["_weight"]).select(HASH, GROUP, "_weight", F.lit(True).alias("_opens"))
+        rows = rows.withColumn("_opens", F.lit(False)).unionByName(group, allowMissingColumns=True)
+        first = F.col("_opens")
+    dealt = _dealt(rows, bounds, first)
+    ahead = [] if first is None else [F.desc("_opens")]
+    sums = _by_split(dealt, F.sum("_weight").alias("_sum"))
+    starts = sums.select(*IN_SPLIT, F.sum("_sum").over(_earlier_splits()).alias("_start")).where(F.col("_start") != 0)
+    numbered = dealt.withColumn("_inside", F.sum("_weight").over(_inside(*ahead, *order)))
+    if first is not None:
+        numbered = numbered.where(~first)
+    total = F.col("_inside") + F.coalesce("_start", F.lit(0))
+    return numbered.join(starts, list(IN_SPLIT), "left").select(*df.columns, total.cast("long").alias(out))
+
+
+def number_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    base: DataFrame | None = None,
+    splits: Splits = Splits(),
+) -> DataFrame:
+    """1, 2, 3 ... inside each group by ``order``, or onwards from its ``base``."""
+    return running_total(df, keys, order, F.lit(1), out, base, splits)
 
 
 def carry_forward(
@@ -109,21 +144,17 @@ def carry_forward(
     value: str,
     out: str,
     include_current: bool = True,
-    spread: Spread | None = None,
+    splits: Splits = Splits(),
 ) -> DataFrame:
     """Last non-null ``value`` of the group up to each row (or strictly before it)."""
-    rows, coarse, fine = _bucketed(df, order, spread)
-    group, place = [*keys, *coarse], [*keys, *coarse, *fine]
-    end = 0 if include_current else -1
+    rows = _keyed(df, keys, order)
+    dealt = _dealt(rows, _bounds(rows, splits))
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_last")
-    upto = lambda rows, buckets: F.last("_last", ignorenulls=True).over(_earlier(rows, buckets))
-    outer = rows.groupBy(*group).agg(last).select(*group, upto(keys, coarse).alias("_outer"))
-    before = rows.groupBy(*place).agg(last).select(*place, upto(group, fine).alias("_within"))
-    before = before.join(_renamed(outer, group, "_outer"), _on_keys(group))
-    before = before.select(*place, F.coalesce("_within", "_outer").alias("_before"))
-    inside = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    before = F.last("_last", ignorenulls=True).over(_earlier_splits()).alias("_before")
+    starts = _by_split(dealt, last).select(*IN_SPLIT, before).where(F.col("_before").isNotNull())
+    inside = F.last(value, ignorenulls=True).over(_inside(*order, upto=0 if include_current else -1))
     return (
-        rows.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
-        .join(_renamed(before, place, "_before"), _on_keys(place))
+        dealt.withColumn("_inside", inside)
+        .join(starts, list(IN_SPLIT), "left")
         .select(*df.columns, F.coalesce("_inside", "_before").alias(out))
     )

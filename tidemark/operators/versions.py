@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import zero_padded
+from tidemark.operators.dedup import first_per_key
 from tidemark.operators.ordered import number_rows
 from tidemark.operators.select import latest_rows
 
@@ -41,6 +42,14 @@ def highest_sequence(rows: DataFrame, keys: Sequence[str], id_column: str) -> Da
     )
 
 
+def first_deliveries(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Of rows with one ``key`` the first by ``order``. Rows without a key cannot be known
+    again by it: of those, only exact repeats count as one."""
+    whole = F.concat(F.lit("-"), F.sha2(F.to_json(F.struct(*rows.columns)), 256))
+    told = F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), whole)
+    return first_per_key(rows.withColumn("_delivery", told), ["_delivery"], order).drop("_delivery")
+
+
 def assign_ingestion_id(
     events: DataFrame,
     ledger: DataFrame,
@@ -50,9 +59,13 @@ def assign_ingestion_id(
 ) -> DataFrame:
     """Zero-padded sequence per key in arrival order, continuing from the ledger.
 
-    Events the ledger already knows are left out, so a repeated run adds nothing. One
+    An event that is delivered several times counts once, where it comes first by ``order``;
+    events the ledger already knows are left out, so a repeated run adds nothing. One
     writer per ledger is assumed: two at once would hand out equal ids.
     """
+    if event_key not in events.columns:
+        raise ValueError(f"events have no column {event_key} to tell repeated deliveries by")
+    events = first_deliveries(events, event_key, order)
     if event_key in ledger.columns:
         events = events.join(ledger.select(event_key), event_key, "left_anti")
     numbered = number_rows(
@@ -70,10 +83,15 @@ def assign_process_id(
     request_key: str = "request_id",
 ) -> DataFrame:
     """As ``assign_ingestion_id``, for requests the process table does not know yet;
-    ``named`` gives ``proc_<process>_<month>_<nnn>``."""
-    if request_key in process.columns:
-        known = process.select(request_key).where(F.col(request_key).isNotNull())
-        requests = requests.join(known, request_key, "left_anti")
+    ``named`` gives ``proc_<process>_<month>_<nnn>``.
+
+    Both frames must carry ``request_key``: without it a repeated request could not be told
+    from a new one, and would get a second process.
+    """
+    full_key([request_key], requests, process)
+    requests = first_deliveries(requests, request_key, order)
+    known = process.select(request_key).where(F.col(request_key).isNotNull())
+    requests = requests.join(known, request_key, "left_anti")
     numbered = number_rows(requests, keys, order, "_n", highest_sequence(process, keys, "process_id"))
     new_id: Column = (
         F.concat_ws("_", F.lit(NAMED_PREFIX), *keys, zero_padded(F.col("_n"), NAMED_WIDTH))

@@ -65,6 +65,7 @@ def _earlier_process(spark, sf):
         F.concat(F.lit("prod"), (F.col("c_custkey") % 5).cast("string")).alias("process_name"),
         F.concat(F.lit("2023"), zero_padded(F.col("c_nationkey") % 12 + 1, 2)).alias("data_referencia"),
         F.concat(F.lit("proc_x_"), zero_padded(F.col("c_custkey") % 50, 3)).alias("process_id"),
+        F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("proc_"), zero_padded(F.col("c_custkey"), 10))).alias("request_id"),
     )
 
 
@@ -198,7 +199,8 @@ _EARLIER = (
 )
 _EARLIER_PROCESS = (
     "earlier AS (SELECT 'prod' || (c_custkey % 5) AS process_name, printf('2023%02d', c_nationkey % 12 + 1) AS data_referencia, "
-    "max(c_custkey % 50) AS base FROM customer GROUP BY ALL)"
+    "max(c_custkey % 50) AS base FROM customer GROUP BY ALL), known AS (SELECT printf('proc_%010d', c_custkey) AS id "
+    "FROM customer WHERE c_custkey % 2 = 0)"
 )
 _NUMBER = (
     "row_number() OVER (PARTITION BY process_name, data_referencia ORDER BY created_at, process_id) + coalesce(base, 0)"
@@ -237,10 +239,11 @@ ASSIGNED = f"""WITH {ARRIVALS}, {_EARLIER} SELECT event_id, {_K}, printf('%06d',
 ORACLE = {
     "assign_ingestion_id": ASSIGNED,
     "assign_process_id": f"WITH {REQUESTS}, {_EARLIER_PROCESS} SELECT process_id AS request_id, process_name, data_referencia, "
-    f"printf('%06d', {_NUMBER}) AS process_id FROM requests LEFT JOIN earlier USING (process_name, data_referencia)",
+    f"printf('%06d', {_NUMBER}) AS process_id FROM requests LEFT JOIN earlier USING (process_name, data_referencia) "
+    "WHERE process_id NOT IN (SELECT id FROM known)",
     "assign_process_id_named": f"WITH {REQUESTS}, {_EARLIER_PROCESS} SELECT process_id AS request_id, process_name, "
     f"data_referencia, printf('proc_%s_%s_%03d', process_name, data_referencia, {_NUMBER}) AS process_id "
-    "FROM requests LEFT JOIN earlier USING (process_name, data_referencia)",
+    "FROM requests LEFT JOIN earlier USING (process_name, data_referencia) WHERE process_id NOT IN (SELECT id FROM known)",
     "current_version": f"WITH {LEDGER}, {CURRENT} SELECT {_K}, ingestion_id AS current_ingestion_id, status, "
     f"{stamp_sql('loaded_at')} AS updated_at FROM current_sor",
     "latest_n_versions": f"WITH {LEDGER} SELECT {_K}, ingestion_id, {stamp_sql('loaded_at')} AS loaded_at FROM (SELECT *, "

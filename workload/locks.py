@@ -152,15 +152,17 @@ def _month_view(spark, sf):
 
 
 def _version_by_process_month(spark, sf):
-    versions = current(spark, sf).where("sor_table_name = 'orig9' OR sor_table_name = 'orig1'").select(
-        F.col("process_name").alias("process_id"), "data_referencia", F.col("current_ingestion_id").alias("ingestion_id")
+    """Every product has a process 000001 in each month; prod0 has two versions on record."""
+    versions = current(spark, sf).where("sor_table_name = 'orig1' OR sor_table_name = 'orig2' AND process_name = 'prod0'").select(
+        "process_name", "data_referencia", F.lit("000001").alias("process_id"), F.col("current_ingestion_id").alias("ingestion_id")
     )
     asked = table(spark, sf, "customer").select(
         "c_custkey",
-        F.concat(F.lit("prod"), (F.col("c_custkey") % 7).cast("string")).alias("process_id"),
+        F.concat(F.lit("prod"), (F.col("c_custkey") % 7).cast("string")).alias("process_name"),
         F.concat(F.lit("2023"), zero_padded(F.col("c_nationkey") % 13 + 1, 2)).alias("data_referencia"),
+        F.lit("000001").alias("process_id"),
     )
-    return version_by_process_month(asked, versions)
+    return version_by_process_month(asked, versions.unionByName(versions))
 
 
 def _process_context(spark, sf):
@@ -268,12 +270,13 @@ ORACLE = {
           AND l.data_referencia = m.data_referencia
         LEFT JOIN last_process p ON p.pos = 1 AND p.process_name = m.process_name AND p.data_referencia = m.data_referencia
         LEFT JOIN locks k ON k.process_id = p.process_id AND k.sor_table_name = q.sor_table_name""",
-    "version_by_process_month": f"""WITH {LEDGER}, {CURRENT}, asked AS (SELECT c_custkey, 'prod' || (c_custkey % 7) AS process_id,
-        printf('2023%02d', c_nationkey % 13 + 1) AS data_referencia FROM customer)
-        SELECT process_id, a.data_referencia, c_custkey, ingestion_id,
-        CASE WHEN ingestion_id IS NULL THEN 'NOT_FOUND' ELSE 'OK' END AS version_status
-        FROM asked a LEFT JOIN current_sor c ON c.process_name = a.process_id AND c.data_referencia = a.data_referencia
-        AND c.sor_table_name IN ('orig1', 'orig9')""",
+    "version_by_process_month": f"""WITH {LEDGER}, {CURRENT}, asked AS (SELECT c_custkey, 'prod' || (c_custkey % 7) AS process_name,
+        printf('2023%02d', c_nationkey % 13 + 1) AS data_referencia FROM customer),
+        recorded AS (SELECT process_name, data_referencia, min(ingestion_id) AS version, count(DISTINCT ingestion_id) AS n
+        FROM current_sor WHERE sor_table_name = 'orig1' OR sor_table_name = 'orig2' AND process_name = 'prod0' GROUP BY ALL)
+        SELECT c_custkey, process_name, data_referencia, '000001' AS process_id, CASE WHEN n = 1 THEN version END AS ingestion_id,
+        CASE WHEN n IS NULL THEN 'NOT_FOUND' WHEN n = 1 THEN 'OK' ELSE 'AMBIGUOUS' END AS version_status
+        FROM asked LEFT JOIN recorded USING (process_name, data_referencia)""",
     "process_context": f"""WITH {REQUESTS}, known AS (SELECT process_id, CASE WHEN priority <> '3-MEDIUM' THEN process_name END AS process_name,
         CASE WHEN priority <> '2-HIGH' THEN data_referencia END AS data_referencia, true AS found FROM requests),
         j AS (SELECT printf('proc_%010d', l_orderkey) AS process_id, l_linenumber, k.process_name, k.data_referencia, k.found,
