@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.locks import lock_as_of
-from tidemark.operators.ordered import Splits, _bounds, _dealt, _keyed, carry_forward, number_rows, running_total
+from tidemark.operators.ordered import Splits, _dealt, _keyed, carry_forward, number_rows, running_total
 from tidemark.operators.select import stable_row_id
 from tidemark.operators.versions import assign_ingestion_id, assign_process_id
 
@@ -47,9 +47,11 @@ def test_a_hot_hour_or_moment_is_spread(spark, moment):
         F.lit("hot").alias("k"), F.expr(moment).alias("at"), F.format_string("ev_%010d", "id").alias("tie")
     )
     splits = Splits(every=8, size=100)
-    keyed = _keyed(rows, ["k"], ["at", "tie"])
-    sizes = [r["count"] for r in _dealt(keyed, _bounds(keyed, splits)).groupBy("_split").count().collect()]
+    keyed, keys = _keyed(rows, ["k"], ["at", "tie"])
+    sizes = [r["count"] for r in _dealt(keyed, keys, splits).groupBy("_split").count().collect()]
     assert len(sizes) > 40 and max(sizes) < 2000 and sum(sizes) == 40_000
+    few = [r["count"] for r in _dealt(keyed, keys, Splits(8, 100, most=10)).groupBy("_split").count().collect()]
+    assert 5 < len(few) <= 11 and max(few) < 10_000 and sum(few) == 40_000
     numbers = number_rows(rows, ["k"], ["at", "tie"], "n", splits=splits)
     assert numbers.where(F.col("n") != F.substring("tie", 4, 10).cast("long") + 1).count() == 0
 

@@ -9,8 +9,8 @@ start. A group without bounds is one split.
 
 Two scans: the draw, which reads the key columns only, and the rows. Sorting inside splits
 and the totals of splits read the same shuffle. Everything depends on values only, no job
-runs while the plan is built, and nothing is stored. How the bounds reach the rows is left to
-Spark, which looks at their size at run time.
+runs while the plan is built, and nothing is stored. There are at most ``Splits.most`` bounds
+over all groups, and a start for each: that is all that is broadcast.
 """
 
 from __future__ import annotations
@@ -22,26 +22,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The hash of a group goes before it wherever rows are sorted, as numbers sort faster.
-HASH, GROUP, PLACE, SPLIT = "_hash", "_group", "_place", "_split"
-IN_SPLIT = (HASH, GROUP, SPLIT)
+PLACE, SPLIT = "_place", "_split"
 
 
 @dataclass(frozen=True)
 class Splits:
-    """One row in ``every`` is drawn; ``size`` drawn rows lie between two bounds."""
+    """One row in ``every`` is drawn; ``size`` drawn rows lie between two bounds, or more in
+    tables so large that there would be over ``most`` bounds."""
 
     every: int = 1024
     size: int = 1024
+    most: int = 1 << 16
 
 
-def _bounds(rows: DataFrame, splits: Splits) -> DataFrame:
-    """``_group, _bounds``: ascending, one per ``every * size`` rows of the group."""
-    draw = F.pmod(F.xxhash64(HASH, PLACE), F.lit(splits.every)) == 0
-    nth = F.row_number().over(Window.partitionBy(GROUP).orderBy(PLACE))
-    drawn = rows.select(GROUP, PLACE).where(draw).withColumn("_nth", nth)
+def _bounds(rows: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
+    """The keys and ``_bounds``: ascending, one per ``every * size`` rows of the group."""
+    draw = F.pmod(F.xxhash64(*keys, PLACE), F.lit(splits.every)) == 0
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(PLACE))
+    drawn = rows.select(*keys, PLACE).where(draw).withColumn("_nth", nth)
     chosen = drawn.where(F.pmod("_nth", F.lit(splits.size)) == 0)
-    return chosen.groupBy(GROUP).agg(F.sort_array(F.collect_list(PLACE)).alias("_bounds"))
+    # One row per every * size of the table is left here, few enough to be counted in one task.
+    stride = F.ceil(F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) / F.lit(splits.most))
+    chosen = chosen.withColumn("_stride", stride).where(F.pmod(F.col("_nth") / F.lit(splits.size), F.col("_stride")) == 0)
+    return chosen.groupBy(*keys).agg(F.sort_array(F.collect_list(PLACE)).alias("_bounds"))
 
 
 def _at_or_below(bounds: Column, place: Column) -> Column:
@@ -61,34 +64,45 @@ def _at_or_below(bounds: Column, place: Column) -> Column:
     return F.when(bounds.isNull(), 0).otherwise(F.aggregate(rounds, start, halve, lambda at: at["lo"]))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """With the group as one value, in which nulls equal each other, and the ordering key."""
-    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return df.withColumns({HASH: F.xxhash64(group), GROUP: group, PLACE: F.struct(*order)})
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """With the ordering key as one value, and the keys; a constant where there are none."""
+    rows = df.withColumn(PLACE, F.struct(*order))
+    return (rows, list(keys)) if keys else (rows.withColumn("_all", F.lit(0)), ["_all"])
 
 
-def _dealt(rows: DataFrame, bounds: DataFrame, first: Column | None = None) -> DataFrame:
+def _with_small(rows: DataFrame, small: DataFrame, on: Sequence[str], value: str) -> DataFrame:
+    """Left join that takes nulls of the keys as equal. ``small`` is bounded by ``Splits.most``."""
+    renamed = small.select(*[F.col(k).alias(f"_on_{k}") for k in on], value)
+    condition = F.lit(True)
+    for k in on:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_on_{k}"))
+    return rows.join(F.broadcast(renamed), condition, "left").drop(*[f"_on_{k}" for k in on])
+
+
+def _dealt(rows: DataFrame, keys: Sequence[str], splits: Splits, first: Column | None = None) -> DataFrame:
     """Rows of one split in one task. Rows with ``first`` open their group."""
+    drawn = rows if first is None else rows.where(~first)
     found = _at_or_below(F.col("_bounds"), F.col(PLACE))
     split = found if first is None else F.when(first, 0).otherwise(found)
-    return rows.join(bounds, GROUP, "left").withColumn(SPLIT, split).drop("_bounds", PLACE).repartition(*IN_SPLIT)
+    placed = _with_small(rows, _bounds(drawn, keys, splits), keys, "_bounds").withColumn(SPLIT, split)
+    return placed.drop("_bounds", PLACE).repartition(*keys, SPLIT)
 
 
-def _by_split(dealt: DataFrame, *totals: Column) -> DataFrame:
+def _by_split(dealt: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
     """Totals of each split. A digest over all columns makes this read the shuffle that the
     rows themselves are read from, not the input once more."""
     named = {f.name: F.col(f"`{f.name}`") for f in dealt.schema}
     hashed = [F.size(named[f.name]) if isinstance(f.dataType, T.MapType) else named[f.name] for f in dealt.schema]
     whole = F.bit_xor(F.xxhash64(*hashed)).alias("_whole")
-    return dealt.groupBy(*IN_SPLIT).agg(whole, *totals).where(F.col("_whole").isNotNull())
+    return dealt.groupBy(*keys, SPLIT).agg(whole, *totals).where(F.col("_whole").isNotNull())
 
 
-def _inside(*order: str, upto: int = Window.currentRow):
-    return Window.partitionBy(*IN_SPLIT).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+def _inside(keys: Sequence[str], *order, upto: int = Window.currentRow):
+    return Window.partitionBy(*keys, SPLIT).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
 
 
-def _earlier_splits():
-    return Window.partitionBy(HASH, GROUP).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+def _earlier_splits(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_total(
@@ -105,24 +119,21 @@ def running_total(
     ``base`` (the keys plus ``base``, one row per group) tells the number each group
     continues from; a null one counts as 0. ``order`` should be total.
     """
-    rows = _keyed(df.withColumn("_weight", weight.cast("long")), keys, order)
-    bounds = _bounds(rows, splits)
-    first = None
+    rows, by = _keyed(df.withColumn("_weight", weight.cast("long")), keys, order)
+    first, ahead = None, []
     if base is not None:
         # A group's base is a row before all others, so that it needs no join of its own.
-        opening = base.select(*keys, F.coalesce("base", F.lit(0)).cast("long").alias("_weight"))
-        group = _keyed(opening, keys, keys or ["_weight"]).select(HASH, GROUP, "_weight", F.lit(True).alias("_opens"))
-        rows = rows.withColumn("_opens", F.lit(False)).unionByName(group, allowMissingColumns=True)
-        first = F.col("_opens")
-    dealt = _dealt(rows, bounds, first)
-    ahead = [] if first is None else [F.desc("_opens")]
-    sums = _by_split(dealt, F.sum("_weight").alias("_sum"))
-    starts = sums.select(*IN_SPLIT, F.sum("_sum").over(_earlier_splits()).alias("_start")).where(F.col("_start") != 0)
-    numbered = dealt.withColumn("_inside", F.sum("_weight").over(_inside(*ahead, *order)))
+        opening = base.select(*keys, F.coalesce("base", F.lit(0)).cast("long").alias("_weight"), F.lit(True).alias("_opens"))
+        rows = rows.withColumn("_opens", F.lit(False)).unionByName(opening, allowMissingColumns=True)
+        first, ahead = F.col("_opens"), [F.desc("_opens")]
+    dealt = _dealt(rows, by, splits, first)
+    sums = _by_split(dealt, by, F.sum("_weight").alias("_sum"))
+    starts = sums.withColumn("_start", F.sum("_sum").over(_earlier_splits(by))).where(F.col("_start") != 0)
+    numbered = dealt.withColumn("_inside", F.sum("_weight").over(_inside(by, *ahead, *order)))
     if first is not None:
         numbered = numbered.where(~first)
     total = F.col("_inside") + F.coalesce("_start", F.lit(0))
-    return numbered.join(starts, list(IN_SPLIT), "left").select(*df.columns, total.cast("long").alias(out))
+    return _with_small(numbered, starts, [*by, SPLIT], "_start").select(*df.columns, total.cast("long").alias(out))
 
 
 def number_rows(
@@ -147,14 +158,12 @@ def carry_forward(
     splits: Splits = Splits(),
 ) -> DataFrame:
     """Last non-null ``value`` of the group up to each row (or strictly before it)."""
-    rows = _keyed(df, keys, order)
-    dealt = _dealt(rows, _bounds(rows, splits))
+    rows, by = _keyed(df, keys, order)
+    dealt = _dealt(rows, by, splits)
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_last")
-    before = F.last("_last", ignorenulls=True).over(_earlier_splits()).alias("_before")
-    starts = _by_split(dealt, last).select(*IN_SPLIT, before).where(F.col("_before").isNotNull())
-    inside = F.last(value, ignorenulls=True).over(_inside(*order, upto=0 if include_current else -1))
-    return (
-        dealt.withColumn("_inside", inside)
-        .join(starts, list(IN_SPLIT), "left")
-        .select(*df.columns, F.coalesce("_inside", "_before").alias(out))
+    before = F.last("_last", ignorenulls=True).over(_earlier_splits(by))
+    starts = _by_split(dealt, by, last).withColumn("_before", before).where((F.col(SPLIT) > 0) & F.col("_before").isNotNull())
+    inside = F.last(value, ignorenulls=True).over(_inside(by, *order, upto=0 if include_current else -1))
+    return _with_small(dealt.withColumn("_inside", inside), starts, [*by, SPLIT], "_before").select(
+        *df.columns, F.coalesce("_inside", "_before").alias(out)
     )
