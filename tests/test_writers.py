@@ -9,13 +9,18 @@ import pytest
 
 from tidemark import DestSpec
 from tidemark.sinks import (
+    append_manifest,
     check_partition_keys,
     destination_settings,
     export_csv,
+    present_files,
+    read_manifest,
     write_catalog_table,
     write_partitions,
     write_result,
+    written_files,
 )
+from tidemark.sinks.manifest import partition_folder
 
 
 def test_only_written_partitions_change(spark, rows, folder):
@@ -107,3 +112,61 @@ def test_destination_kind_and_settings(rows, folder):
         destination_settings({}, {"dev": {}}, {}, "dev")
     with pytest.raises(ValueError, match="environment"):
         destination_settings(technical, {}, {}, "hom")
+
+
+def test_manifest_of_a_write(spark, rows, folder):
+    """Values that paths escape, nulls, an untouched partition, and a partition written twice."""
+    schema = "v int, k string, m string"
+    odd = ["a:b/c", "50%", "x=y", "'q'", "é[1]", "000008", "sp ace", "1+1"]
+    dest = DestSpec(folder, "t", partition_keys=["k", "m"])
+    first = write_partitions(rows(schema, *[(i, o, "1") for i, o in enumerate(odd)], (9, None, "2"), (10, None, "2")), dest)
+    assert {partition_folder(p) for p in first.partitions} == {
+        os.path.relpath(os.path.dirname(f), dest.path) for f in glob.glob(f"{dest.path}/*/*/*.parquet")
+    }
+    append_manifest(spark, first, f"{folder}/manifest", "w1")
+    second = write_partitions(rows(schema, (5, "a:b/c", "1"), (6, "a:b/c", "1"), (7, "new", "1")), dest)
+    listed = written_files(spark, second)
+    assert len(second.partitions) == 2
+    assert {(r.partition, r.rows) for r in listed.collect()} == {("k=a%3Ab%2Fc/m=1", 2), ("k=new/m=1", 1)}
+    append_manifest(spark, second, f"{folder}/manifest", "w2")
+    nothing = write_partitions(rows(schema), dest)
+    assert nothing.partitions == [] and written_files(spark, nothing).count() == 0
+    append_manifest(spark, nothing, f"{folder}/manifest", "w3")
+    there = {os.path.join(r.partition, r.file_name): (r.rows, r.bytes) for r in present_files(read_manifest(spark, f"{folder}/manifest")).collect()}
+    files = {os.path.relpath(f, dest.path): os.path.getsize(f) for f in glob.glob(f"{dest.path}/*/*/*.parquet")}
+    assert {k: b for k, (_, b) in there.items()} == files
+    assert sum(n for n, _ in there.values()) == spark.read.schema(schema).parquet(dest.path).count() == 12
+
+
+def test_catalog_writes_look_at_their_own_partitions_only(spark, rows, folder):
+    dest = DestSpec(folder, "t", database="tm_own", partition_keys=["p"])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tm_own LOCATION '{folder}/db'")
+    spark.sql("DROP TABLE IF EXISTS tm_own.t")
+    write_partitions(rows("a int, p string", (0, "before")), dest)
+    write_catalog_table(rows("a int, p string", (1, "x")), dest)
+    write_partitions(rows("a int, p string", (5, "aside")), dest)
+    write_catalog_table(rows("a int, p string", (2, "it's"), (3, None), (4, "x")), dest)
+    assert {tuple(r) for r in spark.table("tm_own.t").collect()} == {(0, "before"), (2, "it's"), (3, None), (4, "x")}
+    elsewhere = DestSpec(f"{folder}/two", "t", database="tm_own", partition_keys=["p"])
+    with pytest.raises(ValueError, match="lies at"):
+        write_result(rows("a int, p string", (7, "x")), elsewhere)
+    assert not os.path.exists(f"{folder}/two")
+    write_result(rows("a int, p string", (8, "x")), DestSpec(f"file:{folder}/", "t", database="tm_own", partition_keys=["p"]))
+    assert spark.table("tm_own.t").where("p = 'x'").first()["a"] == 8
+    spark.sql("DROP TABLE tm_own.t")
+    spark.sql("DROP DATABASE tm_own")
+
+
+def test_one_file_from_many_tasks(spark, folder):
+    df = spark.range(0, 1600, 1, 16).selectExpr("id", "'é,' || id AS t")
+    spark.sparkContext.setJobGroup("single", "export")
+    dest = DestSpec(folder, "one", kind="csv", file_name="all.csv", single=True)
+    assert export_csv(df, dest).rows == 1600
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("single") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) == 16
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with open(f"{folder}/one/all.csv", encoding="utf-8") as f:
+        lines = f.read().splitlines()
+    assert lines[0] == "id,t" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(1600))
+    assert [f for f in os.listdir(f"{folder}/one") if not f.startswith(".")] == ["all.csv"]

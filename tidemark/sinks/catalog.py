@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.sinks.manifest import add_partitions
 from tidemark.sinks.partitions import WriteReport, check_partition_keys, write_partitions
 from tidemark.specs import DestSpec
 
@@ -15,29 +16,44 @@ def _columns(fields: Sequence[T.StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, spelled one way."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return _qualified(spark, rows.first()["data_type"])
+
+
 def write_catalog_table(
     df: DataFrame, dest: DestSpec, constant_keys: Sequence[str] = ()
 ) -> WriteReport:
-    """Replace the written partitions and let the catalog know of all that are there.
+    """Replace the written partitions and let the catalog know of them.
 
-    The files are written as without a catalog, so partitions that a forgotten or dropped
-    table left under the path stay, and are found again. New columns are added to the
-    table. A changed type or partitioning is refused; columns the output no longer has
-    become null.
+    A table that is made here takes in what a forgotten or dropped one left under the path;
+    later writes add their own partitions and look at no others. New columns are added to
+    the table. Refused are a changed type or partitioning, and a table that lies elsewhere:
+    its readers would not see what is written. Columns the output no longer has become null.
     """
     spark = df.sparkSession
     keys = check_partition_keys(df.columns, dest.partition_keys)
     name = f"`{dest.database}`.`{dest.table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dest.database}`")
     data = [f for f in df.schema if f.name not in keys]
-    if spark.catalog.tableExists(name):
+    known = spark.catalog.tableExists(name)
+    if known:
+        lies, goes = table_location(spark, name), _qualified(spark, dest.path)
+        if lies != goes:
+            raise ValueError(f"table {name} lies at {lies}, not at {goes}")
         table = spark.table(name)
-        known = {f.name: f.dataType for f in table.schema}
+        types = {f.name: f.dataType for f in table.schema}
         now_keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        changed = [f.name for f in df.schema if f.name in known and known[f.name] != f.dataType]
+        changed = [f.name for f in df.schema if f.name in types and types[f.name] != f.dataType]
         if changed or now_keys != keys:
             raise ValueError("table cannot change type or partitioning: " + ", ".join(changed or keys))
-        added = [f for f in data if f.name not in known]
+        added = [f for f in data if f.name not in types]
         if added:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
     else:
@@ -45,6 +61,9 @@ def write_catalog_table(
         by = ", ".join(f"`{k}`" for k in keys)
         spark.sql(f"CREATE TABLE {name} ({_columns(fields)}) USING parquet PARTITIONED BY ({by}) LOCATION '{dest.path}'")
     report = write_partitions(df, dest, constant_keys)
-    spark.catalog.recoverPartitions(name)
+    if known:
+        add_partitions(spark, name, report.partitions)
+    else:
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return report

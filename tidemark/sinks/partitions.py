@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.counts import observed
 from tidemark.specs import DestSpec
 
 
 @dataclass(frozen=True)
 class WriteReport:
+    """Where a write went, its rows, and the partitions it replaced, as the job saw them."""
+
     path: str
     rows: int
+    keys: Sequence[str] = ()
+    partitions: Sequence[Mapping[str, str | None]] = ()
+    schema: T.StructType | None = None
 
 
 def check_partition_keys(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
@@ -61,11 +67,17 @@ def write_partitions(
     it replaces, and a failed job leaves the old partitions.
     """
     keys = check_partition_keys(df.columns, dest.partition_keys)
-    counted, observation = observed(arranged(df, keys, constant_keys))
+    observation = Observation()
+    tuple_of_keys = F.struct(*[F.col(f"`{k}`").cast("string").alias(k) for k in keys])
+    counted = arranged(df, keys, constant_keys).observe(
+        observation, F.count(F.lit(1)).alias("rows"), F.collect_set(tuple_of_keys).alias("partitions")
+    )
     (
         writer(counted, dest)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(dest.path)
     )
-    return WriteReport(dest.path, observation.get["rows"])
+    seen = observation.get
+    partitions = [p.asDict() if hasattr(p, "asDict") else dict(zip(keys, p)) for p in seen["partitions"]]
+    return WriteReport(dest.path, seen["rows"], keys, partitions, df.schema)

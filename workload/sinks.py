@@ -8,8 +8,11 @@ from tidemark import DestSpec
 from tidemark.functions.names import zero_padded
 from tidemark.session import shared_folder
 from tidemark.sinks import (
+    append_manifest,
     check_partition_keys,
     export_csv,
+    present_files,
+    read_manifest,
     write_catalog_table,
     write_partitions,
     write_result,
@@ -43,6 +46,30 @@ def _write_partitions(spark, sf):
     return spark.read.schema(df.schema).parquet(staged(spark, sf, "written", write)).select(*COLUMNS)
 
 
+def _write_manifest(spark, sf):
+    """Two writes of the same table, and what their manifest says of each partition now."""
+    df = _slim(spark, sf).withColumn("ano", F.substring("data_base", 1, 4))
+
+    def write(path):
+        dest = _in(f"{path}/t", partition_keys=["ano", "situacao"])
+        append_manifest(spark, write_partitions(df, dest), f"{path}/manifest", "first")
+        append_manifest(spark, write_partitions(df.where("situacao = 'R' AND num_parcela < 4"), dest), f"{path}/manifest", "second")
+
+    manifest = read_manifest(spark, staged(spark, sf, "manifest", write) + "/manifest")
+    writes = manifest.groupBy("partition").agg(F.countDistinct("write_id").alias("writes"))
+    there = present_files(manifest).groupBy("partition").agg(F.sum("rows").alias("rows"), F.max("write_id").alias("last_write"))
+    return there.join(writes, "partition").select("partition", "rows", "last_write", "writes")
+
+
+def _export_single(spark, sf):
+    """Many tasks write the parts, one file is what is left."""
+    df = _slim(spark, sf)
+    path = staged(
+        spark, sf, "single", lambda p: export_csv(df.repartition(16), _in(p, kind="csv", file_name="contratos.csv", single=True))
+    )
+    return _csv_back(spark, f"{path}/contratos.csv", df, True)
+
+
 def _check_partition_keys(spark, sf):
     """Partition values survive as text: leading zeros, nulls, characters that need escaping."""
     df = table(spark, sf, "orders").select(
@@ -152,6 +179,8 @@ QUERIES = {
     "file_options": _file_options,
     "export_csv": _export_csv(True),
     "csv_header": _export_csv(False),
+    "export_single": _export_single,
+    "write_manifest": _write_manifest,
     "write_dispatch": _write_dispatch,
 }
 
@@ -169,6 +198,11 @@ ORACLE = {
     "file_options": f"WITH {CONTRACT} SELECT situacao, count(*) AS n FROM contrato GROUP BY situacao",
     "export_csv": _SLIM,
     "csv_header": _SLIM,
+    "export_single": _SLIM,
+    "write_manifest": f"""WITH {CONTRACT}, g AS (SELECT 'ano=' || substr(data_base, 1, 4) || '/situacao=' || situacao AS partition,
+        situacao, count(*) AS n, count(*) FILTER (situacao = 'R' AND num_parcela < 4) AS again FROM contrato GROUP BY ALL)
+        SELECT partition, CASE WHEN again > 0 THEN again ELSE n END AS rows, CASE WHEN again > 0 THEN 'second' ELSE 'first' END AS last_write,
+        CASE WHEN again > 0 THEN 2 ELSE 1 END AS writes FROM g""",
     "write_dispatch": f"WITH {CONTRACT}, g AS (SELECT data_base, situacao, count(*) AS n FROM contrato GROUP BY ALL) "
     "SELECT *, 'catalogo' AS kind FROM g UNION ALL SELECT *, 'csv' FROM g",
 }
