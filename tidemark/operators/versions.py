@@ -42,12 +42,16 @@ def highest_sequence(rows: DataFrame, keys: Sequence[str], id_column: str) -> Da
     )
 
 
+def delivery_key(rows: DataFrame, key: str) -> Column:
+    """What a repeated delivery is known by: the key, or the whole row where that is null."""
+    whole = F.concat(F.lit("-"), F.sha2(F.to_json(F.struct(*rows.columns)), 256))
+    return F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), whole)
+
+
 def first_deliveries(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Of rows with one ``key`` the first by ``order``. Rows without a key cannot be known
     again by it: of those, only exact repeats count as one."""
-    whole = F.concat(F.lit("-"), F.sha2(F.to_json(F.struct(*rows.columns)), 256))
-    told = F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), whole)
-    return first_per_key(rows.withColumn("_delivery", told), ["_delivery"], order).drop("_delivery")
+    return first_per_key(rows.withColumn("_delivery", delivery_key(rows, key)), ["_delivery"], order).drop("_delivery")
 
 
 def assign_ingestion_id(
@@ -56,8 +60,10 @@ def assign_ingestion_id(
     keys: Sequence[str] = VERSION_KEYS,
     order: Sequence[str] = ("event_time", "event_id"),
     event_key: str = "event_id",
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """Zero-padded sequence per key in arrival order, continuing from the ledger.
+    """Zero-padded sequence per key in arrival order, continuing from the ledger, or from
+    ``base`` (the keys plus ``base``) where the highest numbers are kept apart.
 
     An event that is delivered several times counts once, where it comes first by ``order``;
     events the ledger already knows are left out, so a repeated run adds nothing. One
@@ -68,9 +74,9 @@ def assign_ingestion_id(
     events = first_deliveries(events, event_key, order)
     if event_key in ledger.columns:
         events = events.join(ledger.select(event_key), event_key, "left_anti")
-    numbered = number_rows(
-        events, keys, order, "_n", highest_sequence(ledger, keys, "ingestion_id")
-    )
+    if base is None:
+        base = highest_sequence(ledger, keys, "ingestion_id")
+    numbered = number_rows(events, keys, order, "_n", base)
     return numbered.withColumn("ingestion_id", zero_padded(F.col("_n"), SEQUENCE_WIDTH)).drop("_n")
 
 

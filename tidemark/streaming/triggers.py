@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.readiness import FIRST_ONLY, execution_triggers
 from tidemark.operators.versions import WINDOW_KEYS
-from tidemark.streaming.batches import PLACE, create_folder, other_batches, run_of, write_batch
+from tidemark.streaming.batches import PLACE, create_folder, finish_folds, fold_batches, months_of, other_batches, run_of, write_batch
 
 TRIGGER_IDENTITY = [*WINDOW_KEYS, "sor_table_name", "ingestion_id"]
 
@@ -24,7 +24,8 @@ def emit_triggers(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Start the stream. Each batch looks only at the months its loads belong to.
+    """Start the stream. Each batch reads only the months its loads belong to, and there only
+    the processes it has loads of.
 
     A month in ``FIRST_ONLY`` triggers once even if an older load arrives late; in
     ``ALWAYS`` each load triggers at most once.
@@ -44,11 +45,15 @@ def emit_triggers(
         run = run_of(spark, checkpoint)
         df.persist()
         try:
-            known = other_batches(spark, ledger_path, loads.schema, run, batch_id).drop(*PLACE)
+            months = months_of(df)
+            for path, schema in ((ledger_path, loads.schema), (triggers_path, trigger_schema)):
+                finish_folds(spark, path)
+                fold_batches(spark, path, schema, run, batch_id, months)
+            known = other_batches(spark, ledger_path, loads.schema, run, batch_id, months).drop(*PLACE)
             write_batch(df, ledger_path, run, batch_id)
             touched = df.select(*keys).distinct()
             relevant = known.join(touched, keys, "left_semi").unionByName(df)
-            emitted = other_batches(spark, triggers_path, trigger_schema, run, batch_id)
+            emitted = other_batches(spark, triggers_path, trigger_schema, run, batch_id, months)
             due = execution_triggers(relevant, process_config).join(
                 emitted.select(*TRIGGER_IDENTITY), TRIGGER_IDENTITY, "left_anti"
             )

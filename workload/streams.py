@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.streaming import emit_triggers, register_arrivals
 from workload import inputs
 from workload.inputs import ARRIVALS, TABLE_CONFIG, process_config, staged, stamp, table_config
@@ -57,6 +59,24 @@ def _stream_restart(spark, sf):
     return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
 
 
+def _stream_duplicates(spark, sf):
+    """At-least-once delivery: a third of the events twice in one batch, a third again in the
+    next; the state store drops some, the ledger knows the others."""
+
+    def write(path):
+        events = inputs.arrivals(spark, sf).drop("sor_table_name").withColumn("event_time", F.col("event_time").cast("timestamp"))
+        first, second = events.where("event_id % 3 <> 0"), events.where("event_id % 3 <> 1")
+        for name, sent, within in (("a", first.unionByName(first.where("event_id % 3 = 1")), "400 days"), ("b", second, None)):
+            sent.write.parquet(f"{path}/in/{name}")
+            stream = spark.readStream.schema(events.schema).parquet(f"{path}/in/*")
+            register_arrivals(stream, table_config(spark), f"{path}/ledger", f"{path}/check-{name}", within=within).awaitTermination()
+
+    path = staged(spark, sf, "stream-duplicates", write)
+    columns = ["event_id", *KEYS, "ingestion_id", "status"]
+    schema = "event_id bigint, " + ", ".join(f"{c} string" for c in columns[1:])
+    return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
+
+
 def _stream_readiness(spark, sf):
     def write(path):
         loads = inputs.ledger(_Streamed(spark, sf), sf)
@@ -81,6 +101,7 @@ def _stream_readiness(spark, sf):
 QUERIES = {
     "stream_registration": _stream_registration,
     "stream_restart": _stream_restart,
+    "stream_duplicates": _stream_duplicates,
     "stream_readiness": _stream_readiness,
 }
 
@@ -94,4 +115,7 @@ ORACLE = {
         'PROCESSING_SOR' AS status FROM mapped""",
     "stream_readiness": TRIGGERS,
 }
+ORACLE["stream_duplicates"] = ORACLE["stream_registration"].replace(
+    "ORDER BY event_time, event_id", "ORDER BY event_id % 3 = 0, event_time, event_id"
+)
 ORACLE["stream_restart"] = ORACLE["stream_registration"]
