@@ -105,4 +105,18 @@ def test_odd_rows_pass_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES[1:]:
         before, docs = docs, stage(spark, docs, SF)
         assert docs.count() <= before.count() or "piece" in docs.columns
-    assert sorted((r.doc_id is None, r.doc_id) for r in docs.collect()) == [(False, 2), (False, 4), (True, None), (True, None)]
+    assert sorted((r.doc_id is None, r.doc_id) for r in docs.collect()) == [(False, 2), (False, 4), (True, None)]
+
+
+def test_rows_are_judged_by_their_text_and_not_by_their_id_alone(spark):
+    """Repeated and null ids: no unique text is lost, and one of full copies stays."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(1, "same text"), (2, "SAME text"), (1, "a unique clean text"), (5, "copy"), (5, "copy"), (5, "Copy"), (None, "n"), (None, "n")]
+    rows += [(9, "largest"), (9, "another of nine"), (7, "Largest"), (None, "largest")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(((r.doc_id or 0), r.text.lower()) for r in corpus_pipeline.exact_dedup(spark, docs, SF).collect())
+    assert left == [(0, "n"), (1, "a unique clean text"), (2, "same text"), (5, "copy"), (9, "another of nine"), (9, "largest")]
+    docs = spark.createDataFrame([(0, near[0]), (3, near[1]), (3, "quite another text"), (None, near[0] + " x"), (None, "alone")], "doc_id long, text string")
+    left = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert left == [("0", near[0]), ("3", "quite another text"), ("None", "alone")]
