@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bitmaps import bitmap_of, with_flag
+from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.queries import byte_bpe_encoder, toxicity_machine
@@ -19,6 +21,7 @@ from tidemark.llm.scratch import Scratch
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.toxicity import score_toxicity
+from tidemark.operators.dedup import first_per_key
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MASK = "[secret]"
@@ -31,19 +34,40 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays; of rows that repeat it, each."""
-    return _without(docs, exact_duplicates(docs).where("not kept"))
+    """Of equal texts one row stays, one with the largest doc_id; a null id loses.
 
+    A row is known by its id and its text, so rows that repeat an id with other texts are
+    judged on their own, and of rows that repeat both one stays.
+    """
+    scratch = Scratch(spark, "exact")
+    key = F.sha2(ascii_lower(text_of("text")), 256)
+    found = scratch.store(exact_duplicates(docs, carry={"_key": key}).where("group_size > 1"), "found")
+    gone = scratch.store(found.where("not kept").select("doc_id", "_key").distinct(), "gone")
+    many = found.where("kept").groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = scratch.store(many.select("doc_id", "_key"), "many")
+    same = lambda d, v: d["doc_id"].eqNullSafe(v["doc_id"]) & (d["_text_key"] == v["_key"])
+    keyed = docs.withColumn("_text_key", key)
+    left = keyed.join(gone, same(keyed, gone), "left_anti")
+    alone = left.join(many, same(left, many), "left_anti").drop("_text_key")
+    repeated = left.join(many, same(left, many), "left_semi")
+    return alone.unionByName(first_per_key(repeated, ["doc_id", "_text_key"]).drop("_text_key"))
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays."""
-    return _without(docs, similar_components(docs).where("component_id < doc_id"))
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest doc_id stays.
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``gone``; a row without an id stays."""
-    stored = Scratch(docs.sparkSession, "verdict").store(gone.where("doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(stored, F.col("doc_id") == F.col("_gone"), "left_anti")
+    Rows that share their id with others, or have none, are documents of their own, and
+    give way to those whose id is theirs alone.
+    """
+    scratch = Scratch(spark, "near")
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
+    flagged = with_flag(docs, scratch.store(bitmap_of(shared), "shared"), [F.col("doc_id")], "_shared")
+    # 62 bits of a hash of id and text, above all ids in use
+    other = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    own = flagged.withColumn("_own", F.when(F.col("_shared") | F.col("doc_id").isNull(), other).otherwise(F.col("doc_id"))).drop("_shared")
+    linked = similar_components(own.select(F.col("_own").alias("doc_id"), "text"))
+    gone = scratch.store(linked.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return own.join(gone, F.col("_own") == F.col("_gone"), "left_anti").drop("_own")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
