@@ -253,3 +253,17 @@ def test_transitions_of_one_large_id_are_spread(spark):
     assert checked.where("previous_status IS NULL").count() == 1 and checked.count() == 2000
     windows = [line for line in checked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [last(status" in line]
     assert windows and all(line.rsplit("], [", 2)[-2].count("#") > 1 for line in windows)
+
+
+def test_the_full_key_prunes_versions_and_months(spark, rows, folder):
+    """Only the files of locked versions and months are read, and of those the locked keys."""
+    schema = "v int, process_name string, sor_table_name string, ingestion_id string, data_referencia string"
+    data = [(10 * i + m, p, "t", f"{i:06d}", f"20260{m}") for i in range(5) for m in range(1, 5) for p in ("p", "q")]
+    rows(schema, *data).write.partitionBy("ingestion_id", "data_referencia").parquet(f"{folder}/t")
+    lock = "process_id string, process_name string, sor_table_name string, data_referencia string, ingestion_id string"
+    rows(lock, ("1", "p", "t", "202602", "000003"), ("1", "p", "t", "202603", "000001"), ("2", "q", "t", "202604", "000004")).write.parquet(f"{folder}/locks")
+    locked = locked_read(spark.read.schema(schema).parquet(f"{folder}/t"), spark.read.parquet(f"{folder}/locks").where("process_id = '1'"))
+    assert sorted((r["process_name"], r["v"]) for r in locked.collect()) == [("p", 13), ("p", 32)]
+    plan = locked._jdf.queryExecution()
+    pruned = plan.optimizedPlan().toString()
+    assert pruned.count("dynamicpruning#") >= 2 and "dynamicpruning" in plan.executedPlan().toString()

@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import DestSpec, LayerSpec, SourceSpec
 from tidemark.operators.versions import current_version
-from tidemark.plans import consolidate_sot, ledger_state, load_and_record, load_sor, publish_spec, resolve_source_locks, run_rule
+from tidemark.plans import (
+    append_status,
+    consolidate_sot,
+    ledger_state,
+    load_and_record,
+    load_sor,
+    open_runs,
+    publish_spec,
+    resolve_source_locks,
+    run_rule,
+    sweep_runs,
+)
+from tidemark.sinks import append_manifest
 
 INGESTION = (
     "ingestion_id string, process_name string, source_database_name string, source_table_name string, "
@@ -200,3 +213,22 @@ def test_a_layer_evaluates_its_plan_once(spark, rows, lake):
     before = len(executions_with_jobs())
     load_sor(spark, sor_spec(lake), context_rows, "ing_100")
     assert len(executions_with_jobs()) - before == 2
+
+
+def test_a_killed_run_is_settled_by_the_manifest(spark, rows, lake):
+    """Killed before its output was in place, after it, and still at work."""
+    log, manifest = lake + "/log", lake + "/manifest"
+    book = ledger(rows)
+    own = {"identity_keys": ("process_name", "sor_table_name", "ingestion_id")}
+    report = load_and_record(spark, sor_spec(lake), book, "ing_100", log, manifest_path=manifest, **own)
+    old, new = datetime(2026, 1, 1, tzinfo=timezone.utc), datetime.now(timezone.utc)
+    identity = {"process_name": "seguros", "sor_table_name": "t"}
+    for run, at, begins in (("cut", old, "PROCESSING_SOR"), ("done", old, "RUNNING"), ("spec", old, "PUBLISHING_SPEC"), ("young", new, "RUNNING")):
+        append_status(spark, log, {**identity, "ingestion_id": run}, begins, at, 0, run_id=run)
+    append_manifest(spark, report, manifest, "done")
+    cutoff = new - timedelta(hours=1)
+    assert {r["run_id"] for r in open_runs(spark.read.parquet(log), cutoff).collect()} == {"cut", "done", "spec"}
+    for _ in range(2):
+        sweep_runs(spark, log, manifest, cutoff)
+    found = [(r["ingestion_id"], r["status"], r["rows"]) for r in spark.read.parquet(log).where("seq > 0").collect()]
+    assert sorted(found, key=str) == [("cut", "PROCESSING_FAILURE", None), ("done", "RULES_PROCESSED", 2), ("ing_100", "LOADED_SOR", 2), ("spec", "FAILED_SPEC", None)]

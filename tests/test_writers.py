@@ -11,6 +11,7 @@ from tidemark import DestSpec
 from tidemark.sinks import (
     append_manifest,
     check_partition_keys,
+    compact_partitions,
     destination_settings,
     export_csv,
     present_files,
@@ -21,6 +22,7 @@ from tidemark.sinks import (
     written_files,
 )
 from tidemark.sinks.manifest import partition_folder
+from tidemark.sinks.partitions import write_files
 
 
 def test_only_written_partitions_change(spark, rows, folder):
@@ -170,3 +172,27 @@ def test_one_file_from_many_tasks(spark, folder):
         lines = f.read().splitlines()
     assert lines[0] == "id,t" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(1600))
     assert [f for f in os.listdir(f"{folder}/one") if not f.startswith(".")] == ["all.csv"]
+
+
+def test_compaction_rewrites_only_what_is_scattered(spark, rows, folder):
+    schema = "v int, s string, k string"
+    dest = DestSpec(folder, "t", partition_keys=["k"])
+    df = spark.range(0, 4000, 1, 20).selectExpr("cast(id as int) v", "uuid() s", "case id % 4 when 0 then 'a:b' when 1 then null else 'whole' end k").persist()
+    write_files(df.where("k = 'whole'").coalesce(1), dest, ["k"])
+    write_files(df.where("k IS NULL OR k <> 'whole'"), dest, ["k"])
+    count = lambda k: len(glob.glob(f"{dest.path}/k={k}/*.parquet"))
+    assert (count("a%3Ab"), count("__HIVE_DEFAULT_PARTITION__"), count("whole")) == (20, 20, 1)
+    untouched = glob.glob(f"{dest.path}/k=whole/*.parquet")
+    confined = compact_partitions(spark, dest, df.schema, [{"k": "whole"}])
+    assert confined.rows == 0 and compact_partitions(spark, dest, df.schema, []).rows == 0
+    report = compact_partitions(spark, dest, df.schema)
+    assert report.rows == 2000 and sorted(map(str, (p["k"] for p in report.partitions))) == ["None", "a:b"]
+    assert (count("a%3Ab"), count("__HIVE_DEFAULT_PARTITION__")) == (1, 1)
+    assert glob.glob(f"{dest.path}/k=whole/*.parquet") == untouched
+    back = spark.read.schema(schema).parquet(dest.path)
+    assert back.exceptAll(df).count() == df.exceptAll(back).count() == 0
+    assert compact_partitions(spark, dest, df.schema).rows == 0  # nothing is left to do
+    files = [os.path.getsize(f) for f in glob.glob(f"{dest.path}/k=a*/*.parquet")]
+    write_files(df.where("k = 'a:b'"), dest, ["k"])
+    assert compact_partitions(spark, dest, df.schema, target=sum(files) // 2).rows == 1000 and 1 < count("a%3Ab") <= 10
+    df.unpersist()

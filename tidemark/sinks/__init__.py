@@ -1,6 +1,7 @@
 """Writers: partitioned Parquet, catalog tables and CSV exports."""
 
 from tidemark.sinks.catalog import write_catalog_table
+from tidemark.sinks.compaction import compact_partitions, compaction_plan
 from tidemark.sinks.manifest import append_manifest, present_files, read_manifest, written_files
 from tidemark.sinks.partitions import WriteReport, check_partition_keys, write_partitions
 from tidemark.sinks.results import write_result
@@ -11,6 +12,8 @@ __all__ = [
     "WriteReport",
     "append_manifest",
     "check_partition_keys",
+    "compact_partitions",
+    "compaction_plan",
     "destination_settings",
     "effective_settings",
     "export_csv",

@@ -67,9 +67,14 @@ def write_partitions(
     it replaces, and a failed job leaves the old partitions.
     """
     keys = check_partition_keys(df.columns, dest.partition_keys)
+    return write_files(arranged(df, keys, constant_keys), dest, keys)
+
+
+def write_files(df: DataFrame, dest: DestSpec, keys: Sequence[str]) -> WriteReport:
+    """``write_partitions`` for rows that lie in tasks as they should in files."""
     observation = Observation()
     tuple_of_keys = F.struct(*[F.col(f"`{k}`").cast("string").alias(k) for k in keys])
-    counted = arranged(df, keys, constant_keys).observe(
+    counted = df.observe(
         observation, F.count(F.lit(1)).alias("rows"), F.collect_set(tuple_of_keys).alias("partitions")
     )
     (

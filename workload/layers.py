@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from tidemark import DestSpec, LayerSpec, SourceSpec
-from tidemark.plans import consolidate_sot, load_sor, publish_spec, run_rule
-from workload.inputs import CONTRACT, contract, ledger, requests, staged
+from tidemark.plans import (
+    consolidate_sot,
+    load_and_record,
+    load_sor,
+    publish_and_record,
+    publish_spec,
+    run_rule,
+    run_rules_and_record,
+    settled_runs,
+)
+from tidemark.sinks import read_manifest
+from workload.inputs import CONTRACT, contract, ledger, requests, staged, table
 from workload.steps import DEDUP
 
 SOR_COLUMNS = ["num_contrato", "num_parcela", "quantidade", "vlr_cred_mes", "data_base", "ingestion_id"]
@@ -159,7 +171,81 @@ def _publish_spec(spark, sf):
     return _read_back(spark, _spec_path(spark, sf), columns, contract(spark, sf))
 
 
+def _life_cycle(spark, sf):
+    """Load, rules and publication of two processes, each step in the log. The second load
+    breaks off; the second publication fails; a process that is not ready is refused."""
+
+    def write(path):
+        log, manifest = f"{path}/log", f"{path}/manifest"
+        rows, _ = _first_load(spark, sf)
+        first, second = [r["ingestion_id"] for r in rows.where(PROCESS_FILTER["load"]).select("ingestion_id").orderBy("ingestion_id").take(2)]
+        source = SourceSpec("contrato", "parquet", path=f"{sf}/lineitem.parquet", predicate="l_shipdate >= '{PARTITION_DESDE}'")
+        layout = "SELECT l_orderkey AS num_contrato, l_quantity AS quantidade, l_extendedprice AS vlr_cred_mes FROM contrato"
+        sor = LayerSpec("sor", [source], [layout], DestSpec(path, "sor", partition_keys=["ingestion_id"]))
+        broken = LayerSpec("sor", [source], [layout.replace("l_orderkey AS", "raise_error('cut') AS")], sor.destination)
+        versions = {"keys": {}, "manifest_path": manifest}
+        load_and_record(spark, sor, rows, first, log, **versions)
+        _refused(lambda: load_and_record(spark, broken, rows, second, log, **versions))
+        process = requests(spark, sf).where("status = 'RULES_PROCESSED'")
+        one, two = [r["process_id"] for r in process.select("process_id").orderBy("process_id").take(2)]
+        locks = requests(spark, sf).where(F.col("process_id").isin(one, two)).select(
+            "process_id", F.lit("sor").alias("sor_table_name"), F.lit(first).alias("ingestion_id")
+        )
+        schema = "num_contrato bigint, quantidade double, vlr_cred_mes double, ingestion_id string"
+        read = SourceSpec("sor", path=f"{path}/sor", schema=schema, predicate="ingestion_id = '{INGESTION_ID}'", versioned_by="sor")
+        rules = {
+            name: LayerSpec("sot", [read], [f"SELECT num_contrato, vlr_cred_mes, quantidade FROM sor WHERE {test}"], DestSpec(path, "modulos", partition_keys=["process_id", "regra"]))
+            for name, test in (("valor", "vlr_cred_mes > 20000"), ("quantidade", "quantidade < 10"))
+        }
+        sot = DestSpec(path, "sot", partition_keys=["process_id"])
+        for process_id in (one, two):
+            run_rules_and_record(spark, rules, process, locks, process_id, sot, log, manifest_path=manifest)
+        source = SourceSpec("sot", path=f"{path}/sot", schema="num_contrato bigint, quantidade double, regra string, process_id string", predicate="process_id = '{PROCESS_ID}'")
+        spec = LayerSpec("spec", [source], ["SELECT num_contrato, quantidade FROM sot"], DestSpec(path, "spec", partition_keys=["data_referencia", "process_id"]))
+        broken = LayerSpec("spec", [source], ["SELECT raise_error('cut') AS num_contrato, quantidade FROM sot"], spec.destination)
+        publish_and_record(spark, spec, process, one, log, manifest_path=manifest)
+        _refused(lambda: publish_and_record(spark, broken, process, two, log, manifest_path=manifest))
+        running = requests(spark, sf).where("status = 'RUNNING'")
+        waiting = running.agg(F.min("process_id")).first()[0]
+        _refused(lambda: publish_and_record(spark, spec, running, waiting, log, manifest_path=manifest))
+
+    path = staged(spark, sf, "life-cycle", write)
+    log = spark.read.option("mergeSchema", "true").parquet(f"{path}/log")
+    written = read_manifest(spark, f"{path}/manifest").groupBy(F.col("write_id").alias("run_id")).agg(F.sum("rows").alias("listed"))
+    return log.join(written, "run_id", "left").select(
+        F.coalesce("ingestion_id", "process_id").alias("id"), "status", "rows", F.when(F.col("rows").isNotNull(), F.col("listed")).alias("listed")
+    )
+
+
+def _refused(run):
+    try:
+        run()
+    except Exception:  # noqa: BLE001
+        return
+    raise AssertionError("the run should have failed")
+
+
+def _recovered_runs(spark, sf):
+    """Runs of all kinds: ended, killed after their output was in place, killed before, too
+    young to judge."""
+    e = table(spark, sf, "events").select(
+        F.concat(F.lit("run_"), F.col("event_id").cast("string")).alias("run_id"),
+        F.concat(F.lit("proc_"), (F.col("event_id") % 50).cast("string")).alias("process_id"),
+        F.element_at(F.array(*map(F.lit, ("PROCESSING_SOR", "RUNNING", "PUBLISHING_SPEC"))), (F.col("event_id") % 3 + 1).cast("int")).alias("status"),
+        F.col("ts").cast("timestamp").alias("at"),
+        "event_id",
+    )
+    row = lambda status, seq: e.select("process_id", status.alias("status"), "at", F.lit(seq).cast("long").alias("seq"), F.lit(None).cast("long").alias("rows"), "run_id", "event_id")
+    log = row(F.col("status"), 0).unionByName(row(F.lit("LOADED_SOR"), 1).where("event_id % 4 = 0")).drop("event_id")
+    files = e.where("event_id % 5 < 2").select(F.col("run_id").alias("write_id"), F.explode(F.sequence(F.lit(1), F.lit(2))).alias("f"), "event_id")
+    manifest = files.select("write_id", (F.col("event_id") % 7 + F.col("f")).alias("rows"))
+    moments = [datetime(2024, 1, d, tzinfo=timezone.utc) for d in (20, 31)]
+    return settled_runs(log, manifest, *moments).select("run_id", "process_id", "status", "rows")
+
+
 QUERIES = {
+    "life_cycle": _life_cycle,
+    "recovered_runs": _recovered_runs,
     "load_sor": _sor,
     "run_rule": _modules,
     "consolidate_sot": _consolidated,
@@ -179,7 +265,23 @@ _SOT = (
     "UNION ALL SELECT num_contrato, num_parcela, NULL, quantidade, data_base, process_id, 'regra_quantidade' "
     "FROM loaded, chosen WHERE quantidade < 10"
 )
+_LATE = (
+    f"late AS (SELECT l_orderkey AS num_contrato, l_quantity AS quantidade, l_extendedprice AS valor FROM lineitem WHERE l_shipdate >= DATE '{SINCE}'), "
+    "sizes AS (SELECT count(*) AS sor, count(*) FILTER (valor > 20000) + count(*) FILTER (quantidade < 10) AS sot FROM late), "
+    "loads AS (SELECT printf('ing_%010d', event_id) AS id, row_number() OVER (ORDER BY event_id) AS n FROM events WHERE event_type = 'signup'), "
+    "runs AS (SELECT printf('proc_%010d', o_orderkey) AS id, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus = 'F'), "
+    "steps(kind, n, status, counted) AS (VALUES ('load', 1, 'PROCESSING_SOR', NULL), ('load', 1, 'LOADED_SOR', 'sor'), "
+    "('load', 2, 'PROCESSING_SOR', NULL), ('load', 2, 'PROCESSING_FAILURE', NULL), ('run', 1, 'RUNNING', NULL), ('run', 1, 'RULES_PROCESSED', 'sot'), "
+    "('run', 2, 'RUNNING', NULL), ('run', 2, 'RULES_PROCESSED', 'sot'), ('run', 1, 'PUBLISHING_SPEC', NULL), ('run', 1, 'PUBLISHED', 'sot'), "
+    "('run', 2, 'PUBLISHING_SPEC', NULL), ('run', 2, 'FAILED_SPEC', NULL))"
+)
+_COUNTED = "CASE counted WHEN 'sor' THEN sor WHEN 'sot' THEN sot END"
 ORACLE = {
+    "life_cycle": f"WITH {_LATE} SELECT coalesce(l.id, r.id) AS id, status, {_COUNTED} AS rows, {_COUNTED} AS listed FROM steps s "
+    "LEFT JOIN loads l ON s.kind = 'load' AND l.n = s.n LEFT JOIN runs r ON s.kind = 'run' AND r.n = s.n, sizes",
+    "recovered_runs": "SELECT 'run_' || event_id AS run_id, 'proc_' || (event_id % 50) AS process_id, CASE WHEN event_id % 5 < 2 THEN "
+    "['LOADED_SOR', 'RULES_PROCESSED', 'PUBLISHED'][event_id % 3 + 1] ELSE ['PROCESSING_FAILURE', 'FAILED_RULES', 'FAILED_SPEC'][event_id % 3 + 1] END "
+    "AS status, CASE WHEN event_id % 5 < 2 THEN 2 * (event_id % 7) + 3 END AS rows FROM events WHERE event_id % 4 <> 0 AND ts < TIMESTAMP '2024-01-20'",
     "load_sor": f"WITH {_SOR} SELECT {', '.join(SOR_COLUMNS)} FROM loaded",
     "run_rule": f"WITH {_SOR} {_SOT}",
     "consolidate_sot": f"WITH {_SOR} {_SOT}",

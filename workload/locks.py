@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import DestSpec
 from tidemark.functions.names import zero_padded
 from tidemark.operators.versions import PROCESS_KEYS
 from tidemark.operators.gate import (
@@ -22,6 +23,7 @@ from tidemark.operators.locks import (
     resolve_inputs,
     version_by_process_month,
 )
+from tidemark.sinks import write_partitions
 from workload.inputs import (
     CURRENT,
     LEDGER,
@@ -33,6 +35,7 @@ from workload.inputs import (
     process_config,
     requests,
     rules,
+    staged,
     stamp,
     stamp_sql,
     table,
@@ -111,6 +114,25 @@ def _locked_read(spark, sf):
     return locked_read(_sor_data(spark, sf), _locks(spark, sf), ("sor_table_name", "ingestion_id"))
 
 
+def _locked_read_pruned(spark, sf):
+    """A table kept by version and month, read by the full key: ids repeat from one product
+    and table to the next, and the lock's versions and months alone are read."""
+    rows = _sequenced(ledger(spark, sf))
+
+    def write(path):
+        write_partitions(rows, DestSpec(*path.rsplit("/", 1), partition_keys=["ingestion_id", "data_referencia"]))
+
+    data = spark.read.schema(rows.schema).parquet(staged(spark, sf, "sor-by-version", write))
+    locks = _sequenced(current(spark, sf).withColumnRenamed("current_ingestion_id", "ingestion_id")).where("data_referencia < '202305'")
+    return locked_read(data, locks).select(*KEYS, "ingestion_id", "source_table_name", "versao")
+
+
+def _sequenced(rows):
+    """Versions numbered anew, 000000 to 000003 in every product, table and month."""
+    number = F.substring("ingestion_id", -10, 10).cast("long")
+    return rows.select(*KEYS, zero_padded(number % 4, 6).alias("ingestion_id"), "source_table_name", F.col("ingestion_id").alias("versao"))
+
+
 def _missing_locks(spark, sf):
     sources = requests(spark, sf).join(rules(spark), "process_name").select(
         *PROCESS_KEYS, "sor_table_name", (F.col("sor_table_name") != "orig2").alias("uses_version")
@@ -191,6 +213,7 @@ QUERIES = {
     "process_outcomes": _process_outcomes,
     "lock_as_of": _lock_as_of,
     "locked_read": _locked_read,
+    "locked_read_pruned": _locked_read_pruned,
     "missing_locks": _missing_locks,
     "publication_gate": _gate(("RULES_PROCESSED",)),
     "publication_gate_manual": _gate((*MANUAL_GATE, "PUBLISHED")),
@@ -270,6 +293,11 @@ ORACLE = {
           AND l.data_referencia = m.data_referencia
         LEFT JOIN last_process p ON p.pos = 1 AND p.process_name = m.process_name AND p.data_referencia = m.data_referencia
         LEFT JOIN locks k ON k.process_id = p.process_id AND k.sor_table_name = q.sor_table_name""",
+    "locked_read_pruned": f"""WITH {LEDGER}, {CURRENT}, locks AS (SELECT process_name, sor_table_name, data_referencia,
+        CAST(right(ingestion_id, 10) AS BIGINT) % 4 AS n FROM current_sor WHERE data_referencia < '202305')
+        SELECT l.process_name, l.sor_table_name, l.data_referencia, printf('%06d', n) AS ingestion_id, source_table_name,
+        ingestion_id AS versao FROM ledger l JOIN locks k ON k.process_name = l.process_name AND k.sor_table_name = l.sor_table_name
+        AND k.data_referencia = l.data_referencia AND CAST(right(ingestion_id, 10) AS BIGINT) % 4 = n""",
     "version_by_process_month": f"""WITH {LEDGER}, {CURRENT}, asked AS (SELECT c_custkey, 'prod' || (c_custkey % 7) AS process_name,
         printf('2023%02d', c_nationkey % 13 + 1) AS data_referencia FROM customer),
         recorded AS (SELECT process_name, data_referencia, min(ingestion_id) AS version, count(DISTINCT ingestion_id) AS n

@@ -10,6 +10,7 @@ from tidemark.session import shared_folder
 from tidemark.sinks import (
     append_manifest,
     check_partition_keys,
+    compact_partitions,
     export_csv,
     present_files,
     read_manifest,
@@ -17,7 +18,8 @@ from tidemark.sinks import (
     write_partitions,
     write_result,
 )
-from workload.inputs import CONTRACT, contract, staged, table
+from tidemark.sinks.partitions import write_files
+from workload.inputs import CONTRACT, cents, contract, staged, table
 
 COLUMNS = ["num_contrato", "num_parcela", "vlr_cred_mes", "data_base", "situacao"]
 
@@ -61,6 +63,23 @@ def _write_manifest(spark, sf):
     return there.join(writes, "partition").select("partition", "rows", "last_write", "writes")
 
 
+def _compaction(spark, sf):
+    """Forty files in each of some partitions become one each; every row is still there."""
+    df = _slim(spark, sf).withColumn("ano", F.substring("data_base", 1, 4))
+
+    def write(path):
+        dest = _in(path, partition_keys=["ano", "situacao"])
+        scattered = df.repartition(40)
+        write_files(scattered.where("ano < '1996'"), dest, dest.partition_keys)
+        write_partitions(df.where("ano >= '1996'"), dest)
+        compact_partitions(spark, dest, df.schema)
+
+    there = spark.read.schema(df.schema).parquet(staged(spark, sf, "compacted", write))
+    return there.groupBy("ano", "situacao").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(cents("vlr_cred_mes")).alias("cents"), (F.count_distinct(F.col("_metadata.file_name")) < 20).alias("few_files")
+    )
+
+
 def _export_single(spark, sf):
     """Many tasks write the parts, one file is what is left."""
     df = _slim(spark, sf)
@@ -179,6 +198,7 @@ QUERIES = {
     "file_options": _file_options,
     "export_csv": _export_csv(True),
     "csv_header": _export_csv(False),
+    "compaction": _compaction,
     "export_single": _export_single,
     "write_manifest": _write_manifest,
     "write_dispatch": _write_dispatch,
@@ -199,6 +219,8 @@ ORACLE = {
     "export_csv": _SLIM,
     "csv_header": _SLIM,
     "export_single": _SLIM,
+    "compaction": f"WITH {CONTRACT} SELECT substr(data_base, 1, 4) AS ano, situacao, count(*) AS n, "
+    "sum(CAST(round(vlr_cred_mes * 100) AS BIGINT))::BIGINT AS cents, true AS few_files FROM contrato GROUP BY ALL",
     "write_manifest": f"""WITH {CONTRACT}, g AS (SELECT 'ano=' || substr(data_base, 1, 4) || '/situacao=' || situacao AS partition,
         situacao, count(*) AS n, count(*) FILTER (situacao = 'R' AND num_parcela < 4) AS again FROM contrato GROUP BY ALL)
         SELECT partition, CASE WHEN again > 0 THEN again ELSE n END AS rows, CASE WHEN again > 0 THEN 'second' ELSE 'first' END AS last_write,
