@@ -5,12 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import SourceSpec
 from tidemark.operators.counts import observed
 from tidemark.operators.dedup import drop_duplicates
 from tidemark.operators.select import latest_rows, staged_sql, surrogate_row_id, technical_columns
-from tidemark.sources import load_source, load_sources, read_csv, read_dated, read_landing, read_parquet
+from tidemark.sources import load_source, load_sources, read_csv, read_dated, read_landing, read_parquet, read_table, resolve_schemas, schema_changes
 
 
 def plan(df) -> str:
@@ -146,3 +147,38 @@ def test_counts_ride_along(rows):
     df, observation = observed(rows("a int", (1,), (2,)))
     df.write.format("noop").mode("overwrite").save()
     assert observation.get["rows"] == 2
+
+
+def test_schemas_are_resolved_column_by_column():
+    ddl = T.StructType.fromDDL
+    catalog = ddl("a int, b float, c decimal(10,2), d string")
+    files = [ddl("A bigint, b double, c decimal(12,4), e date"), ddl("a smallint, d string, f map<string,int>")]
+    assert resolve_schemas(catalog, files).simpleString() == "struct<a:bigint,b:double,c:decimal(12,4),d:string,e:date,f:map<string,int>>"
+    assert schema_changes(catalog, files[0]) == {"a": "WIDENED", "b": "WIDENED", "c": "WIDENED", "d": "ABSENT", "e": "ADDED"}
+    assert schema_changes(catalog, catalog) == dict.fromkeys("abcd", "SAME")
+    for wrong in ("a string", "a double, d int", "d date", "c decimal(38,0)", "b decimal(5,1)"):
+        with pytest.raises(ValueError, match="column"):
+            resolve_schemas(catalog, [ddl(wrong)])
+    with pytest.raises(ValueError, match="a is bigint and double"):
+        resolve_schemas(None, [ddl("a bigint"), ddl("a double")])
+
+
+def test_tables_of_several_generations(spark, rows, folder):
+    """With and without partitions; filters on partitions still prune in every generation."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tm_gen LOCATION '{folder}/db'")
+    for name, keys in (("parts", "PARTITIONED BY (p)"), ("plain", "")):
+        at = f"{folder}/{name}"
+        generations = [rows("a int, p string", (1, "x'1"), (2, None)), rows("A bigint, b string, p string", (1 << 40, "n", "y"))]
+        for df in generations:
+            (df.write.partitionBy("p") if keys else df.coalesce(1).write).mode("append").parquet(at)
+        spark.sql(f"CREATE TABLE tm_gen.{name} (a int, p string) USING parquet {keys} LOCATION '{at}'")
+        if keys:
+            spark.catalog.recoverPartitions(f"tm_gen.{name}")
+        whole = read_table(spark, "tm_gen", name, use_catalog_schema=False)
+        assert sorted(((r["a"], r["b"], r["p"]) for r in whole.collect()), key=str) == [(1, None, "x'1"), (1 << 40, "n", "y"), (2, None, None)]
+        one = read_table(spark, "tm_gen", name, "p = '{P}'", {"P": "y"}, use_catalog_schema=False)
+        assert [r["a"] for r in one.collect()] == [1 << 40]
+        if keys:
+            assert "PartitionFilters: [isnotnull(p" in plan(one)
+        spark.sql(f"DROP TABLE tm_gen.{name}")
+    spark.sql("DROP DATABASE tm_gen")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.sinks.manifest import add_partitions
 from tidemark.sinks.partitions import WriteReport, check_partition_keys, write_partitions
+from tidemark.sources.tables import qualified, table_location
 from tidemark.specs import DestSpec
 
 
@@ -16,17 +17,6 @@ def _columns(fields: Sequence[T.StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """The path with its store, spelled one way."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
-
-
-def table_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
-    return _qualified(spark, rows.first()["data_type"])
-
-
 def write_catalog_table(
     df: DataFrame, dest: DestSpec, constant_keys: Sequence[str] = ()
 ) -> WriteReport:
@@ -44,7 +34,7 @@ def write_catalog_table(
     data = [f for f in df.schema if f.name not in keys]
     known = spark.catalog.tableExists(name)
     if known:
-        lies, goes = table_location(spark, name), _qualified(spark, dest.path)
+        lies, goes = table_location(spark, name), qualified(spark, dest.path)
         if lies != goes:
             raise ValueError(f"table {name} lies at {lies}, not at {goes}")
         table = spark.table(name)

@@ -70,7 +70,9 @@ def load_source(
             merge_schema=not source.use_catalog_schema,
         )
     else:
-        df = read_table(spark, source.database, source.table, text, params, environment, local)
+        df = read_table(
+            spark, source.database, source.table, text, params, environment, local, source.use_catalog_schema
+        )
     if source.duplicate_fields is not None:
         df = drop_duplicates(df, source.duplicate_fields, source.duplicate_order)
     return df

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.templates import bind_parameters
+from tidemark.sources.schemas import generations_of, read_generations
 
 # Production environment name, local replacement database.
 PRODUCTION = "prd"
@@ -54,6 +56,32 @@ def read_table(
     params: Mapping[str, str] | None = None,
     environment: str = PRODUCTION,
     local: str | bool = False,
+    use_catalog_schema: bool = True,
 ) -> DataFrame:
+    """A catalog table; with ``use_catalog_schema`` false, as its files have it: columns that
+    only files have are there too, and in the widest type that any file uses."""
     name = f"`{database_for(database, environment, local)}`.`{table}`"
-    return where_text(spark.table(name), predicate, params)
+    rows = spark.table(name) if use_catalog_schema else _as_files_have_it(spark, name)
+    return where_text(rows, predicate, params)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, spelled one way."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return qualified(spark, rows.first()["data_type"])
+
+
+def _as_files_have_it(spark: SparkSession, name: str) -> DataFrame:
+    home, catalog = table_location(spark, name), spark.table(name).schema
+    parts = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
+    keys = [f for f in catalog if f.name in parts]
+    if keys:
+        folders = [f"{home}/{r[0]}" for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    else:  # without partitions each file may be of another generation
+        folders = [unquote(f) for f in spark.table(name).inputFiles()]
+    return read_generations(spark, home, generations_of(spark, folders), keys, catalog)

@@ -10,6 +10,7 @@ from tidemark.operators.select import staged_sql
 from tidemark.session import shared_folder
 from tidemark.sinks import write_partitions
 from tidemark.sources import (
+    load_source,
     load_sources,
     read_csv,
     read_dated,
@@ -176,7 +177,32 @@ def _partition_predicate(spark, sf):
     ).select("num_contrato", "num_parcela", "vlr_cred_mes", "data_base")
 
 
+def _schema_resolution(spark, sf):
+    """A catalog table of the first generation; files of the second are wider and have one
+    column more, those of the third lack one."""
+    database, name = "tidemark_gen", "contratos"
+    rows = contract(spark, sf).withColumn("ano", F.substring("data_base", 1, 4))
+    first = rows.select(F.col("num_contrato").cast("int"), "num_parcela", F.col("quantidade").cast("float"), "situacao", "ano")
+    second = rows.select("num_contrato", "num_parcela", "quantidade", "situacao", "data_base", "ano")
+    third = rows.select("num_contrato", F.col("num_parcela").cast("bigint"), "data_base", "ano")
+
+    def write(path):
+        for generation, years in ((first, "ano < '1994'"), (second, "ano BETWEEN '1994' AND '1996'"), (third, "ano > '1996'")):
+            write_partitions(generation.where(years), DestSpec(path, name, partition_keys=["ano"]))
+
+    path = staged(spark, sf, "generations", write) + f"/{name}"
+    home = f"{shared_folder(spark)}/{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{home}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema)
+    spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet PARTITIONED BY (ano) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
+    source = SourceSpec("contratos", database=database, table=name, use_catalog_schema=False, predicate="ano >= '{DESDE}'")
+    return load_source(spark, source, {"DESDE": "1993"}).select("num_contrato", "num_parcela", "quantidade", "situacao", "data_base", "ano")
+
+
 QUERIES = {
+    "schema_resolution": _schema_resolution,
     "read_table": _read_table,
     "read_csv": _read_csv,
     "scan_grouping": _scan_grouping,
@@ -193,6 +219,10 @@ QUERIES = {
 _CSV_LIST = ", ".join(CSV_COLUMNS)
 
 ORACLE = {
+    "schema_resolution": f"""WITH {CONTRACT}, c AS (SELECT *, substr(data_base, 1, 4) AS ano FROM contrato)
+        SELECT num_contrato, num_parcela::BIGINT AS num_parcela, CASE WHEN ano <= '1996' THEN quantidade END AS quantidade,
+        CASE WHEN ano <= '1996' THEN situacao END AS situacao, CASE WHEN ano >= '1994' THEN data_base END AS data_base, ano
+        FROM c WHERE ano >= '1993'""",
     "read_table": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_linestatus FROM lineitem WHERE l_linestatus = 'F'",
     "read_csv": f"WITH {CONTRACT} SELECT {_CSV_LIST} FROM contrato",
     "scan_grouping": "SELECT l_returnflag, l_linestatus, count(*) AS n, "
