@@ -269,6 +269,7 @@ def best_fit_packing(
         items = packed.where(under).select("uid", "length")
     # a full piece is a sequence by itself; the others number theirs from 0
     alone = pieces.where(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
-    shared = pieces.where(F.col("length") < capacity).join(settled, "uid")
+    # Places are as many as pieces, so they are never broadcast: one plan for every size.
+    shared = pieces.where(F.col("length") < capacity).join(settled.hint("merge"), "uid")
     columns = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *(["ids"] if keep_ids else [])]
     return alone.select(columns).unionByName(shared.select(columns)).withColumnRenamed("id", id_col)
