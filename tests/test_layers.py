@@ -22,7 +22,8 @@ from tidemark.plans import (
     run_rule,
     sweep_runs,
 )
-from tidemark.sinks import append_manifest
+from tidemark.sinks import append_manifest, destination_settings, destination_spec
+from tidemark.specs import RowId
 
 INGESTION = (
     "ingestion_id string, process_name string, source_database_name string, source_table_name string, "
@@ -232,3 +233,33 @@ def test_a_killed_run_is_settled_by_the_manifest(spark, rows, lake):
         sweep_runs(spark, log, manifest, cutoff)
     found = [(r["ingestion_id"], r["status"], r["rows"]) for r in spark.read.parquet(log).where("seq > 0").collect()]
     assert sorted(found, key=str) == [("cut", "PROCESSING_FAILURE", None), ("done", "RULES_PROCESSED", 2), ("ing_100", "LOADED_SOR", 2), ("spec", "FAILED_SPEC", None)]
+
+
+def test_options_of_a_layer_run(spark, rows, lake):
+    """Overrides from a control table, read settings for this job only, a row number."""
+    load_sor(spark, sor_spec(lake), ledger(rows), "ing_100")
+    process = rows(PROCESS, ("000008", "seguros", "202604", "RUNNING"))
+    locks = rows("process_id string, sor_table_name string, ingestion_id string")
+    control = rows("source_name string, predicate string", ("seguros_contratos", "vlr_cred_mes > 1000"), ("seguros_contratos", " "), ("other", "x = 1"))
+    spec = rule_spec(lake, predicate=None)
+    assert run_rule(spark, spec, process, locks, "000008", "valor", table_overrides=control).rows == 0
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    numbered = replace(spec, row_id=RowId("n", order=["num_contrato"]), read_settings={"group_files": "none", "group_size_bytes": 1 << 20})
+    report = run_rule(spark, numbered, process, locks, "000008", "valor")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    found = [r["n"] for r in spark.read.schema(report.schema).parquet(report.path).collect()]
+    assert sorted(found) == list(range(1, report.rows + 1)) and report.rows
+    unique = run_rule(spark, replace(spec, row_id=RowId("n")), process, locks, "000008", "valor")
+    assert unique.rows == report.rows
+    with pytest.raises(ValueError, match="read settings"):
+        run_rule(spark, replace(spec, read_settings={}), process, locks, "000008", "valor")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_merged_settings_become_a_destination():
+    merged = destination_settings(
+        {"group_files": "inPartition", "group_size_bytes": "1", "compression": "snappy", "block_size_bytes": "1024"},
+        {"dev": {"compression": "gzip"}}, {"compression": "zstd", "database": "db"}, "dev",
+    )
+    dest = destination_spec(merged, "/lake", "t", partition_keys=["k"])
+    assert (dest.compression, dest.block_size_bytes, dest.database, dest.path, dest.partition_keys) == ("zstd", 1024, "db", "/lake/t", ["k"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from tidemark.functions.quality import PROCESS_FIELDS, missing_fields
 from tidemark.functions.refdate import data_atual, with_reference_context
 from tidemark.operators.matching import AMBIGUOUS, FOUND, NOT_FOUND
 from tidemark.operators.ordered import carry_forward
+from tidemark.session import durable
+from tidemark.sinks.partitions import write_partitions
+from tidemark.specs import DestSpec
 from tidemark.operators.versions import LOADED, PROCESS_KEYS, VERSION_KEYS, full_key
 
 # Where a lock came from, the word for "current", process outcomes.
@@ -104,24 +108,55 @@ def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFr
 
     Groups are the tables of one process, as many as its rules name.
     """
+    return _locks_of(judged_inputs(resolved)), _process_of(requests, judged_inputs(resolved))
+
+
+def judged_inputs(resolved: DataFrame) -> DataFrame:
+    """The resolved rows with the outcome of their process as ``_status``."""
     own = Window.partitionBy(*PROCESS_KEYS)
     worst = F.min("problem").over(own)
     # INPUT_MISSING sorts before INVALID_OVERRIDE, which must win when both occur.
     invalid = F.max("problem").over(own) == INVALID_OVERRIDE
-    judged = resolved.withColumn(
+    return resolved.withColumn(
         "_status",
         F.when(invalid, FAILED_INVALID_OVERRIDE)
         .when(worst == INPUT_MISSING, FAILED_INPUT_MISSING)
         .otherwise(RUNNING),
     )
-    locks = judged.where((F.col("_status") == RUNNING) & F.col("ingestion_id").isNotNull()).select(
+
+
+def _locks_of(judged: DataFrame) -> DataFrame:
+    return judged.where((F.col("_status") == RUNNING) & F.col("ingestion_id").isNotNull()).select(
         "process_id", *VERSION_KEYS, "ingestion_id", "lock_source"
     )
+
+
+def _process_of(requests: DataFrame, judged: DataFrame) -> DataFrame:
     states = judged.groupBy(*PROCESS_KEYS).agg(F.max("_status").alias("_status"))
-    process = requests.join(states, list(PROCESS_KEYS), "left").withColumn(
+    return requests.join(states, list(PROCESS_KEYS), "left").withColumn(
         "status", F.coalesce("_status", F.lit(RUNNING))
     ).drop("_status")
-    return locks, process
+
+
+def lock_inputs(
+    requests: DataFrame,
+    rules: DataFrame,
+    ingestion: DataFrame,
+    current: DataFrame,
+    destination: DestSpec,
+    at: datetime,
+) -> DataFrame:
+    """Writes the locks of all requests that can be met, with ``locked_at``, and gives every
+    request with its status.
+
+    The inputs are resolved once and stored, and both results read that: what is locked and
+    what the status says cannot differ. Locks are written below ``destination`` by its
+    partition keys, such as ``process_id`` where each run locks for itself.
+    """
+    judged = durable(judged_inputs(resolve_inputs(requests, rules, ingestion, current)), "judged")
+    locks = _locks_of(judged).withColumn("locked_at", F.lit(at).cast("timestamp"))
+    write_partitions(locks, destination)
+    return _process_of(requests, judged)
 
 
 def lock_as_of(requests: DataFrame, rules: DataFrame, ingestion: DataFrame) -> DataFrame:

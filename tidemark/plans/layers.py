@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.templates import fill_name, uses_placeholder
 from tidemark.operators.consolidate import consolidate
 from tidemark.operators.gate import STRICT_GATE
-from tidemark.operators.select import staged_sql, technical_columns
+from tidemark.operators.select import stable_row_id, staged_sql, surrogate_row_id, technical_columns
 from tidemark.plans.context import (
     fill_constants,
     ingestion_context,
@@ -21,7 +21,7 @@ from tidemark.plans.context import (
 )
 from tidemark.sinks import WriteReport, write_result
 from tidemark.sources import load_sources
-from tidemark.sources.tables import PRODUCTION
+from tidemark.sources.tables import PRODUCTION, grouped_reads
 from tidemark.specs import DestSpec, LayerSpec, SourceSpec
 
 
@@ -32,7 +32,7 @@ def run_layer(
     stamps: Mapping[str, str],
     source_context: Mapping[str, Mapping[str, str]] | None = None,
     argument_overrides: Mapping[str, str] | None = None,
-    table_overrides: Mapping[str, str] | None = None,
+    table_overrides: DataFrame | Mapping[str, str] | None = None,
     environment: str = PRODUCTION,
     local: str | bool = False,
 ) -> WriteReport:
@@ -52,10 +52,16 @@ def run_layer(
         source_context,
     )
     columns = fill_constants(stamps if spec.post_columns is None else spec.post_columns, context)
-    result = technical_columns(staged_sql(spark, frames, spec.steps, context), columns)
+    result = staged_sql(spark, frames, spec.steps, context)
+    if spec.row_id and spec.row_id.order:
+        result = stable_row_id(result, spec.row_id.keys, spec.row_id.order, spec.row_id.column)
+    elif spec.row_id:
+        result = surrogate_row_id(result, spec.row_id.column)
+    result = technical_columns(result, columns)
     names = ("base_path", "table", "database", "file_name")
     destination = replace(spec.destination, **{n: fill_name(getattr(spec.destination, n), context) for n in names})
-    return write_result(result, destination, tuple(columns))
+    with grouped_reads(spark, spec.read_settings):
+        return write_result(result, destination, tuple(columns))
 
 
 def load_sor(

@@ -5,7 +5,7 @@ from tidemark.sinks.compaction import compact_partitions, compaction_plan
 from tidemark.sinks.manifest import append_manifest, present_files, read_manifest, written_files
 from tidemark.sinks.partitions import WriteReport, check_partition_keys, write_partitions
 from tidemark.sinks.results import write_result
-from tidemark.sinks.settings import destination_settings, effective_settings
+from tidemark.sinks.settings import destination_settings, destination_spec, effective_settings
 from tidemark.sinks.text import export_csv
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "compact_partitions",
     "compaction_plan",
     "destination_settings",
+    "destination_spec",
     "effective_settings",
     "export_csv",
     "present_files",

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.specs import DestSpec
+
 # Technical settings a Parquet destination must have.
 TECHNICAL_SETTINGS = (
     "group_files",
@@ -33,6 +35,14 @@ def destination_settings(
     return merged
 
 
+def destination_spec(settings: Mapping[str, object], base_path: str, table: str, **given) -> DestSpec:
+    """Merged settings as a destination. What ``DestSpec`` has no field for (the grouping of
+    files, which ``compact_partitions`` does) is left to the caller; numbers may be text."""
+    kinds = {"compression": str, "block_size_bytes": int, "max_records_per_file": int, "kind": str, "database": str, "file_name": str}
+    known = {k: kinds[k](v) for k, v in settings.items() if k in kinds and v is not None}
+    return DestSpec(base_path, table, **{**known, **given})
+
+
 def effective_settings(
     destinations: DataFrame,
     environments: DataFrame,

@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.predicates import clean_predicate
 from tidemark.functions.templates import fill_name
 from tidemark.operators.dedup import drop_duplicates
 from tidemark.sources.files import read_csv, read_parquet
@@ -28,6 +30,17 @@ def effective_predicate(
     return next((p.strip() for p in candidates if p and p.strip()), None)
 
 
+def override_mapping(overrides: DataFrame | Mapping[str, str] | None, sources: Sequence[SourceSpec]) -> Mapping[str, str]:
+    """Predicates for these sources, of a mapping or of a table with ``source_name`` and
+    ``predicate``. At most one row per source is fetched; where a source has several, the
+    predicate that is first as text counts."""
+    if not isinstance(overrides, DataFrame):
+        return overrides or {}
+    named = overrides.where(F.col("source_name").isin(*{s.name for s in sources}))
+    one = named.groupBy("source_name").agg(F.min(clean_predicate(F.col("predicate"))).alias("predicate"))
+    return {r["source_name"]: r["predicate"] for r in one.collect()}
+
+
 def load_source(
     spark: SparkSession,
     source: SourceSpec,
@@ -83,19 +96,22 @@ def load_sources(
     sources: Sequence[SourceSpec],
     params: Mapping[str, str] | None = None,
     argument_overrides: Mapping[str, str] | None = None,
-    table_overrides: Mapping[str, str] | None = None,
+    table_overrides: DataFrame | Mapping[str, str] | None = None,
     environment: str = PRODUCTION,
     local: str | bool = False,
     source_params: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """One DataFrame per source, by view name. Two sources with one name are an error.
 
-    ``source_params`` adds parameters for single views, such as their locked version.
+    ``source_params`` adds parameters for single views, such as their locked version;
+    ``table_overrides`` may be the control table itself, as ``override_rows`` or
+    ``override_scalars`` give it for a run.
     """
     views = [s.view for s in sources]
     repeated = sorted({v for v in views if views.count(v) > 1})
     if repeated:
         raise ValueError("view name used twice: " + ", ".join(repeated))
+    table_overrides = override_mapping(table_overrides, sources)
     return {
         s.view: load_source(
             spark,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,20 @@ def read_grouping(spark: SparkSession, settings: Mapping[str, object]) -> SparkS
     return spark
 
 
+@contextmanager
+def grouped_reads(spark: SparkSession, settings: Mapping[str, object] | None) -> Iterator[None]:
+    """``read_grouping`` for the jobs that run inside; then the session is as it was."""
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        if settings is not None:
+            read_grouping(spark, settings)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def read_table(
     spark: SparkSession,
     database: str,

@@ -68,12 +68,27 @@ class DestSpec:
         return f"{self.base_path.rstrip('/')}/{self.table}"
 
 
+@dataclass(frozen=True)
+class RowId:
+    """A row number for the result: repeatable if ``order`` is given and total, then counted
+    inside ``keys``; otherwise only unique."""
+
+    column: str = "chave_processamento_registro"
+    keys: Sequence[str] = ()
+    order: Sequence[str] = ()
+
+
 @dataclass(frozen=True)
 class LayerSpec:
-    """Sources, SQL steps, stamped columns and destination of one job."""
+    """Sources, SQL steps, stamped columns and destination of one job.
+
+    ``read_settings`` (``group_files``, ``group_size_bytes``) hold for this job only.
+    """
 
     domain: str
     sources: Sequence[SourceSpec]
     steps: Sequence[str]
     destination: DestSpec
     post_columns: Mapping[str, str] | None = None
+    read_settings: Mapping[str, object] | None = None
+    row_id: RowId | None = None

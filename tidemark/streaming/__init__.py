@@ -1,6 +1,6 @@
 """Continuous registration of arrivals and continuous readiness."""
 
-from tidemark.streaming.arrivals import register_arrivals
+from tidemark.streaming.arrivals import register_arrivals, register_batch
 from tidemark.streaming.triggers import emit_triggers
 
-__all__ = ["emit_triggers", "register_arrivals"]
+__all__ = ["emit_triggers", "register_arrivals", "register_batch"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import SourceSpec
 from tidemark.functions.predicates import (
     override_rows,
     override_scalars,
@@ -13,7 +17,7 @@ from tidemark.functions.predicates import (
 from tidemark.operators.consolidate import consolidate, two_block_sources
 from tidemark.operators.matching import exactly_one_match, register_lookup
 from tidemark.sinks.settings import effective_settings
-from tidemark.sources import read_csv
+from tidemark.sources import load_sources, read_csv
 from workload.inputs import (
     ARRIVALS,
     CONTRACT,
@@ -149,7 +153,26 @@ def _destination_settings(spark, sf):
     return effective_settings(destinations, environments, technical, ["compression", "s3_destino"])
 
 
+def _overrides_into_run(spark, sf):
+    """A control table of overrides as it is given to a run: its predicate beats the source's
+    own, disabled and blank ones count for nothing, and the argument beats it."""
+    overrides = table(spark, sf, "nation").select(
+        F.concat(F.lit("contrato"), (F.col("n_nationkey") % 4).cast("string")).alias("source_name"),
+        F.when(F.col("n_nationkey") % 4 == 2, "  ").otherwise(F.concat(F.lit("l_linenumber > "), (F.col("n_nationkey") % 4 + 1).cast("string"))).alias("predicate"),
+        (F.col("n_nationkey") % 4 != 3).alias("enabled"),
+    )
+    sources = [
+        SourceSpec(f"v{n}", "parquet", table=f"contrato{n}", path=f"{sf}/lineitem.parquet", predicate="l_linenumber = 1") for n in range(5)
+    ]
+    frames = load_sources(
+        spark, sources, argument_overrides={"contrato1": "l_linenumber > 5"}, table_overrides=override_scalars(overrides, [])
+    )
+    parts = [df.select(F.lit(view).alias("source"), "l_linenumber", "l_quantity") for view, df in frames.items()]
+    return reduce(DataFrame.unionAll, parts).groupBy("source", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "overrides_into_run": _overrides_into_run,
     "predicate_precedence": _predicate_precedence,
     "predicate_override_lookup": _predicate_override_lookup,
     "map_source_to_sor": _map_source_to_sor,
@@ -160,6 +183,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "overrides_into_run": "SELECT source, l_linenumber, count(*) AS n FROM lineitem, (VALUES ('v0', 1, 99), ('v1', 5, 99), ('v2', 0, 1), "
+    "('v3', 0, 1), ('v4', 0, 1)) AS s(source, above, upto) WHERE l_linenumber > above AND l_linenumber <= upto GROUP BY ALL",
     "predicate_precedence": """WITH src AS (SELECT 'src' || c_custkey AS source_name,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN 'segmento = ' || c_mktsegment END AS predicate FROM customer),
         arg AS (SELECT 'src' || o_custkey AS source_name, 'pedido = ' || max(o_orderkey) AS p FROM orders

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from tidemark import DestSpec
@@ -17,6 +19,7 @@ from tidemark.operators.gate import (
 from tidemark.operators.locks import (
     create_input_locks,
     lock_as_of,
+    lock_inputs,
     locked_read,
     missing_locks,
     process_context,
@@ -82,6 +85,25 @@ def _create_input_locks(spark, sf):
     return locks
 
 
+def _input_lock_table(spark, sf):
+    """Locks as they are written, each with the status of its process."""
+    keys = ["process_name", "data_referencia"]
+
+    def write(path):
+        at = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
+        given = _requests(spark, sf), rules(spark), ledger(spark, sf), current(spark, sf)
+        for _ in range(2):  # a second run replaces the first
+            process = lock_inputs(*given, DestSpec(path, "locks", partition_keys=keys), at)
+        process.select(*PROCESS_KEYS, "status").write.parquet(f"{path}/process")
+
+    path = staged(spark, sf, "lock-table", write)
+    columns = [*PROCESS_KEYS, "sor_table_name", "ingestion_id", "lock_source"]
+    locks = spark.read.schema(", ".join(f"{c} string" for c in columns) + ", locked_at timestamp").parquet(f"{path}/locks")
+    process = spark.read.schema(", ".join(f"{c} string" for c in [*PROCESS_KEYS, "status"])).parquet(f"{path}/process")
+    when = F.date_format("locked_at", "yyyyMMddHH").alias("locked_at")
+    return process.join(locks.select(*columns, when), list(PROCESS_KEYS), "left").select("process_id", "status", "sor_table_name", "ingestion_id", "lock_source", "locked_at")
+
+
 def _process_outcomes(spark, sf):
     _, process = create_input_locks(requests(spark, sf), _resolved(spark, sf))
     return process.select("process_id", "status")
@@ -213,6 +235,7 @@ QUERIES = {
     "process_outcomes": _process_outcomes,
     "lock_as_of": _lock_as_of,
     "locked_read": _locked_read,
+    "input_lock_table": _input_lock_table,
     "locked_read_pruned": _locked_read_pruned,
     "missing_locks": _missing_locks,
     "publication_gate": _gate(("RULES_PROCESSED",)),
@@ -259,6 +282,8 @@ _GATE = (
 ORACLE = {
     "resolve_input_versions": f"WITH {RESOLVED} SELECT process_id, {_K}, ingestion_id, lock_source, problem FROM resolved",
     "create_input_locks": f"WITH {RESOLVED} SELECT * FROM locks",
+    "input_lock_table": f"""WITH {RESOLVED} SELECT process_id, status, sor_table_name, ingestion_id, lock_source,
+        CASE WHEN sor_table_name IS NOT NULL THEN '2024020112' END AS locked_at FROM outcomes LEFT JOIN locks USING (process_id)""",
     "process_outcomes": f"WITH {RESOLVED} SELECT process_id, status FROM outcomes",
     "lock_as_of": f"""WITH {LEDGER}, {REQUESTS}, {RULES}, loads AS (SELECT * FROM ledger WHERE status = 'LOADED_SOR'),
         asked AS (SELECT r.process_id, r.process_name, q.sor_table_name, r.data_referencia, r.created_at

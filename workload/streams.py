@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.streaming import emit_triggers, register_arrivals
+from tidemark.streaming import emit_triggers, register_arrivals, register_batch
 from workload import inputs
 from workload.inputs import ARRIVALS, TABLE_CONFIG, process_config, staged, stamp, table_config
 from workload.ledger import TRIGGERS
@@ -77,6 +77,20 @@ def _stream_duplicates(spark, sf):
     return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
 
 
+def _batch_registration(spark, sf):
+    """The same arrivals in two batches that overlap; the second is run twice."""
+
+    def write(path):
+        events = inputs.arrivals(spark, sf).drop("sor_table_name")
+        for batch, part in ((0, "event_id % 3 <> 0"), (1, "event_id % 3 <> 1"), (1, "event_id % 3 <> 1")):
+            register_batch(events.where(part), table_config(spark), f"{path}/ledger", "job", batch, f"{path}/rejected")
+
+    path = staged(spark, sf, "batch-registration", write)
+    columns = ["event_id", *KEYS, "ingestion_id", "status"]
+    schema = "event_id bigint, " + ", ".join(f"{c} string" for c in columns[1:])
+    return spark.read.schema(schema).parquet(f"{path}/ledger").select(*columns)
+
+
 def _stream_readiness(spark, sf):
     def write(path):
         loads = inputs.ledger(_Streamed(spark, sf), sf)
@@ -102,6 +116,7 @@ QUERIES = {
     "stream_registration": _stream_registration,
     "stream_restart": _stream_restart,
     "stream_duplicates": _stream_duplicates,
+    "batch_registration": _batch_registration,
     "stream_readiness": _stream_readiness,
 }
 
@@ -118,4 +133,5 @@ ORACLE = {
 ORACLE["stream_duplicates"] = ORACLE["stream_registration"].replace(
     "ORDER BY event_time, event_id", "ORDER BY event_id % 3 = 0, event_time, event_id"
 )
+ORACLE["batch_registration"] = ORACLE["stream_duplicates"]
 ORACLE["stream_restart"] = ORACLE["stream_registration"]
