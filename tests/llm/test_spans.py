@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import DATA
-from tidemark.llm.pii import Bootstrap, find_personal_data, personal_report
+from tidemark.llm.pii import Bootstrap, _base, _edges, _tokens, find_personal_data, personal_report
 from tidemark.llm.secrets import ANY, RULES, find_secrets, secret_report, trigram_query
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -111,6 +113,26 @@ def test_empty_tables(spark, hard):
     assert find_personal_data(nothing).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    """A log of 60,000 secrets and addresses: whole results, in time that grows with the text."""
+    text = " ".join(f"token=k{i:07d} a{i}@b.cd ip{i} 10.0.{i % 256}.7" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for checks, run in ((SECRET_CHECKS, lambda d: secret_report(find_secrets(d))), (PII_CHECKS, lambda d: personal_report(find_personal_data(d)))):
+        started = time.monotonic()
+        found = run(docs).first()
+        assert time.monotonic() - started < 60
+        assert found.base_sha256 == plain(checks, text)[1]
+
+
+def test_a_token_is_the_context_of_the_next(spark):
+    docs = spark.createDataFrame([(1, "see ipv4 10.1.2.3 ids A100011 B100022")], "doc_id long, text string")
+    text = F.col("text")
+    found = docs.select(F.explode(_edges(_base(text), _tokens(text), 4)).alias("e")).select("e.*").collect()
+    assert [(e.pattern, e.instance, e.kind, e.start, e.end) for e in found] == [
+        ("see", "ipv4", None, 4, 8), ("ipv4", "10.1.2.3", "ip", 9, 17), ("ids", "A100011", None, 22, 29), ("a100011", "B100022", None, 30, 37)
+    ]
+
+
 def test_trigram_queries():
     assert trigram_query("[0-9a-f]{24,}") == ANY
     assert trigram_query("a|bcd") == ANY

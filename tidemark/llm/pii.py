@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.spans import count_of, in_order, rendered, spans
+from tidemark.llm.spans import count_of, in_order, kept_matches, matches, rendered, scanned, span_of
 
 # The expressions of the contract, without backtracking where that changes no
 # match, so that neither a long run of letters nor one of digits takes quadratic time or
@@ -27,10 +27,11 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-# A word, what separates it from the next token, and that token if it holds a digit or @.
-CONTEXT = r"(?<!\S)\S++\s++\S*?[0-9@]\S*+"
-CONTEXT_PARTS = r"^(\S++)(\s++)(.*)$"
-EDGE_TYPE = "array<struct<pattern:string,instance:string,kind:string,start:int,end:int>>"
+# A word, and ahead of it what separates it from the next token and that token, if it holds a
+# digit or @. The token is not consumed, so it can be the next one's context.
+CONTEXT = r"(?<!\S)(\S++)(?=(\s++)([^\s0-9@]*+[0-9@]\S*+))"
+EDGE_TYPE = "struct<pattern:string,instance:string,kind:string,start:int,end:int>"
+SEEN_TYPE = "array<struct<start:int,rank:int,end:int,kind:string,word:string,text:string>>"
 
 
 @dataclass(frozen=True)
@@ -73,39 +74,73 @@ def _valid_phone(match: Column) -> Column:
     return F.length(_digits(match)).between(10, 15)
 
 
-def base_spans(text: Column) -> Column:
-    return in_order(
-        spans(text, EMAIL, "email", 0),
-        spans(text, IP, "ip", 1, _valid_ip),
-        spans(text, CARD, "card", 2, _valid_card),
-        spans(text, PHONE, "phone", 3, _valid_phone),
-    )
+def _base(text: Column) -> Column:
+    """The base matches with their texts, by start and kind."""
+    rules = ((EMAIL, None), (IP, _valid_ip), (CARD, _valid_card), (PHONE, _valid_phone))
+
+    def of_kind(rank: int) -> Column:
+        found = kept_matches(text, *rules[rank])
+        return F.transform(found, lambda m: _seen(span_of(m, KINDS[rank], rank), F.lit(None), m["found"][0])).cast(SEEN_TYPE)
+
+    return in_order(*[of_kind(rank) for rank in range(len(KINDS))])
+
+
+def _seen(span: Column, word: Column, text: Column) -> Column:
+    return F.struct(*[span[c].alias(c) for c in ("start", "rank", "end", "kind")], word.alias("word"), text.alias("text"))
+
+
+def _tokens(text: Column) -> Column:
+    """Every token with a digit or @ that has a word before it, without marks around it."""
+
+    def token(m: Column) -> Column:
+        word, gap, whole = m["found"][0], m["found"][1], m["found"][2]
+        lead = F.regexp_extract(whole, r"^[(\[<\"']*", 0)
+        bare = F.regexp_replace(F.substring(whole, F.length(lead) + 1, F.length(whole)), r"[)\]>\"'.,;:!?]+$", "")
+        start = m["start"] + F.length(word) + F.length(gap) + F.length(lead)
+        span = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), (start + F.length(bare)).alias("end"), F.lit(None).alias("kind"))
+        return _seen(span, ascii_lower(word), bare)
+
+    return F.transform(matches(text, CONTEXT, (0, 2, 3)), token).cast(SEEN_TYPE)
 
 
-def _edges(text: Column, base: Column, least_chars: int) -> Column:
-    """Context and instance of every token with a digit or @; a seed is taken in full."""
-
-    def edge(s: Column) -> Column:
-        whole = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        word, gap, token = (F.regexp_extract(whole, CONTEXT_PARTS, i) for i in (1, 2, 3))
-        lead = F.regexp_extract(token, r"^[(\[<\"']*", 0)
-        bare = F.regexp_replace(F.substring(token, F.length(lead) + 1, F.length(token)), r"[)\]>\"'.,;:!?]+$", "")
-        start = s["start"] + F.length(word) + F.length(gap) + F.length(lead)
-        seeds = F.filter(base, lambda b: b["start"] == start)
-        seed = F.get(seeds, 0)
-        inside = F.exists(base, lambda b: (b["start"] <= start) & (start < b["end"]))
-        is_seed = F.size(seeds) > 0
-        return F.struct(
-            ascii_lower(word).alias("pattern"),
-            F.when(is_seed, F.substring(text, seed["start"] + 1, seed["end"] - seed["start"])).otherwise(bare).alias("instance"),
-            F.when(is_seed, seed["kind"]).when(inside, F.lit("inside")).alias("kind"),
-            start.cast("int").alias("start"),
-            F.when(is_seed, seed["end"]).otherwise(start + F.length(bare)).cast("int").alias("end"),
+def _edges(base: Column, tokens: Column, least_chars: int) -> Column:
+    """Context and instance of every token; a seed, a base match that starts there, is taken in full.
+
+    Base matches and tokens are walked together by start, base matches first: the state is
+    the first match at the last start and how far any match has reached.
+    """
+
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        fresh = x["word"].isNull() & ~state["seed"]["start"].eqNullSafe(x["start"])
+        after = F.struct(
+            F.when(fresh, x).otherwise(state["seed"]).alias("seed"),
+            F.when(x["word"].isNull(), F.greatest(state["reach"], x["end"])).otherwise(state["reach"]).alias("reach"),
+        )
+        seed = state["seed"]
+        is_seed = seed["start"].eqNullSafe(x["start"])
+        edge = F.struct(
+            x["word"].alias("pattern"),
+            F.when(is_seed, seed["text"]).otherwise(x["text"]).alias("instance"),
+            F.when(is_seed, seed["kind"]).when(state["reach"] > x["start"], F.lit("inside")).alias("kind"),
+            x["start"].alias("start"),
+            F.when(is_seed, seed["end"]).otherwise(x["end"]).alias("end"),
         )
+        return after, edge
+
+    item = SEEN_TYPE[len("array<") : -1]
+    state_type = f"struct<seed:{item},reach:int>"
+    zero = F.struct(F.lit(None).cast(item).alias("seed"), F.lit(0).alias("reach"))
+    walked = scanned(in_order(base, tokens), zero, step, state_type, EDGE_TYPE)
+    usable = lambda e: e["pattern"].isNotNull() & ~F.coalesce(e["kind"] == "inside", F.lit(False)) & (F.length(e["instance"]) >= least_chars)
+    return F.filter(walked, usable)
+
+
+KEY = ["_key", "_key2"]
+
 
-    all_edges = F.transform(spans(text, CONTEXT, "context", 0), edge)
-    usable = F.filter(all_edges, lambda e: ~F.coalesce(e["kind"] == "inside", F.lit(False)) & (F.length(e["instance"]) >= least_chars))
-    return usable.cast(EDGE_TYPE)
+def _digests(text: Column) -> list[Column]:
+    """128 bits by which a text finds its own spans again."""
+    return [F.xxhash64(text).alias(KEY[0]), F.xxhash64(F.lit(1), text).alias(KEY[1])]
 
 
 def score_graph(edges: DataFrame, settings: Bootstrap, scratch: Scratch) -> DataFrame:
@@ -151,19 +186,20 @@ def find_personal_data(
     """
     scratch = Scratch(docs.sparkSession, "personal")
     lean = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    seen = lean.withColumn("_base", base_spans(F.col("_text")))
-    seen = seen.select("_id", F.xxhash64("_text").alias("_key"), "_base", _edges(F.col("_text"), F.col("_base"), settings.least_chars).alias("_edges"))
+    whole = lean.select("_id", *_digests(F.col("_text")), _base(F.col("_text")).alias("_whole"), _tokens(F.col("_text")).alias("_tokens"))
+    base = F.transform("_whole", lambda m: F.struct(*[m[c].alias(c) for c in ("start", "rank", "end", "kind")]))
+    seen = whole.select("_id", *KEY, base.alias("_base"), _edges(F.col("_whole"), F.col("_tokens"), settings.least_chars).alias("_edges"))
     seen = scratch.store(seen, "seen")
 
-    edges = seen.select("_key", F.explode("_edges").alias("e")).select("_key", "e.*")
+    edges = seen.select(*KEY, F.explode("_edges").alias("e")).select(*KEY, "e.*")
     best = score_graph(edges.select("pattern", "instance", "kind"), settings, scratch)
     best = best.where(F.col("score") >= settings.confidence).groupBy("pattern").agg(F.max(F.struct("score", "kind"))["kind"].alias("found_kind"))
-    found = edges.where("kind is null").join(best, "pattern").groupBy("_key", "start").agg(F.max("end").alias("end"), F.max("found_kind").alias("kind"))
+    found = edges.where("kind is null").join(best, "pattern").groupBy(*KEY, "start").agg(F.max("end").alias("end"), F.max("found_kind").alias("kind"))
     span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.concat(F.lit("context_"), "kind").alias("kind"))
-    found = found.groupBy("_key").agg(F.collect_set(span).alias("_found"))  # bounded by one text's tokens
+    found = found.groupBy(*KEY).agg(F.collect_set(span).alias("_found"))  # bounded by one text's tokens
     found = scratch.store(found, "found")  # read anew, so that AQE can split the rows of a frequent text in the join
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    return seen.select("_id", "_key", "_base").join(found, "_key", "left").select(
+    return seen.select("_id", *KEY, "_base").join(found, KEY, "left").select(
         F.col("_id").alias(id_col), in_order("_base", F.coalesce("_found", none)).alias("personal")
     )
 
