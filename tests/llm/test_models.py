@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from compare import DATA
 from tidemark.llm.folds import held_out
-from tidemark.llm.language import Centroids, identify_languages, learn_languages
+from tidemark.llm.language import Centroids, draw_texts, identify_languages, learn_languages
 from tidemark.llm.queries import op3_toxicity, op8_language_id
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.toxicity import Settings, fit_machine, learn_toxicity, sample_of, score_toxicity
 
 SF = f"{DATA}/sf0.01"
@@ -58,6 +59,21 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert score_toxicity(odd.where("doc_id > 99"), machine).count() == 0
 
 
+def test_samples_are_bounded_by_rows(spark):
+    """An id that repeats, with one text or with many, does not widen a sample."""
+    ids = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    many = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    same = spark.range(5000).select(F.lit(8).cast("long").alias("doc_id"), F.lit("the same").alias("text"))
+    single = spark.range(30).select(F.col("id").alias("doc_id"), F.concat(F.lit("one "), "id").alias("text"))
+    docs = many.unionByName(same).unionByName(single)
+    for part, bound in ((docs, 10), (docs, 40), (many, 10), (same, 10)):
+        assert sample_of(ids, part, F.lit(True), "doc_id", "toxic", "text", bound).count() == bound
+    assert sample_of(ids, single, F.lit(True), "doc_id", "toxic", "text", 40).count() == 30
+    rows = docs.select(F.when(F.col("doc_id") % 2 == 0, "aa").otherwise("bb").alias("lang"), F.xxhash64("doc_id", "text").alias("order"), "text")
+    drawn = draw_texts(rows, 12, Scratch(spark, "drawn-test")).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in drawn} == {"aa": 12, "bb": 12}
+
+
 def test_language_on_held_out_documents(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     found = op8_language_id(spark, SF).collect()

@@ -23,6 +23,7 @@ from tidemark.llm.scratch import Scratch
 LETTER = re.compile(r"[^\W\d_]")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
+SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -107,19 +108,31 @@ def _clustered(settings: Settings, idf: np.ndarray):
     return run
 
 
+def draw_texts(rows: DataFrame, per_language: int, scratch: Scratch) -> DataFrame:
+    """At most ``per_language`` rows of each language of ``lang, order, text``: the smallest by ``order``.
+
+    Only hashes are shuffled to draw, the smallest of each of 64 shares of a language first,
+    so no task meets a whole language. The broadcast holds at most ``per_language`` rows of
+    each. Rows with equal hashes are repeats of one row and are drawn as often as they count.
+    """
+    hashes = rows.select("lang", "order", F.pmod("order", F.lit(SHARES)).alias("share"))
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("order"))
+    few = hashes.withColumn("_n", place("lang", "share")).where(F.col("_n") <= per_language).drop("_n")
+    few = few.withColumn("_n", place("lang")).where(F.col("_n") <= per_language)
+    drawn = scratch.store(few.groupBy("lang", "order").agg(F.count(F.lit(1)).alias("take")), "drawn")
+    found = rows.join(F.broadcast(drawn), ["lang", "order"]).groupBy("lang", "order", "take").agg(F.first("text").alias("text"))
+    return found.select("lang", "order", "text", F.explode(F.sequence(F.lit(1), F.col("take")))).drop("col")
+
+
 def learn_languages(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_col: str = "doc_id", settings: Settings = Settings()
 ) -> Centroids:
     """Centroids from all rows of ``docs`` with a language and a letter in the text."""
     scratch = Scratch(docs.sparkSession, "language")
-    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(order_col).alias("order"))
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(order_col, text_col).alias("order"))
     n, seen = _document_frequencies(rows.select("text"), settings.buckets)
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
-    # the draw shuffles hashes only; its broadcast is bounded by ``per_language`` for each language
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    drawn = rows.where(F.col("text").isNotNull()).select("lang", "order").withColumn("_n", first)
-    drawn = scratch.store(drawn.where(F.col("_n") <= settings.per_language).select("lang", "order").distinct(), "drawn")
-    sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(drawn), ["lang", "order"], "left_semi")
+    sample = draw_texts(rows.where(F.col("text").isNotNull()), settings.per_language, scratch)
     made = sample.select("lang", "text", "order").groupBy("lang").applyInPandas(_clustered(settings, idf), "lang string, vector binary, reach double")
     made = scratch.store(made, "centroids").orderBy("lang", "vector").collect()  # a few per language
     vectors = np.array([np.frombuffer(r.vector, "<f4") for r in made], np.float32).reshape(-1, settings.buckets)

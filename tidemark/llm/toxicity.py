@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch
@@ -174,15 +174,24 @@ def learn_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str =
 
 
 def sample_of(labels: DataFrame, docs: DataFrame, allowed, id_col: str, label_col: str, text_col: str, bound: int) -> DataFrame:
-    """``label``, ``text`` of at most ``bound`` labelled documents, taken by a hash of the id.
+    """``label``, ``text`` of at most ``bound`` rows, taken by hashes.
 
-    The broadcast is bounded: it holds the ids and labels of the sample.
+    First ``bound`` labelled ids are taken, then as many of their rows by the hash of id and
+    text, where rows with equal hashes are repeats of one row: an id that repeats,
+    with one text or with many, does not widen the sample. Both broadcasts hold at most
+    ``bound`` rows of numbers.
     """
     one = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & allowed)
     one = one.groupBy(id_col).agg(F.max(label_col).cast("int").alias("label"))
     chosen = one.orderBy(F.xxhash64(id_col), id_col).limit(bound).withColumnRenamed(id_col, "_labelled")
     lean = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return lean.join(F.broadcast(chosen), F.col("_id") == F.col("_labelled")).select("label", "text")
+    rows = lean.join(F.broadcast(chosen), F.col("_id") == F.col("_labelled"))
+    rows = rows.select("label", "text", F.xxhash64("_id", "text").alias("_order"))
+    counted = rows.groupBy("_order").agg(F.count(F.lit(1)).alias("_n")).orderBy("_order").limit(bound)
+    upto = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1))
+    counted = counted.withColumn("_take", F.least("_n", bound - F.coalesce(upto, F.lit(0)))).where("_take > 0").drop("_n")
+    drawn = rows.join(F.broadcast(counted), "_order").groupBy("_order", "_take").agg(F.first("label").alias("label"), F.first("text").alias("text"))
+    return drawn.select("label", "text", F.explode(F.sequence(F.lit(1), F.col("_take")))).select("label", "text")
 
 
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
