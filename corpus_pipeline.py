@@ -20,6 +20,7 @@ from tidemark.llm.queries import byte_bpe_encoder, toxicity_machine
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.shingle_join import similar_components
+from tidemark.llm.spans import blocks_of, let, scanned
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.operators.dedup import first_per_key
 
@@ -80,17 +81,23 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _masked(whole: Column) -> Column:
-    """The text with a mask in place of each stretch that spans cover."""
+    """The text with a mask in place of each stretch that spans cover.
+
+    Pieces between masks are cut from what a block of them spans, so the work is in
+    proportion to the text, however many masks it gets.
+    """
     text = F.coalesce(whole, F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    piece = lambda at, s: (F.greatest(at, s["end"]), F.struct(at.alias("from"), s["start"].alias("to")))
+    between = F.filter(scanned(F.col("secrets"), F.lit(0), piece, "int", "struct<from:int,to:int>"), lambda p: p["from"] <= p["to"])
+    last = F.struct(F.array_max(F.transform("secrets", lambda s: s["end"])).alias("from"), F.length(text).alias("to"))
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        upto = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, upto).otherwise(acc["out"]).alias("out"))
+    def cut(block: Column) -> Column:
+        low, high = block[0]["from"], F.element_at(block, -1)["to"]
+        part = F.substring(text, low + 1, high - low)
+        return let(part, lambda t: F.transform(block, lambda p: F.substring(t, p["from"] - low + 1, p["to"] - p["from"])))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size("secrets") == 0, whole).otherwise(F.aggregate("secrets", start, step, rest))
+    pieces = F.flatten(F.transform(blocks_of(F.concat(between, F.array(last))), cut))
+    return F.when(F.size("secrets") == 0, whole).otherwise(F.array_join(pieces, MASK))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
