@@ -116,6 +116,15 @@ def test_destination_kind_and_settings(rows, folder):
         destination_settings(technical, {}, {}, "hom")
 
 
+def test_manifest_counts_rows_without_sorting_them(spark, rows, folder):
+    """A task of the listing holds one count per file, whatever the number of its rows."""
+    report = write_partitions(rows("v int, k string", (1, "a"), (2, "a"), (3, "b+c")), DestSpec(folder, "t", partition_keys=["k"]))
+    listed = written_files(spark, report)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert {(r.partition, r.rows) for r in listed.collect()} == {("k=a", 2), ("k=b+c", 1)}
+
+
 def test_manifest_of_a_write(spark, rows, folder):
     """Values that paths escape, nulls, an untouched partition, and a partition written twice."""
     schema = "v int, k string, m string"

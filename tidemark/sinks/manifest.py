@@ -51,13 +51,13 @@ def written_files(spark: SparkSession, report: WriteReport) -> DataFrame:
     if not folders:
         return spark.createDataFrame([], T.StructType(MANIFEST.fields[2:6]))
     meta = F.col("_metadata")
-    spelled = F.url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B")))  # file paths come as URLs
+    spelled = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))  # file paths come as URLs
     below = F.regexp_extract(spelled, "(?:^|/)((?:[^/=]+=[^/]*/)+)[^/]+$", 1)
     files = spark.read.schema(report.schema).parquet(*[f"{report.path}/{f}" for f in folders])
     listed = files.groupBy(meta["file_path"].alias("path"), meta["file_name"].alias("file_name"), meta["file_size"].alias("bytes"))
-    counted = listed.agg(F.count(F.lit(1)).alias("rows"), F.first(below).alias("below"))
+    counted = listed.agg(F.count(F.lit(1)).alias("rows"))  # nothing but a count per row: tasks need no sort
     depth = len(report.keys)
-    inner = F.array_join(F.slice(F.split(F.rtrim("below", F.lit("/")), "/"), -depth, depth), "/")
+    inner = F.array_join(F.slice(F.split(F.rtrim(below, F.lit("/")), "/"), -depth, depth), "/")
     return counted.select(inner.alias("partition"), "file_name", "rows", "bytes")
 
 
