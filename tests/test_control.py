@@ -267,3 +267,55 @@ def test_the_full_key_prunes_versions_and_months(spark, rows, folder):
     plan = locked._jdf.queryExecution()
     pruned = plan.optimizedPlan().toString()
     assert pruned.count("dynamicpruning#") >= 2 and "dynamicpruning" in plan.executedPlan().toString()
+
+
+def test_each_input_takes_part_in_one_lookup_only(rows):
+    """Repeated requests, null keys, overrides of all kinds; only rows that name a version go
+    to the loaded ones, and no text is sorted to find the outcome of a process."""
+    ledger = rows(
+        LEDGER,
+        ("p", "a", "202401", "v1", "LOADED_SOR", 1),
+        ("p", "a", "202401", "v2", "LOADED_SOR", 2),
+        ("p", "b", "202401", "v3", "PROCESSING_FAILURE", 3),
+        ("p", "b", "202402", "v4", "LOADED_SOR", 4),
+    )
+    rules = rows(RULES, ("p", "a", True, True), ("p", "b", True, None))
+    asked = rows(
+        "process_id string, process_name string, data_referencia string, input_overrides map<string,string>",
+        ("1", "p", "202401", {"a": "v1"}),
+        ("2", "p", "202401", {"a": "v1", "b": "v3"}),
+        ("3", "p", "202402", {"b": "LATEST", "z": "v9"}),
+        ("4", "p", "202402", {"b": "v4", "a": None}),
+        ("5", "p", None, None),
+        (None, "p", "202401", {"a": "LATEST"}),
+        ("6", "none", "202401", None),
+        ("1", "p", "202401", {"a": "v1"}),
+    )
+    resolved = resolve_inputs(asked, rules, ledger, current_version(ledger))
+    found = sorted(map(str, ((r.process_id, r.sor_table_name, r.ingestion_id, r.lock_source, r.problem) for r in resolved.collect())))
+    missing, invalid = "INPUT_MISSING", "INVALID_OVERRIDE"
+    assert found == sorted(
+        map(
+            str,
+            [
+                *2 * [("1", "a", "v1", "OVERRIDE", None), ("1", "b", None, "CURRENT_SOR", missing)],
+                ("2", "a", "v1", "OVERRIDE", None),
+                ("2", "b", None, "OVERRIDE", invalid),
+                ("3", "a", None, "CURRENT_SOR", missing),
+                ("3", "b", "v4", "CURRENT_SOR", None),
+                ("3", "z", None, "OVERRIDE", invalid),
+                ("4", "a", None, "CURRENT_SOR", missing),
+                ("4", "b", "v4", "OVERRIDE", None),
+                ("5", "a", None, "CURRENT_SOR", missing),
+                ("5", "b", None, "CURRENT_SOR", missing),
+                (None, "a", "v2", "CURRENT_SOR", None),
+                (None, "b", None, "CURRENT_SOR", missing),
+            ],
+        )
+    )
+    _, process = create_input_locks(asked, resolved)
+    failed = {"1": "FAILED_INPUT_MISSING", "2": "FAILED_INVALID_OVERRIDE", "3": "FAILED_INVALID_OVERRIDE", "4": "FAILED_INPUT_MISSING", "5": "RUNNING", None: "RUNNING", "6": "RUNNING"}
+    assert {(r.process_id, r.status) for r in process.collect()} == set(failed.items())
+    assert "SortAggregate" not in process.select("process_id", "status")._jdf.queryExecution().executedPlan().toString().split("Window")[0]
+    whole = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(-" not in whole  # nobody is looked up under a version that nobody has

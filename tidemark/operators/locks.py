@@ -67,40 +67,34 @@ def resolve_inputs(
     """
     versions = list(VERSION_KEYS)
     explicit = F.col("in_rules") & F.col("override_id").isNotNull() & (F.col("override_id") != LATEST)
-    # Rows without an override look for a version nobody has, spread by process: a null
-    # key would send all of them to one task.
-    slots = input_slots(requests, rules).withColumns(
-        {
-            "_explicit": explicit,
-            "_wanted": F.when(explicit, F.col("override_id")).otherwise(
-                F.concat(F.lit("-"), "process_id")
-            ),
-        }
-    )
+    # Each row takes part in the one lookup that decides it: explicit versions among the
+    # loaded ones, all others among the current ones.
+    slots = input_slots(requests, rules)
     loaded = (
         ingestion.where(F.col("status") == LOADED)
-        .select(*versions, F.col("ingestion_id").alias("_wanted"))
+        .select(*versions, F.col("ingestion_id").alias("override_id"))
         .distinct()
         .withColumn("_loaded", F.lit(True))
     )
     latest = current.select(*versions, F.col("current_ingestion_id").alias("_current"))
-    invalid = ~F.col("in_rules") | (F.col("_explicit") & F.col("_loaded").isNull())
-    absent = ~F.col("_explicit") & F.col("_current").isNull() & F.col("required")
-    return (
-        slots.join(latest, versions, "left")
-        .join(loaded, [*versions, "_wanted"], "left")
-        .select(
-            "process_id",
-            *versions,
-            "required",
-            F.when(invalid, F.lit(None))
-            .when(F.col("_explicit"), F.col("override_id"))
-            .otherwise(F.col("_current"))
-            .alias("ingestion_id"),
-            F.when(F.col("_explicit") | ~F.col("in_rules"), OVERRIDE).otherwise(CURRENT_SOR).alias("lock_source"),
-            F.when(invalid, INVALID_OVERRIDE).when(absent, INPUT_MISSING).alias("problem"),
-        )
+    stray, absent = ~F.col("in_rules"), F.col("_current").isNull() & F.col("required")
+    asked = slots.where(explicit).join(loaded, [*versions, "override_id"], "left").select(
+        "process_id",
+        *versions,
+        "required",
+        F.when(F.col("_loaded"), F.col("override_id")).alias("ingestion_id"),
+        F.lit(OVERRIDE).alias("lock_source"),
+        F.when(F.col("_loaded").isNull(), INVALID_OVERRIDE).alias("problem"),
+    )
+    others = slots.where(~explicit).join(latest, versions, "left").select(
+        "process_id",
+        *versions,
+        "required",
+        F.when(~stray, F.col("_current")).alias("ingestion_id"),
+        F.when(stray, OVERRIDE).otherwise(CURRENT_SOR).alias("lock_source"),
+        F.when(stray, INVALID_OVERRIDE).when(absent, INPUT_MISSING).alias("problem"),
     )
+    return others.unionByName(asked)
 
 
 def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,7 +107,8 @@ def create_input_locks(requests: DataFrame, resolved: DataFrame) -> tuple[DataFr
 
 def judged_inputs(resolved: DataFrame) -> DataFrame:
     """The resolved rows with the outcome of their process as ``_status``."""
-    own = Window.partitionBy(*PROCESS_KEYS)
+    # the hash is sorted as a number, and decides before any text is compared
+    own = Window.partitionBy(F.xxhash64(*PROCESS_KEYS), *PROCESS_KEYS)
     worst = F.min("problem").over(own)
     # INPUT_MISSING sorts before INVALID_OVERRIDE, which must win when both occur.
     invalid = F.max("problem").over(own) == INVALID_OVERRIDE
@@ -132,10 +127,11 @@ def _locks_of(judged: DataFrame) -> DataFrame:
 
 
 def _process_of(requests: DataFrame, judged: DataFrame) -> DataFrame:
-    states = judged.groupBy(*PROCESS_KEYS).agg(F.max("_status").alias("_status"))
-    return requests.join(states, list(PROCESS_KEYS), "left").withColumn(
-        "status", F.coalesce("_status", F.lit(RUNNING))
-    ).drop("_status")
+    # flags, not the texts: a text as the value of a group would have all rows sorted
+    failed = [(F.col("_status") == s, s) for s in (FAILED_INVALID_OVERRIDE, FAILED_INPUT_MISSING)]
+    states = judged.groupBy(*PROCESS_KEYS).agg(*[F.max(test).alias(f"_{name}") for test, name in failed])
+    status = F.when(F.col(f"_{FAILED_INVALID_OVERRIDE}"), FAILED_INVALID_OVERRIDE).when(F.col(f"_{FAILED_INPUT_MISSING}"), FAILED_INPUT_MISSING)
+    return requests.join(states, list(PROCESS_KEYS), "left").withColumn("status", status.otherwise(RUNNING)).drop(*[f"_{name}" for _, name in failed])
 
 
 def lock_inputs(
