@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import DestSpec, LayerSpec, SourceSpec
 from tidemark.operators.versions import current_version
+from tidemark.plans import layers
 from tidemark.plans import (
     append_status,
     consolidate_sot,
@@ -265,3 +266,18 @@ def test_merged_settings_become_a_destination():
     )
     dest = destination_spec(merged, "/lake", "t", partition_keys=["k"])
     assert (dest.compression, dest.block_size_bytes, dest.database, dest.path, dest.partition_keys) == ("zstd", 1024, "db", "/lake/t", ["k"])
+
+
+def test_a_load_that_removes_duplicates_sorts_in_bounded_tasks(spark, rows, lake, monkeypatch):
+    """Small splits and many parts while such a load runs; other loads, and the session
+    afterwards, are as they were."""
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    settings = lambda: [spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get(parts, None)]
+    write, seen, before = layers.write_result, [], settings()
+    monkeypatch.setattr(layers, "write_result", lambda *a: seen.append(settings()) or write(*a))
+    spec = sor_spec(lake)
+    plain = replace(spec, sources=[replace(s, duplicate_fields=None) for s in spec.sources])
+    for each in (spec, plain):
+        assert load_sor(spark, each, ledger(rows), "carga_71").rows > 0
+        assert settings() == before
+    assert seen == [[str(1 << 24), "1024"], before]

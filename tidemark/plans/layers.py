@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tidemark.plans.context import (
 )
 from tidemark.sinks import WriteReport, write_result
 from tidemark.sources import load_sources
-from tidemark.sources.tables import PRODUCTION, grouped_reads
+from tidemark.sources.tables import PRODUCTION, bounded_sorts, grouped_reads
 from tidemark.specs import DestSpec, LayerSpec, SourceSpec
 
 
@@ -60,7 +61,8 @@ def run_layer(
     result = technical_columns(result, columns)
     names = ("base_path", "table", "database", "file_name")
     destination = replace(spec.destination, **{n: fill_name(getattr(spec.destination, n), context) for n in names})
-    with grouped_reads(spark, spec.read_settings):
+    sorts = any(s.duplicate_fields and list(s.duplicate_fields) != ["*"] for s in spec.sources)
+    with bounded_sorts(spark) if sorts else nullcontext(), grouped_reads(spark, spec.read_settings):
         return write_result(result, destination, tuple(columns))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from urllib.parse import unquote
@@ -14,6 +15,8 @@ from tidemark.sources.schemas import generations_of, read_generations
 # Production environment name, local replacement database.
 PRODUCTION = "prd"
 LOCAL_DATABASE = "dblocal"
+# Jobs that sort whole rows: splits of their scans, and the fewest parts of a shuffle.
+SORT_SPLIT_BYTES, SORT_PARTITIONS = 1 << 24, 1024
 
 
 def where_text(df: DataFrame, predicate: str | None, params: Mapping[str, str] | None = None) -> DataFrame:
@@ -63,6 +66,25 @@ def grouped_reads(spark: SparkSession, settings: Mapping[str, object] | None) ->
             spark.conf.set(name, value)
 
 
+@contextmanager
+def bounded_sorts(spark: SparkSession, partitions: int = SORT_PARTITIONS, split_bytes: int = SORT_SPLIT_BYTES) -> Iterator[None]:
+    """For jobs inside that sort whole rows, such as duplicate removal: what one task sorts has
+    a bound that no table outgrows. Scans are cut into splits of at most ``split_bytes``, and
+    shuffles into at least ``partitions``, which AQE merges by size where they are small."""
+    initial, split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
+    before = {initial: spark.conf.get(initial, None), split: spark.conf.get(split)}
+    asked = int(before[initial] or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(initial, str(max(partitions, asked)))
+    in_bytes = re.fullmatch("([0-9]+)b?", before[split])  # a size in other units was set by hand, and stays
+    if in_bytes and int(in_bytes[1]) > split_bytes:
+        spark.conf.set(split, str(split_bytes))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def read_table(
     spark: SparkSession,
     database: str,
