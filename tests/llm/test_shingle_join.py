@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from compare import DATA
+from tidemark.llm import shingle_join
 from tidemark.llm.partenum import PREFIX_BAND, PartEnum
 from tidemark.llm.shingle_join import similar_components
 from tidemark.llm.words import mixed
@@ -109,3 +110,48 @@ def test_similar_sets_share_a_signature(enum):
             shared = {band: len(np.intersect1d(x[band], y[band])) for band in x.keys() & y.keys()}
             assured = lambda s, z, band: 1 if band == PREFIX_BAND else enum.assured(len(s), len(z[band]))
             assert any(n >= max(assured(a, x, band), assured(b, y, band)) for band, n in shared.items())
+
+
+def test_far_copies_in_a_family_do_not_meet(spark, monkeypatch):
+    """90 copies below the threshold, all with the common text, and links among a few: the
+    pairs that are compared grow with the copies, not with their square."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for at in rng.sample(range(20), 2) + rng.sample(range(60, 200), 4):
+            text[at] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    rows += [(100 + i, t + " tail") for i, t in rows[:5]]
+    compared = []
+    whole = shingle_join._compared
+    monkeypatch.setattr(shingle_join, "_compared", lambda pairs, *rest: (compared.append(pairs.count()), whole(pairs, *rest))[1])
+    check(spark, rows)
+    assert len(set(brute(rows).values())) > 40
+    assert sum(compared) < 2 * len(rows)
+
+
+@pytest.mark.parametrize("pairs", [shingle_join.LOOKED_AT, 0])
+def test_leaders_follow_while_they_link(spark, monkeypatch, pairs):
+    """Chains of copies in which no leader reaches all; strings as ids."""
+    monkeypatch.setattr(shingle_join, "LOOKED_AT", pairs)
+    rng = random.Random(8)
+    rows, text = [], [f"w{i}" for i in range(120)]
+    for i in range(60):
+        text = list(text)
+        text[rng.randrange(120)] = f"z{i}"
+        rows.append((f"d{i:02}", " ".join(text)))
+    found = similar_components(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    expected = brute(rows)
+    assert {r.doc_id: r.component_id for r in found} == expected
+
+
+def test_front_places():
+    """The first common element of similar sets stands near enough to the front of both."""
+    enum = PartEnum()
+    for n in range(1, 120):
+        for m in range(1, 120):
+            least = next(c for c in range(n + m + 1) if 100 * c >= 80 * (n + m - c))  # common elements
+            if least <= min(n, m):
+                assert n - least + 1 <= enum.front(np.array([n]))[0]

@@ -17,6 +17,11 @@ elements in domain order, one more than can differ; two such sets share one of t
 With ``surplus`` a set emits more groups than it must. If a subset is one cell, each
 differing element spoils at most one, so similar sets then share at least ``assured`` of
 the signatures of a band, and a set need not be looked for under its most frequent ones.
+
+In the finest cut every element is a cell, and a signature, by itself. Then only a set's own
+elements that the other lacks are spoilt: with ``common`` elements in both, the first of
+them in any order of the domain has at most ``size - common`` others before it. ``front``
+is how far such a first one can stand from the front, for a partner of any size.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from tidemark.llm.words import mixed
 
@@ -46,6 +53,14 @@ class PartEnum:
         """The most elements that may differ between a set of this size and one similar to it."""
         return (size + size * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
 
+    def common(self, size: Column, other: Column) -> Column:
+        """The fewest elements that similar sets of these sizes have in common."""
+        return F.ceil((size + other) * self.percent / (100 + self.percent))
+
+    def front(self, size: np.ndarray) -> np.ndarray:
+        """The last place, from 1, at which the first element common to a similar set can stand."""
+        return size + size * -self.percent // 100 + 1
+
     def groups_needed(self, size: int) -> int:
         return int((self.differing(size) // (self.slack + 1) + 1) * self.surplus)
 
