@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bitmaps import bitmap_of, with_flag
+from tidemark.llm.bitmaps import bitmap_of, left_over, with_flag
 from tidemark.llm.columns import ascii_lower, text_of
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import best_fit_packing
@@ -45,13 +45,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = scratch.store(exact_duplicates(docs, carry={"_key": key}).where("group_size > 1"), "found")
     gone = scratch.store(found.where("not kept").select("doc_id", "_key").distinct(), "gone")
     many = found.where("kept").groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    many = scratch.store(many.select("doc_id", "_key"), "many")
-    same = lambda d, v: d["doc_id"].eqNullSafe(v["doc_id"]) & (d["_text_key"] == v["_key"])
-    keyed = docs.withColumn("_text_key", key)
-    left = keyed.join(gone, same(keyed, gone), "left_anti")
-    alone = left.join(many, same(left, many), "left_anti").drop("_text_key")
-    repeated = left.join(many, same(left, many), "left_semi")
-    return alone.unionByName(first_per_key(repeated, ["doc_id", "_text_key"]).drop("_text_key"))
+    many = scratch.store(bitmap_of(many.select("doc_id", "_key")), "many")
+    sure, doubtful = left_over(docs.withColumn("_key", key), gone, scratch)
+    sure = with_flag(sure, many, [F.col("doc_id"), F.col("_key")], "_many")
+    # rows that share their bit by chance are the only ones of their key, and stay as they are
+    repeated = sure.where("_many").drop("_many").unionByName(doubtful)
+    alone = sure.where("not _many").drop("_many", "_key")
+    return alone.unionByName(first_per_key(repeated, ["doc_id", "_key"]).drop("_key"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +67,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     other = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
     own = flagged.withColumn("_own", F.when(F.col("_shared") | F.col("doc_id").isNull(), other).otherwise(F.col("doc_id"))).drop("_shared")
     linked = similar_components(own.select(F.col("_own").alias("doc_id"), "text"))
-    gone = scratch.store(linked.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return own.join(gone, F.col("_own") == F.col("_gone"), "left_anti").drop("_own")
+    gone = scratch.store(linked.where("component_id < doc_id").select(F.col("doc_id").alias("_own")).distinct(), "gone")
+    sure, doubtful = left_over(own, gone, scratch)
+    return sure.unionByName(doubtful).drop("_own")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

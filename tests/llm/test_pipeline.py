@@ -13,8 +13,10 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from compare import DATA
 from test_shingle_join import brute
+from tidemark.llm.bitmaps import left_over
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.queries import byte_bpe_encoder, toxicity_machine
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.secrets import RULES
 from tidemark.llm.toxicity import score_toxicity
 
@@ -120,3 +122,26 @@ def test_rows_are_judged_by_their_text_and_not_by_their_id_alone(spark):
     docs = spark.createDataFrame([(0, near[0]), (3, near[1]), (3, "quite another text"), (None, near[0] + " x"), (None, "alone")], "doc_id long, text string")
     left = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
     assert left == [("0", near[0]), ("3", "quite another text"), ("None", "alone")]
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 25])
+def test_rows_left_over(spark, bits):
+    """What is gone goes and nothing else, with bits set by chance, null and repeated keys; the
+    joins with all columns get few rows."""
+    rows = [(i % 9000 or None, str(i % 7), "t" * 50) for i in range(20000)]
+    df = spark.createDataFrame(rows, "k long, s string, text string")
+    gone = {r[:2] for i, r in enumerate(rows) if i % 10 == 0}
+    scratch = Scratch(spark, "left-over")
+    sure, doubtful = left_over(df, scratch.store(spark.createDataFrame(sorted(gone, key=str), "k long, s string"), "gone"), scratch, bits)
+    expected = sorted((r for r in rows if r[:2] not in gone), key=str)
+    assert sorted(map(tuple, sure.unionByName(doubtful).collect()), key=str) == expected
+    assert doubtful.count() < (5000 if bits == 1 << 15 else 100)
+
+
+def test_texts_of_exact_copies_are_not_shuffled(spark):
+    rows = [(i, f"text {i % 900} " + "word " * 30) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.exact_dedup(spark, docs, SF)
+    assert sorted(r.doc_id for r in left.collect()) == list(range(100, 1000))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and plan.count("LeftAnti") == 1
