@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -11,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from compare import DATA
-from tidemark.llm.lattice import MARK, _words_of, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words, split_words
+from tidemark.llm.lattice import MARK, Vocabulary, _words_of, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words, split_words
 from tidemark.llm.queries import QUERIES, op5_sentencepiece
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -115,3 +116,26 @@ def test_empty_table(spark, vocabulary):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert encode_documents(nothing, vocabulary).count() == 0
     assert encode_vocabulary(nothing, vocabulary).count() == 0
+
+
+def test_units_of_a_word_have_its_ids(vocabulary):
+    rng = random.Random(5)
+    cut = re.compile(vocabulary.units).findall
+    words = [MARK * rng.randint(1, 3) + "".join(rng.choices("theinrs.,-=\n'/\x00Жaд日é😀12", k=rng.randint(1, 30))) for _ in range(2000)]
+    words += [MARK + "end.\nStart", MARK + 'say("a");\r', MARK * 5, MARK + "─" * 9 + "x"]
+    for word in words:
+        units = cut(word)
+        assert "".join(units) == word and all(cut(u) == [u] for u in units)
+        assert [i for u in units for i in segment(u, vocabulary)] == segment(word, vocabulary)
+    assert cut(MARK + "end.\nStart") == [MARK + "end", ".", "\n", "Start"]
+    inexact = Vocabulary({**vocabulary.pieces, "zzz": (1, 0.1)}, vocabulary.bytes_from)
+    assert inexact.units is None  # sums over units could round otherwise
+
+
+def test_packed_rows_are_shuffled_once(spark, vocabulary):
+    docs = spark.createDataFrame([(n % 7, f"alpha beta. word{n % 5},\nrest  {'q' * (n % 90)}") for n in range(60)], "doc_id long, text string")
+    encoded = encode_documents(docs, vocabulary, frequent=3)
+    found = sorted((r.doc_id, list(r.ids)) for r in encoded.collect())
+    assert found == sorted((d.doc_id, [i for w in _words_of(d.text) for i in segment(w, vocabulary)]) for d in docs.collect())
+    plan = encoded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan

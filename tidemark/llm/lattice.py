@@ -2,7 +2,8 @@
 
 A text, with spaces as U+2581 and one in front, falls into words: runs of that mark with the
 characters up to the next. No piece of the vocabulary goes over such a border, so each
-distinct word is segmented once. Its substrings up to the longest piece are exploded and
+distinct word is segmented once. Documents are encoded by units: a word is cut further where
+no piece has the two characters side by side. Its substrings up to the longest piece are exploded and
 equi-joined to the piece table; what matches are the edges of the word's lattice. The edges
 are grouped by word, and a higher-order fold over the end positions keeps the best path to
 each: the fewest pieces, then the largest sum of piece scores. A character without a piece
@@ -15,12 +16,15 @@ by their hash before they are exploded, so edges are grouped where they arise.
 from __future__ import annotations
 
 import re
+import struct
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,35 @@ class Vocabulary:
     def longest(self) -> int:
         return max(map(len, self.pieces))
 
+    @property
+    def units(self) -> str | None:
+        """A pattern that cuts a word into units; no piece goes over a border of two.
+
+        Characters that follow one another in a piece are of one class, and a unit is a run
+        of one class with the marks in front. Counts of pieces add up over units, sums of
+        scores only if they are exact, so there are none unless the scores are whole numbers.
+        """
+        if not all(float(score).is_integer() for _, score in self.pieces.values()):
+            return None
+        above: dict[str, str] = {}
+
+        def root(char: str) -> str:
+            while above.setdefault(char, char) != char:
+                char = above[char]
+            return char
+
+        for piece in self.pieces:
+            rest = piece.lstrip(MARK)
+            if MARK in rest:
+                return None
+            for a, b in zip(rest, rest[1:]):
+                above[root(a)] = root(b)
+        classes: dict[str, list[str]] = {}
+        for char in sorted(above):
+            classes.setdefault(root(char), []).append(re.escape(char))
+        runs = "".join(f"[{''.join(c)}]+|" for c in sorted(classes.values(), key=len, reverse=True))
+        return f"{MARK}*(?:{runs}[^{MARK}])|{MARK}+"
+
 
 def read_vocabulary(model_file: str) -> Vocabulary:
     import sentencepiece
@@ -69,15 +102,16 @@ def _bytes_of(char: Column, bytes_from: int) -> Column:
     return F.transform(at, lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int") + bytes_from)
 
 
-def _best_path(edges: Column, length: Column) -> Column:
-    """The ids on the best path; ``edges`` have ``upto, since, cost, score, ids``."""
+def _best_path(word: Column, edges: Column, length: Column, bytes_from: int) -> Column:
+    """The ids on the best path; ``edges`` have ``upto, since, id, score``, without an id for bytes."""
     kind = "array<struct<cost:int,score:double,ids:array<int>>>"
     start = F.array(F.struct(F.lit(0).alias("cost"), F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(kind)
 
     def step(best: Column, upto: Column) -> Column:
         def path(e: Column) -> Column:
             b = F.get(best, e["since"])
-            return F.struct((b["cost"] - e["cost"]).alias("cost"), (b["score"] + e["score"]).alias("score"), F.concat(b["ids"], e["ids"]).alias("ids"))
+            ids = F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(_bytes_of(F.substring(word, e["since"] + 1, F.lit(1)), bytes_from))
+            return F.struct((b["cost"] - F.size(ids)).alias("cost"), (b["score"] + e["score"]).alias("score"), F.concat(b["ids"], ids).alias("ids"))
 
         here = F.transform(F.filter(edges, lambda e: e["upto"] == upto), path)
         return F.array_append(best, F.array_max(here)).cast(kind)
@@ -140,10 +174,9 @@ def segment_words(words: DataFrame, vocabulary: Vocabulary, max_chars: int = FOL
     spots = spots.select("word", "length", "since", F.explode(F.sequence(F.lit(1), widest)).alias("chars"))
     spots = spots.withColumn("part", F.substring("word", F.col("since") + 1, F.col("chars")))
     joined = spots.join(F.broadcast(table), spots["part"] == table["piece"], "left").where(F.col("id").isNotNull() | (F.col("chars") == 1))
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_bytes_of(F.col("part"), vocabulary.bytes_from))
-    edge = F.struct((F.col("since") + F.col("chars")).alias("upto"), "since", F.size(ids).alias("cost"), F.coalesce("score", F.lit(0.0)).alias("score"), ids.alias("ids"))
+    edge = F.struct((F.col("since") + F.col("chars")).alias("upto"), "since", "id", F.coalesce("score", F.lit(0.0)).alias("score"))
     lattice = joined.groupBy("word", "length").agg(F.collect_list(edge).alias("edges"))  # bounded by the word's length
-    folded = lattice.select("word", _best_path(F.col("edges"), F.col("length")).alias("ids"))
+    folded = lattice.select("word", _best_path(F.col("word"), F.col("edges"), F.col("length"), vocabulary.bytes_from).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,14 +187,20 @@ def segment_words(words: DataFrame, vocabulary: Vocabulary, max_chars: int = FOL
     return folded.unionByName(longer)
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, n`` over all texts, added up per batch before the shuffle."""
+def word_counts(docs: DataFrame, text_col: str = "text", units: str | None = None) -> DataFrame:
+    """``word, n`` over all texts, or of the words' ``units``, added up per batch before the shuffle."""
+    cut = _cutter(units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = Counter()
             for text in batch.column(0).to_pylist():
                 counts.update(_words_of(text))
+            if units:
+                words, counts = counts, Counter()
+                for word, n in words.items():
+                    for unit in cut(word):
+                        counts[unit] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -178,7 +217,15 @@ def encode_vocabulary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "
 
 def _words_of(text: str) -> list[str]:
     """What ``split_words`` gives."""
-    return re.findall(WORDS, MARK + text.replace(" ", MARK)) if text else []
+    if not text:
+        return []
+    if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return re.findall(WORDS, MARK + text.replace(" ", MARK))
+    return (MARK + text.replace(" ", " " + MARK)).split(" ")
+
+
+def _cutter(units: str | None) -> Callable[[str], list[str]]:
+    return re.compile(units).findall if units else lambda word: [word]
 
 
 def _frequent(counts: DataFrame, ids: DataFrame, most: int) -> dict[str, list[int]]:
@@ -199,76 +246,110 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
     """One row per row of ``docs``: the id and ``ids``.
 
     A null text is the empty text, which has no ids. Rows may repeat ids or have none; other
-    columns make no difference. The ids of the ``frequent`` most frequent words go to all
-    workers, which leave a hole for each other word. Those words are joined, once per row, to
-    their ids and go back to the row's holes. Rows are matched by a 64-bit hash of id and
-    text; equal rows have equal ids, and a collision is an error.
+    columns make no difference. The ids of the ``frequent`` most frequent units go to all
+    workers, which leave a hole for each other unit and pack what is left of a row. The packed
+    rows are shuffled once, for two uses: the rare units are joined, once per row, to their
+    ids and go back to the row's holes. Rows are matched by a 64-bit hash of id and text;
+    equal rows have equal ids, and a collision is an error.
     """
     scratch = Scratch(docs.sparkSession, "encode")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = scratch.store(word_counts(rows), "counts")
-    known = scratch.store(segment_words(counts.select("word"), vocabulary), "words")
-    wide = "<u2" if max(vocabulary.bytes_from + 255, *(i for i, _ in vocabulary.pieces.values())) < 0xFFFF else "<u4"
+    units = vocabulary.units
+    cut = _cutter(units)
+    counts = scratch.store(word_counts(rows, units=units), "counts")
+    last_id = max(vocabulary.bytes_from + 255, *(i for i, _ in vocabulary.pieces.values()))
+    small = "smallint" if last_id < 1 << 15 else "int"
+    known = scratch.store(segment_words(counts.select("word"), vocabulary).select("word", F.col("ids").cast(f"array<{small}>").alias("ids")), "words")
+    wide = "<u2" if last_id < 0xFFFF else "<u4"
     hole = np.iinfo(wide).max
     common = {w: np.array(ids, wide).tobytes() for w, ids in _frequent(counts, known, frequent).items()}
     gap = np.array([hole], wide).tobytes()
     scratch.drop("counts")
     kind = rows.schema["id"].dataType.simpleString()
 
-    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            packed = []
+            for text in part.column(1).to_pylist():
+                words = _words_of(text)
+                out = [*map(common.get, words)]
+                others, holes = {}, []
+                for i in [i for i, ids in enumerate(out) if ids is None]:
+                    inner = []
+                    for unit in cut(words[i]):
+                        ids = common.get(unit)
+                        if ids is None:
+                            ids = gap
+                            holes.append(others.setdefault(unit, len(others)))
+                        inner.append(ids)
+                    out[i] = b"".join(inner)
+                packed.append(_packed(others, holes, b"".join(out)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())], ["row", "id", "packed"])
+
+    def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             row, places, words = [], [], []
-            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                others = dict.fromkeys(w for w in _words_of(text) if w not in common)
+            for key, packed in zip(part.column(0).to_pylist(), part.column(2).to_pylist()):
+                others = _unpacked(packed)[0]
                 row += [key] * len(others)
                 places += range(len(others))
                 words += others
             yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.string())], ["row", "place", "word"])
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            framed, places = [], []
-            for text in part.column(1).to_pylist():
-                others, out, at = {}, [], []
-                for w in _words_of(text):
-                    ids = common.get(w)
-                    if ids is None:
-                        ids = gap
-                        at.append(others.setdefault(w, len(others)))
-                    out.append(ids)
-                framed.append(b"".join(out))
-                places.append(at)
-            columns = [part.column(0), part.column(2), pa.array(framed, pa.binary()), pa.array(places, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "frame", "places"])
-
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            found = []
-            for frame, places, parts in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+            entries = part.column(2).flatten()  # the places and ids of all the slice's rows
+            place = entries.field("place").to_numpy()
+            length = entries.field("ids").value_lengths().to_numpy()
+            values = entries.field("ids").flatten().to_numpy()
+            first = np.cumsum(length) - length
+            found, at = [], 0
+            for packed, n in zip(part.column(1).to_pylist(), part.column(2).value_lengths().fill_null(0).to_pylist()):
+                others, holes, frame = _unpacked(packed)
                 ids = np.frombuffer(frame, wide).astype(np.int32)
-                if places:
-                    words = {p["place"]: np.array(p["ids"], np.int32) for p in parts or ()}
-                    if not len(words) == len(parts or ()) == max(places) + 1:
-                        raise ValueError("two different rows have the same hash of id and text, or a word has no ids")
-                    pieces, last = [], 0
-                    for at, place in zip(np.flatnonzero(ids == hole).tolist(), places, strict=True):
-                        pieces += (ids[last:at], words[place])
-                        last = at + 1
-                    ids = np.concatenate([*pieces, ids[last:]])
+                if n != len(others) or not np.array_equal(np.sort(place[at : at + n]), np.arange(n)):
+                    raise ValueError("two different rows have the same hash of id and text, or a word has no ids")
+                if n:
+                    entry = (np.argsort(place[at : at + n]) + at)[np.frombuffer(holes, "<u4")]
+                    ids = _filled(ids, np.flatnonzero(ids == hole), values, first[entry], length[entry])
                 found.append(ids)
+                at += n
             ends = np.cumsum([0, *map(len, found)])
-            values = np.concatenate(found) if found else np.array([], np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+            joined = np.concatenate(found) if found else np.array([], np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(joined, pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "ids"])
 
     keyed = rows.select(F.xxhash64("id", "text").alias("row"), "text", "id")
-    rare = keyed.select("row", "text").mapInArrow(rare_words, "row long, place int, word string")
+    packed = keyed.mapInArrow(pack, f"row long, id {kind}, packed binary").repartition("row")
+    rare = packed.mapInArrow(rare_units, "row long, place int, word string")  # takes every column, so the shuffle is the same
     parts = rare.join(known, "word").groupBy("row").agg(F.collect_set(F.struct("place", "ids")).alias("parts"))
-    framed = keyed.mapInArrow(frames, f"row long, id {kind}, frame binary, places array<int>")
-    whole = framed.join(parts, "row", "left").select("id", "frame", "places", "parts")
+    whole = packed.join(parts, "row", "left").select("id", "packed", "parts")
     return whole.mapInArrow(fill, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
+def _packed(units: dict[str, int], holes: list[int], frame: bytes) -> bytes:
+    """A row's rare units (none has a space), the unit of each hole, and its ids."""
+    names = " ".join(units).encode()
+    return zlib.compress(struct.pack("<II", len(names), len(holes)) + names + np.array(holes, "<u4").tobytes() + frame, 1)
+
+
+def _unpacked(packed: bytes) -> tuple[list[str], bytes, bytes]:
+    raw = zlib.decompress(packed)
+    size, holes = struct.unpack_from("<II", raw)
+    ends = 8 + size, 8 + size + 4 * holes
+    return raw[8 : ends[0]].decode().split(" ") if size else [], raw[ends[0] : ends[1]], raw[ends[1] :]
+
+
+def _filled(ids: np.ndarray, at: np.ndarray, values: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``ids`` with ``length`` of the ``values`` from ``first`` on in place of each one ``at``."""
+    sizes = np.ones(len(ids), np.int64)
+    sizes[at] = length
+    out = np.repeat(ids, sizes)
+    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    out[np.repeat((np.cumsum(sizes) - sizes)[at], length) + step] = values[np.repeat(first, length) + step]
+    return out
+
+
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
@@ -279,14 +360,22 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") ->
     """Adds ``decoded``: the text of the ids, without the mark in front; exact for any text
     that does not hold the mark itself."""
     raw_of = {i: p.encode() for p, (i, _) in vocabulary.pieces.items()} | {vocabulary.bytes_from + b: bytes([b]) for b in range(256)}
+    raws = [raw_of.get(i) for i in range(max(raw_of) + 1)]
     fields = [*encoded.schema.fieldNames(), "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.array(raws, pa.large_binary())
         for batch in _slices(batches):
+            ids = batch.column(batch.schema.get_field_index(ids_col))
+            found = table.take(ids.flatten())
+            if found.null_count:
+                raise ValueError("an id is not in the vocabulary")
+            ends = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
+            raw = found.buffers()[2].to_pybytes() if len(found) else b""
+            upto = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()])
             texts = []
-            for ids in batch.column(batch.schema.get_field_index(ids_col)).to_pylist():
-                raw = b"".join(map(raw_of.__getitem__, ids or ()))
-                text = raw.decode("utf-8", "replace").replace(MARK, " ")
+            for lo, hi in zip(ends[upto[:-1]].tolist(), ends[upto[1:]].tolist()):
+                text = raw[lo:hi].decode("utf-8", "replace").replace(MARK, " ")
                 texts.append(text[1:] if text.startswith(" ") else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], fields)
 
