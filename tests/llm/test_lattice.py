@@ -132,10 +132,15 @@ def test_units_of_a_word_have_its_ids(vocabulary):
     assert inexact.units is None  # sums over units could round otherwise
 
 
-def test_packed_rows_are_shuffled_once(spark, vocabulary):
+def test_only_packed_rows_and_ids_are_shuffled_at_the_end(spark, vocabulary):
     docs = spark.createDataFrame([(n % 7, f"alpha beta. word{n % 5},\nrest  {'q' * (n % 90)}") for n in range(60)], "doc_id long, text string")
-    encoded = encode_documents(docs, vocabulary, frequent=3)
-    found = sorted((r.doc_id, list(r.ids)) for r in encoded.collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        encoded = encode_documents(docs, vocabulary, frequent=3)
+        found = sorted((r.doc_id, list(r.ids)) for r in encoded.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert found == sorted((d.doc_id, [i for w in _words_of(d.text) for i in segment(w, vocabulary)]) for d in docs.collect())
     plan = encoded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in plan
+    assert plan.count("Exchange hashpartitioning(row") == plan.count("Exchange hashpartitioning") == 2

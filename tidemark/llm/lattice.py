@@ -247,10 +247,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
 
     A null text is the empty text, which has no ids. Rows may repeat ids or have none; other
     columns make no difference. The ids of the ``frequent`` most frequent units go to all
-    workers, which leave a hole for each other unit and pack what is left of a row. The packed
-    rows are shuffled once, for two uses: the rare units are joined, once per row, to their
-    ids and go back to the row's holes. Rows are matched by a 64-bit hash of id and text;
-    equal rows have equal ids, and a collision is an error.
+    workers, which leave a hole for each other unit. Those are joined, once per row, to their
+    ids and stored, so that no shuffle of words is left on disk when the packed rows are
+    shuffled and the holes filled. Rows are matched by a 64-bit hash of id and text; equal
+    rows have equal ids, and a collision is an error.
     """
     scratch = Scratch(docs.sparkSession, "encode")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -283,14 +283,14 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
                             holes.append(others.setdefault(unit, len(others)))
                         inner.append(ids)
                     out[i] = b"".join(inner)
-                packed.append(_packed(others, holes, b"".join(out)))
+                packed.append(_packed(holes, b"".join(out)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())], ["row", "id", "packed"])
 
     def rare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             row, places, words = [], [], []
-            for key, packed in zip(part.column(0).to_pylist(), part.column(2).to_pylist()):
-                others = _unpacked(packed)[0]
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                others = dict.fromkeys(u for w in _words_of(text) if w not in common for u in cut(w) if u not in common)
                 row += [key] * len(others)
                 places += range(len(others))
                 words += others
@@ -305,12 +305,12 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
             first = np.cumsum(length) - length
             found, at = [], 0
             for packed, n in zip(part.column(1).to_pylist(), part.column(2).value_lengths().fill_null(0).to_pylist()):
-                others, holes, frame = _unpacked(packed)
+                holes, frame = _unpacked(packed)
                 ids = np.frombuffer(frame, wide).astype(np.int32)
-                if n != len(others) or not np.array_equal(np.sort(place[at : at + n]), np.arange(n)):
+                if n != (holes.max() + 1 if len(holes) else 0) or not np.array_equal(np.sort(place[at : at + n]), np.arange(n)):
                     raise ValueError("two different rows have the same hash of id and text, or a word has no ids")
                 if n:
-                    entry = (np.argsort(place[at : at + n]) + at)[np.frombuffer(holes, "<u4")]
+                    entry = (np.argsort(place[at : at + n]) + at)[holes]
                     ids = _filled(ids, np.flatnonzero(ids == hole), values, first[entry], length[entry])
                 found.append(ids)
                 at += n
@@ -320,24 +320,24 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "ids"])
 
     keyed = rows.select(F.xxhash64("id", "text").alias("row"), "text", "id")
-    packed = keyed.mapInArrow(pack, f"row long, id {kind}, packed binary").repartition("row")
-    rare = packed.mapInArrow(rare_units, "row long, place int, word string")  # takes every column, so the shuffle is the same
-    parts = rare.join(known, "word").groupBy("row").agg(F.collect_set(F.struct("place", "ids")).alias("parts"))
+    rare = keyed.select("row", "text").mapInArrow(rare_units, "row long, place int, word string")
+    filling = scratch.store(rare.join(known, "word").select("row", "place", "ids"), "filling")
+    scratch.drop("words")
+    packed = keyed.mapInArrow(pack, f"row long, id {kind}, packed binary")
+    parts = filling.groupBy("row").agg(F.collect_set(F.struct("place", "ids")).alias("parts"))
     whole = packed.join(parts, "row", "left").select("id", "packed", "parts")
     return whole.mapInArrow(fill, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
-def _packed(units: dict[str, int], holes: list[int], frame: bytes) -> bytes:
-    """A row's rare units (none has a space), the unit of each hole, and its ids."""
-    names = " ".join(units).encode()
-    return zlib.compress(struct.pack("<II", len(names), len(holes)) + names + np.array(holes, "<u4").tobytes() + frame, 1)
+def _packed(holes: list[int], frame: bytes) -> bytes:
+    """The rare unit of each hole of a row, and the row's ids."""
+    return zlib.compress(struct.pack("<I", len(holes)) + np.array(holes, "<u4").tobytes() + frame, 1)
 
 
-def _unpacked(packed: bytes) -> tuple[list[str], bytes, bytes]:
+def _unpacked(packed: bytes) -> tuple[np.ndarray, bytes]:
     raw = zlib.decompress(packed)
-    size, holes = struct.unpack_from("<II", raw)
-    ends = 8 + size, 8 + size + 4 * holes
-    return raw[8 : ends[0]].decode().split(" ") if size else [], raw[ends[0] : ends[1]], raw[ends[1] :]
+    end = 4 + 4 * struct.unpack_from("<I", raw)[0]
+    return np.frombuffer(raw[4:end], "<u4"), raw[end:]
 
 
 def _filled(ids: np.ndarray, at: np.ndarray, values: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
