@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import DATA
+from tidemark.llm import toxicity
 from tidemark.llm.folds import held_out
 from tidemark.llm.language import Centroids, draw_texts, identify_languages, learn_languages
 from tidemark.llm.queries import op3_toxicity, op8_language_id
@@ -48,6 +50,22 @@ def test_pairs_count_where_single_terms_do_not():
     assert scores[0] < 0 and scores[1] < 0 and scores[2] > 0 and scores[3] > 0
 
 
+def test_fit_is_bounded_beside_its_entries(monkeypatch):
+    """A passage that many texts hold gives each of them hundreds of terms."""
+    rng = np.random.default_rng(1)
+    rows = [np.arange(rng.integers(0, 500), dtype=np.int16) for _ in range(4000)]
+    labels = rng.integers(0, 2, len(rows))
+    tracemalloc.start()
+    machine = fit_machine(labels, rows, np.arange(500), Settings(epochs=2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6, f"{peak / 1e6:.0f} MB for {sum(map(len, rows))} entries"
+    monkeypatch.setattr(toxicity, "BLOCK", 700)
+    other = fit_machine(labels, rows, np.arange(500), Settings(epochs=2))
+    assert other.bias == machine.bias
+    assert np.array_equal(other.weights, machine.weights) and np.array_equal(other.vectors, machine.vectors)
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(6, 1), (7, None), (None, 1)], "doc_id long, toxic int")
     sample = sample_of(labels, odd, held_out(labels.doc_id).isNotNull(), "doc_id", "toxic", "text", 10)

@@ -23,6 +23,7 @@ from tidemark.llm.scratch import Scratch
 
 WORD = re.compile(r"\w+")
 CACHE_WORDS = 400_000
+BLOCK = 1 << 16  # entries whose vectors are gathered at once
 
 
 @dataclass(frozen=True)
@@ -112,8 +113,28 @@ def select_terms(rows: DataFrame, settings: Settings) -> np.ndarray:
     return np.array(sorted(r.term for r in best.collect()), np.int64)
 
 
+def _blocks(lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Runs of whole groups of entries, up to ``BLOCK`` entries where a group has no more.
+
+    Of each: the groups that have entries, where they start in it, and where it starts and ends.
+    """
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        lo = int(ends[first] - lengths[first])
+        last = max(first + 1, int(np.searchsorted(ends, lo + BLOCK, "right")))
+        some = first + np.flatnonzero(lengths[first:last])
+        if len(some):
+            yield some, (ends - lengths)[some] - lo, lo, int(ends[last - 1])
+        first = last
+
+
 def fit_machine(labels: np.ndarray, rows: list[np.ndarray], terms: np.ndarray, settings: Settings) -> Machine:
-    """Full-batch Adam on the logistic loss; ``rows`` hold places in ``terms``."""
+    """Full-batch Adam on the logistic loss; ``rows`` hold places in ``terms``.
+
+    Sums over rows and over terms are taken by blocks of entries, so that beside the entries
+    themselves memory is bounded; each sum is one step's, whatever the blocks.
+    """
     rng = np.random.default_rng(settings.seed)
     y = labels.astype(np.float64)
     share = float(np.clip(y.mean() if len(y) else 0.5, 1e-4, 1 - 1e-4))
@@ -122,28 +143,31 @@ def fit_machine(labels: np.ndarray, rows: list[np.ndarray], terms: np.ndarray, s
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
     if not len(flat):
         return Machine(float(params[0][0]), terms, params[1], params[2], settings.buckets)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    lengths = np.array([len(r) for r in rows])
     order = np.argsort(flat, kind="stable")
-    cut = np.flatnonzero(np.concatenate(([True], flat[order][1:] != flat[order][:-1])))
-    seen = flat[order][cut]
-
-    def by_doc(values):
-        out = np.zeros((len(rows), *values.shape[1:]))
-        starts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-        out[doc[starts]] = np.add.reduceat(values, starts, axis=0)
-        return out
+    doc_of = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)[order]  # by term, as ``seen`` and ``counts``
+    del order
+    seen, counts = np.unique(flat, return_counts=True)
 
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5  # halfway to balanced classes
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    of_rows, of_terms = list(_blocks(lengths)), list(_blocks(counts))
     for epoch in range(1, settings.epochs + 1):
         bias, w, v = params
-        vf = v[flat]
-        sums = by_doc(vf)
-        raw = bias + by_doc(w[flat]) + 0.5 * ((sums**2).sum(axis=1) - by_doc((vf**2).sum(axis=1)))
+        sums, linear, squares = np.zeros((len(rows), settings.factors)), np.zeros(len(rows)), np.zeros(len(rows))
+        for some, starts, lo, hi in of_rows:
+            vf = v[flat[lo:hi]]
+            sums[some] = np.add.reduceat(vf, starts, axis=0)
+            linear[some] = np.add.reduceat(w[flat[lo:hi]], starts)
+            squares[some] = np.add.reduceat((vf**2).sum(axis=1), starts)
+        raw = bias + linear + 0.5 * ((sums**2).sum(axis=1) - squares)
         err = weight * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(y)
         gw, gv = np.zeros_like(w), np.zeros_like(v)
-        gw[seen] = np.add.reduceat(err[doc][order], cut)
-        gv[seen] = np.add.reduceat((err[doc][:, None] * (sums[doc] - vf))[order], cut, axis=0)
+        for some, starts, lo, hi in of_terms:
+            docs = doc_of[lo:hi]
+            vf = np.repeat(v[seen[some]], counts[some], axis=0)
+            gw[seen[some]] = np.add.reduceat(err[docs], starts)
+            gv[seen[some]] = np.add.reduceat(err[docs][:, None] * (sums[docs] - vf), starts, axis=0)
         grads = [np.array([err.sum()]), gw + settings.decay * w / 10, gv + settings.decay * v]
         for p, g, (a, b) in zip(params, grads, moments):
             a += 0.1 * (g - a)
@@ -165,12 +189,15 @@ def learn_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str =
             for found in batch.column(1):
                 found = found.values.to_numpy(zero_copy_only=False)
                 at = np.minimum(np.searchsorted(terms, found), max(len(terms) - 1, 0))
-                places.append(at[terms[at] == found].astype(np.int32) if len(terms) else at[:0].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32()))], ["label", "places"])
-
-    table = rows.mapInArrow(run, "label int, places array<int>").toArrow()
-    places = [np.array(p, np.int64) for p in table.column("places").to_pylist()]
-    return fit_machine(table.column("label").to_numpy(), places, terms, settings)
+                places.append(at[terms[at] == found].astype(narrow) if len(terms) else at[:0].astype(narrow))
+            lists = pa.array(places, pa.list_(pa.from_numpy_dtype(narrow)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["label", "places"])
+
+    narrow, kind = (np.int16, "smallint") if len(terms) <= 1 << 15 else (np.int32, "int")
+    table = rows.mapInArrow(run, f"label int, places array<{kind}>").toArrow()
+    labels, lists = table.column("label").to_numpy(), table.column("places").combine_chunks()
+    places = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]) if len(lists) else []
+    return fit_machine(labels, places, terms, settings)
 
 
 def sample_of(labels: DataFrame, docs: DataFrame, allowed, id_col: str, label_col: str, text_col: str, bound: int) -> DataFrame:
