@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -12,8 +13,10 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from compare import DATA
-from tidemark.llm.lattice import MARK, Vocabulary, _words_of, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words, split_words
+from tidemark.llm import lattice
+from tidemark.llm.lattice import MARK, Vocabulary, _words_of, decode, encode_documents, encode_vocabulary, read_vocabulary, segment, segment_words, split_words, word_counts
 from tidemark.llm.queries import QUERIES, op5_sentencepiece
+from tidemark.llm.scratch import Scratch
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [(1, None), (2, ""), (3, " "), (4, "  a   b \n\t c  "), (5, "日本語 😀 z\x00\x85"), (6, "x" * 3000 + " " * 50 + "é" * 200), (6, "Hello world"), (None, "Hello world")]
@@ -112,6 +115,38 @@ def ids_of_word(word, vocabulary, spark, seen={}):  # noqa: B006
     return seen[word]
 
 
+def test_workers_pass_counts_on_before_they_hold_too_many(spark, vocabulary, monkeypatch):
+    texts = [f"alpha beta. word{n} word{n},rest" for n in range(2000)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    sent, rows = [], docs.select(F.coalesce("text", F.lit("")).alias("text"))
+
+    class Spy:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            sent.extend(b.num_rows for b in run(iter(rows.toArrow().combine_chunks().to_batches())))
+            return rows.mapInArrow(run, schema)
+
+    monkeypatch.setattr(lattice, "COUNTED_WORDS", 200, raising=False)
+    for units in (None, vocabulary.units):
+        sent.clear()
+        found = {r.word: r.n for r in word_counts(Spy(), units=units).collect()}
+        cut = re.compile(units).findall if units else lambda w: [w]
+        assert found == Counter(u for t in texts for w in _words_of(t or "") for u in cut(w))
+        assert len(sent) > 3
+
+
+def test_settings_of_the_session_come_back(spark, vocabulary):
+    seen, before = [], spark.conf.get(lattice.BATCH)
+    docs = spark.createDataFrame([(1, "alpha beta")], "doc_id long, text string")
+    store = Scratch.store
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Scratch, "store", lambda self, df, name: seen.append(int(spark.conf.get(lattice.BATCH))) or store(self, df, name))
+        encode_documents(docs, vocabulary)
+    assert seen == [1000] * 3 and spark.conf.get(lattice.BATCH) == before
+
+
 def test_empty_table(spark, vocabulary):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert encode_documents(nothing, vocabulary).count() == 0

@@ -33,6 +33,9 @@ from tidemark.llm.scratch import Scratch
 MARK = "▁"
 WORDS = f"{MARK}*[^{MARK}]+|{MARK}+"
 FREQUENT_WORDS = 1 << 18  # of these the ids go to all workers
+COUNTED_WORDS = 1 << 17  # distinct words that a worker holds before it passes their counts on
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000  # texts that a task and its worker hold at once, each several times over
 TASK_WORDS = 20_000  # so that the edges of a task are grouped in memory
 FOLD_CHARS = 64  # longer words are segmented by the same rule in a Python worker
 
@@ -187,21 +190,38 @@ def segment_words(words: DataFrame, vocabulary: Vocabulary, max_chars: int = FOL
     return folded.unionByName(longer)
 
 
+def _stored(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
+    """``store``, with at most ``BATCH_ROWS`` rows at once in the Python workers."""
+    conf = scratch.spark.conf
+    before = conf.get(BATCH)
+    conf.set(BATCH, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        return scratch.store(df, name)
+    finally:
+        conf.set(BATCH, before)
+
+
 def word_counts(docs: DataFrame, text_col: str = "text", units: str | None = None) -> DataFrame:
-    """``word, n`` over all texts, or of the words' ``units``, added up per batch before the shuffle."""
+    """``word, n`` over all texts, or of the words' ``units``, added up in the workers before the
+    shuffle; a worker passes its counts on whenever it holds ``COUNTED_WORDS`` words."""
     cut = _cutter(units)
 
+    def counted(words: Counter) -> pa.RecordBatch:
+        counts = Counter() if units else words
+        for word, n in words.items() if units else ():
+            for unit in cut(word):
+                counts[unit] += n
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = Counter()
-            for text in batch.column(0).to_pylist():
-                counts.update(_words_of(text))
-            if units:
-                words, counts = counts, Counter()
-                for word, n in words.items():
-                    for unit in cut(word):
-                        counts[unit] += n
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        words = Counter()
+        for part in _slices(batches):
+            for text in part.column(0).to_pylist():
+                words.update(_words_of(text))
+            if len(words) >= COUNTED_WORDS:
+                yield counted(words)
+                words = Counter()
+        yield counted(words)
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -210,8 +230,8 @@ def word_counts(docs: DataFrame, text_col: str = "text", units: str | None = Non
 def encode_vocabulary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """``word, n, ids`` of every distinct word of all texts. Null and empty texts have none."""
     scratch = Scratch(docs.sparkSession, "lattice")
-    counts = scratch.store(word_counts(docs, text_col), "counts")
-    ids = scratch.store(segment_words(counts.select("word"), vocabulary), "ids")
+    counts = _stored(scratch, word_counts(docs, text_col), "counts")
+    ids = _stored(scratch, segment_words(counts.select("word"), vocabulary), "ids")
     return counts.join(ids, "word")
 
 
@@ -256,10 +276,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     units = vocabulary.units
     cut = _cutter(units)
-    counts = scratch.store(word_counts(rows, units=units), "counts")
+    counts = _stored(scratch, word_counts(rows, units=units), "counts")
     last_id = max(vocabulary.bytes_from + 255, *(i for i, _ in vocabulary.pieces.values()))
     small = "smallint" if last_id < 1 << 15 else "int"
-    known = scratch.store(segment_words(counts.select("word"), vocabulary).select("word", F.col("ids").cast(f"array<{small}>").alias("ids")), "words")
+    known = _stored(scratch, segment_words(counts.select("word"), vocabulary).select("word", F.col("ids").cast(f"array<{small}>").alias("ids")), "words")
     wide = "<u2" if last_id < 0xFFFF else "<u4"
     hole = np.iinfo(wide).max
     common = {w: np.array(ids, wide).tobytes() for w, ids in _frequent(counts, known, frequent).items()}
@@ -321,7 +341,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc
 
     keyed = rows.select(F.xxhash64("id", "text").alias("row"), "text", "id")
     rare = keyed.select("row", "text").mapInArrow(rare_units, "row long, place int, word string")
-    filling = scratch.store(rare.join(known, "word").select("row", "place", "ids"), "filling")
+    filling = _stored(scratch, rare.join(known, "word").select("row", "place", "ids"), "filling")
     scratch.drop("words")
     packed = keyed.mapInArrow(pack, f"row long, id {kind}, packed binary")
     parts = filling.groupBy("row").agg(F.collect_set(F.struct("place", "ids")).alias("parts"))
